@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lamina.functions.names import url_basename
 from lamina.functions.values import any_match, code_int, decimal_comma, row_count, target_rule
 from lamina.operators.enrich import enrich
-from lamina.operators.guards import require_rows
+from lamina.operators.guards import ExpectationError, require_rows
 from lamina.operators.joins import missing_from
 from lamina.operators.normalize import coerce_schema, positional_rename
 from lamina.plans.layout import run_path
@@ -25,9 +25,9 @@ from lamina.schemas import (
     TARGET_SIZE,
     raw_schema,
 )
+from lamina.sinks.landing import land_archives
 from lamina.sinks.runs import write_run
 from lamina.sinks.snapshots import upsert_snapshot
-from lamina.sources.archives import expand_entries, land_entries, list_entries
 from lamina.sources.delimited import read_landing
 from lamina.sources.files import list_files, resolve_archives
 from lamina.sources.tables import load_if_present
@@ -95,12 +95,11 @@ def bronze(
     archives, _ = resolve_archives(spark, roots, ENTITY_WORDS, explicit)
     total = 0
     for entity in ENTITY_WORDS:
-        entries = list_entries(archives.filter(F.col("entity") == entity), entry_suffix)
-        require_rows(entries, f"{entity}: no {entry_suffix} entry in any archive")
-        landing = run_path(root, "bronze", run_id, entity, "csv")
-        land_entries(expand_entries(entries), landing)
-        rows = read_landing(spark, landing, multi_line=multi_line)
-        total += write_run(rows, run_path(root, "bronze", run_id, entity, "parquet"))
+        folder = run_path(root, "bronze", run_id, entity)
+        chosen = archives.filter(F.col("entity") == entity)
+        if not land_archives(chosen, folder, entry_suffix, ordered=multi_line):
+            raise ExpectationError(f"{entity}: no {entry_suffix} entry in any archive")
+        total += write_run(read_landing(spark, f"{folder}/csv", multi_line=multi_line), f"{folder}/parquet")
     return total
 
 

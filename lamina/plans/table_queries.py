@@ -39,17 +39,17 @@ from lamina.operators import (
     latest_per_key,
     missing_from,
     positional_rename,
-    require_rows,
     require_unique_key,
 )
+from lamina.operators.guards import ExpectationError
+from lamina.plans import registry
+from lamina.plans.layout import run_path
 from lamina.schemas import raw_schema
 from lamina.session import scratch_dir
-from lamina.sinks import append_new, overwrite_partitions, read_snapshot, upsert_snapshot, write_run
+from lamina.sinks import append_new, land_archives, overwrite_partitions, read_snapshot, upsert_snapshot, write_run
 from lamina.sources import (
-    detect_separators,
     entry_lines,
     expand_entries,
-    land_entries,
     list_entries,
     list_files,
     read_delimited,
@@ -67,11 +67,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(oracle: str | None = None):
+def query(oracle: str | None = None, name: str | None = None):
+    """Register a query under its function's name, or ``name`` where an operator already has that."""
+
     def register(function):
-        QUERIES[function.__name__] = function
+        key = name or function.__name__
+        QUERIES[key] = function
         if oracle:
-            ORACLE[function.__name__] = oracle
+            ORACLE[key] = oracle
         return function
 
     return register
@@ -197,7 +200,7 @@ SELECT c_custkey,
        TRY_CAST(replace(replace(CAST(c_acctbal AS VARCHAR), '.', ','), ',', '.') AS DOUBLE) AS acctbal,
        TRY_CAST(replace(c_name, ',', '.') AS DOUBLE) AS not_a_number
 FROM customer
-""")
+""", name="decimal_comma")
 def decimal_comma_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = F.replace(F.col("c_acctbal").cast("string"), F.lit("."), F.lit(","))
     return _customers(spark, sf_dir).select(
@@ -234,7 +237,7 @@ def code_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT l_orderkey AS order_id, l_partkey AS part_id, l_suppkey AS supplier_id,
        l_linenumber AS line_no, l_quantity AS quantity FROM lineitem
-""")
+""", name="positional_rename")
 def positional_rename_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem").withColumn("_file", F.col("_metadata.file_path"))
     return positional_rename(lineitem, ["order_id", "part_id", "supplier_id", "line_no", "quantity"])
@@ -244,7 +247,7 @@ def positional_rename_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, TRY_CAST(c_nationkey AS INTEGER) AS c_nationkey,
        c_acctbal, c_mktsegment, n_orders, has_urgent, is_target
 FROM ({_ENRICHED_SQL})
-""")
+""", name="coerce_schema")
 def coerce_to_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = StructType(
         [
@@ -284,7 +287,7 @@ def _upsert_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return target, changed.unionByName(added)
 
 
-@query(_UPSERT_SQL)
+@query(_UPSERT_SQL, name="keyed_upsert")
 def keyed_upsert_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, source = _upsert_sides(spark, sf_dir)
     return keyed_upsert(target, source, "c_custkey")
@@ -326,7 +329,7 @@ def keyed_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed_upsert(target, events, "user_id", order_by=["ts", "event_id"])
 
 
-@query("SELECT l_orderkey, count(*) AS n_rows FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1")
+@query("SELECT l_orderkey, count(*) AS n_rows FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1", name="duplicate_keys")
 def duplicate_key_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_keys(table(spark, sf_dir, "lineitem"), "l_orderkey")
 
@@ -364,7 +367,7 @@ def name_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT page_id, coalesce(nullif(split_part(rtrim(split_part(url, '?', 1), '/'), '/', -1), ''), 'file.bin') AS name
 FROM pages
-""")
+""", name="url_basename")
 def url_file_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", url_basename("url").alias("name"))
 
@@ -374,7 +377,7 @@ SELECT page_id, regexp_extract(url, '^([a-z]+)://([^/]+)/(.+)$', 1) AS scheme,
        regexp_extract(url, '^([a-z]+)://([^/]+)/(.+)$', 2) AS container,
        regexp_extract(url, '^([a-z]+)://([^/]+)/(.+)$', 3) AS object
 FROM pages
-""")
+""", name="uri_parts")
 def uri_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "pages").select("page_id", uri_parts("url", strict=True).alias("parts"))
     return parts.select("page_id", "parts.*")
@@ -517,11 +520,19 @@ def delimited_fixed_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("has_file", F.col("_file").contains(".csv")).drop("_file")
 
 
+def _joined(fields: DataFrame) -> DataFrame:
+    """All columns of a row as one ``;`` line."""
+    positions = [f"f{i}" for i in range(len(fields.columns))]
+    return fields.toDF(*positions).select(F.concat_ws(";", *positions).alias("value"))
+
+
 def _write_archives(lines: DataFrame, folder: str, name: str) -> None:
-    """One ZIP per task from a column of text lines, streamed; each task owns its file names."""
+    """One ZIP per task from a column of text lines, streamed.
+
+    A finished archive is moved to the name of its partition, so a task that runs twice leaves one.
+    """
 
     def pack(batches):
-        import os
         import uuid
         import zipfile
 
@@ -533,31 +544,75 @@ def _write_archives(lines: DataFrame, folder: str, name: str) -> None:
         place = folder if "://" in folder else f"file://{folder.removeprefix('file:')}"
         filesystem, inner = fs.FileSystem.from_uri(place)
         filesystem.create_dir(inner, recursive=True)
-        file_name = f"{name}{part}-{uuid.uuid4().hex}.zip"
-        stream = filesystem.open_output_stream(f"{inner}/{file_name}")
-        with stream, zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED) as archive:
-            archive.writestr("README.txt", "a;b\n")
-            with archive.open(f"data/K{part}.CSV", "w") as entry:
+        unfinished = f"{inner}/{name}{part}-{uuid.uuid4().hex}.part"
+        with filesystem.open_output_stream(unfinished) as stream, zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("README.txt", "a;b\n")
+            with z.open(f"data/K{part}.CSV", "w", force_zip64=True) as entry:
                 for batch in batches:
                     for value in batch.column(0).to_pylist():
                         entry.write(value.encode("iso-8859-1") + b"\n")
-        yield pa.record_batch([pa.array([os.path.join(folder, file_name)])], names=["path"])
+        filesystem.move(unfinished, f"{inner}/{name}{part}.zip")
+        yield pa.record_batch([pa.array([part])], names=["part"])
 
-    lines.mapInArrow(pack, "path string").write.parquet(f"{folder}.written")
+    lines.mapInArrow(pack, "part long").write.format("noop").mode("overwrite").save()
 
 
 @query(_TYPED_ORDERS_SQL)
 def archive_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ZIP archives listed, expanded, landed byte for byte and read back as a table."""
     root = scratch_dir(spark, "archives")
-    text = F.concat_ws(";", *_orders_as_text(spark, sf_dir).columns)
-    _write_archives(_orders_as_text(spark, sf_dir).select(text.alias("value")), f"{root}/zips", "Empresas")
-    written = [r["path"] for r in spark.read.parquet(f"{root}/zips.written").toLocalIterator()]
-    entries = require_rows(list_entries(list_files(spark, written)), "no entry")
-    land_entries(expand_entries(entries), f"{root}/csv")
+    _write_archives(_joined(_orders_as_text(spark, sf_dir)), f"{root}/zips", "Empresas")
+    if not land_archives(list_files(spark, f"{root}/zips", ".zip"), root):
+        raise ExpectationError("no entry in the archives")
     return _typed_orders(read_landing(spark, f"{root}/csv"))
 
 
+@query("""
+SELECT value, count(*) AS n_lines FROM (
+  SELECT l_returnflag || ';' || l_linestatus || ';' || l_linenumber AS value FROM lineitem) GROUP BY value
+""")
+def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of archive entries without a landing, from blocks much smaller than an entry."""
+    root = scratch_dir(spark, "lines")
+    fields = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber")
+    _write_archives(_joined(fields), root, "Socios")
+    entries = list_entries(list_files(spark, root, ".zip"))
+    lines = entry_lines(expand_entries(entries, chunk_bytes=1 << 12))
+    return lines.groupBy("value").agg(row_count().alias("n_lines"))
+
+
+@query("""
+SELECT lpad(CAST(c.c_custkey AS VARCHAR), 8, '0') AS cnpj, c.c_name AS razao_social,
+       c.c_nationkey AS natureza_juridica, c.c_acctbal AS capital_social,
+       CASE WHEN c.c_mktsegment = 'BUILDING' THEN '03' ELSE '05' END AS cod_porte,
+       coalesce(o.n, 0) AS qtde_socios, coalesce(o.f, false) AS flag_socio_estrangeiro,
+       c.c_mktsegment = 'BUILDING' AND coalesce(o.n, 0) > 1 AS doc_alvo
+FROM customer c
+LEFT JOIN (SELECT o_custkey, count(*) AS n, bool_or(o_orderpriority = '1-URGENT') AS f
+           FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey
+""")
+def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole run: archives, raw, typed and enriched layers, published table; then a rerun with nothing to do."""
+    root = scratch_dir(spark, "run")
+    key = F.lpad(F.col("c_custkey").cast("string"), 8, "0")
+    size = F.when(F.col("c_mktsegment") == "BUILDING", "03").otherwise("05")
+    capital = F.replace(F.col("c_acctbal").cast("string"), F.lit("."), F.lit(","))
+    companies = _customers(spark, sf_dir).select(
+        key, "c_name", F.col("c_nationkey").cast("string"), F.lit("49"), capital, size, F.lit("")
+    )
+    kind = F.when(F.col("o_orderpriority") == URGENT, "3").otherwise("2")
+    blank = [F.lit("").alias(f"blank{i}") for i in range(8)]
+    finished = _orders_by_customer(spark, sf_dir).filter(F.col("o_orderstatus") == "F")
+    partners = finished.select(key, kind, F.col("o_orderkey").cast("string"), *blank)
+    raw = run_path(root, "raw", "run-1")
+    _write_archives(_joined(companies), raw, "Empresas")
+    _write_archives(_joined(partners), raw, "Socios")
+    registry.run(spark, root, "run-1")
+    if registry.run(spark, root, "run-1"):
+        raise ExpectationError("a finished run must leave nothing to do")
+    return read_snapshot(spark, f"{root}/published").drop("updated_at")
+
+
 @query("SELECT url, count(*) AS n_pages FROM pages GROUP BY url")
 def manifest_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "manifest")

@@ -6,6 +6,7 @@ from lamina.sinks.jdbc import (
     staging_name,
     upsert_sql,
 )
+from lamina.sinks.landing import land_archives, land_entries
 from lamina.sinks.runs import append_new, overwrite_partitions, write_run
 from lamina.sinks.snapshots import current_version, read_snapshot, upsert_snapshot
 
@@ -14,6 +15,8 @@ __all__ = [
     "create_table_sql",
     "current_version",
     "jdbc_connection",
+    "land_archives",
+    "land_entries",
     "overwrite_partitions",
     "publish_jdbc",
     "read_snapshot",

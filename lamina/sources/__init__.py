@@ -1,4 +1,4 @@
-from lamina.sources.archives import entry_lines, expand_entries, land_entries, list_entries
+from lamina.sources.archives import entry_lines, expand_entries, list_entries
 from lamina.sources.delimited import detect_separators, file_heads, read_delimited, read_detected, read_landing
 from lamina.sources.files import classify_archives, list_files, read_manifest, resolve_archives
 from lamina.sources.tables import is_readable, read_first_available
@@ -10,7 +10,6 @@ __all__ = [
     "expand_entries",
     "file_heads",
     "is_readable",
-    "land_entries",
     "list_entries",
     "list_files",
     "read_delimited",

@@ -28,6 +28,9 @@ from lamina.functions.values import separator_of
 # Fixed value: bytes of a file that separator detection looks at.
 SAMPLE_BYTES = 4096
 
+# Inflated bytes per task that entries are spread by.
+TASK_BYTES = 16 << 20
+
 # Folder names of the separators in a landing.
 DELIMITER_NAMES = {"|": "pipe", ";": "semicolon", ",": "comma"}
 
@@ -44,7 +47,7 @@ _ENTRY = StructType(
         _required("head", BinaryType()),
     ]
 )
-# Non-null names keep the order of a sorted landing visible to the writer, which then sorts nothing.
+# Names are non-null so that the writer recognises a landing that is already in their order.
 _CHUNK = StructType(
     [
         _required("_archive", StringType()),
@@ -119,17 +122,18 @@ def expand_entries(
     entries: DataFrame,
     encoding: str = "ISO-8859-1",
     chunk_bytes: int = 1 << 20,
-    tasks: int | None = None,
     opener: Callable | None = None,
 ) -> DataFrame:
     """Contents of the entries as numbered blocks of whole lines, as raw bytes.
 
-    Memory per task is one block, or one line where a line is longer. ``tasks`` defaults to twice
-    the number of entries, so that few tasks get two. The separator is detected per entry, from its
-    first bytes.
+    Memory per task is one block, or one line where a line is longer. Large entries get a task of
+    their own, as good as always; small ones share tasks. The separator is detected per entry, from
+    its first bytes.
     """
     open_path = opener or file_opener()
-    slots = tasks or max(1, 2 * entries.count())
+    found = entries.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("size")).first()
+    by_size = entries.sparkSession.sparkContext.defaultParallelism + 2 * (found["size"] // TASK_BYTES)
+    slots = max(1, min(2 * found["n"], by_size))
     delimiter = separator_of(F.decode("head", encoding))
     names = F.create_map(*[F.lit(v) for pair in DELIMITER_NAMES.items() for v in pair])
     work = entries.select("path", "entry", names[delimiter].alias("delimiter")).repartition(slots, "path", "entry")
@@ -174,18 +178,3 @@ def entry_lines(chunks: DataFrame, encoding: str = "ISO-8859-1") -> DataFrame:
     text = F.decode("content", encoding)
     lines = chunks.select("_archive", "_entry", "chunk", F.posexplode(F.split(text, "\n")).alias("line", "value"))
     return lines.withColumn("value", F.rtrim("value", F.lit("\r")))
-
-
-def land_entries(chunks: DataFrame, path: str) -> None:
-    """Raw copy of the entries, byte for byte, in a folder per separator, archive and entry.
-
-    Blocks are written by the tasks that inflate them, in order, without a shuffle: a record that
-    spans lines stays whole.
-    """
-    (
-        chunks.sortWithinPartitions("_delimiter", "_archive", "_entry", "chunk")
-        .select(F.col("content").cast("string").alias("value"), "_delimiter", "_archive", "_entry")
-        .write.mode("overwrite")
-        .partitionBy("_delimiter", "_archive", "_entry")
-        .text(path)
-    )

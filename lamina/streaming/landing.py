@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampType
 
 from lamina.functions.names import base_name, classify_name
+from lamina.sinks.landing import land_archives
 from lamina.sinks.snapshots import upsert_snapshot
-from lamina.sources.archives import expand_entries, land_entries, list_entries
 
 _FILE = StructType(
     [
@@ -44,7 +44,7 @@ def land_archives_stream(
     archive_suffix: str = ".zip",
     entry_suffix: str = ".csv",
 ) -> None:
-    """Land the entries of new archives under ``landing/entity/batch-N``.
+    """Land the entries of new archives under ``landing/entity/batch-N/csv``.
 
     A replayed batch overwrites its own folder. Only paths travel through the stream; executors read
     the archives when they inflate them.
@@ -56,9 +56,8 @@ def land_archives_stream(
 
     def land(batch: DataFrame, batch_id: int) -> None:
         for entity in rules:
-            entries = list_entries(batch.filter(F.col("entity") == entity), entry_suffix)
-            if not entries.isEmpty():
-                land_entries(expand_entries(entries), f"{landing}/{entity}/batch-{batch_id:09d}")
+            chosen = batch.filter(F.col("entity") == entity)
+            land_archives(chosen, f"{landing}/{entity}/batch-{batch_id:09d}", entry_suffix)
 
     _finish(arrived.writeStream.foreachBatch(land), checkpoint)
 
