@@ -55,7 +55,7 @@ def _sql_type(kind: DataType) -> str:
 
 def staging_name(table: str, run_id: str) -> str:
     """Staging table of a run; a dash in the run id becomes an underscore."""
-    return _identifier(f"{table}_stg_{run_id.replace('-', '_')}")
+    return _identifier(f"{_identifier(table)}_stg_{run_id.replace('-', '_')}")
 
 
 def create_table_sql(table: str, schema: StructType, key: str, stamp: str = "updated_at") -> str:
