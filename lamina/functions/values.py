@@ -40,12 +40,17 @@ def separator_of(
 ) -> Column:
     """The most frequent candidate character; ties go to the earlier one, none at all to ``default``."""
     text = _col(c)
-    counts = [F.length(text) - F.length(F.replace(text, F.lit(s), F.lit(""))) for s in candidates]
-    best = F.greatest(*counts) if len(counts) > 1 else counts[0]
-    picked = F.when(best.isNull() | (best == 0), F.lit(default))
-    for s, n in zip(candidates, counts):
-        picked = picked.when(n == best, F.lit(s))
-    return picked
+
+    def ranked(count: Column, rank: int, s: str) -> Column:
+        return F.struct(count.alias("n"), F.lit(rank).alias("rank"), F.lit(s).alias("sep"))
+
+    def occurrences(s: str) -> Column:
+        without = F.octet_length(F.replace(text, F.lit(s), F.lit("")))
+        return ((F.octet_length(text) - without) / len(s.encode())).cast("int")
+
+    # Rank decides between equal counts; the default outranks every candidate that does not occur.
+    options = [ranked(occurrences(s), -i, s) for i, s in enumerate(candidates)]
+    return F.greatest(ranked(F.lit(0), 1, default), *options)["sep"]
 
 
 def row_count() -> Column:

@@ -44,7 +44,7 @@ from lamina.operators import (
 from lamina.operators.guards import ExpectationError
 from lamina.plans import registry
 from lamina.plans.layout import run_path
-from lamina.schemas import raw_schema
+from lamina.schemas import ENTITY_WORDS, raw_schema
 from lamina.session import scratch_dir
 from lamina.sinks import append_new, land_archives, overwrite_partitions, read_snapshot, upsert_snapshot, write_run
 from lamina.sources import (
@@ -59,7 +59,7 @@ from lamina.sources import (
     read_manifest,
 )
 from lamina.sources.tables import rows_of
-from lamina.streaming import stream_to_table, upsert_stream
+from lamina.streaming import land_archives_stream, stream_to_table, upsert_stream
 
 URGENT = "1-URGENT"
 
@@ -145,7 +145,7 @@ WITH parent AS (
   FROM events),
 child AS (SELECT user_id, count(*) AS n_purchases, bool_or(value > 50) AS any_large
           FROM events WHERE event_type = 'purchase' GROUP BY user_id)
-SELECT p.event_id, p.user_id, p.event_type,
+SELECT p.event_id, coalesce(p.user_id, -1) AS user_id, p.event_type,
        coalesce(c.n_purchases, 0) AS n_purchases, coalesce(c.any_large, false) AS any_large
 FROM parent p LEFT JOIN child c ON p.user_id = c.user_id
 """)
@@ -154,13 +154,14 @@ def enrich_hot_and_null_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     kind = F.col("event_type")
     user = F.when(kind.isin("view", "click"), F.lit(0).cast("long")).when(kind != "error", F.col("user_id"))
-    return enrich(
+    joined = enrich(
         events.select("event_id", user.alias("user_id"), "event_type"),
         events.filter(kind == "purchase"),
         "user_id",
         aggregates={"n_purchases": row_count(), "any_large": any_match(F.col("value") > 50)},
         defaults={"n_purchases": 0, "any_large": False},
     )
+    return joined.withColumn("user_id", F.coalesce("user_id", F.lit(-1).cast("long")))
 
 
 @query("SELECT o_custkey AS c_custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey")
@@ -198,39 +199,40 @@ def fused_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT c_custkey,
        TRY_CAST(replace(replace(CAST(c_acctbal AS VARCHAR), '.', ','), ',', '.') AS DOUBLE) AS acctbal,
-       TRY_CAST(replace(c_name, ',', '.') AS DOUBLE) AS not_a_number
+       TRY_CAST(replace(c_name, ',', '.') AS DOUBLE) IS NULL AS name_is_no_number
 FROM customer
 """, name="decimal_comma")
 def decimal_comma_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = F.replace(F.col("c_acctbal").cast("string"), F.lit("."), F.lit(","))
     return _customers(spark, sf_dir).select(
-        "c_custkey", decimal_comma(written).alias("acctbal"), decimal_comma("c_name").alias("not_a_number")
+        "c_custkey",
+        decimal_comma(written).alias("acctbal"),
+        decimal_comma("c_name").isNull().alias("name_is_no_number"),
     )
 
 
 @query("""
-SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS total FROM orders
+SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS total FROM orders
 """)
 def decimal_comma_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``1.234,50``: grouping marks are stripped, and the amount is a decimal."""
     amount = F.format_number(F.col("o_totalprice").cast("decimal(18,2)"), 2)
     brazilian = F.translate(amount, ",.", ".,")
     total = decimal_comma(brazilian, thousands=".", to=DecimalType(18, 2))
-    return table(spark, sf_dir, "orders").select("o_orderkey", total.alias("total"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", total.cast("double").alias("total"))
 
 
 @query("""
 SELECT p_partkey, TRY_CAST(split_part(p_brand, '#', 2) AS INTEGER) AS brand_code,
-       CASE WHEN regexp_matches(p_brand, '^[0-9]+$') THEN TRY_CAST(p_brand AS INTEGER) END AS whole_code,
-       CAST(NULL AS INTEGER) AS price_code
+       NOT regexp_matches(p_brand, '^[0-9]+$') AS brand_is_no_code, true AS decimal_is_no_code
 FROM part
 """)
 def code_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         "p_partkey",
         code_int(F.split_part("p_brand", F.lit("#"), F.lit(2))).alias("brand_code"),
-        code_int("p_brand").alias("whole_code"),
-        code_int(F.concat(F.col("p_size").cast("string"), F.lit(".7"))).alias("price_code"),
+        code_int("p_brand").isNull().alias("brand_is_no_code"),
+        code_int(F.concat(F.col("p_size").cast("string"), F.lit(".7"))).isNull().alias("decimal_is_no_code"),
     )
 
 
@@ -356,12 +358,13 @@ def sep_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT page_id, CASE WHEN contains(lower(url), '/en/') OR contains(lower(url), '/fr/') THEN 'first'
-                     WHEN contains(lower(url), '/de/') THEN 'second' END AS entity
+                     WHEN contains(lower(url), '/de/') THEN 'second' ELSE 'none' END AS entity
 FROM pages
 """)
 def name_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = {"first": ("/EN/", "/fr/"), "second": ("/de/",)}
-    return table(spark, sf_dir, "pages").select("page_id", classify_name("url", rules).alias("entity"))
+    entity = F.coalesce(classify_name("url", rules), F.lit("none"))
+    return table(spark, sf_dir, "pages").select("page_id", entity.alias("entity"))
 
 
 @query("""
@@ -403,7 +406,7 @@ def split_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT doc_id, CASE WHEN lang = 'en' THEN 'lang' WHEN source = 'src1' THEN 'source'
-                    WHEN n_chars < 100 THEN 'n_chars' END AS missing
+                    WHEN n_chars < 100 THEN 'n_chars' ELSE 'none' END AS missing
 FROM documents
 """)
 def first_missing_field(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -413,7 +416,8 @@ def first_missing_field(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source": F.when(F.col("source") == "src1", F.lit("")).otherwise(F.col("source")),
         "n_chars": F.when(F.col("n_chars") >= 100, F.col("n_chars")),
     }
-    return table(spark, sf_dir, "documents").select("doc_id", first_missing(fields).alias("missing"))
+    missing = F.coalesce(first_missing(fields), F.lit("none"))
+    return table(spark, sf_dir, "documents").select("doc_id", missing.alias("missing"))
 
 
 # --- ledger, manifests, no-clobber ----------------------------------------------------------------
@@ -510,14 +514,15 @@ def delimited_mixed_separators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT CAST(c_custkey AS VARCHAR) AS _c0, c_name AS _c1, CAST(c_nationkey AS VARCHAR) AS _c2,
-       c_mktsegment AS _c3, CAST(NULL AS VARCHAR) AS _c4, true AS has_file FROM customer
+       c_mktsegment AS _c3, true AS fifth_is_null, true AS has_file FROM customer
 """)
 def delimited_fixed_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fixed schema wider than the rows: missing fields are NULL; each row names its file."""
     written = _customers(spark, sf_dir).select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     path = _write_delimited(written, scratch_dir(spark, "fixed"), ";")
     rows = read_delimited(spark, path, ";", raw_schema(5))
-    return rows.withColumn("has_file", F.col("_file").contains(".csv")).drop("_file")
+    checks = {"fifth_is_null": F.col("_c4").isNull(), "has_file": F.col("_file").contains(".csv")}
+    return rows.withColumns(checks).drop("_c4", "_file")
 
 
 def _joined(fields: DataFrame) -> DataFrame:
@@ -577,7 +582,7 @@ def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber")
     _write_archives(_joined(fields), root, "Socios")
     entries = list_entries(list_files(spark, root, ".zip"))
-    lines = entry_lines(expand_entries(entries, chunk_bytes=1 << 12))
+    lines = entry_lines(expand_entries(entries, chunk_bytes=1 << 16))
     return lines.groupBy("value").agg(row_count().alias("n_lines"))
 
 
@@ -613,6 +618,21 @@ def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_snapshot(spark, f"{root}/published").drop("updated_at")
 
 
+@query("""
+SELECT o_orderkey AS order_id, o_orderstatus <> 'O' AS wrong_width FROM orders
+""")
+def delimited_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that are shorter or longer than the schema are marked, and none is lost."""
+    path = scratch_dir(spark, "quarantine")
+    status = F.col("o_orderstatus")
+    key = F.col("o_orderkey").cast("string")
+    short, exact = F.concat_ws(";", key, status), F.concat_ws(";", key, status, "o_orderpriority")
+    line = F.when(status == "F", short).when(status == "O", exact).otherwise(F.concat(exact, F.lit(";more")))
+    table(spark, sf_dir, "orders").select(line.alias("value")).write.text(path)
+    rows = read_delimited(spark, path, ";", raw_schema(3), corrupt="_bad")
+    return rows.select(F.col("_c0").try_cast("long").alias("order_id"), F.col("_bad").isNotNull().alias("wrong_width"))
+
+
 @query("SELECT url, count(*) AS n_pages FROM pages GROUP BY url")
 def manifest_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "manifest")
@@ -680,6 +700,16 @@ def stream_land(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{path}/table")
 
 
+@query(_TYPED_ORDERS_SQL)
+def stream_land_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives landed as they arrive; a second pass finds nothing new."""
+    root = scratch_dir(spark, "stream-archives")
+    _write_archives(_joined(_orders_as_text(spark, sf_dir)), f"{root}/raw", "Empresas")
+    for _ in range(2):
+        land_archives_stream(spark, f"{root}/raw", f"{root}/landing", f"{root}/checkpoint", ENTITY_WORDS)
+    return _typed_orders(read_landing(spark, f"{root}/landing/empresas/batch-*/csv"))
+
+
 @query(_LATEST_EVENT)
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files upserted as they arrive, the latest event of each user winning."""

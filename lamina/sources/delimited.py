@@ -43,6 +43,8 @@ def _scan(
             raise ValueError("rows of the wrong width can only be told with a schema")
         schema = StructType([*schema.fields, StructField(corrupt, StringType())])
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt)
+        # A scan of fewer columns would not see the width of a row.
+        reader = reader.option("columnPruning", "false")
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(list(dict.fromkeys(paths))).select("*", F.col("_metadata.file_path").alias("_file"))

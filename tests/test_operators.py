@@ -178,3 +178,18 @@ def test_guards(spark):
         require_rows(df.filter("k > 1"), "empty source")
     with pytest.raises(ExpectationError):
         require_set_key(df, ["k", "n"])
+
+
+KEYS = st.one_of(st.none(), st.integers(0, 4))
+
+
+@hypothesis_settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(parents=st.lists(KEYS, max_size=12), children=st.lists(st.tuples(KEYS, st.integers(1, 4)), max_size=20))
+def test_enrichment_agrees_with_counting(spark, parents, children):
+    """Every parent stays; counts add up to the children each parent row has."""
+    parent = spark.createDataFrame([(k, i) for i, k in enumerate(parents)], "k long, i long")
+    child = spark.createDataFrame(children, "k long, t long")
+    out = enrich(parent, child, "k", {"n": row_count(), "f": any_match(F.col("t") == 3)}, {"n": 0, "f": False})
+    got = {r["i"]: (r["n"], r["f"]) for r in out.collect()}
+    mine = [[t for c, t in children if k is not None and c == k] for k in parents]
+    assert got == {i: (len(t), 3 in t) for i, t in enumerate(mine)}
