@@ -1,7 +1,7 @@
 """Times the registered queries and prints one JSON line.
 
 ``BENCH_SF_DIR`` is the table folder, ``BENCH_CPUS`` the local cores, ``BENCH_RUNS`` the timed runs
-after one warm-up; the median counts. Results go to a sink that discards them. The ``reference_form``
+after one warm-up round; the median counts. Results go to a sink that discards them. The ``reference_form``
 figures are the same results computed with one aggregate per summary, and with a count before a
 write.
 """
@@ -46,15 +46,17 @@ def observed_write(spark, sf_dir):
     write_run(lines, scratch_dir(spark, "bench"))
 
 
-def seconds(spark, sf_dir, function, runs):
-    taken = []
+def seconds(spark, sf_dir, functions, runs):
+    """Median per function. Rounds go over all functions, so that each meets an equally warm JVM."""
+    taken = {name: [] for name in functions}
     for _ in range(runs + 1):
-        start = time.perf_counter()
-        out = function(spark, sf_dir)
-        if out is not None:
-            out.write.format("noop").mode("overwrite").save()
-        taken.append(time.perf_counter() - start)
-    return round(statistics.median(taken[1:]), 4)
+        for name, function in functions.items():
+            start = time.perf_counter()
+            out = function(spark, sf_dir)
+            if out is not None:
+                out.write.format("noop").mode("overwrite").save()
+            taken[name].append(time.perf_counter() - start)
+    return {name: round(statistics.median(times[1:]), 4) for name, times in taken.items()}
 
 
 def main():
@@ -67,10 +69,10 @@ def main():
         **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
-    times = {name: seconds(spark, sf_dir, function, runs) for name, function in QUERIES.items()}
-    forms = {
-        f.__name__: seconds(spark, sf_dir, f, runs) for f in (two_aggregates, count_then_write, observed_write)
-    }
+    compared = {f"form:{f.__name__}": f for f in (two_aggregates, count_then_write, observed_write)}
+    taken = seconds(spark, sf_dir, {**QUERIES, **compared}, runs)
+    times = {name: taken[name] for name in QUERIES}
+    forms = {name.removeprefix("form:"): taken[name] for name in compared}
     print(
         json.dumps(
             {

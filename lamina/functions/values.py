@@ -11,6 +11,11 @@ from pyspark.sql.types import DataType, DoubleType
 SEPARATORS = ("|", ";", ",")
 DEFAULT_SEPARATOR = ";"
 
+# What a cast accepts as an integer, and how anything it accepts as a number begins. A failed cast
+# costs an exception; text that cannot succeed is turned away before.
+_INTEGER = r"^[\s\p{Cntrl}]*[+-]?[0-9]+[\s\p{Cntrl}]*$"
+_NUMBER_START = r"^[\s\p{Cntrl}]*[+-]?[.0-9IiNn]"
+
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -25,12 +30,14 @@ def decimal_comma(c: str | Column, thousands: str | None = None, to: DataType |
     text = _col(c)
     if thousands:
         text = F.replace(text, F.lit(thousands), F.lit(""))
-    return F.replace(text, F.lit(","), F.lit(".")).try_cast(to or DoubleType())
+    number = F.replace(text, F.lit(","), F.lit("."))
+    return F.when(number.rlike(_NUMBER_START), number.try_cast(to or DoubleType()))
 
 
 def code_int(c: str | Column) -> Column:
     """Text code to int. A code is an integer or unknown: ``12.7`` and ``1e3`` are NULL."""
-    return _col(c).try_cast("int")
+    text = _col(c)
+    return F.when(text.rlike(_INTEGER), text.try_cast("int"))
 
 
 def separator_of(

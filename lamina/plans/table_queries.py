@@ -230,7 +230,7 @@ FROM part
 def code_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         "p_partkey",
-        code_int(F.split_part("p_brand", F.lit("#"), F.lit(2))).alias("brand_code"),
+        code_int(F.substring_index("p_brand", "#", -1)).alias("brand_code"),
         code_int("p_brand").isNull().alias("brand_is_no_code"),
         code_int(F.concat(F.col("p_size").cast("string"), F.lit(".7"))).isNull().alias("decimal_is_no_code"),
     )

@@ -73,7 +73,7 @@ def file_opener() -> Callable:
         from pyarrow import fs
 
         scheme = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}.get(scheme, scheme)
-        filesystem, inner = fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
+        filesystem, inner = fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/:@')}")
         return filesystem.open_input_file(inner)
 
     return open_path

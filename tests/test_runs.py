@@ -12,6 +12,7 @@ from lamina.schemas import ENRICHED, ENTITY_WORDS
 from lamina.sinks import (
     create_table_sql,
     current_version,
+    land_archives,
     overwrite_partitions,
     publish_jdbc,
     read_snapshot,
@@ -22,7 +23,7 @@ from lamina.sinks import (
     write_run,
 )
 from lamina.sinks.jdbc import _JdbcConnection
-from lamina.sources import read_landing
+from lamina.sources import list_files, read_landing
 from lamina.streaming import land_archives_stream, stream_to_table, upsert_stream
 
 COMPANY_LINES = [
@@ -71,9 +72,12 @@ def test_archives_to_published_table(spark, root, rows):
 
 def test_silver_reads_the_landing_where_parquet_is_missing(spark, root, rows):
     registry.bronze(spark, root, "r-1")
-    direct = rows(registry.typed_companies(registry.raw_table(spark, root, "r-1", "empresas")))
-    landed = read_landing(spark, run_path(root, "bronze", "r-1", "empresas") + "/csv")
-    assert rows(registry.typed_companies(landed)) == direct and len(direct) == 3
+    stored = rows(registry.typed_companies(registry.raw_table(spark, root, "r-1", "empresas")))
+    archives = list_files(spark, run_path(root, "raw", "r-1"), ".zip").filter("name like 'Empresas%'")
+    land_archives(archives, run_path(root, "bronze", "r-2", "empresas"))
+    landed = registry.raw_table(spark, root, "r-2", "empresas")
+    assert landed.columns[:7] == [f"_c{i}" for i in range(7)]
+    assert rows(registry.typed_companies(landed)) == stored and len(stored) == 3
 
 
 def test_a_failed_stage_is_resumed(spark, root):

@@ -46,6 +46,25 @@ def test_lenient_casts(spark):
     assert evaluate(spark, texts, code_int) == [c[2] for c in CASTS]
 
 
+def test_turning_text_away_changes_no_result(spark):
+    """Whatever the plain cast accepts, and only that, is accepted."""
+    blanks = ["", " ", "\t", "\n", "\r\n", "\x00", "\x1f", "\u00a0", "\u3000"]
+    bodies = ["12", "+12", "-12", "--1", "+", ".", "12.", ".5", "1.5", "1e3", "1E-2", "1d", "1f", "0x1", "NaN", "nan"]
+    bodies += ["Infinity", "-Infinity", "inf", "+inf", "1_0", "१२", "99999999999", "1 2", "", "a1", "1a", "+ 1"]
+    texts = [a + b + c for b in bodies for a in blanks for c in blanks]
+    df = column(spark, texts)
+    both = df.select(
+        "v",
+        code_int("v").alias("i"),
+        F.col("v").try_cast("int").alias("plain_i"),
+        decimal_comma("v").alias("d"),
+        F.col("v").try_cast("double").alias("plain_d"),
+    )
+    differing = both.filter(~F.col("i").eqNullSafe(F.col("plain_i")) | ~F.col("d").eqNullSafe(F.col("plain_d")))
+    assert differing.collect() == []
+    assert both.filter("i is not null").count() > 100 and both.filter("d is not null").count() > 300
+
+
 def test_decimal_comma_with_grouping_and_decimal_type(spark):
     out = evaluate(spark, ["1.234.567,89", "10,5"], lambda c: decimal_comma(c, ".", DecimalType(18, 2)))
     assert [str(v) for v in out] == ["1234567.89", "10.50"]
