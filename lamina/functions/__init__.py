@@ -4,7 +4,6 @@ from lamina.functions.names import (
     first_missing,
     landing_target,
     normalise_prefix,
-    split_list,
     uri_parts,
     url_basename,
 )
@@ -21,7 +20,6 @@ __all__ = [
     "normalise_prefix",
     "row_count",
     "separator_of",
-    "split_list",
     "target_rule",
     "uri_parts",
     "url_basename",

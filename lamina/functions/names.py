@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -23,8 +22,8 @@ def base_name(c: str | Column) -> Column:
 
 def url_basename(c: str | Column) -> Column:
     """File name of a URL: query cut off, trailing slashes dropped, last segment, never empty."""
-    path = F.rtrim(F.substring_index(_col(c), "?", 1), F.lit("/"))
-    return F.coalesce(F.nullif(base_name(path), F.lit("")), F.lit(UNNAMED_FILE))
+    name = base_name(F.rtrim(F.substring_index(_col(c), "?", 1), F.lit("/")))
+    return F.when(name == "", F.lit(UNNAMED_FILE)).otherwise(name)
 
 
 def normalise_prefix(c: str | Column) -> Column:
@@ -62,12 +61,6 @@ def classify_name(c: str | Column, rules: Mapping[str, Sequence[str]]) -> Column
     return picked
 
 
-def split_list(c: str | Column, sep: str = ",") -> Column:
-    """Pieces of a separated list, each without surrounding white space."""
-    blanks = F.lit(" \t\r\n")
-    return F.transform(F.split(_col(c), re.escape(sep)), lambda piece: F.btrim(piece, blanks))
-
-
 def first_missing(fields: Mapping[str, Column] | Sequence[str]) -> Column:
     """Name of the first required field that is NULL or empty text; NULL when all are present."""
     columns = fields if isinstance(fields, Mapping) else {f: F.col(f) for f in fields}

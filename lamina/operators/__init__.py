@@ -2,7 +2,7 @@ from lamina.operators.enrich import child_rollup, enrich, left_enrich
 from lamina.operators.guards import require_columns, require_rows, require_set_key, require_unique_key
 from lamina.operators.joins import lookup_join, missing_from
 from lamina.operators.keys import duplicate_keys, latest_per_key
-from lamina.operators.normalize import coerce_schema, positional_rename
+from lamina.operators.normalize import coerce_schema, positional_rename, split_rows
 from lamina.operators.upsert import keyed_upsert
 
 __all__ = [
@@ -20,4 +20,5 @@ __all__ = [
     "require_rows",
     "require_set_key",
     "require_unique_key",
+    "split_rows",
 ]

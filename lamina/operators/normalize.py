@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -28,3 +29,13 @@ def coerce_schema(df: DataFrame, schema: StructType) -> DataFrame:
     """Exactly the columns of ``schema``, in its order; values that do not fit become NULL."""
     require_columns(df, schema.fieldNames())
     return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def split_rows(df: DataFrame, column: str, name: str, sep: str = ",") -> DataFrame:
+    """One row per piece of a separated list, without surrounding white space, in column ``name``.
+
+    The list column is dropped. Pieces are trimmed after they are taken apart, one row at a time.
+    """
+    rest = [c for c in df.columns if c != column]
+    pieces = df.select(*rest, F.explode(F.split(column, re.escape(sep))).alias(name))
+    return pieces.withColumn(name, F.btrim(name, F.lit(" \t\r\n")))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lamina.functions.names import url_basename
 from lamina.functions.values import any_match, code_int, decimal_comma, row_count, target_rule
 from lamina.operators.enrich import enrich
-from lamina.operators.guards import ExpectationError, require_rows
+from lamina.operators.guards import ExpectationError
 from lamina.operators.joins import missing_from
 from lamina.operators.normalize import coerce_schema, positional_rename
 from lamina.plans.layout import run_path
@@ -73,13 +73,15 @@ def enriched_companies(companies: DataFrame, partners: DataFrame) -> DataFrame:
 def ingest(spark: SparkSession, root: str, run_id: str, manifest: DataFrame | None = None) -> int:
     """Arrival gate: something has landed, and everything a manifest of ``url`` rows names."""
     landed = list_files(spark, run_path(root, "raw", run_id))
-    require_rows(landed, f"nothing has arrived for run {run_id}")
+    arrived = landed.count()
+    if not arrived:
+        raise ExpectationError(f"nothing has arrived for run {run_id}")
     if manifest is not None:
         expected = manifest.select(url_basename("url").alias("name"))
         absent = missing_from(expected, landed, "name").take(1)
         if absent:
             raise FileNotFoundError(f"run {run_id} still waits for {absent[0]['name']}")
-    return landed.count()
+    return arrived
 
 
 def bronze(

@@ -25,7 +25,6 @@ from lamina.functions import (
     landing_target,
     row_count,
     separator_of,
-    split_list,
     target_rule,
     uri_parts,
     url_basename,
@@ -40,6 +39,7 @@ from lamina.operators import (
     missing_from,
     positional_rename,
     require_unique_key,
+    split_rows,
 )
 from lamina.operators.guards import ExpectationError
 from lamina.plans import registry
@@ -331,7 +331,10 @@ def keyed_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed_upsert(target, events, "user_id", order_by=["ts", "event_id"])
 
 
-@query("SELECT l_orderkey, count(*) AS n_rows FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1", name="duplicate_keys")
+@query(
+    "SELECT l_orderkey, count(*) AS n_rows FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1",
+    name="duplicate_keys",
+)
 def duplicate_key_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_keys(table(spark, sf_dir, "lineitem"), "l_orderkey")
 
@@ -401,7 +404,7 @@ SELECT doc_id, trim(piece, E' \t\r\n') AS piece
 FROM (SELECT doc_id, unnest(string_split(text, ',')) AS piece FROM documents)
 """)
 def split_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.explode(split_list("text")).alias("piece"))
+    return split_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "piece")
 
 
 @query("""
@@ -550,7 +553,7 @@ def _write_archives(lines: DataFrame, folder: str, name: str) -> None:
         filesystem, inner = fs.FileSystem.from_uri(place)
         filesystem.create_dir(inner, recursive=True)
         unfinished = f"{inner}/{name}{part}-{uuid.uuid4().hex}.part"
-        with filesystem.open_output_stream(unfinished) as stream, zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED) as z:
+        with filesystem.open_output_stream(unfinished) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
             z.writestr("README.txt", "a;b\n")
             with z.open(f"data/K{part}.CSV", "w", force_zip64=True) as entry:
                 for batch in batches:

@@ -73,7 +73,7 @@ def upsert_stream(
     """Upsert what is new into a snapshot table; the latest row of a key within a batch is taken.
 
     A later batch replaces what an earlier one stored. A replayed batch finds its own commit and
-    changes nothing. Every batch writes a whole snapshot, so this is for one batch per run.
+    changes nothing; ``name`` tells the streams that feed one table apart. Every batch writes a whole snapshot, so this is for one batch per run.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:

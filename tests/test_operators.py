@@ -3,7 +3,7 @@
 import pytest
 from hypothesis import HealthCheck, given, settings as hypothesis_settings, strategies as st
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
 
 from lamina.functions import any_match, row_count, target_rule
 from lamina.operators import (
@@ -19,10 +19,18 @@ from lamina.operators import (
     require_columns,
     require_rows,
     require_unique_key,
+    split_rows,
 )
 from lamina.operators.guards import ExpectationError, require_set_key
 
-COMPANIES = [("1", "A", "03"), ("1", "A2", "03"), ("2", "B", None), ("3", "C", "03"), (None, "N", "03"), ("4", "D", "01")]
+COMPANIES = [
+    ("1", "A", "03"),
+    ("1", "A2", "03"),
+    ("2", "B", None),
+    ("3", "C", "03"),
+    (None, "N", "03"),
+    ("4", "D", "01"),
+]
 PARTNERS = [("1", 2), ("1", 3), ("2", None), ("2", 2), (None, 3), ("9", 3), ("4", 1), ("4", 1)]
 
 
@@ -170,6 +178,12 @@ def test_coerce_schema(spark, rows):
         coerce_schema(df.drop("i"), schema)
 
 
+def test_split_rows(spark, rows):
+    df = spark.createDataFrame([(1, "a , b\t,,c|d"), (2, None)], "i int, v string")
+    assert rows(split_rows(df, "v", "piece")) == [(1, ""), (1, "a"), (1, "b"), (1, "c|d")]
+    assert rows(split_rows(df, "v", "piece", "|")) == [(1, "a , b\t,,c"), (1, "d")]
+
+
 def test_guards(spark):
     df = spark.createDataFrame([(1, None)], "k int, n int")
     assert require_rows(df, "none") is df and require_columns(df, ["k"]) is df

@@ -9,6 +9,7 @@ from lamina.operators.guards import ExpectationError
 from lamina.plans import ledger, registry
 from lamina.plans.layout import run_path
 from lamina.schemas import ENRICHED, ENTITY_WORDS
+from lamina.session import scratch_dir
 from lamina.sinks import (
     create_table_sql,
     current_version,
@@ -346,3 +347,17 @@ def test_stream_upsert(spark, tmp_path, rows):
     assert arrive((1, 1, "a"), (1, 2, "b"), (2, 1, "c")) == [(1, 2, "b"), (2, 1, "c")]
     assert arrive((2, 2, "d"), (3, 1, "e")) == [(1, 2, "b"), (2, 2, "d"), (3, 1, "e")]
     assert current_version(spark, root) == 2
+
+
+def test_scratch_folders():
+    class Session:
+        def __init__(self, master, **conf):
+            self.sparkContext = type("Context", (), {"master": master})
+            self.conf = conf
+
+    shared = {"spark.checkpoint.dir": "hdfs://nn/tmp/"}
+    first, second = (scratch_dir(Session("yarn", **shared), "x") for _ in range(2))
+    assert first != second and first.startswith("hdfs://nn/tmp/x-")
+    assert scratch_dir(Session("local[2]"), "x")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(Session("yarn"), "x")

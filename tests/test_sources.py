@@ -1,11 +1,9 @@
 """Archives, delimited text and fallbacks on files with awkward contents."""
 
-import io
 import zipfile
 
 import pytest
 from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
 
 from lamina.schemas import ENTITY_WORDS, raw_schema
 from lamina.sinks import land_archives, land_entries

@@ -11,7 +11,6 @@ from lamina.functions import (
     first_missing,
     landing_target,
     separator_of,
-    split_list,
     target_rule,
     uri_parts,
     url_basename,
@@ -83,8 +82,8 @@ def test_separator(spark, text, expected):
 
 
 def test_url_basename(spark):
-    urls = ["https://h/p/E.zip?x=1", "https://h/p/", "?x=1", "https://h/a//", "https://h/p/E.zip"]
-    assert evaluate(spark, urls, url_basename) == ["E.zip", "p", "file.bin", "a", "E.zip"]
+    urls = ["https://h/p/E.zip?x=1", "https://h/p/", "?x=1", "https://h/a//", "https://h/p/E.zip", None]
+    assert evaluate(spark, urls, url_basename) == ["E.zip", "p", "file.bin", "a", "E.zip", None]
 
 
 def test_landing_target_has_one_slash(spark):
@@ -107,11 +106,6 @@ def test_classify_name(spark):
     assert out == ["empresas", "socios", "socios", "empresas", None]
 
 
-def test_split_list_trims(spark):
-    assert evaluate(spark, ["a , b\t,,c|d"], split_list) == [["a", "b", "", "c|d"]]
-    assert evaluate(spark, ["a|b"], lambda c: split_list(c, "|")) == [["a", "b"]]
-
-
 def test_first_missing_names_the_first(spark):
     df = spark.createDataFrame(
         [("b", "p", ["u"]), ("", None, ["u"]), ("b", None, []), ("b", "p", None)],
