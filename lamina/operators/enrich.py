@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -10,15 +10,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lamina.operators.joins import lookup_join
 
 
-def child_rollup(child: DataFrame, key: str, **aggregates: Column) -> DataFrame:
+def child_rollup(child: DataFrame, key: str | Sequence[str], **aggregates: Column) -> DataFrame:
     """All summaries of the child in one aggregate: one scan and one shuffle of partial results.
 
     A hot key shuffles one partial row per map task, so no task sees its whole group.
     """
-    return child.groupBy(key).agg(*[a.alias(name) for name, a in aggregates.items()])
+    keys = [key] if isinstance(key, str) else list(key)
+    return child.groupBy(*keys).agg(*[a.alias(name) for name, a in aggregates.items()])
 
 
-def left_enrich(parent: DataFrame, rollup: DataFrame, key: str, defaults: Mapping[str, Any]) -> DataFrame:
+def left_enrich(
+    parent: DataFrame, rollup: DataFrame, key: str | Sequence[str], defaults: Mapping[str, Any]
+) -> DataFrame:
     """Every parent row with its rollup columns; parents without children get ``defaults``.
 
     Duplicate parents all stay, a NULL key never matches, children without a parent vanish.
@@ -31,7 +34,7 @@ def left_enrich(parent: DataFrame, rollup: DataFrame, key: str, defaults: Mappin
 def enrich(
     parent: DataFrame,
     child: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     aggregates: Mapping[str, Column],
     defaults: Mapping[str, Any],
 ) -> DataFrame:

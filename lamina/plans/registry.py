@@ -134,9 +134,9 @@ def result(spark: SparkSession, root: str, run_id: str) -> DataFrame:
 def load(
     spark: SparkSession, root: str, run_id: str, target: str, order_by: str | Sequence[str] | None = None
 ) -> int:
-    """Upsert the run's result into the snapshot table at ``target``."""
+    """Upsert the run's result into the snapshot table at ``target``; loading it again is harmless."""
     rows = result(spark, root, run_id).withColumn("updated_at", F.current_timestamp())
-    return upsert_snapshot(spark, target, rows, KEY, order_by, batch=run_id)
+    return upsert_snapshot(spark, target, rows, KEY, order_by)
 
 
 def run(
@@ -145,26 +145,32 @@ def run(
     run_id: str,
     publish: Callable[[DataFrame], int | None] | None = None,
     target: str | None = None,
+    manifest: DataFrame | None = None,
+    order_by: str | Sequence[str] | None = None,
     stages: Sequence[str] = STAGES,
+    again: bool = False,
     **bronze_options,
 ) -> list[str]:
     """Run the stages the ledger does not show as done, in order; returns their names.
 
-    ``publish`` replaces the snapshot upsert, for example by ``publish_jdbc``.
+    ``again`` runs the given stages whether or not they are done.
+
+    ``publish`` replaces the snapshot upsert, for example by ``publish_jdbc``. ``manifest`` holds a
+    ``url`` column of everything that must have arrived.
     """
     ledger = f"{root.rstrip('/')}/ledger"
     steps: dict[str, Callable[[], int | None]] = {
-        "ingest": lambda: ingest(spark, root, run_id),
+        "ingest": lambda: ingest(spark, root, run_id, manifest),
         "bronze": lambda: bronze(spark, root, run_id, **bronze_options),
         "silver": lambda: silver(spark, root, run_id),
         "gold": lambda: gold(spark, root, run_id),
         "load": lambda: (
             publish(result(spark, root, run_id))
             if publish
-            else load(spark, root, run_id, target or f"{root.rstrip('/')}/published")
+            else load(spark, root, run_id, target or f"{root.rstrip('/')}/published", order_by)
         ),
     }
-    todo = pending_stages(spark, ledger, run_id, stages)
+    todo = list(stages) if again else pending_stages(spark, ledger, run_id, stages)
     for stage in todo:
         record_stage(spark, ledger, run_id, stage, steps[stage]())
     return todo

@@ -1,8 +1,9 @@
 """A keyed Parquet table kept as numbered snapshots.
 
-Every upsert writes a whole new snapshot beside the old one and then appends one row to the commit
-log. Readers take the newest committed snapshot, so a job that dies half way leaves the table as it
-was. One writer at a time is assumed.
+Every upsert writes a whole new snapshot beside the current one and then appends one row to the
+commit log. Readers take the newest committed snapshot, so a job that dies half way leaves the table
+as it was. Snapshots take turns in a fixed number of folders, which bounds the storage: a reader that
+has started on one is undisturbed until the folder's next turn. One writer at a time is assumed.
 """
 
 from __future__ import annotations
@@ -29,8 +30,12 @@ _LOG = StructType(
 )
 
 
+# Folders that snapshots take turns in.
+SLOTS = 3
+
+
 def _snapshot_path(root: str, version: int) -> str:
-    return f"{root}/snapshot-{version:09d}"
+    return f"{root}/snapshot-{version % SLOTS}"
 
 
 def _log(spark: SparkSession, root: str) -> DataFrame:

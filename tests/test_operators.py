@@ -155,6 +155,39 @@ def test_latest_per_key_breaks_ties_the_same_way(spark, rows):
     assert rows(latest_per_key(df.repartition(5), "k", "t")) == [("a", 1, "y"), ("b", None, "q")]
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_per_key_aggregates_before_the_shuffle(spark):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    text = plan(latest_per_key(events, "user_id", "ts"))
+    assert "Window" not in text and text.count("Exchange") == 1
+    assert text.index("Exchange") < text.index("partial_max")
+
+
+def test_missing_from_reduces_the_present_keys_before_the_shuffle(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    left = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    right = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").withColumnRenamed("l_orderkey", "o_orderkey")
+    text = plan(missing_from(left, right, "o_orderkey"))
+    assert "LeftAnti" in text and text.count("HashAggregate") == 2
+    assert "ReadSchema: struct<o_orderkey:bigint>" in text or "struct<l_orderkey:bigint>" in text
+
+
+def test_a_small_source_leaves_the_target_unshuffled(spark):
+    target = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    text = plan(keyed_upsert(target, target.filter("o_orderkey < 10"), "o_orderkey"))
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+
+
+def test_enrichment_by_two_columns(spark, rows):
+    parent = spark.createDataFrame([(1, "a"), (1, "b"), (2, None)], "k int, m string")
+    child = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "k int, m string")
+    out = enrich(parent, child, ["k", "m"], {"n": row_count()}, {"n": 0})
+    assert rows(out) == sorted([(1, "a", 2), (1, "b", 0), (2, None, 0)], key=repr)
+
+
 def test_duplicate_keys(spark, rows):
     df = spark.createDataFrame([(1,), (1,), (2,)], "k int")
     assert rows(duplicate_keys(df, "k")) == [(1, 2)]

@@ -5,6 +5,7 @@ from pathlib import Path
 
 import pytest
 
+from lamina.__main__ import arguments, execute
 from lamina.operators.guards import ExpectationError
 from lamina.plans import ledger, registry
 from lamina.plans.layout import run_path
@@ -71,6 +72,28 @@ def test_archives_to_published_table(spark, root, rows):
     assert registry.run(spark, root, "r-1") == []
 
 
+def test_stages_as_jobs(spark, root, rows):
+    def job(*words):
+        return execute(spark, arguments([*words, "--root", root, "--run-id", "r-1"]))
+
+    assert job("bronze") == ["bronze"]
+    assert job("run") == ["ingest", "silver", "gold", "load"]
+    assert job("run") == [] and job("gold") == ["gold"] and job("load") == ["load"]
+    assert current_version(spark, f"{root}/published") == 2
+    assert rows(read_snapshot(spark, f"{root}/published").drop("updated_at")) == EXPECTED
+
+
+def test_explicit_archives_and_manifest_as_job(spark, tmp_path, root):
+    (tmp_path / "urls.txt").write_text("https://h/Empresas0.zip\nhttps://h/Absent.zip\n")
+    where = ["--root", root, "--run-id", "r-1"]
+    with pytest.raises(FileNotFoundError, match="Absent.zip"):
+        execute(spark, arguments(["run", *where, "--manifest", str(tmp_path / "urls.txt")]))
+    raw = f"{root}/raw/r-1"
+    chosen = ["--companies", f"{raw}/Empresas1.zip", "--partners", f"{raw}/Socios0.zip"]
+    assert execute(spark, arguments(["bronze", *where, *chosen])) == ["bronze"]
+    assert registry.raw_table(spark, root, "r-1", "empresas").count() == 1
+
+
 def test_silver_reads_the_landing_where_parquet_is_missing(spark, root, rows):
     registry.bronze(spark, root, "r-1")
     stored = rows(registry.typed_companies(registry.raw_table(spark, root, "r-1", "empresas")))
@@ -182,10 +205,18 @@ def test_snapshots(spark, tmp_path, rows):
     assert rows(read_snapshot(spark, root)) == [(1, 1), (2, 20), (3, 30)]
 
 
+def test_snapshots_take_turns_in_three_folders(spark, tmp_path, rows):
+    root = tmp_path / "t"
+    for v in range(1, 6):
+        assert upsert_snapshot(spark, str(root), spark.createDataFrame([(v % 2, v)], "k int, v int"), "k") == v
+    assert rows(read_snapshot(spark, str(root))) == [(0, 4), (1, 5)]
+    assert sorted(p.name for p in root.iterdir()) == ["commits", "snapshot-0", "snapshot-1", "snapshot-2"]
+
+
 def test_an_uncommitted_snapshot_is_not_read(spark, tmp_path, rows):
     root = str(tmp_path / "t")
     upsert_snapshot(spark, root, spark.createDataFrame([(1, 1)], "k int, v int"), "k")
-    spark.createDataFrame([(9, 9)], "k int, v int").write.parquet(f"{root}/snapshot-{2:09d}")
+    spark.createDataFrame([(9, 9)], "k int, v int").write.parquet(f"{root}/snapshot-2")
     assert rows(read_snapshot(spark, root)) == [(1, 1)]
     upsert_snapshot(spark, root, spark.createDataFrame([(2, 2)], "k int, v int"), "k")
     assert rows(read_snapshot(spark, root)) == [(1, 1), (2, 2)]
