@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from lamina.operators.guards import require_columns
 
 # Columns that describe where a row came from and are not data of the row.
-LINEAGE = ("_file", "_delimiter", "_archive", "_entry")
+LINEAGE = ("_file", "_entity", "_delimiter", "_batch", "_archive", "_entry")
 
 
 def positional_rename(df: DataFrame, names: Sequence[str], helpers: Sequence[str] = LINEAGE) -> DataFrame:

@@ -95,22 +95,23 @@ def bronze(
     """Raw copy of the archives' entries, and the same rows as all-string Parquet."""
     roots = [run_path(root, "raw", run_id), run_path(root, "bronze", run_id, "raw_zips")]
     archives, _ = resolve_archives(spark, roots, ENTITY_WORDS, explicit)
-    total = 0
-    for entity in ENTITY_WORDS:
-        folder = run_path(root, "bronze", run_id, entity)
-        chosen = archives.filter(F.col("entity") == entity)
-        if not land_archives(chosen, folder, entry_suffix, ordered=multi_line):
-            raise ExpectationError(f"{entity}: no {entry_suffix} entry in any archive")
-        total += write_run(read_landing(spark, f"{folder}/csv", multi_line=multi_line), f"{folder}/parquet")
-    return total
+    landing = run_path(root, "bronze", run_id)
+    land_archives(archives, landing, entry_suffix, ordered=multi_line, expect=tuple(ENTITY_WORDS))
+    return sum(
+        write_run(
+            read_landing(spark, f"{landing}/csv", entity, multi_line=multi_line),
+            run_path(root, "bronze", run_id, entity),
+        )
+        for entity in ENTITY_WORDS
+    )
 
 
 def raw_table(spark: SparkSession, root: str, run_id: str, entity: str) -> DataFrame:
     """The raw Parquet table of an entity, or its landed text where there is none."""
-    stored = load_if_present(spark, run_path(root, "bronze", run_id, entity, "parquet"), "parquet")
+    stored = load_if_present(spark, run_path(root, "bronze", run_id, entity), "parquet")
     if stored is not None:
         return stored
-    return read_landing(spark, run_path(root, "bronze", run_id, entity, "csv"), raw_schema(len(COLUMNS[entity])))
+    return read_landing(spark, run_path(root, "bronze", run_id, "csv"), entity, raw_schema(len(COLUMNS[entity])))
 
 
 def silver(spark: SparkSession, root: str, run_id: str) -> int:

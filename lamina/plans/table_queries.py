@@ -710,7 +710,7 @@ def stream_land_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     _write_archives(_joined(_orders_as_text(spark, sf_dir)), f"{root}/raw", "Empresas")
     for _ in range(2):
         land_archives_stream(spark, f"{root}/raw", f"{root}/landing", f"{root}/checkpoint", ENTITY_WORDS)
-    return _typed_orders(read_landing(spark, f"{root}/landing/empresas/batch-*/csv"))
+    return _typed_orders(read_landing(spark, f"{root}/landing/csv", "empresas"))
 
 
 @query(_LATEST_EVENT)

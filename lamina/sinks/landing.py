@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
+from lamina.operators.guards import ExpectationError
 from lamina.session import session_setting
 from lamina.sinks.runs import write_run
 from lamina.sources.archives import expand_entries, list_entries
@@ -11,29 +14,55 @@ from lamina.sources.archives import expand_entries, list_entries
 # Files a landing task keeps open at a time.
 OPEN_FILES = 100
 
+# Folders of a landing, outermost first.
+_FOLDERS = ("_entity", "_delimiter", "_archive", "_entry")
+
 
-def land_entries(chunks: DataFrame, path: str, ordered: bool = False) -> None:
-    """Raw copy of the entries, byte for byte, in a folder per separator, archive and entry.
+def land_entries(chunks: DataFrame, path: str, ordered: bool = False, batch: int | None = None) -> None:
+    """Raw copy of the entries, byte for byte, in a folder per entity, separator, archive and entry.
 
     Blocks are written by the tasks that inflate them, without a shuffle. Each task keeps a file
     open per entry it has met instead of sorting its blocks by entry first. ``ordered`` sorts them
-    by number, for entries with records that span lines.
+    by number, for entries with records that span lines. A numbered ``batch`` is added to what has
+    landed before and replaces only itself; otherwise the landing is replaced.
     """
     if ordered:
-        chunks = chunks.sortWithinPartitions("_delimiter", "_archive", "_entry", "chunk")
-    rows = chunks.select(F.col("content").cast("string").alias("value"), "_delimiter", "_archive", "_entry")
+        chunks = chunks.sortWithinPartitions(*_FOLDERS, "path", "chunk")
+    value = F.col("content").cast("string").alias("value")
+    if batch is None:
+        rows, folders, mode = chunks.select(value, *_FOLDERS), _FOLDERS, "static"
+    else:
+        rows = chunks.select(value, *_FOLDERS, F.lit(batch).cast("long").alias("_batch"))
+        folders, mode = (*_FOLDERS[:2], "_batch", *_FOLDERS[2:]), "dynamic"
     writers = "0" if ordered else str(OPEN_FILES)
     with session_setting(chunks.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", writers):
-        rows.write.mode("overwrite").partitionBy("_delimiter", "_archive", "_entry").text(path)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*folders).text(path)
 
 
 def land_archives(
-    archives: DataFrame, path: str, suffix: str = ".csv", encoding: str = "ISO-8859-1", ordered: bool = False
+    archives: DataFrame,
+    path: str,
+    suffix: str = ".csv",
+    encoding: str = "ISO-8859-1",
+    ordered: bool = False,
+    expect: Sequence[str] = (),
+    batch: int | None = None,
 ) -> int:
-    """List the entries into ``path/entries``, land them in ``path/csv``; returns how many there are."""
+    """List the entries into ``path/entries``, land them in ``path/csv``; returns how many there are.
+
+    All entities are landed by one job, so that their archives are inflated side by side. An entity
+    of ``expect`` without an entry stops it before anything is inflated.
+    """
     spark = archives.sparkSession
-    found = write_run(list_entries(archives, suffix), f"{path}/entries")
+    listing = f"{path}/entries" if batch is None else f"{path}/entries/_batch={batch}"
+    found = write_run(list_entries(archives, suffix), listing)
+    entries = spark.read.parquet(listing)
+    if expect:
+        expected = entries.filter(F.col("entity").isin(*expect))
+        present = {r["entity"] for r in expected.select("entity").distinct().collect()}
+        absent = [e for e in expect if e not in present]
+        if absent:
+            raise ExpectationError(f"no {suffix} entry in any archive of {absent}")
     if found:
-        entries = spark.read.parquet(f"{path}/entries")
-        land_entries(expand_entries(entries, encoding), f"{path}/csv", ordered)
+        land_entries(expand_entries(entries, encoding), f"{path}/csv", ordered, batch)
     return found

@@ -31,6 +31,9 @@ SAMPLE_BYTES = 4096
 # Inflated bytes per task that entries are spread by.
 TASK_BYTES = 16 << 20
 
+# Entity of archives that were not classified.
+UNCLASSIFIED = "files"
+
 # Folder names of the separators in a landing.
 DELIMITER_NAMES = {"|": "pipe", ";": "semicolon", ",": "comma"}
 
@@ -41,6 +44,7 @@ def _required(name: str, kind) -> StructField:
 
 _ENTRY = StructType(
     [
+        _required("entity", StringType()),
         _required("path", StringType()),
         _required("entry", StringType()),
         _required("size", LongType()),
@@ -50,6 +54,8 @@ _ENTRY = StructType(
 # Names are non-null so that the writer recognises a landing that is already in their order.
 _CHUNK = StructType(
     [
+        _required("path", StringType()),
+        _required("_entity", StringType()),
         _required("_archive", StringType()),
         _required("_entry", StringType()),
         _required("_delimiter", StringType()),
@@ -82,6 +88,7 @@ def file_opener() -> Callable:
 def list_entries(archives: DataFrame, suffix: str = ".csv", opener: Callable | None = None) -> DataFrame:
     """Entries of the archives in ``path``: name, size and first bytes, from the archive directories.
 
+    The ``entity`` of a classified archive is passed on to its entries.
     Folders and entries without ``suffix`` (ignoring case) are left out. An entry is identified by
     archive and full entry name, so equal names in two archives or folders do not collide.
     """
@@ -94,7 +101,7 @@ def list_entries(archives: DataFrame, suffix: str = ".csv", opener: Callable | N
         import pyarrow as pa
 
         for batch in batches:
-            for path in batch.column(0).to_pylist():
+            for entity, path in zip(*[c.to_pylist() for c in batch.columns]):
                 names, sizes, heads = [], [], []
                 with open_path(path) as handle, zipfile.ZipFile(handle) as archive:
                     for info in archive.infolist():
@@ -107,15 +114,17 @@ def list_entries(archives: DataFrame, suffix: str = ".csv", opener: Callable | N
                 if names:
                     yield pa.record_batch(
                         [
+                            pa.array([entity] * len(names), pa.string()),
                             pa.array([path] * len(names), pa.string()),
                             pa.array(names, pa.string()),
                             pa.array(sizes, pa.int64()),
                             pa.array(heads, pa.binary()),
                         ],
-                        names=["path", "entry", "size", "head"],
+                        names=["entity", "path", "entry", "size", "head"],
                     )
 
-    return archives.select("path").mapInArrow(read_directories, _ENTRY)
+    entity = F.col("entity") if "entity" in archives.columns else F.lit(UNCLASSIFIED)
+    return archives.select(entity.alias("entity"), "path").mapInArrow(read_directories, _ENTRY)
 
 
 def expand_entries(
@@ -136,27 +145,27 @@ def expand_entries(
     slots = max(1, min(2 * found["n"], by_size))
     delimiter = separator_of(F.decode("head", encoding))
     names = F.create_map(*[F.lit(v) for pair in DELIMITER_NAMES.items() for v in pair])
-    work = entries.select("path", "entry", names[delimiter].alias("delimiter")).repartition(slots, "path", "entry")
+    work = entries.select("path", "entity", "entry", names[delimiter].alias("delimiter"))
 
     def inflate(batches):
         import zipfile
 
         import pyarrow as pa
 
-        def block(path, entry, delimiter, number, content):
-            return pa.record_batch(
-                [
-                    pa.array([path.rsplit("/", 1)[-1]], pa.string()),
-                    pa.array([entry], pa.string()),
-                    pa.array([delimiter], pa.string()),
-                    pa.array([number], pa.int32()),
-                    pa.array([content], pa.binary()),
-                ],
-                names=["_archive", "_entry", "_delimiter", "chunk", "content"],
-            )
+        def block(origin, number, content):
+            columns = [pa.array([text], pa.string()) for text in origin.values()]
+            columns += [pa.array([number], pa.int32()), pa.array([content], pa.binary())]
+            return pa.record_batch(columns, names=[*origin, "chunk", "content"])
 
         for batch in batches:
-            for path, entry, delimiter in zip(*[c.to_pylist() for c in batch.columns]):
+            for path, entity, entry, delimiter in zip(*[c.to_pylist() for c in batch.columns]):
+                origin = {
+                    "path": path,
+                    "_entity": entity,
+                    "_archive": path.rsplit("/", 1)[-1],
+                    "_entry": entry,
+                    "_delimiter": delimiter,
+                }
                 with open_path(path) as handle, zipfile.ZipFile(handle) as archive, archive.open(entry) as stream:
                     number, pending = 0, []
                     while data := stream.read(chunk_bytes):
@@ -164,13 +173,13 @@ def expand_entries(
                         if cut < 0:
                             pending.append(data)
                             continue
-                        yield block(path, entry, delimiter, number, b"".join([*pending, data[:cut]]))
+                        yield block(origin, number, b"".join([*pending, data[:cut]]))
                         number, pending = number + 1, [data[cut + 1 :]]
                     rest = b"".join(pending)
                     if rest:
-                        yield block(path, entry, delimiter, number, rest)
+                        yield block(origin, number, rest)
 
-    return work.mapInArrow(inflate, _CHUNK)
+    return work.repartition(slots, "path", "entry").mapInArrow(inflate, _CHUNK)
 
 
 def entry_lines(chunks: DataFrame, encoding: str = "ISO-8859-1") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from lamina.functions.values import DEFAULT_SEPARATOR, separator_of
 from lamina.operators.normalize import LINEAGE
-from lamina.sources.archives import DELIMITER_NAMES, SAMPLE_BYTES, file_opener
+from lamina.sources.archives import DELIMITER_NAMES, SAMPLE_BYTES, UNCLASSIFIED, file_opener
 from lamina.sources.files import list_files
 from lamina.sources.tables import load_if_present
 
@@ -125,17 +125,21 @@ def read_detected(spark: SparkSession, root: str, suffix: str = ".csv", **option
 def read_landing(
     spark: SparkSession,
     path: str,
+    entity: str = UNCLASSIFIED,
     schema: StructType | None = None,
     encoding: str = ENCODING,
     multi_line: bool = False,
 ) -> DataFrame:
-    """Scan of a landing written by ``land_entries``; archive and entry come back as columns."""
+    """One entity of a landing written by ``land_entries``; archive and entry come back as columns.
+
+    Only the folders of the entity are read, each with its own separator.
+    """
     tables = []
     for sep, name in DELIMITER_NAMES.items():
-        folder = f"{path}/_delimiter={name}"
+        folder = f"{path}/_entity={entity}/_delimiter={name}"
         if load_if_present(spark, folder, "text") is None:
             continue
         tables.append(read_delimited(spark, folder, sep, schema, encoding, multi_line))
     if not tables:
-        raise FileNotFoundError(f"nothing landed in {path}")
+        raise FileNotFoundError(f"nothing of {entity} landed in {path}")
     return _stack(tables)

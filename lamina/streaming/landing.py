@@ -44,9 +44,9 @@ def land_archives_stream(
     archive_suffix: str = ".zip",
     entry_suffix: str = ".csv",
 ) -> None:
-    """Land the entries of new archives under ``landing/entity/batch-N/csv``.
+    """Add the entries of new archives to ``landing/csv``.
 
-    A replayed batch overwrites its own folder. Only paths travel through the stream; executors read
+    A replayed batch replaces what it wrote before. Only paths travel through the stream; executors read
     the archives when they inflate them.
     """
     files = spark.readStream.format("binaryFile").schema(_FILE).option("recursiveFileLookup", "true").load(raw)
@@ -55,9 +55,7 @@ def land_archives_stream(
     )
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        for entity in rules:
-            chosen = batch.filter(F.col("entity") == entity)
-            land_archives(chosen, f"{landing}/{entity}/batch-{batch_id:09d}", entry_suffix)
+        land_archives(batch, landing, entry_suffix, batch=batch_id)
 
     _finish(arrived.writeStream.foreachBatch(land), checkpoint)
 
@@ -73,7 +71,8 @@ def upsert_stream(
     """Upsert what is new into a snapshot table; the latest row of a key within a batch is taken.
 
     A later batch replaces what an earlier one stored. A replayed batch finds its own commit and
-    changes nothing; ``name`` tells the streams that feed one table apart. Every batch writes a whole snapshot, so this is for one batch per run.
+    changes nothing; ``name`` tells the streams that feed one table apart. Every batch writes a whole
+    snapshot, so this is for one batch per run.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:

@@ -155,6 +155,26 @@ def test_landing_is_byte_for_byte(spark, tmp_path, ordered):
     assert table.columns[:3] == ["_c0", "_c1", "_c2"] and "_entry" in table.columns
 
 
+def test_a_batch_replaces_only_itself(spark, tmp_path, rows):
+    for name in ("a", "b"):
+        write_zip(tmp_path / name / "E.zip", **{"k.csv": f"{name};1\n"})
+    out = str(tmp_path / "out")
+    for name, batch in (("a", 0), ("b", 1), ("b", 1), ("a", 0)):
+        assert land_archives(list_files(spark, str(tmp_path / name), ".zip"), out, batch=batch) == 1
+    assert rows(read_landing(spark, f"{out}/csv"), "_c0", "_batch") == [("a", 0), ("b", 1)]
+
+
+def test_equal_archive_names_in_two_folders(spark, tmp_path):
+    """Blocks of the two do not mix, even where one task inflates both."""
+    for folder in "ab":
+        body = "".join(f'{i};"{folder}\n{folder}"\n' for i in range(200))
+        write_zip(tmp_path / "raw" / folder / "E.zip", **{"k.csv": body})
+    entries = list_entries(list_files(spark, str(tmp_path / "raw"), ".zip"))
+    land_entries(expand_entries(entries, chunk_bytes=10).coalesce(1), str(tmp_path / "csv"), ordered=True)
+    got = read_landing(spark, str(tmp_path / "csv"), multi_line=True)
+    assert sorted(r[0] for r in got.select("_c1").collect()) == ["a\na"] * 200 + ["b\nb"] * 200
+
+
 def test_archives_without_entries_land_nothing(spark, tmp_path):
     write_zip(tmp_path / "raw" / "Empresas.zip", **{"K.EMPRECSV": "1;2\n"})
     archives = list_files(spark, str(tmp_path / "raw"), ".zip")
