@@ -25,11 +25,12 @@ from lamina.schemas import (
     TARGET_SIZE,
     raw_schema,
 )
+from lamina.session import wide_shuffle
 from lamina.sinks.landing import land_archives
 from lamina.sinks.runs import write_run
-from lamina.sinks.snapshots import upsert_snapshot
+from lamina.sinks.snapshots import committed_rows, upsert_snapshot
 from lamina.sources.delimited import read_landing
-from lamina.sources.files import list_files, resolve_archives
+from lamina.sources.files import bytes_of, list_files, resolve_archives
 from lamina.sources.tables import load_if_present
 
 COLUMNS = {"empresas": COMPANY_COLUMNS, "socios": PARTNER_COLUMNS}
@@ -122,9 +123,10 @@ def silver(spark: SparkSession, root: str, run_id: str) -> int:
 
 
 def gold(spark: SparkSession, root: str, run_id: str) -> int:
-    companies = spark.read.parquet(run_path(root, "silver", run_id, "empresas"))
-    partners = spark.read.parquet(run_path(root, "silver", run_id, "socios"))
-    return write_run(enriched_companies(companies, partners), run_path(root, "gold", run_id, "resultado_final"))
+    inputs = [run_path(root, "silver", run_id, entity) for entity in ("empresas", "socios")]
+    companies, partners = (spark.read.parquet(path) for path in inputs)
+    with wide_shuffle(spark, bytes_of(spark, *inputs)):
+        return write_run(enriched_companies(companies, partners), run_path(root, "gold", run_id, "resultado_final"))
 
 
 def result(spark: SparkSession, root: str, run_id: str) -> DataFrame:
@@ -135,9 +137,13 @@ def result(spark: SparkSession, root: str, run_id: str) -> DataFrame:
 def load(
     spark: SparkSession, root: str, run_id: str, target: str, order_by: str | Sequence[str] | None = None
 ) -> int:
-    """Upsert the run's result into the snapshot table at ``target``; loading it again is harmless."""
+    """Upsert the run's result into the snapshot table at ``target``; returns the table's row count.
+
+    Loading a run again is harmless.
+    """
     rows = result(spark, root, run_id).withColumn("updated_at", F.current_timestamp())
-    return upsert_snapshot(spark, target, rows, KEY, order_by)
+    with wide_shuffle(spark, bytes_of(spark, run_path(root, "gold", run_id, "resultado_final"))):
+        return committed_rows(spark, target, upsert_snapshot(spark, target, rows, KEY, order_by))
 
 
 def run(
@@ -154,9 +160,7 @@ def run(
 ) -> list[str]:
     """Run the stages the ledger does not show as done, in order; returns their names.
 
-    ``again`` runs the given stages whether or not they are done.
-
-    ``publish`` replaces the snapshot upsert, for example by ``publish_jdbc``. ``manifest`` holds a
+    ``again`` runs the given stages whether or not they are done. ``publish`` replaces the snapshot upsert, for example by ``publish_jdbc``. ``manifest`` holds a
     ``url`` column of everything that must have arrived.
     """
     ledger = f"{root.rstrip('/')}/ledger"

@@ -42,7 +42,7 @@ from lamina.operators import (
     split_rows,
 )
 from lamina.operators.guards import ExpectationError
-from lamina.plans import registry
+from lamina.plans import ledger, registry
 from lamina.plans.layout import run_path
 from lamina.schemas import ENTITY_WORDS, raw_schema
 from lamina.session import scratch_dir
@@ -466,6 +466,26 @@ def ledger_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(events, "user_id", ["ts", "event_id"])
 
 
+@query("""
+WITH entries AS (
+  SELECT CAST(user_id AS VARCHAR) AS run_id, event_type AS stage,
+         CASE WHEN value > 20 THEN 'SUCCESS' ELSE 'FAILED' END AS status, event_id, ts FROM events),
+newest AS (SELECT *, row_number() OVER (PARTITION BY run_id, stage
+                                        ORDER BY ts DESC, status DESC, event_id DESC) AS n FROM entries)
+SELECT run_id, stage FROM newest WHERE n = 1 AND status <> 'SUCCESS'
+""")
+def ledger_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stages of runs whose newest ledger row is not a success; users stand for runs."""
+    entries = table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("run_id"),
+        F.col("event_type").alias("stage"),
+        F.when(F.col("value") > 20, ledger.DONE).otherwise("FAILED").alias("status"),
+        F.col("event_id").alias("rows"),
+        F.col("ts").alias("at"),
+    )
+    return ledger.pending(entries.select("run_id", "stage").distinct(), entries)
+
+
 # --- sources and sinks: the supplied tables written out and read back -----------------------------
 
 

@@ -32,6 +32,12 @@ def build_session(app: str = "lamina", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
+# Input bytes per shuffle partition, and how many partitions a shuffle may have: beyond that the number
+# of blocks, which is map tasks times partitions, costs more than larger partitions do.
+SHUFFLE_BYTES = 128 << 20
+MOST_PARTITIONS = 20_000
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder under the shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -57,3 +63,16 @@ def session_setting(spark: SparkSession, name: str, value: str) -> Iterator[None
             spark.conf.unset(name)
         else:
             spark.conf.set(name, before)
+
+
+@contextmanager
+def wide_shuffle(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Enough shuffle partitions for an input of this size, never fewer than the session asks for.
+
+    AQE merges partitions that turn out small, but splits only skewed joins, so the number must be
+    large enough from the start.
+    """
+    asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(MOST_PARTITIONS, -(-input_bytes // SHUFFLE_BYTES))
+    with session_setting(spark, "spark.sql.shuffle.partitions", str(max(asked, wanted))):
+        yield

@@ -8,9 +8,10 @@ from lamina.sinks.jdbc import (
 )
 from lamina.sinks.landing import land_archives, land_entries
 from lamina.sinks.runs import append_new, overwrite_partitions, write_run
-from lamina.sinks.snapshots import current_version, read_snapshot, upsert_snapshot
+from lamina.sinks.snapshots import committed_rows, current_version, read_snapshot, upsert_snapshot
 
 __all__ = [
+    "committed_rows",
     "append_new",
     "create_table_sql",
     "current_version",

@@ -17,7 +17,9 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 from lamina.operators.guards import require_set_key, require_unique_key
 from lamina.operators.keys import latest_per_key
 from lamina.operators.upsert import keyed_upsert
+from lamina.session import wide_shuffle
 from lamina.sinks.runs import write_run
+from lamina.sources.files import bytes_of
 from lamina.sources.tables import load_if_present, rows_of
 
 _LOG = StructType(
@@ -48,6 +50,11 @@ def current_version(spark: SparkSession, root: str) -> int:
     return _log(spark, root).agg(F.coalesce(F.max("version"), F.lit(0)).alias("v")).first()["v"]
 
 
+def committed_rows(spark: SparkSession, root: str, version: int) -> int:
+    """Row count of a committed snapshot, from the log."""
+    return _log(spark, root).filter(F.col("version") == version).agg(F.max("rows").alias("rows")).first()["rows"]
+
+
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
     version = current_version(spark, root)
     return spark.read.parquet(_snapshot_path(root, version)) if version else None
@@ -72,13 +79,15 @@ def upsert_snapshot(
         if done is not None:
             return done
     version = current_version(spark, root)
-    if version:
-        merged = keyed_upsert(spark.read.parquet(_snapshot_path(root, version)), source, key, order_by)
-    elif order_by is not None:
-        merged = latest_per_key(require_set_key(source, key), key, order_by)
-    else:
-        merged = require_unique_key(source, key)
-    rows = write_run(merged, _snapshot_path(root, version + 1))
+    current = _snapshot_path(root, version)
+    with wide_shuffle(spark, bytes_of(spark, current) if version else 0):
+        if version:
+            merged = keyed_upsert(spark.read.parquet(current), source, key, order_by)
+        elif order_by is not None:
+            merged = latest_per_key(require_set_key(source, key), key, order_by)
+        else:
+            merged = require_unique_key(source, key)
+        rows = write_run(merged, _snapshot_path(root, version + 1))
     commit = rows_of(spark, _LOG, (version + 1, batch, rows, datetime.now(timezone.utc)))
     commit.coalesce(1).write.mode("append").parquet(f"{root}/commits")
     return version + 1

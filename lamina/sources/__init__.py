@@ -1,9 +1,10 @@
 from lamina.sources.archives import entry_lines, expand_entries, list_entries
 from lamina.sources.delimited import detect_separators, file_heads, read_delimited, read_detected, read_landing
-from lamina.sources.files import classify_archives, list_files, read_manifest, resolve_archives
+from lamina.sources.files import bytes_of, classify_archives, list_files, read_manifest, resolve_archives
 from lamina.sources.tables import is_readable, read_first_available
 
 __all__ = [
+    "bytes_of",
     "classify_archives",
     "detect_separators",
     "entry_lines",

@@ -139,7 +139,9 @@ def read_landing(
         folder = f"{path}/_entity={entity}/_delimiter={name}"
         if load_if_present(spark, folder, "text") is None:
             continue
-        tables.append(read_delimited(spark, folder, sep, schema, encoding, multi_line))
+        rows = read_delimited(spark, folder, sep, schema, encoding, multi_line)
+        # Folder names that look like numbers would otherwise come back as such.
+        tables.append(rows.withColumns({c: F.col(c).cast("string") for c in ("_archive", "_entry")}))
     if not tables:
         raise FileNotFoundError(f"nothing of {entity} landed in {path}")
     return _stack(tables)

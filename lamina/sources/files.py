@@ -39,6 +39,11 @@ def list_files(spark: SparkSession, root: str | Sequence[str], suffix: str = "")
     return listed.filter(F.lower("name").endswith(suffix.lower())) if suffix else listed
 
 
+def bytes_of(spark: SparkSession, *paths: str) -> int:
+    """Size of the files below the paths, from their listing."""
+    return sum(list_files(spark, p).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0] for p in paths)
+
+
 def classify_archives(
     files: DataFrame, rules: Mapping[str, Sequence[str]], positional: Sequence[str] = ()
 ) -> DataFrame:

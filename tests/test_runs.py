@@ -10,7 +10,7 @@ from lamina.operators.guards import ExpectationError
 from lamina.plans import ledger, registry
 from lamina.plans.layout import run_path
 from lamina.schemas import ENRICHED, ENTITY_WORDS
-from lamina.session import scratch_dir
+from lamina.session import scratch_dir, wide_shuffle
 from lamina.sinks import (
     create_table_sql,
     current_version,
@@ -68,7 +68,7 @@ def test_archives_to_published_table(spark, root, rows):
     assert rows(published.drop("updated_at")) == EXPECTED
     assert published.filter("updated_at is null").isEmpty()
     counts = {r["stage"]: r["rows"] for r in ledger.read_ledger(spark, f"{root}/ledger").collect()}
-    assert counts == {"ingest": 3, "bronze": 7, "silver": 7, "gold": 3, "load": 1}
+    assert counts == {"ingest": 3, "bronze": 7, "silver": 7, "gold": 3, "load": 3}
     assert registry.run(spark, root, "r-1") == []
 
 
@@ -381,6 +381,15 @@ def test_stream_upsert(spark, tmp_path, rows):
     assert current_version(spark, root) == 2
 
 
+def test_shuffles_grow_with_their_input(spark):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    for size, partitions in ((0, before), (1 << 20, before), (100 << 30, "800"), (100 << 40, "20000")):
+        with wide_shuffle(spark, size):
+            assert spark.conf.get(name) == partitions
+        assert spark.conf.get(name) == before
+
+
 def test_scratch_folders():
     class Session:
         def __init__(self, master, **conf):
