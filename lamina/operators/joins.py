@@ -4,15 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import (
+    BinaryType,
+    BooleanType,
+    DateType,
+    DecimalType,
+    IntegralType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 _SPREAD = "_lamina_key_hash"
 
+# Types whose equal values have equal hashes, beside integers and strings without a collation.
+# Floating point has two zeros.
+_EXACT = (
+    BinaryType,
+    BooleanType,
+    DateType,
+    DecimalType,
+    TimestampNTZType,
+    TimestampType,
+)
+
 
 def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
+def _hashed(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column | None:
+    """A hash of the keys that is equal wherever the keys are, or None if no type assures that."""
+    columns = []
+    for k in keys:
+        a, b = left.schema[k].dataType, right.schema[k].dataType
+        if isinstance(a, IntegralType) and isinstance(b, IntegralType):
+            columns.append(F.col(k).cast("long"))
+        elif a == b and (isinstance(a, _EXACT) or a == StringType()):
+            columns.append(F.col(k))
+        else:
+            return None
+    return F.hash(*columns)
+
+
 def lookup_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
     """Join ``left`` to ``right`` (one row per key), safe for a hot or NULL key on the left.
 
@@ -21,9 +56,13 @@ def lookup_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
     key hash is therefore a join key of its own: the aggregated side, already one row per key, is
     shuffled once more and the join stays splittable. Where it turns out small, AQE broadcasts it
     by its measured size and that shuffle is all it costs.
+
+    Keys of two types, or of a type whose equal values may be stored differently, are joined plainly.
     """
     keys = _keys(on)
-    spread = F.hash(*keys)
+    spread = _hashed(left, right, keys)
+    if spread is None:
+        return left.join(right, keys, how)
     return (
         left.withColumn(_SPREAD, spread)
         .join(right.withColumn(_SPREAD, spread), [*keys, _SPREAD], how)

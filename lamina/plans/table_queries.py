@@ -577,8 +577,7 @@ def _write_archives(lines: DataFrame, folder: str, name: str) -> None:
             z.writestr("README.txt", "a;b\n")
             with z.open(f"data/K{part}.CSV", "w", force_zip64=True) as entry:
                 for batch in batches:
-                    for value in batch.column(0).to_pylist():
-                        entry.write(value.encode("iso-8859-1") + b"\n")
+                    entry.write("".join(f"{value}\n" for value in batch.column(0).to_pylist()).encode("iso-8859-1"))
         filesystem.move(unfinished, f"{inner}/{name}{part}.zip")
         yield pa.record_batch([pa.array([part])], names=["part"])
 

@@ -1,5 +1,8 @@
 """Joins, aggregates, guards and upserts on rows with duplicate, NULL and hot keys."""
 
+from datetime import date, datetime
+from decimal import Decimal
+
 import pytest
 from hypothesis import HealthCheck, given, settings as hypothesis_settings, strategies as st
 from pyspark.sql import functions as F
@@ -181,6 +184,24 @@ def test_a_small_source_leaves_the_target_unshuffled(spark):
     assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
 
 
+@pytest.mark.parametrize(
+    "left, right, parents, children",
+    [
+        ("int", "long", [1, 2], [1, 1]),
+        ("string", "int", ["1", "2"], [1, 1]),
+        ("double", "double", [0.0, 2.0], [-0.0, 0.0]),
+        ("date", "timestamp", [date(2020, 1, 1), date(2020, 1, 2)], [datetime(2020, 1, 1), datetime(2020, 1, 1)]),
+        ("decimal(10,2)", "decimal(12,4)", [Decimal("1"), Decimal("2")], [Decimal("1"), Decimal("1")]),
+        ("string collate utf8_lcase", "string collate utf8_lcase", ["A", "b"], ["a", "A"]),
+    ],
+)
+def test_keys_that_are_equal_but_stored_differently_match(spark, left, right, parents, children):
+    parent = spark.createDataFrame([(k,) for k in parents], f"k {left}")
+    child = spark.createDataFrame([(k,) for k in children], f"k {right}")
+    out = enrich(parent, child, "k", {"n": row_count()}, {"n": 0})
+    assert sorted(r["n"] for r in out.select("n").collect()) == [0, 2]
+
+
 def test_enrichment_by_two_columns(spark, rows):
     parent = spark.createDataFrame([(1, "a"), (1, "b"), (2, None)], "k int, m string")
     child = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "k int, m string")
