@@ -92,6 +92,10 @@ def _orders_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
 
 
+def _ts_as_text(df: DataFrame) -> DataFrame:
+    return df.withColumn("ts", F.col("ts").cast("string"))
+
+
 # --- enrichment: left joins, aggregates, defaults, business rule ---------------------------------
 
 _ENRICHED_SQL = """
@@ -269,30 +273,25 @@ def coerce_to_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- keys and upserts -----------------------------------------------------------------------------
 
 _UPSERT_SQL = """
-WITH target AS (SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 2 = 0),
-source AS (SELECT c_custkey, c_name, c_acctbal + 1 AS c_acctbal FROM customer WHERE c_custkey % 3 = 0
-           UNION ALL SELECT -1 - s_suppkey, s_name, s_acctbal FROM supplier)
-SELECT * FROM target WHERE c_custkey NOT IN (SELECT c_custkey FROM source)
+WITH target AS (SELECT c_custkey AS id, c_name AS name, c_acctbal AS amount FROM customer),
+source AS (SELECT p_partkey AS id, p_name AS name, p_retailprice AS amount FROM part WHERE p_size > 25)
+SELECT * FROM target WHERE id NOT IN (SELECT id FROM source)
 UNION ALL SELECT * FROM source
 """
 
 
 def _upsert_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    customers = _customers(spark, sf_dir).select("c_custkey", "c_name", "c_acctbal")
-    target = customers.filter(F.col("c_custkey") % 2 == 0)
-    changed = customers.filter(F.col("c_custkey") % 3 == 0).withColumn("c_acctbal", F.col("c_acctbal") + 1)
-    added = table(spark, sf_dir, "supplier").select(
-        (-1 - F.col("s_suppkey")).alias("c_custkey"),
-        F.col("s_name").alias("c_name"),
-        F.col("s_acctbal").alias("c_acctbal"),
-    )
-    return target, changed.unionByName(added)
+    """Customers as the target and large parts as the source: keys in common, old ones and new ones."""
+    columns = ["id", "name", "amount"]
+    target = _customers(spark, sf_dir).select("c_custkey", "c_name", "c_acctbal").toDF(*columns)
+    large = table(spark, sf_dir, "part").filter(F.col("p_size") > 25)
+    return target, large.select("p_partkey", "p_name", "p_retailprice").toDF(*columns)
 
 
 @query(_UPSERT_SQL, name="keyed_upsert")
 def keyed_upsert_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, source = _upsert_sides(spark, sf_dir)
-    return keyed_upsert(target, source, "c_custkey")
+    return keyed_upsert(target, source, "id")
 
 
 @query(_UPSERT_SQL)
@@ -301,12 +300,12 @@ def snapshot_upsert_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "snapshot")
     target, source = _upsert_sides(spark, sf_dir)
     for batch, rows in (("first", target), ("second", source), ("third", source), ("second", source)):
-        upsert_snapshot(spark, root, rows, "c_custkey", batch=batch)
+        upsert_snapshot(spark, root, rows, "id", batch=batch)
     return read_snapshot(spark, root)
 
 
 _LATEST_EVENT = """
-SELECT user_id, event_id, ts, event_type FROM (
+SELECT user_id, event_id, CAST(ts AS VARCHAR) AS ts, event_type FROM (
   SELECT user_id, event_id, ts, event_type,
          row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1
 """
@@ -315,7 +314,7 @@ SELECT user_id, event_id, ts, event_type FROM (
 @query(f"""
 WITH latest AS ({_LATEST_EVENT}),
 target AS (SELECT c_custkey AS user_id, CAST(-1 AS BIGINT) AS event_id,
-                  TIMESTAMP '2000-01-01 00:00:00' AS ts, 'none' AS event_type FROM customer)
+                  '2000-01-01 00:00:00' AS ts, 'none' AS event_type FROM customer)
 SELECT * FROM target WHERE user_id NOT IN (SELECT user_id FROM latest WHERE user_id IS NOT NULL)
 UNION ALL SELECT * FROM latest
 """)
@@ -328,7 +327,7 @@ def keyed_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("none").alias("event_type"),
     )
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type")
-    return keyed_upsert(target, events, "user_id", order_by=["ts", "event_id"])
+    return _ts_as_text(keyed_upsert(target, events, "user_id", order_by=["ts", "event_id"]))
 
 
 @query(
@@ -427,11 +426,11 @@ def first_missing_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT p_partkey, p_name FROM part WHERE p_partkey % 2 = 0 AND p_partkey NOT IN
+SELECT p_partkey, p_name FROM part WHERE p_partkey NOT IN
   (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 40)
 """)
 def landing_no_clobber(spark: SparkSession, sf_dir: str) -> DataFrame:
-    incoming = table(spark, sf_dir, "part").filter(F.col("p_partkey") % 2 == 0).select("p_partkey", "p_name")
+    incoming = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     landed = table(spark, sf_dir, "lineitem").filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 40))
     return append_new(incoming, landed.select(F.col("l_partkey").alias("p_partkey")), "p_partkey")
 
@@ -463,7 +462,7 @@ def manifest_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_LATEST_EVENT)
 def ledger_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type")
-    return latest_per_key(events, "user_id", ["ts", "event_id"])
+    return _ts_as_text(latest_per_key(events, "user_id", ["ts", "event_id"]))
 
 
 @query("""
@@ -739,4 +738,4 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _event_stream(spark, sf_dir).select("user_id", "event_id", "ts", "event_type")
     for _ in range(2):
         upsert_stream(events, f"{path}/table", "user_id", ["ts", "event_id"], f"{path}/checkpoint")
-    return read_snapshot(spark, f"{path}/table")
+    return _ts_as_text(read_snapshot(spark, f"{path}/table"))
