@@ -14,6 +14,7 @@ from lamina.schemas import LEDGER, STAGES
 from lamina.sources.tables import load_if_present, rows_of
 
 DONE = "SUCCESS"
+FAILED = "FAILED"
 
 
 def record_stage(

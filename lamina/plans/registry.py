@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,7 +14,7 @@ from lamina.operators.guards import ExpectationError
 from lamina.operators.joins import missing_from
 from lamina.operators.normalize import coerce_schema, positional_rename
 from lamina.plans.layout import run_path
-from lamina.plans.ledger import pending_stages, record_stage
+from lamina.plans.ledger import FAILED, pending_stages, record_stage
 from lamina.schemas import (
     COMPANY_COLUMNS,
     ENRICHED,
@@ -134,15 +135,25 @@ def result(spark: SparkSession, root: str, run_id: str) -> DataFrame:
     return coerce_schema(spark.read.parquet(run_path(root, "gold", run_id, "resultado_final")), ENRICHED)
 
 
+def result_bytes(spark: SparkSession, root: str, run_id: str) -> int:
+    return bytes_of(spark, run_path(root, "gold", run_id, "resultado_final"))
+
+
 def load(
-    spark: SparkSession, root: str, run_id: str, target: str, order_by: str | Sequence[str] | None = None
+    spark: SparkSession,
+    root: str,
+    run_id: str,
+    target: str,
+    order_by: str | Sequence[str] | None = None,
+    as_of: datetime | None = None,
 ) -> int:
     """Upsert the run's result into the snapshot table at ``target``; returns the table's row count.
 
-    Loading a run again is harmless.
+    Rows are stamped with ``as_of``, or the current time. Loading a run again is harmless.
     """
-    rows = result(spark, root, run_id).withColumn("updated_at", F.current_timestamp())
-    with wide_shuffle(spark, bytes_of(spark, run_path(root, "gold", run_id, "resultado_final"))):
+    stamp = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+    rows = result(spark, root, run_id).withColumn("updated_at", stamp)
+    with wide_shuffle(spark, result_bytes(spark, root, run_id)):
         return committed_rows(spark, target, upsert_snapshot(spark, target, rows, KEY, order_by))
 
 
@@ -160,22 +171,32 @@ def run(
 ) -> list[str]:
     """Run the stages the ledger does not show as done, in order; returns their names.
 
+    A stage that fails is recorded as such, and stays pending.
+
     ``again`` runs the given stages whether or not they are done. ``publish`` replaces the snapshot upsert, for example by ``publish_jdbc``. ``manifest`` holds a
     ``url`` column of everything that must have arrived.
     """
     ledger = f"{root.rstrip('/')}/ledger"
+
+    def load_or_publish() -> int | None:
+        if publish is None:
+            return load(spark, root, run_id, target or f"{root.rstrip('/')}/published", order_by)
+        with wide_shuffle(spark, result_bytes(spark, root, run_id)):
+            return publish(result(spark, root, run_id))
+
     steps: dict[str, Callable[[], int | None]] = {
         "ingest": lambda: ingest(spark, root, run_id, manifest),
         "bronze": lambda: bronze(spark, root, run_id, **bronze_options),
         "silver": lambda: silver(spark, root, run_id),
         "gold": lambda: gold(spark, root, run_id),
-        "load": lambda: (
-            publish(result(spark, root, run_id))
-            if publish
-            else load(spark, root, run_id, target or f"{root.rstrip('/')}/published", order_by)
-        ),
+        "load": load_or_publish,
     }
     todo = list(stages) if again else pending_stages(spark, ledger, run_id, stages)
     for stage in todo:
-        record_stage(spark, ledger, run_id, stage, steps[stage]())
+        try:
+            rows = steps[stage]()
+        except Exception:
+            record_stage(spark, ledger, run_id, stage, status=FAILED)
+            raise
+        record_stage(spark, ledger, run_id, stage, rows)
     return todo

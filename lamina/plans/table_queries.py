@@ -478,7 +478,7 @@ def ledger_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("run_id"),
         F.col("event_type").alias("stage"),
-        F.when(F.col("value") > 20, ledger.DONE).otherwise("FAILED").alias("status"),
+        F.when(F.col("value") > 20, ledger.DONE).otherwise(ledger.FAILED).alias("status"),
         F.col("event_id").alias("rows"),
         F.col("ts").alias("at"),
     )

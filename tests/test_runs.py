@@ -1,6 +1,7 @@
 """Sinks, ledger, whole runs and streams."""
 
 import zipfile
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,6 +113,8 @@ def test_a_failed_stage_is_resumed(spark, root):
     with pytest.raises(OSError):
         registry.run(spark, root, "r-1", publish=broken)
     assert ledger.pending_stages(spark, f"{root}/ledger", "r-1") == ["load"]
+    newest = ledger.latest_status(ledger.read_ledger(spark, f"{root}/ledger"))
+    assert [r["stage"] for r in newest.filter("status = 'FAILED'").collect()] == ["load"]
     seen = []
     assert registry.run(spark, root, "r-1", publish=lambda df: seen.append(df.count())) == ["load"]
     assert seen == [3]
@@ -161,6 +164,14 @@ def test_duplicate_companies_survive_gold_and_stop_the_load(spark, tmp_path):
     assert read_snapshot(spark, f"{root}/published").count() == 3
 
 
+def test_rows_can_be_stamped_with_a_given_time(spark, root):
+    for stage in (registry.bronze, registry.silver, registry.gold):
+        stage(spark, root, "r-1")
+    registry.load(spark, root, "r-1", f"{root}/t", as_of=datetime(2024, 1, 2, 3, 4, 5))
+    stamps = read_snapshot(spark, f"{root}/t").select("updated_at").distinct().collect()
+    assert [r[0] for r in stamps] == [datetime(2024, 1, 2, 3, 4, 5)]
+
+
 def test_run_paths_cannot_leave_the_root():
     assert run_path("/x/", "gold", "2024-01", "t") == "/x/gold/2024-01/t"
     for bad in ("..", "a/b", ""):
