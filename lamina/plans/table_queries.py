@@ -245,7 +245,7 @@ SELECT l_orderkey AS order_id, l_partkey AS part_id, l_suppkey AS supplier_id,
        l_linenumber AS line_no, l_quantity AS quantity FROM lineitem
 """, name="positional_rename")
 def positional_rename_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = table(spark, sf_dir, "lineitem").withColumn("_file", F.col("_metadata.file_path"))
+    lineitem = table(spark, sf_dir, "lineitem").withColumn("_file", F.input_file_name())
     return positional_rename(lineitem, ["order_id", "part_id", "supplier_id", "line_no", "quantity"])
 
 

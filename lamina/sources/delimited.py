@@ -47,7 +47,8 @@ def _scan(
         reader = reader.option("columnPruning", "false")
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.csv(list(dict.fromkeys(paths))).select("*", F.col("_metadata.file_path").alias("_file"))
+    # Unlike a metadata column, this is pruned from the scan where it is not used.
+    return reader.csv(list(dict.fromkeys(paths))).select("*", F.input_file_name().alias("_file"))
 
 
 def read_delimited(

@@ -363,6 +363,9 @@ def test_stream_lands_each_archive_once(spark, tmp_path, rows):
     put_archive(raw / "Empresas1.zip", "d/K.CSV", COMPANY_LINES[2:])
     land_archives_stream(spark, str(raw), out, check, ENTITY_WORDS)
     assert (landed("empresas"), landed("socios")) == (3, 4)
+    put_archive(raw / "unknown.zip", "S.csv", PARTNER_LINES)
+    land_archives_stream(spark, str(raw), out, check, ENTITY_WORDS)
+    assert (landed("empresas"), landed("socios")) == (3, 4)
 
 
 def test_stream_equals_batch(spark, tmp_path, rows):
