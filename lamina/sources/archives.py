@@ -65,8 +65,11 @@ _CHUNK = StructType(
 )
 
 
-def file_opener() -> Callable:
-    """A function that opens a path for random access on an executor."""
+def file_opener(read_ahead: int = 8 << 20) -> Callable:
+    """A function that opens a path for random access on an executor.
+
+    Object stores are read ``read_ahead`` bytes at a time, as each read is a request.
+    """
 
     def open_path(path: str):
         from urllib.parse import quote
@@ -76,11 +79,13 @@ def file_opener() -> Callable:
             return open(path, "rb")
         if scheme == "file":
             return open("/" + rest.lstrip("/"), "rb")
+        import io
+
         from pyarrow import fs
 
         scheme = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}.get(scheme, scheme)
         filesystem, inner = fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/:@')}")
-        return filesystem.open_input_file(inner)
+        return io.BufferedReader(filesystem.open_input_file(inner), read_ahead)
 
     return open_path
 

@@ -89,8 +89,9 @@ def test_enrichment_is_one_aggregate_over_pruned_columns(spark):
     assert "IsNotNull(o_custkey)" in plan
 
 
-def test_hot_and_null_parents_are_split(spark, settings):
-    """A third of the parents share a key and a third have none: AQE splits both partitions."""
+@pytest.fixture
+def split_early(settings):
+    """Joins by shuffle only, and skew from 64 KB on."""
     settings(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
@@ -98,10 +99,19 @@ def test_hot_and_null_parents_are_split(spark, settings):
         spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",
         spark__sql__shuffle__partitions="16",
     )
+
+
+def hot_tables(spark):
+    """A third of the parents share a key and a third have none; a third of the children share it."""
     ids = spark.range(0, 200_000, 1, 16)
     key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 2, F.col("id"))
     parent = ids.select(key.cast("long").alias("k"), F.repeat(F.col("id").cast("string"), 5).alias("pad"))
     child = ids.select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("long").alias("k"))
+    return parent, child
+
+
+def test_hot_and_null_parents_are_split(spark, split_early):
+    parent, child = hot_tables(spark)
     out = enrich(parent, child, "k", {"n": row_count()}, {"n": 0})
     by_n = {r["n"]: r["c"] for r in out.groupBy("n").agg(F.count("*").alias("c")).collect()}
     assert by_n == {66_668: 66_667, 0: 66_667, 1: 66_666}
@@ -110,6 +120,14 @@ def test_hot_and_null_parents_are_split(spark, settings):
     assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_hot_and_null_expected_rows_are_split(spark, split_early):
+    parent, child = hot_tables(spark)
+    out = missing_from(parent, child.filter("k <> 7"), "k")
+    collected = out.collect()
+    assert len(collected) == 66_667 * 2 and {r["k"] for r in collected} == {7, None}
+    assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_missing_from_ignores_repeats(spark, rows):
     expected = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, v string")
     present = spark.createDataFrame([(2,), (2,), (None,)], "k int")

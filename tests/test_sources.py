@@ -183,6 +183,22 @@ def test_archives_without_entries_land_nothing(spark, tmp_path):
     assert read_landing(spark, str(tmp_path / "out" / "csv")).count() == 1
 
 
+def test_archives_through_arrow_file_systems(spark, tmp_path, rows):
+    """The way object stores are read, on a local file system."""
+    write_zip(tmp_path / "E.zip", **{"k.csv": "".join(f"{i};x\n" for i in range(5000))})
+
+    def opener(path):
+        import io
+
+        from pyarrow import fs
+
+        return io.BufferedReader(fs.LocalFileSystem().open_input_file(path.removeprefix("file:")), 1 << 10)
+
+    entries = list_entries(list_files(spark, str(tmp_path), ".zip"), opener=opener)
+    lines = entry_lines(expand_entries(entries, chunk_bytes=1 << 12, opener=opener))
+    assert lines.count() == 5000 and lines.select("value").distinct().count() == 5000
+
+
 def test_a_broken_archive_is_an_error(spark, tmp_path):
     (tmp_path / "Empresas.zip").write_bytes(b"not a zip")
     with pytest.raises(Exception, match="not a zip file"):
