@@ -15,6 +15,7 @@ from lamina.session import scratch_dir, wide_shuffle
 from lamina.sinks import (
     create_table_sql,
     current_version,
+    jdbc_connection,
     land_archives,
     overwrite_partitions,
     publish_jdbc,
@@ -344,6 +345,11 @@ def test_jdbc_connection_is_one_transaction():
     assert names.count("execute") == 2 and names.count("commit") == 1 and names[-1] == "close"
 
 
+def test_connecting_asks_the_driver_manager(spark):
+    with pytest.raises(Exception, match="No suitable driver found for jdbc:none:x"):
+        jdbc_connection(spark, "jdbc:none:x", {"user": "u", "password": "p"})
+
+
 # --- streams --------------------------------------------------------------------------------------
 
 
