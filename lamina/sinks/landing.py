@@ -14,6 +14,9 @@ from lamina.sources.archives import expand_entries, list_entries
 # Files a landing task keeps open at a time.
 OPEN_FILES = 100
 
+# Blocks after which a landing task begins a new file of the same entry.
+FILE_BLOCKS = 4096
+
 # Folders of a landing, outermost first.
 _FOLDERS = ("_entity", "_delimiter", "_archive", "_entry")
 
@@ -22,8 +25,9 @@ def land_entries(chunks: DataFrame, path: str, ordered: bool = False, batch: int
     """Raw copy of the entries, byte for byte, in a folder per entity, separator, archive and entry.
 
     Blocks are written by the tasks that inflate them, without a shuffle. Each task keeps a file
-    open per entry it has met instead of sorting its blocks by entry first. ``ordered`` sorts them
-    by number, for entries with records that span lines. A numbered ``batch`` is added to what has
+    open per entry it has met instead of sorting its blocks by entry first, and begins a new one when
+    it has grown large. ``ordered`` sorts the blocks by number and keeps an entry in one file, for
+    records that span lines. A numbered ``batch`` is added to what has
     landed before and replaces only itself; otherwise the landing is replaced.
     """
     if ordered:
@@ -35,8 +39,9 @@ def land_entries(chunks: DataFrame, path: str, ordered: bool = False, batch: int
         rows = chunks.select(value, *_FOLDERS, F.lit(batch).cast("long").alias("_batch"))
         folders, mode = (*_FOLDERS[:2], "_batch", *_FOLDERS[2:]), "dynamic"
     writers = "0" if ordered else str(OPEN_FILES)
+    options = {"partitionOverwriteMode": mode, "maxRecordsPerFile": "0" if ordered else str(FILE_BLOCKS)}
     with session_setting(chunks.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", writers):
-        rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*folders).text(path)
+        rows.write.mode("overwrite").options(**options).partitionBy(*folders).text(path)
 
 
 def land_archives(

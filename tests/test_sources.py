@@ -155,6 +155,18 @@ def test_landing_is_byte_for_byte(spark, tmp_path, ordered):
     assert table.columns[:3] == ["_c0", "_c1", "_c2"] and "_entry" in table.columns
 
 
+def test_large_entries_are_landed_in_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("lamina.sinks.landing.FILE_BLOCKS", 7)
+    body = "".join(f"{i};x\n" for i in range(3000))
+    write_zip(tmp_path / "raw" / "E.zip", **{"k.csv": body, "l.csv": body})
+    entries = list_entries(list_files(spark, str(tmp_path / "raw"), ".zip"))
+    land_entries(expand_entries(entries, chunk_bytes=1 << 10), str(tmp_path / "csv"))
+    files = list((tmp_path / "csv").rglob("part-*"))
+    assert len(files) > 4 and sum(f.stat().st_size for f in files) == 2 * len(body)
+    got = read_landing(spark, str(tmp_path / "csv")).groupBy("_c0").count()
+    assert got.count() == 3000 and got.filter("count <> 2").isEmpty()
+
+
 def test_a_batch_replaces_only_itself(spark, tmp_path, rows):
     for name in ("a", "b"):
         write_zip(tmp_path / name / "E.zip", **{"k.csv": f"{name};1\n"})
