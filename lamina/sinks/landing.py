@@ -27,8 +27,8 @@ def land_entries(chunks: DataFrame, path: str, ordered: bool = False, batch: int
     Blocks are written by the tasks that inflate them, without a shuffle. Each task keeps a file
     open per entry it has met instead of sorting its blocks by entry first, and begins a new one when
     it has grown large. ``ordered`` sorts the blocks by number and keeps an entry in one file, for
-    records that span lines. A numbered ``batch`` is added to what has
-    landed before and replaces only itself; otherwise the landing is replaced.
+    records that span lines. A numbered ``batch`` is added to what has landed before and replaces
+    only itself; otherwise the landing is replaced.
     """
     if ordered:
         chunks = chunks.sortWithinPartitions(*_FOLDERS, "path", "chunk")

@@ -31,7 +31,6 @@ _LOG = StructType(
     ]
 )
 
-
 # Folders that snapshots take turns in.
 SLOTS = 3
 

@@ -97,7 +97,7 @@ def list_entries(archives: DataFrame, suffix: str = ".csv", opener: Callable | N
     Folders and entries without ``suffix`` (ignoring case) are left out. An entry is identified by
     archive and full entry name, so equal names in two archives or folders do not collide.
     """
-    open_path = opener or file_opener()
+    open_path = opener or file_opener(read_ahead=1 << 16)
     wanted = suffix.lower()
 
     def read_directories(batches):

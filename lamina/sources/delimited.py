@@ -73,7 +73,7 @@ def read_delimited(
 
 def file_heads(files: DataFrame, size: int = SAMPLE_BYTES, opener: Callable | None = None) -> DataFrame:
     """First bytes of the files in ``path``; nothing beyond them is read."""
-    open_path = opener or file_opener()
+    open_path = opener or file_opener(read_ahead=size)
 
     def read_heads(batches):
         import pyarrow as pa
