@@ -59,6 +59,14 @@ def seconds(spark, sf_dir, functions, runs):
     return {name: round(statistics.median(times[1:]), 4) for name, times in taken.items()}
 
 
+def scale(sf_dir):
+    name = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -81,7 +89,7 @@ def main():
                 "unit": "sec",
                 "queries": times,
                 "reference_form": forms,
-                "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+                "sf": scale(sf_dir),
             }
         )
     )
