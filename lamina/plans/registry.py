@@ -108,17 +108,19 @@ def bronze(
     )
 
 
-def raw_table(spark: SparkSession, root: str, run_id: str, entity: str) -> DataFrame:
+def raw_table(spark: SparkSession, root: str, run_id: str, entity: str, multi_line: bool = False) -> DataFrame:
     """The raw Parquet table of an entity, or its landed text where there is none."""
     stored = load_if_present(spark, run_path(root, "bronze", run_id, entity), "parquet")
     if stored is not None:
         return stored
-    return read_landing(spark, run_path(root, "bronze", run_id, "csv"), entity, raw_schema(len(COLUMNS[entity])))
+    schema = raw_schema(len(COLUMNS[entity]))
+    return read_landing(spark, run_path(root, "bronze", run_id, "csv"), entity, schema, multi_line=multi_line)
 
 
-def silver(spark: SparkSession, root: str, run_id: str) -> int:
+def silver(spark: SparkSession, root: str, run_id: str, multi_line: bool = False) -> int:
+    """Typed tables of both entities; ``multi_line`` matters only where the landed text is read."""
     return sum(
-        write_run(typed(raw_table(spark, root, run_id, entity)), run_path(root, "silver", run_id, entity))
+        write_run(typed(raw_table(spark, root, run_id, entity, multi_line)), run_path(root, "silver", run_id, entity))
         for entity, typed in TYPED.items()
     )
 
@@ -171,10 +173,9 @@ def run(
 ) -> list[str]:
     """Run the stages the ledger does not show as done, in order; returns their names.
 
-    A stage that fails is recorded as such, and stays pending.
-
-    ``again`` runs the given stages whether or not they are done. ``publish`` replaces the snapshot upsert, for example by ``publish_jdbc``. ``manifest`` holds a
-    ``url`` column of everything that must have arrived.
+    A stage that fails is recorded as such, and stays pending. ``again`` runs the given stages
+    whether or not they are done. ``publish`` replaces the snapshot upsert, for example by
+    ``publish_jdbc``. ``manifest`` holds a ``url`` column of everything that must have arrived.
     """
     ledger = f"{root.rstrip('/')}/ledger"
 
@@ -187,7 +188,7 @@ def run(
     steps: dict[str, Callable[[], int | None]] = {
         "ingest": lambda: ingest(spark, root, run_id, manifest),
         "bronze": lambda: bronze(spark, root, run_id, **bronze_options),
-        "silver": lambda: silver(spark, root, run_id),
+        "silver": lambda: silver(spark, root, run_id, bronze_options.get("multi_line", False)),
         "gold": lambda: gold(spark, root, run_id),
         "load": load_or_publish,
     }

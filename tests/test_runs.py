@@ -107,6 +107,16 @@ def test_silver_reads_the_landing_where_parquet_is_missing(spark, root, rows):
     assert rows(registry.typed_companies(landed)) == stored and len(stored) == 3
 
 
+def test_names_with_line_breaks_stay_whole(spark, tmp_path):
+    lines = ['"00000001";"ONE\nTWO";"2062";"49";"1,5";"03";""', '"00000002";"B";"2062";"49";"2";"03";""']
+    put_archive(tmp_path / "raw" / "r" / "Empresas.zip", "K.CSV", lines)
+    put_archive(tmp_path / "raw" / "r" / "Socios.zip", "S.CSV", PARTNER_LINES)
+    root = str(tmp_path)
+    registry.run(spark, root, "r", multi_line=True)
+    names = {r["razao_social"] for r in read_snapshot(spark, f"{root}/published").collect()}
+    assert names == {"ONE\nTWO", "B"}
+
+
 def test_a_failed_stage_is_resumed(spark, root):
     def broken(df):
         raise OSError("database is away")
