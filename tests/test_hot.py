@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from lamina.plans import table_queries
 from tests.test_entry import SF, TABLES, canonical
 
 # Table, column made hot, the id that picks a third of its rows, and the shared value.
@@ -34,7 +35,7 @@ def hot(spark, tmp_path_factory):
     return str(root), con
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(table_queries.QUERIES))
 def test_query_on_hot_tables(spark, hot, name):
     root, con = hot
     ours = driver.queries()[name](spark, root)
