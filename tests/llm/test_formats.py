@@ -1,0 +1,192 @@
+"""Token files, archives and BPE by exact round trips and against the libraries."""
+
+import base64
+import hashlib
+import zlib
+
+import pytest
+from hypothesis import given, settings as run_settings, strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from lamina.llm import bpe, queries, tokenbin, warc
+from tests.llm.conftest import SF
+
+BYTE, WORD = (queries._vocabulary(f"{n}.json") for n in ("byte_bpe_50k", "word_bpe_49k"))
+BYTES, WORDS = Tokenizer.from_file(BYTE), Tokenizer.from_file(WORD)
+
+
+def ids_of(tokenizer, text):
+    return tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def crc(ids):
+    return zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))
+
+
+@pytest.mark.parametrize("parts", [None, 3])
+def test_token_files(spark, documents, odd, parts):
+    docs = documents if parts is None else odd
+    files = tokenbin.write_tokens(docs, WORD, 2, parts=parts)
+    found = tokenbin.read_tokens(spark, files, with_ids=True).collect()
+    rows = sorted(
+        [(r["doc_id"], [*ids_of(WORDS, r["text"]), 2]) for r in docs.collect()], key=lambda r: (r[0] is not None, r[0] or 0)
+    )
+    found = sorted(found, key=lambda r: r["start"])
+    assert [r["doc_id"] for r in found] == [r[0] for r in rows]
+    assert [r["start"] for r in found] == [sum(r["n_tokens"] for r in found[:i]) for i in range(len(found))]
+    assert sorted((repr(r["doc_id"]), r["ids"]) for r in found) == sorted((repr(i), ids) for i, ids in rows)
+    assert all(r["n_tokens"] == len(r["ids"]) and r["ids_crc32"] == crc(r["ids"]) for r in found)
+
+
+def test_no_token_files(spark, nothing):
+    assert tokenbin.read_tokens(spark, tokenbin.write_tokens(nothing, WORD, 2)).count() == 0
+
+
+def test_wide_ids(spark):
+    docs = spark.createDataFrame([(1, "a b"), (0, None)], "doc_id long, text string")
+    files = tokenbin.write_tokens(docs, WORD, 70_000)
+    assert files.kind == "<u4"
+    found = tokenbin.read_tokens(spark, files, with_ids=True).orderBy("start").collect()
+    assert [r["ids"] for r in found] == [[70_000], [*ids_of(WORDS, "a b"), 70_000]]
+
+
+TEXT = st.lists(
+    st.sampled_from(
+        ["a", "the", " ", "  ", "\n", "\t", "'s", "'", "it's", "don't", "12", "345", "é", "è,", "...", "!?", "ß", "テ", "テキスト", "🙂", " ", "\x1c", "́", "<|endoftext|>", "<|", "|>", "endoftext", "x" * 30, "ab" * 25, "=" * 40, "-" * 17, "Ω", "İ", "ſ", "\r\n", "aaaa", "ing", "tion"]
+    ),
+    max_size=40,
+).map("".join)
+
+TREES = {leaf: bpe.TreeEncoder(BYTE, leaf) for leaf in (48, 130)}
+PLAIN = bpe.Encoder(WORD)
+
+
+@run_settings(max_examples=400, deadline=None)
+@given(TEXT | st.text(max_size=80))
+def test_pieces_are_exact(text):
+    assert [i for p in PLAIN.pieces(text) for i in PLAIN.ids(p)] == ids_of(WORDS, text)
+    tree = TREES[48].encoder
+    assert [i for p in tree.pieces(text) for i in tree.ids(p)] == ids_of(BYTES, text)
+
+
+@run_settings(max_examples=300, deadline=None)
+@given(TEXT, st.sampled_from(sorted(TREES)), st.integers(1, 4))
+def test_tree_is_exact(text, leaf, times):
+    assert TREES[leaf].ids(text * times) == ids_of(BYTES, text * times)
+
+
+@pytest.mark.parametrize(
+    "unit", ["x", "ab", "abcdefghij", "1", "12 ", "é", "テキスト", "=", "'", "!?", " ", "\n ", "<|endoftext|>", "aé", "the", "it's", "🙂", "tion", "A1"]
+)
+def test_unsplit_runs(unit, monkeypatch):
+    monkeypatch.setattr(bpe, "FIRST_WINDOW", 4)
+    for size in (997, 3001):
+        text = (unit * size)[: size * 2]
+        assert TREES[130].ids(text) == ids_of(BYTES, text)
+
+
+def test_windows_are_needed(monkeypatch):
+    """The halves alone would give other ids."""
+    text = "information" * 40
+    tree = TREES[48]
+    assert [i for part in tree.leaves(text) for i in ids_of(BYTES, part)] != ids_of(BYTES, text)
+    assert tree.ids(text) == ids_of(BYTES, text)
+
+
+@pytest.mark.parametrize("leaf", [bpe.LEAF, 500])
+def test_round_trip(spark, documents, odd, nothing, leaf):
+    for docs in (documents, odd):
+        back = bpe.decode(bpe.encode(docs, BYTE, ["doc_id"], leaf=leaf), BYTE, ["doc_id"]).collect()
+        expected = sorted((repr(r["doc_id"]), r["text"] or "", ids_of(BYTES, r["text"])) for r in docs.collect())
+        assert sorted((repr(r["doc_id"]), r["decoded"], r["ids"]) for r in back) == expected
+    assert bpe.decode(bpe.encode(nothing, BYTE, ["doc_id"]), BYTE, ["doc_id"]).count() == 0
+
+
+def test_decoding_as_the_library_does(spark):
+    lists = [[], [50256, 262], [447, 247], [447], [128, 233, 7], [220, 220], None, [10**7, 262]]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "doc_id long, ids array<int>")
+    found = {r["doc_id"]: r["decoded"] for r in bpe.decode(df, BYTE, ["doc_id"]).collect()}
+    for i, ids in enumerate(lists):
+        assert found[i] == (None if ids is None else BYTES.decode(ids, skip_special_tokens=False))
+
+
+def test_digests(spark):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for r in queries.op9_bpe(spark, SF).collect():
+        ids = ids_of(BYTES, texts[r["doc_id"]])
+        assert r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(BYTES.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def expected_records(rows, least=0):
+    first = {}
+    for page, body in rows:
+        if page is not None:
+            first[body] = min(page, first.get(body, page))
+    out = []
+    for page, body in rows:
+        again = len(body) >= least and body in first and page != first[body]
+        digest = base64.b32encode(hashlib.sha1(body).digest()).decode()
+        out.append((page, len(body), digest, "revisit" if again else "response", first[body] if again else None))
+    return sorted(out, key=repr)
+
+
+def test_archives(spark):
+    rows = [(r["page_id"], (r["html"] or "").encode()) for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    found = queries.op8_warc(spark, SF)
+    assert sorted(map(tuple, found.collect()), key=repr) == expected_records(rows)
+
+
+@pytest.fixture(scope="module")
+def odd_pages(spark):
+    body = "line\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\n" * 3
+    rows = [(3, "u", body), (1, "http://a/\r\nX: y", body), (2, None, None), (4, "é", ""), (None, "n", body), (None, "n", "only"), (5, "z", "z" * 300_000), (5, "z", "z" * 300_000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return rows, df.withColumns({c: F.lit(1) for c in ("sha1", "size", "first", "payload", "id", "warc_type")})
+
+
+@pytest.mark.parametrize("compress", ["true", "false"])
+def test_odd_archives(spark, odd_pages, tmp_path, compress):
+    rows, pages = odd_pages
+    path = f"file://{tmp_path}/archive"
+    warc.write_warc(warc.as_records(pages, least_bytes=5), path, compress=compress, fileBytes="1000")
+    found = warc.read_warc(spark, path, taskBytes="2000")
+    number = lambda x: None if not x or x.endswith(":") else int(x.rsplit(":", 1)[1])
+    got = [(number(r["record_id"]), r["payload_bytes"], r["payload_digest"][5:], r["warc_type"], number(r["refers_to"])) for r in found.collect()]
+    assert sorted(got, key=repr) == expected_records([(p, (h or "").encode()) for p, _, h in rows], 5)
+    bodies = sorted(bytes(r["payload"]) for r in found.filter("warc_type = 'response'").collect())
+    expected = [(h or "").encode() for p, _, h in rows if not (h and len(h) >= 5 and p in (3, None) and h != "only")]
+    assert bodies == sorted(b for b in expected)
+    assert found.filter("target_uri = 'é'").count() == 1
+    assert found.filter(F.col("refers_to").isNull()).count() == len(bodies)
+
+
+def test_no_archives(spark, odd_pages, tmp_path):
+    _, pages = odd_pages
+    path = f"file://{tmp_path}/archive"
+    warc.write_warc(warc.as_records(pages.limit(0)), path)
+    assert warc.read_warc(spark, path).count() == 0
+
+
+def test_unwanted_payloads_are_not_decoded(spark, odd_pages, tmp_path):
+    """A damaged payload is noticed only by those who read its record."""
+    _, pages = odd_pages
+    path = tmp_path / "archive"
+    warc.write_warc(warc.as_records(pages), f"file://{path}", compress="false")
+    for file in path.glob("*.warc"):
+        file.write_bytes(file.read_bytes().replace(b"zzzzz", b"zyxzz"))
+    found = warc.read_warc(spark, f"file://{path}")
+    assert found.filter("warc_type = 'revisit'").count() > 0
+    assert "PushedFilters: [EqualTo" in found.filter("warc_type = 'revisit'")._jdf.queryExecution().toString()
+    with pytest.raises(Exception, match="not what its header says"):
+        found.count()
+
+
+def test_files_of_failed_attempts_are_not_read(spark, odd_pages, tmp_path):
+    rows, pages = odd_pages
+    path = tmp_path / "archive"
+    warc.write_warc(warc.as_records(pages), f"file://{path}")
+    (path / "part-000000-dead-0.warc.gz").write_bytes(b"broken")
+    assert warc.read_warc(spark, f"file://{path}").count() == len(rows)
