@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -38,16 +40,27 @@ SHUFFLE_BYTES = 128 << 20
 MOST_PARTITIONS = 20_000
 
 
+# The folder of a local session that names none, by application.
+_own: dict[str, str] = {}
+
+
+def _own_dir(spark: SparkSession) -> str:
+    """One folder per local application, removed when the driver ends."""
+    if spark.sparkContext.master.partition("[")[0] != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    name = spark.sparkContext.applicationId
+    if name not in _own:
+        _own[name] = tempfile.mkdtemp(prefix="lamina-")
+        atexit.register(shutil.rmtree, _own[name], ignore_errors=True)
+    return _own[name]
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder under the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a machine-local folder.
+    Only a local session, whose executor is the driver, may leave it unset.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="lamina-")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _own_dir(spark)
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
