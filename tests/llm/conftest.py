@@ -6,11 +6,6 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = "abc déf " * 12_000 + "x" * 70_000
 
 
-@pytest.fixture(autouse=True, scope="session")
-def shared_folder(spark, tmp_path_factory):
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
-
-
 @pytest.fixture(scope="session")
 def documents(spark):
     return spark.read.parquet(f"{SF}/documents.parquet")
