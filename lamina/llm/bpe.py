@@ -230,12 +230,12 @@ def encode(docs: DataFrame, vocabulary: str, keys: list[str], text: str = "text"
 
     long = F.coalesce(F.length(text) > leaf, F.lit(False))
     names = keys
-    whole = docs.filter(~long).select(*keys, F.col(text).alias("_text")).mapInArrow(short, f"{kinds}ids array<int>")
+    whole = docs.filter(~long).select(*keys, F.col(text).alias("_lamina_text")).mapInArrow(short, f"{kinds}ids array<int>")
     rows = docs.filter(long).groupBy(*keys, F.sha2(text, 256).alias("_hash"))
-    rows = rows.agg(F.count(F.lit(1)).alias("_copies"), F.first(text).alias("_text"))
+    rows = rows.agg(F.count(F.lit(1)).alias("_copies"), F.first(text).alias("_lamina_text"))
     row = f"{kinds}`_hash` string, `_copies` long, "
-    parts = rows.select(*keys, "_hash", "_copies", "_text").mapInArrow(halves, f"{row}nth int, part string")
-    parts = parts.repartition(*keys, "_hash", "nth").select(*keys, "_hash", "_copies", "nth", "part", F.col("part").alias("_text"))
+    parts = rows.select(*keys, "_hash", "_copies", "_lamina_text").mapInArrow(halves, f"{row}nth int, part string")
+    parts = parts.repartition(*keys, "_hash", "nth").select(*keys, "_hash", "_copies", "nth", "part", F.col("part").alias("_lamina_text"))
 
     def short_parts(batches):
         import pyarrow as pa

@@ -173,7 +173,7 @@ def predict(
             found = [pa.array([languages[i] for i in best], pa.string()), pa.array(score)]
             yield pa.record_batch([*batch.columns[:-1], *found], names=[*keys, *names])
 
-    chosen = docs.select(*keys, F.col(text).alias("_text"))
+    chosen = docs.select(*keys, F.col(text).alias("_lamina_text"))
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in chosen.schema.fields[:-1])
     return chosen.mapInArrow(classify, f"{kinds}`{names[0]}` string, `{names[1]}` double")
 

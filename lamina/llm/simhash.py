@@ -78,7 +78,7 @@ def fingerprints(docs: DataFrame, keys: list[str], text: str = "text", shingle:
             prints = np.array([fingerprint_of(t, shingle) for t in texts], np.uint64).view(np.int64)
             yield pa.record_batch([*batch.columns[:-1], pa.array(prints)], names=[*keys, "fp"])
 
-    chosen = docs.select(*keys, F.col(text).alias("_text"))
+    chosen = docs.select(*keys, F.col(text).alias("_lamina_text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
     return chosen.mapInArrow(each, f"{kinds}, fp long")
 

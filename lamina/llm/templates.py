@@ -147,7 +147,7 @@ def _emit(docs: DataFrame, keys: list[str], text: str, size: int, hits: bytes |
                 columns += [pa.array(place), pa.array(code[at].view(np.int64)), pa.array(values, pa.list_(pa.string()))]
                 yield pa.record_batch(columns, names=[*keys, "pos", "h", "slots"])
 
-    chosen = docs.select(*keys, F.col(text).alias("_text"))
+    chosen = docs.select(*keys, F.col(text).alias("_lamina_text"))
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in chosen.schema.fields[:-1])
     return chosen.mapInArrow(each, f"{kinds}pos long, h long, slots array<string>")
 
@@ -185,8 +185,8 @@ def contaminated(
     fixed size; only windows that may match are joined. With a benchmark so large that the filter
     is full, all windows are joined and the result is the same.
     """
-    items = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("_text"))
-    asked = _emit(items, ["item_id"], "_text", size).withColumnRenamed("pos", "nth")
+    items = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("_lamina_text"))
+    asked = _emit(items, ["item_id"], "_lamina_text", size).withColumnRenamed("pos", "nth")
     asked = stash(asked.withColumnRenamed("slots", "asked"), "benchmark-windows")
     totals = asked.groupBy("item_id").agg(F.count_distinct("h").alias("n_windows"))
     found = _emit(docs, keys, text, size, _filter_of(asked))

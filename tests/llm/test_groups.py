@@ -157,7 +157,15 @@ def vectors_of(df):
 
 
 def test_vectors(spark):
-    df = spark.read.parquet(f"{SF}/embeddings.parquet")
+    draw = np.random.default_rng(5)
+    rows = [(r["vec_id"], np.array(r["embedding"])) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    # Copies of some of the vectors, at cosines on both sides of the threshold.
+    for i in range(250):
+        noise = draw.normal(size=len(rows[0][1]))
+        _, v = rows[i % 120]
+        scale = draw.uniform(0, 0.45) * np.linalg.norm(v) / np.linalg.norm(noise)
+        rows.append((10_000 + i, v + scale * noise))
+    df = spark.createDataFrame([(i, v.astype(np.float32).tolist()) for i, v in rows], "vec_id long, embedding array<float>")
     rows = [(r["vec_id"], r["embedding"]) for r in df.collect()]
     expected, found = slow_vectors(rows), vectors_of(pq.near_vectors(df))
     assert [r[0] for r in found] == [r[0] for r in expected]
