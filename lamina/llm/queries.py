@@ -91,7 +91,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's record, from the archives it was written to."""
     path = scratch_dir(spark, "warc")
     warc.write_warc(warc.as_records(_table(spark, sf_dir, "pages")), path)
-    read = warc.read_warc(spark, path).filter(F.col("warc_type").isin("response", "revisit"))
+    read = warc.read_warc(spark, path, where={"warc_type": ("response", "revisit")})
     number = lambda c: F.element_at(F.split(c, ":"), -1).cast("long")
     return read.select(
         number("record_id").alias("page_id"),

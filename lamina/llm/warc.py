@@ -5,13 +5,19 @@ pushed down and decided from a record's header block; a record that does not pas
 its content being read from a plain file, or kept from a compressed one. The payload is cut out of its HTTP message and
 checked only for records that pass, and only if the option ``payload`` asks for it.
 
+Predicates reach the reader in two ways. ``read_warc(where=...)`` hands them over as an option. With
+``spark.sql.python.filterPushdown.enabled`` Spark also hands over those of ``filter``; that is off by default, and
+Spark 4.1.2 then keeps them with the relation: a later query on the same DataFrame without a filter gets the rows of the
+earlier one. So ``read_warc`` does not turn it on, and who does should read anew for each query.
+
 ``df.write.format("warc")`` writes one record per row, each its own gzip member where ``compress`` is
 set. A manifest written on commit names the files; files of failed attempts are not in it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -141,7 +147,7 @@ class WarcReader(DataSourceReader):
         self.payload = options.get("payload", "true").lower() == "true"
         self.verify = options.get("verify", "true").lower() == "true"
         self.task_bytes = int(options.get("taskbytes", TASK_BYTES))
-        self.tests: list[tuple] = []
+        self.tests = [(HEADERS[c], kind, tuple(v) if kind == "in" else v) for c, kind, v in json.loads(options.get("where", "[]"))]
 
     def pushFilters(self, filters):  # noqa: N802
         for one in filters:
@@ -299,7 +305,7 @@ class WarcWriter(DataSourceArrowWriter):
 
 
 class WarcSource(DataSource):
-    """``format("warc")``; options ``path``, ``payload``, ``verify``, ``taskBytes``; for writing ``compress``, ``fileBytes``."""
+    """``format("warc")``; options ``path``, ``where``, ``payload``, ``verify``, ``taskBytes``; for writing ``compress``, ``fileBytes``."""
 
     @classmethod
     def name(cls):
@@ -315,11 +321,27 @@ class WarcSource(DataSource):
         return WarcWriter({k.lower(): v for k, v in self.options.items()})
 
 
-def read_warc(spark: SparkSession, path: str, payload: bool = True, **options: str) -> DataFrame:
-    """Records of the archives in a folder; header predicates of filters on the result are pushed down."""
+def read_warc(
+    spark: SparkSession,
+    path: str,
+    where: Mapping[str, str | Sequence[str]] | None = None,
+    starts: Mapping[str, str] | None = None,
+    payload: bool = True,
+    **options: str,
+) -> DataFrame:
+    """Records of the archives in a folder whose headers pass, decided before their content is decoded.
+
+    ``where`` names values of header columns, one or several of which must be met; ``starts`` names prefixes. A record
+    without the header does not pass. Without ``payload`` that column is NULL and nothing is cut out.
+    """
+    tests: list[tuple] = [(c, "in", [v] if isinstance(v, str) else list(v)) for c, v in (where or {}).items()]
+    tests += [(c, "starts", v) for c, v in (starts or {}).items()]
+    unknown = [c for c, _, _ in tests if c not in HEADERS]
+    if unknown:
+        raise ValueError(f"not header columns: {unknown}")
     spark.dataSource.register(WarcSource)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    return spark.read.format("warc").options(payload=str(payload).lower(), **options).load(path)
+    reader = spark.read.format("warc").options(where=json.dumps(tests), payload=str(payload).lower(), **options)
+    return reader.load(path)
 
 
 def write_warc(rows: DataFrame, path: str, **options: str) -> None:

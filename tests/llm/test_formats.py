@@ -160,9 +160,19 @@ def test_odd_archives(spark, odd_pages, tmp_path, compress):
     expected = [(h or "").encode() for p, _, h in rows if not (h and len(h) >= 5 and p in (3, None) and h != "only")]
     assert bodies == sorted(b for b in expected)
     assert found.filter("target_uri = 'é'").count() == 1
+    assert warc.read_warc(spark, path, where={"target_uri": "é"}).count() == 1
+    assert warc.read_warc(spark, path, where={"warc_type": ["revisit", "other"]}, starts={"target_uri": "http"}).count() == 0
+    assert warc.read_warc(spark, path, starts={"target_uri": "http"}).count() == 1
+    assert {r["payload"] for r in warc.read_warc(spark, path, payload=False).collect()} == {None}
+    assert found.count() == len(rows)
     assert found.filter(F.col("refers_to").isNull()).count() == len(bodies)
 
 
+def test_unknown_predicates_are_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="payload"):
+        warc.read_warc(spark, f"file://{tmp_path}", where={"payload": "x"})
+
+
 def test_no_archives(spark, odd_pages, tmp_path):
     _, pages = odd_pages
     path = f"file://{tmp_path}/archive"
@@ -177,10 +187,15 @@ def test_unwanted_payloads_are_not_decoded(spark, odd_pages, tmp_path):
     warc.write_warc(warc.as_records(pages), f"file://{path}", compress="false")
     for file in path.glob("*.warc"):
         file.write_bytes(file.read_bytes().replace(b"zzzzz", b"zyxzz"))
-    found = warc.read_warc(spark, f"file://{path}")
-    assert found.filter("warc_type = 'revisit'").count() > 0
+    revisits = warc.read_warc(spark, f"file://{path}", where={"warc_type": "revisit"})
+    assert revisits.count() > 0
     with pytest.raises(Exception, match="not what its header says"):
-        found.count()
+        warc.read_warc(spark, f"file://{path}").count()
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        assert warc.read_warc(spark, f"file://{path}").filter("warc_type = 'revisit'").count() == revisits.count()
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
 
 
 def test_files_of_failed_attempts_are_not_read(spark, odd_pages, tmp_path):
