@@ -6,9 +6,9 @@ its content being read from a plain file, or kept from a compressed one. The pay
 checked only for records that pass, and only if the option ``payload`` asks for it.
 
 Predicates reach the reader in two ways. ``read_warc(where=...)`` hands them over as an option. With
-``spark.sql.python.filterPushdown.enabled`` Spark also hands over those of ``filter``; that is off by default, and
-Spark 4.1.2 then keeps them with the relation: a later query on the same DataFrame without a filter gets the rows of the
-earlier one. So ``read_warc`` does not turn it on, and who does should read anew for each query.
+``pushdown`` Spark also hands over those of ``filter``; but Spark 4.1.2 then keeps them with the relation, and
+a later query on the same DataFrame without a filter gets the rows of the earlier one. So that is for DataFrames that
+serve one query.
 
 ``df.write.format("warc")`` writes one record per row, each its own gzip member where ``compress`` is
 set. A manifest written on commit names the files; files of failed attempts are not in it.
@@ -149,31 +149,6 @@ class WarcReader(DataSourceReader):
         self.task_bytes = int(options.get("taskbytes", TASK_BYTES))
         self.tests = [(HEADERS[c], kind, tuple(v) if kind == "in" else v) for c, kind, v in json.loads(options.get("where", "[]"))]
 
-    def pushFilters(self, filters):  # noqa: N802
-        for one in filters:
-            test = self._test(one)
-            if test is None:
-                yield one
-            else:
-                self.tests.append(test)
-
-    @staticmethod
-    def _test(one) -> tuple | None:
-        if len(getattr(one, "attribute", ())) != 1 or one.attribute[0] not in HEADERS:
-            return None
-        header = HEADERS[one.attribute[0]]
-        if isinstance(one, (EqualTo, EqualNullSafe)):
-            return header, "in", (one.value,)
-        if isinstance(one, In):
-            return header, "in", tuple(v for v in one.value if v is not None)
-        if isinstance(one, StringStartsWith):
-            return header, "starts", one.value
-        if isinstance(one, IsNotNull):
-            return header, "there", True
-        if isinstance(one, IsNull):
-            return header, "there", False
-        return None
-
     def partitions(self):
         """Files, largest first, each to the task with the least so far."""
         import heapq
@@ -231,6 +206,35 @@ class WarcReader(DataSourceReader):
                 yield batch(rows)
 
 
+class PushdownReader(WarcReader):
+    """Also takes the header predicates that Spark hands over; a reader that has this method must be given them."""
+
+    def pushFilters(self, filters):  # noqa: N802
+        for one in filters:
+            test = self._test(one)
+            if test is None:
+                yield one
+            else:
+                self.tests.append(test)
+
+    @staticmethod
+    def _test(one) -> tuple | None:
+        if len(getattr(one, "attribute", ())) != 1 or one.attribute[0] not in HEADERS:
+            return None
+        header = HEADERS[one.attribute[0]]
+        if isinstance(one, EqualTo) or isinstance(one, EqualNullSafe) and one.value is not None:
+            return header, "in", (one.value,)
+        if isinstance(one, In):
+            return header, "in", tuple(v for v in one.value if v is not None)
+        if isinstance(one, StringStartsWith):
+            return header, "starts", one.value
+        if isinstance(one, IsNotNull):
+            return header, "there", True
+        if isinstance(one, IsNull):
+            return header, "there", False
+        return None
+
+
 def _line(name: str, value: str | None) -> bytes:
     if value is None:
         return b""
@@ -305,7 +309,7 @@ class WarcWriter(DataSourceArrowWriter):
 
 
 class WarcSource(DataSource):
-    """``format("warc")``; options ``path``, ``where``, ``payload``, ``verify``, ``taskBytes``; for writing ``compress``, ``fileBytes``."""
+    """``format("warc")``; options ``path``, ``where``, ``pushdown``, ``payload``, ``verify``, ``taskBytes``; for writing ``compress``, ``fileBytes``."""
 
     @classmethod
     def name(cls):
@@ -315,7 +319,8 @@ class WarcSource(DataSource):
         return SCHEMA
 
     def reader(self, schema):
-        return WarcReader({k.lower(): v for k, v in self.options.items()})
+        options = {k.lower(): v for k, v in self.options.items()}
+        return (PushdownReader if options.get("pushdown") == "true" else WarcReader)(options)
 
     def writer(self, schema, overwrite):
         return WarcWriter({k.lower(): v for k, v in self.options.items()})
@@ -327,12 +332,14 @@ def read_warc(
     where: Mapping[str, str | Sequence[str]] | None = None,
     starts: Mapping[str, str] | None = None,
     payload: bool = True,
+    pushdown: bool = False,
     **options: str,
 ) -> DataFrame:
     """Records of the archives in a folder whose headers pass, decided before their content is decoded.
 
     ``where`` names values of header columns, one or several of which must be met; ``starts`` names prefixes. A record
-    without the header does not pass. Without ``payload`` that column is NULL and nothing is cut out.
+    without the header does not pass. Without ``payload`` that column is NULL and nothing is cut out. With ``pushdown``
+    the predicates of the query's own filters are pushed down too; the result is for one query then.
     """
     tests: list[tuple] = [(c, "in", [v] if isinstance(v, str) else list(v)) for c, v in (where or {}).items()]
     tests += [(c, "starts", v) for c, v in (starts or {}).items()]
@@ -340,8 +347,10 @@ def read_warc(
     if unknown:
         raise ValueError(f"not header columns: {unknown}")
     spark.dataSource.register(WarcSource)
-    reader = spark.read.format("warc").options(where=json.dumps(tests), payload=str(payload).lower(), **options)
-    return reader.load(path)
+    if pushdown:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    flags = {"payload": str(payload).lower(), "pushdown": str(pushdown).lower()}
+    return spark.read.format("warc").options(where=json.dumps(tests), **flags, **options).load(path)
 
 
 def write_warc(rows: DataFrame, path: str, **options: str) -> None:
