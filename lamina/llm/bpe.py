@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lamina.llm.common import small_batches, worker_cache
-from lamina.llm.tokens import REMEMBERED, Encoder, octet_letters
+from lamina.llm.tokens import Encoder, Memory, octet_letters
 
 # Code points beyond which a text is cut, and tokens on each side of a join's first window.
 LEAF = 1 << 15
@@ -29,9 +29,6 @@ GUARD = 32
 # Code points that are looked at on each side of a border.
 BEFORE, AFTER = 4, 3
 
-# Ids that a decoder handles at a time are those of one text; pieces longer than this are not remembered.
-LONGEST = 64
-
 
 class TreeEncoder:
     """Exact ids of texts: short ones piece by piece, long ones as a tree of halves."""
@@ -39,24 +36,12 @@ class TreeEncoder:
     def __init__(self, path: str, leaf: int = LEAF):
         self.encoder = Encoder(path)
         self.leaf = leaf
-        self.remembered: dict[str, bytes] = {}
+        self.memory = Memory(self.encoder, "i")
         self.octets = token_octets(path)
 
     def packed(self, text: str) -> bytes:
         """Ids of a text that is not cut, as 32-bit integers."""
-        from array import array
-
-        get, ids, found = self.remembered.get, self.encoder.ids, []
-        for piece in self.encoder.pieces(text):
-            octets = get(piece)
-            if octets is None:
-                octets = array("i", ids(piece)).tobytes()
-                if len(piece) <= LONGEST:
-                    if len(self.remembered) >= REMEMBERED:
-                        self.remembered.clear()
-                    self.remembered[piece] = octets
-            found.append(octets)
-        return b"".join(found)
+        return self.memory.packed(text)
 
     def leaves(self, text: str) -> list[str]:
         if len(text) <= self.leaf:

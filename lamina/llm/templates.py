@@ -22,7 +22,7 @@ FILTER_BITS = 1 << 22
 
 # Words handled at a time, and canonical words that a worker remembers.
 WORDS = 1 << 18
-REMEMBERED = 1 << 18
+REMEMBERED = 300_000
 
 # Units and their usual abbreviations.
 UNITS = (
@@ -37,84 +37,137 @@ UNITS = (
 _NUMBER = r"[+-]?[$€£]?(?:\d[\d.,:/]*\d|\d)(?:st|nd|rd|th)?%?"
 
 
-def _canonicaliser():
-    """A function from a text to its canonical words: per word a hash, and whether it is a slot; and the raw words.
+class Canonicaliser:
+    """Canonical words: per word a hash, and whether it is a slot.
 
-    A word is what stands between ASCII blanks, without punctuation around it, lower-cased. A number is
+    A word is what stands between blanks, without punctuation around it, lower-cased. A number is
     a placeholder; a unit is one after a number, in the same word or the next; a name is a capitalised word
     within a sentence. A line or a sentence begins anew, so its first word is no name. Where a passage begins
     within a sentence of a document, its first word may be taken as a name, which costs one window.
+
+    What a word is by itself is found once and remembered by number, for a bounded number of words that were met in
+    two blocks or more. The other words of a block have numbers after these until the next block.
     """
-    import re
-
-    from xxhash import xxh64_intdigest
-
-    number, units = re.compile(_NUMBER), frozenset(UNITS)
-    joined = re.compile(rf"({_NUMBER})([A-Za-z%$€£]+)")
-    remembered: dict[str, tuple] = {}
-    marks = {kind: xxh64_intdigest(b"\x00" + kind) for kind in (b"number", b"name", b"unit", b"quantity")}
-
-    def of(word: str) -> tuple:
-        """Hash of the plain word, hash as a placeholder, kind, bare word, whether a sentence ends."""
-        bare = word.strip(".,;:!?\"'()[]{}<>|*#`´‘’“”«»¡¿…–—-&") or word
-        low = bare.lower()
-        kind = None
-        if bare[:1].isdigit() or bare[1:2].isdigit() or bare[2:3].isdigit():
-            if number.fullmatch(bare):
-                kind = b"number"
-            elif (m := joined.fullmatch(bare)) and m[2].lower() in units:
-                kind = b"quantity"
-        elif low in units:
-            kind = b"unit"
-        elif bare[:1].isupper():
-            kind = b"name"
-        ends = word == "|" or word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":")
-        known = (xxh64_intdigest(low.encode("utf-8", "surrogatepass")), marks.get(kind), kind, low, ends)
-        if len(remembered) >= REMEMBERED:
-            remembered.clear()
-        remembered[word] = known
-        return known
-
-    def canonical(text: str) -> tuple[list[int], list[bool], list[str]]:
-        hashes, slots, raw = [], [], []
-        for line in text.split("\n"):
-            start, quantity = True, False
-            for word in line.split():
-                plain, mark, kind, low, ends = remembered.get(word) or of(word)
-                slot = kind is not None and (
-                    not start if kind == b"name" else quantity if kind == b"unit" else True
-                )
-                hashes.append(mark if slot else plain)
-                slots.append(slot)
-                raw.append(low)
-                start, quantity = ends, kind == b"number"
-        return hashes, slots, raw
-
-    return canonical
+
+    NUMBER, QUANTITY, UNIT, NAME = 1, 2, 3, 4
+
+    def __init__(self):
+        import re
+
+        import numpy as np
+        from xxhash import xxh64_intdigest
+
+        self.number, self.units = re.compile(_NUMBER), frozenset(UNITS)
+        self.joined = re.compile(rf"({_NUMBER})([A-Za-z%$€£]+)")
+        self.marks = np.array([0, *(xxh64_intdigest(b"\x00%d" % k) for k in (1, 2, 3, 4))], np.uint64)
+        self.hash = xxh64_intdigest
+        self.places: dict[str, int] = {}
+        self.once: set[str] = set()
+        self.passing: dict[str, int] = {}
+        self._forget()
+
+    def _forget(self):
+        from array import array
+
+        self.places.clear()
+        self.plain, self.kind, self.ends, self.low = array("Q"), array("b"), array("b"), []
+
+    def _settle(self):
+        """Keep the words of the last block that were met before it, and drop the others' numbers."""
+        if len(self.places) > REMEMBERED:
+            self._forget()
+            self.passing.clear()
+        kept = len(self.places)
+        for word, place in self.passing.items():
+            if word in self.once:
+                self.plain[kept], self.kind[kept], self.ends[kept] = self.plain[place], self.kind[place], self.ends[place]
+                self.low[kept] = self.low[place]
+                self.places[word] = kept
+                kept += 1
+        for values in (self.plain, self.kind, self.ends, self.low):
+            del values[kept:]
+        if len(self.once) > REMEMBERED:
+            self.once.clear()
+        self.once.update(self.passing)
+        self.passing.clear()
+
+    def _learned(self, word: str) -> int:
+        kind, ends = 0, False
+        if word.isalpha() and word.islower():
+            low = word
+            kind = self.UNIT if low in self.units else 0
+        else:
+            bare = word.strip(".,;:!?\"'()[]{}<>|*#`´‘’“”«»¡¿…–—-&") or word
+            low = bare.lower()
+            if bare[:1].isdigit() or bare[1:2].isdigit() or bare[2:3].isdigit():
+                if self.number.fullmatch(bare):
+                    kind = self.NUMBER
+                elif (m := self.joined.fullmatch(bare)) and m[2].lower() in self.units:
+                    kind = self.QUANTITY
+            elif low in self.units:
+                kind = self.UNIT
+            elif bare[:1].isupper():
+                kind = self.NAME
+            ends = word == "|" or word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":")
+        self.plain.append(self.hash(low.encode("utf-8", "surrogatepass")))
+        self.kind.append(kind)
+        self.ends.append(ends)
+        self.low.append(low)
+        self.passing[word] = place = len(self.low) - 1
+        return place
+
+    def block(self, texts: list[str]):
+        """The words of texts as numbers, first word of each text, hashes and slots; the numbers hold until the next block."""
+        import numpy as np
+
+        self._settle()
+        words: list[str] = []
+        begins, lines = [], []
+        for text in texts:
+            begins.append(len(words))
+            for line in text.split("\n"):
+                lines.append(len(words))
+                words += line.split()
+        places = list(map(self.places.get, words))
+        if None in places:
+            for i, word in enumerate(words):
+                if places[i] is None:
+                    place = self.passing.get(word)
+                    places[i] = self._learned(word) if place is None else place
+        place = np.array(places, np.int64)
+        # Copies, as an array cannot grow while it is looked at.
+        plain, kind, ends = (np.frombuffer(x.tobytes(), t) for x, t in ((self.plain, np.uint64), (self.kind, np.int8), (self.ends, bool)))
+        plain, kind = plain[place], kind[place]
+        start = np.ones(len(words) + 1, bool)
+        start[1:] = ends[place]
+        after = np.zeros(len(words) + 1, bool)
+        after[1:] = kind == self.NUMBER
+        start[lines], after[lines] = True, False
+        slots = (kind == self.NUMBER) | (kind == self.QUANTITY)
+        slots |= (kind == self.UNIT) & after[:-1] | (kind == self.NAME) & ~start[:-1]
+        return places, begins, np.where(slots, self.marks[kind], plain), slots
 
 
 def _windows(texts: list[str], size: int):
-    """Blocks of texts: (text numbers, positions, hashes, slot bits) of the windows with a literal word, and the raw words."""
+    """Blocks of texts: text numbers, positions, hashes, slot bits of the windows within a text, and their words."""
     import numpy as np
 
-    canonical = worker_cache("canonicaliser", _canonicaliser)
+    canonical = worker_cache("canonicaliser", Canonicaliser)
     for begin, end in runs_of([len(t) // 4 for t in texts], WORDS):
-        parts = [canonical(t) for t in texts[begin:end]]
-        sizes = np.array([len(p[0]) for p in parts], np.int64)
-        hashes = np.array([h for p in parts for h in p[0]], np.uint64)
-        slots = np.array([s for p in parts for s in p[1]], np.int64)
+        places, begins, hashes, slots = canonical.block(texts[begin:end])
         n = len(hashes) - size + 1
         if n < 1:
             continue
+        sizes = np.diff(np.append(begins, len(hashes)))
         owner = np.repeat(np.arange(len(sizes)), sizes)
         code, bits = np.zeros(n, np.uint64), np.zeros(n, np.int64)
         for i in range(size):
             code = (code ^ hashes[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
             code ^= code >> np.uint64(29)
-            bits |= slots[i : i + n] << i
+            bits |= slots[i : i + n].astype(np.int64) << i
         whole = (owner[:n] == owner[size - 1 :]) & (bits != (1 << size) - 1)
-        begins = (np.cumsum(sizes) - sizes)[owner[:n]]
-        yield begin, owner[:n], np.arange(n) - begins, code, bits, whole, [p[2] for p in parts]
+        first = np.array(begins)[owner[:n]]
+        yield begin, owner[:n], np.arange(n) - first, code, bits, whole, (canonical.low, places)
 
 
 def _emit(docs: DataFrame, keys: list[str], text: str, size: int, hits: bytes | None = None) -> DataFrame:
@@ -131,7 +184,7 @@ def _emit(docs: DataFrame, keys: list[str], text: str, size: int, hits: bytes |
         wanted = None if hits is None else np.unpackbits(np.frombuffer(hits, np.uint8), bitorder="little")
         for batch in batches:
             texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
-            for begin, owner, pos, code, bits, whole, raw in _windows(texts, size):
+            for begin, owner, pos, code, bits, whole, (low, places) in _windows(texts, size):
                 if wanted is not None:
                     whole = whole & (wanted[code % np.uint64(FILTER_BITS)] == 1)
                 at = np.flatnonzero(whole)
@@ -139,8 +192,8 @@ def _emit(docs: DataFrame, keys: list[str], text: str, size: int, hits: bytes |
                     continue
                 own, place = owner[at], pos[at]
                 values = [
-                    [raw[o][p + i] if b >> i & 1 else None for i in range(size)] if b else None
-                    for o, p, b in zip(own.tolist(), place.tolist(), bits[at].tolist())
+                    [low[places[w + i]] if b >> i & 1 else None for i in range(size)] if b else None
+                    for w, b in zip(at.tolist(), bits[at].tolist())
                 ]
                 rows = pa.array(begin + own)
                 columns = [c.take(rows) for c in batch.columns[:-1]]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lamina.llm.common import small_batches, worker_cache
 from lamina.llm.files import mapped, written
-from lamina.llm.tokens import REMEMBERED, Encoder
+from lamina.llm.tokens import Encoder, Memory
 from lamina.session import scratch_dir
 
 # Bytes of text of one part.
@@ -65,11 +65,9 @@ def write_tokens(
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encoder = worker_cache(f"encoder {vocabulary}", lambda: Encoder(vocabulary))
-        remembered = worker_cache(f"ids {vocabulary}", dict)
         stored = "H" if kind == "<u2" else "I"
+        memory = worker_cache(f"ids {vocabulary} {stored}", lambda: Memory(Encoder(vocabulary), stored))
         end = array(stored, [end_id]).tobytes()
-        get, pieces, ids = remembered.get, encoder.pieces, encoder.ids
         width = np.dtype(kind).itemsize
         names, counts = [], []
         name = f"{path}/part-{part:06d}"
@@ -77,17 +75,7 @@ def write_tokens(
             for batch in batches:
                 names += batch.column(0).to_pylist()
                 for value in batch.column(1).to_pylist():
-                    found = []
-                    for piece in pieces(value) if value else ():
-                        octets = get(piece)
-                        if octets is None:
-                            octets = array(stored, ids(piece)).tobytes()
-                            if len(piece) <= 64:
-                                if len(remembered) >= REMEMBERED:
-                                    remembered.clear()
-                                remembered[piece] = octets
-                        found.append(octets)
-                    line = b"".join([*found, end])
+                    line = memory.packed(value) + end if value else end
                     handle.write(line)
                     counts.append(len(line) // width)
         if not names:
