@@ -18,9 +18,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lamina.llm.common import small_batches, stash, stash_seen, worker_cache
 
-# Words that every task holds, and distinct words that a counting task gathers before it hands them on.
+# Words that every task holds at most, and distinct words that a counting task gathers before it hands them on.
 FREQUENT = 150_000
-GATHERED = 300_000
+GATHERED = 200_000
 
 SMOOTHING = 0.1
 BLANK = "▁"
@@ -76,6 +76,20 @@ def piece_counts(words: DataFrame, vocabulary: str) -> dict[int, int]:
     return {r["piece"]: r["n"] for r in parts.groupBy("piece").agg(F.sum("n").alias("n")).collect()}
 
 
+def least_frequent(words: DataFrame, most: int) -> int:
+    """The least count that at most ``most`` words reach, by a histogram of a few hundred counts at most."""
+    exact = 256
+    step = F.when(F.col("n") < exact, F.col("n")).otherwise(F.floor(F.log2("n") * 16) - 16 * 8 + exact)
+    found = words.groupBy(step.cast("long").alias("step")).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("n")).collect()
+    least, total = 1 + max((r["n"] for r in found), default=0) * 2, 0
+    for row in sorted(found, key=lambda r: -r["step"]):
+        total += row["words"]
+        if total > most:
+            break
+        least = row["n"]
+    return max(1, least)
+
+
 class Lattice:
     """Log10 probability of words: ``scores`` gives the pieces' natural logarithms by their text, bytes as numbers."""
 
@@ -138,12 +152,12 @@ def piece_scores(vocabulary: str, counts: dict[int, int], ends: int) -> tuple[di
 
 def score_words(words: DataFrame, scores: dict) -> DataFrame:
     """(word, n, lattice): the words with their log10 probability over all segmentations."""
-    name = f"lattice {uuid.uuid4().hex}"
+    version = uuid.uuid4().hex
 
     def each(batches):
         import pyarrow as pa
 
-        lattice = worker_cache(name, lambda: Lattice(scores))
+        lattice = worker_cache("lattice", lambda: Lattice(scores), version)
         for batch in batches:
             found = [lattice.word(w) for w in batch.column(0).to_pylist()]
             yield pa.record_batch([*batch.columns, pa.array(found, pa.float64())], names=["word", "n", "lattice"])
@@ -181,9 +195,9 @@ def score_texts(
     scores, end_lattice = piece_scores(vocabulary, piece_counts(words, vocabulary), ends)
     scored = stash(score_words(words, scores), "scored-words")
     base = lambda n: F.log10((n + SMOOTHING) / F.lit(floor))
-    top = scored.orderBy(F.desc("n"), "word").limit(frequent).toPandas()
+    top = scored.filter(F.col("n") >= least_frequent(words, frequent)).toPandas()
     held = (top["word"].tolist(), top["n"].tolist(), top["lattice"].tolist())
-    name = f"frequent {uuid.uuid4().hex}"
+    version = uuid.uuid4().hex
 
     def look(batches):
         from math import log10
@@ -196,8 +210,7 @@ def score_texts(
                 w.encode("utf-8", "surrogatepass"): (n > 0, log10((n + SMOOTHING) / floor), x) for w, n, x in zip(*held)
             }
 
-        known_words = worker_cache(name, table)
-        get = known_words.get
+        get = worker_cache("frequent", table, version).get
         end = (ends > 0, log10((ends + SMOOTHING) / floor), end_lattice)
         number = TaskContext.get().partitionId() << 40
         fields = ["row", "doc_id", "learn", "word", "n", "known", "base", "score"]

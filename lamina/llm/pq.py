@@ -8,8 +8,9 @@ compared exactly, in double precision.
 
 A query probes its own list, and every list whose border with its own is nearer than ``margin``. A
 vector within reach of the query (a distance of ``sqrt(2 - 2 * threshold)``) has to lie beyond that border
-to be in the other list; a margin of that whole reach would find every link, the default of half of it
-finds those that do not point straight across the border. Recall against brute force is part of the tests.
+to be in the other list; a margin of that whole reach would find every link. Of a step in any direction only a small part
+points straight across a border, so the default is a quarter of the reach; recall against brute force is
+part of the tests and stands in the README.
 """
 
 from __future__ import annotations
@@ -131,7 +132,7 @@ def _classes(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     # The text of a number tells any two numbers apart. Zeros of either sign are one.
     text = F.transform(embedding, lambda x: F.when(x == 0, F.lit(0).cast("double")).otherwise(x.cast("double")))
     node = F.when(F.coalesce(usable, F.lit(False)), F.sha2(text.cast("string"), 256))
-    return vectors.select(F.col(vec_id).alias("vec_id"), node.alias("node"), F.col(embedding).cast("array<double>").alias("v"))
+    return vectors.select(F.col(vec_id).alias("vec_id"), node.alias("node"), F.col(embedding).alias("v"))
 
 
 def _links(classes: DataFrame, dimension: int, threshold: float, margin: float) -> DataFrame:
@@ -164,7 +165,8 @@ def _links(classes: DataFrame, dimension: int, threshold: float, margin: float)
             ]
             yield pa.record_batch([*batch.columns, *columns], names=["node", "many", "v", "own", "codes", "off", "probes"])
 
-    kinds = "node string, many long, v array<double>, own int, codes binary, off double, probes array<int>"
+    vector = classes.schema["v"].dataType.simpleString()
+    kinds = f"node string, many long, v {vector}, own int, codes binary, off double, probes array<int>"
     placed = stash(classes.select("node", "many", "v").mapInArrow(place, kinds), "placed")
     members = placed.groupBy(F.col("own").alias("list")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("m"))
     asked = placed.select(F.explode("probes").alias("list")).groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("q"))
@@ -261,7 +263,7 @@ def near_vectors(
     A list with many members or queries is cut into blocks, and pairs of blocks are compared by different tasks;
     what leaves a task is a number per vector and a spanning forest of the links, not the pairs.
     """
-    margin = (2 - 2 * threshold) ** 0.5 / 2 if margin is None else margin
+    margin = (2 - 2 * threshold) ** 0.5 / 4 if margin is None else margin
     rows = _classes(vectors, vec_id, embedding)
     classes = rows.filter(F.col("node").isNotNull()).groupBy("node").agg(
         F.count(F.lit(1)).alias("many"), F.min("vec_id").alias("least"), F.any_value("v").alias("v")
