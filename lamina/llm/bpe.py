@@ -168,43 +168,45 @@ def _kinds(df: DataFrame, columns: list[str]) -> str:
     return "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in columns)
 
 
-def encode(docs: DataFrame, vocabulary: str, keys: list[str], text: str = "text", leaf: int = LEAF) -> DataFrame:
+def encode(
+    docs: DataFrame, vocabulary: str, keys: list[str], text: str = "text", leaf: int = LEAF, decoded: bool = False
+) -> DataFrame:
     """The key columns and ``ids`` of each row, as the library's ``encode(text, add_special_tokens=False)``.
 
     NULL is empty and has no ids. Texts of at most ``leaf`` code points are encoded where they are. Longer ones
     are cut, their pieces dealt to all tasks, and put together again by row; copies of a long row are encoded once
-    and each returned. Only one row's text and ids are ever together in memory.
+    and each returned. Only one row's text and ids are ever together in memory. With ``decoded`` the ids
+    are decoded again on the way, as ``decode`` does.
     """
     small_batches(docs.sparkSession)
     kinds = _kinds(docs, keys)
-    key = f"tree {vocabulary} {leaf}"
+    row = f"{kinds}`_hash` string, `_copies` long, "
+    tail = "ids array<int>" + (", decoded string" if decoded else "")
 
-    def short(batches):
-        import pyarrow as pa
+    def tree_of():
+        return worker_cache("tree", f"{vocabulary} {leaf}", lambda: TreeEncoder(vocabulary, leaf))
 
-        tree = worker_cache(key, lambda: TreeEncoder(vocabulary, leaf))
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            ids = _lists([tree.packed(t) if t else b"" for t in texts])
-            yield pa.record_batch([*batch.columns[:-1], ids], names=[*names, "ids"])
+    def with_ids(columns, names, parts, tree):
+        import pyarrow as pa
 
-    def join(batches):
-        from array import array
+        columns, names = [*columns, _lists(parts)], [*names, "ids"]
+        if decoded:
+            from array import array
 
-        import pyarrow as pa
+            texts = [_decoded(array("i", p), tree.octets) for p in parts]
+            columns, names = [*columns, pa.array(texts, pa.string())], [*names, "decoded"]
+        return pa.record_batch(columns, names=names)
 
-        tree = worker_cache(key, lambda: TreeEncoder(vocabulary, leaf))
+    def short(batches):
+        tree = tree_of()
         for batch in batches:
-            rows = []
-            for parts in batch.column(batch.num_columns - 1).to_pylist():
-                ordered = sorted(parts, key=lambda p: p["nth"])
-                rows.append(array("i", tree.concatenated([(p["part"], p["ids"]) for p in ordered])[1]).tobytes())
-            yield pa.record_batch([*batch.columns[:-1], _lists(rows)], names=[*keys, "_copies", "ids"])
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            yield with_ids(batch.columns[:-1], keys, [tree.packed(t) if t else b"" for t in texts], tree)
 
-    def halves(batches):
+    def cut(batches):
         import pyarrow as pa
 
-        tree = worker_cache(key, lambda: TreeEncoder(vocabulary, leaf))
+        tree = tree_of()
         for batch in batches:
             for n, value in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
                 parts = tree.leaves(value)
@@ -213,28 +215,44 @@ def encode(docs: DataFrame, vocabulary: str, keys: list[str], text: str = "text"
                 columns += [pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.string())]
                 yield pa.record_batch(columns, names=[*keys, "_hash", "_copies", "nth", "part"])
 
-    long = F.coalesce(F.length(text) > leaf, F.lit(False))
-    names = keys
-    whole = docs.filter(~long).select(*keys, F.col(text).alias("_lamina_text")).mapInArrow(short, f"{kinds}ids array<int>")
-    rows = docs.filter(long).groupBy(*keys, F.sha2(text, 256).alias("_hash"))
-    rows = rows.agg(F.count(F.lit(1)).alias("_copies"), F.first(text).alias("_lamina_text"))
-    row = f"{kinds}`_hash` string, `_copies` long, "
-    parts = rows.select(*keys, "_hash", "_copies", "_lamina_text").mapInArrow(halves, f"{row}nth int, part string")
-    parts = parts.repartition(*keys, "_hash", "nth").select(*keys, "_hash", "_copies", "nth", "part", F.col("part").alias("_lamina_text"))
-
-    def short_parts(batches):
+    def encode_parts(batches):
         import pyarrow as pa
 
-        tree = worker_cache(key, lambda: TreeEncoder(vocabulary, leaf))
+        tree = tree_of()
         for batch in batches:
             ids = _lists([tree.packed(t) for t in batch.column(batch.num_columns - 1).to_pylist()])
-            yield pa.record_batch([*batch.columns[:-1], ids], names=[*keys, "_hash", "_copies", "nth", "part", "ids"])
+            yield pa.record_batch([*batch.columns, ids], names=[*keys, "_hash", "_copies", "nth", "part", "ids"])
+
+    def join(batches):
+        from array import array
 
-    encoded = parts.mapInArrow(short_parts, f"{row}nth int, part string, ids array<int>")
+        tree = tree_of()
+        for batch in batches:
+            rows = []
+            for parts in batch.column(batch.num_columns - 1).to_pylist():
+                ordered = sorted(parts, key=lambda p: p["nth"])
+                rows.append(array("i", tree.concatenated([(p["part"], p["ids"]) for p in ordered])[1]).tobytes())
+            yield with_ids(batch.columns[:-1], [*keys, "_copies"], rows, tree)
+
+    long = F.coalesce(F.length(text) > leaf, F.lit(False))
+    whole = docs.filter(~long).select(*keys, F.col(text).alias("_lamina_text")).mapInArrow(short, kinds + tail)
+    rows = docs.filter(long).groupBy(*keys, F.sha2(text, 256).alias("_hash"))
+    rows = rows.agg(F.count(F.lit(1)).alias("_copies"), F.first(text).alias("_lamina_text"))
+    rows = rows.select(*keys, "_hash", "_copies", "_lamina_text")
+    parts = rows.mapInArrow(cut, f"{row}nth int, part string").repartition(*keys, "_hash", "nth")
+    encoded = parts.mapInArrow(encode_parts, f"{row}nth int, part string, ids array<int>")
     together = encoded.groupBy(*keys, "_hash", "_copies").agg(F.collect_list(F.struct("nth", "part", "ids")).alias("parts"))
-    joined = together.select(*keys, "_copies", "parts").mapInArrow(join, f"{kinds}`_copies` long, ids array<int>")
-    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
-    return whole.unionByName(joined.select(*keys, "ids", copies.alias("_copy")).drop("_copy"))
+    joined = together.select(*keys, "_copies", "parts").mapInArrow(join, f"{kinds}`_copies` long, {tail}")
+    copies = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    return whole.unionByName(copies.drop("_copies", "_copy"))
+
+
+def _decoded(ids, octets: list[bytes]) -> str:
+    try:
+        line = b"".join([octets[i] for i in ids])
+    except IndexError:
+        line = b"".join([octets[i] for i in ids if 0 <= i < len(octets)])
+    return line.decode("utf-8", "replace")
 
 
 def decode(encoded: DataFrame, vocabulary: str, keys: list[str], ids: str = "ids") -> DataFrame:
@@ -249,22 +267,10 @@ def decode(encoded: DataFrame, vocabulary: str, keys: list[str], ids: str = "ids
         import numpy as np
         import pyarrow as pa
 
-        table = worker_cache(f"octets {vocabulary}", lambda: token_octets(vocabulary))
-        get = dict(enumerate(table)).get
+        table = worker_cache("octets", vocabulary, lambda: token_octets(vocabulary))
         for batch in batches:
-            lists = batch.column(batch.num_columns - 1)
-            texts = []
-            for n in range(len(lists)):
-                one = lists[n].values
-                if one is None:
-                    texts.append(None)
-                    continue
-                numbers = np.asarray(one).tolist()
-                try:
-                    line = b"".join([table[i] for i in numbers])
-                except IndexError:
-                    line = b"".join([get(i, b"") for i in numbers])
-                texts.append(line.decode("utf-8", "replace"))
+            lists = [one.values for one in batch.column(batch.num_columns - 1)]
+            texts = [None if one is None else _decoded(np.asarray(one).tolist(), table) for one in lists]
             yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], names=[*keys, "ids", "decoded"])
 
     chosen = encoded.select(*keys, F.col(ids).alias("ids"))

@@ -34,21 +34,20 @@ def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
-def worker_cache(name: str, make: Callable, version: str = ""):
-    """A value that lives as long as the Python worker, shared by the tasks that run in it.
+def worker_cache(family: str, name: str, make: Callable):
+    """A value that outlives its task in the Python worker, shared by the tasks that run in it.
 
-    Of each name there is one version at a time, so what an earlier query left does not add up.
+    A worker holds the values of one family at a time, so what earlier operators left does not add up.
     """
     import sys
     import types
 
     box = sys.modules.setdefault("_lamina_worker_cache", types.ModuleType("_lamina_worker_cache"))
-    held = getattr(box, name, None)
-    if held is None or held[0] != version:
-        setattr(box, name, None)
-        held = (version, make())
-        setattr(box, name, held)
-    return held[1]
+    if getattr(box, "family", None) != family:
+        box.family, box.values = family, {}
+    if name not in box.values:
+        box.values[name] = make()
+    return box.values[name]
 
 
 def runs_of(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:

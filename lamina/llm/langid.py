@@ -66,7 +66,7 @@ def _counted(texts: list[str]) -> Iterator[tuple]:
     """Blocks of texts: first text, trigram codes, the number of each text's letters, counts (texts x codes)."""
     import numpy as np
 
-    table = worker_cache("letter_table", _letter_table)
+    table = worker_cache("language", "letters", _letter_table)
     lows = [t.lower() for t in texts]
     for begin, end in runs_of([len(t) for t in lows], CHARACTERS):
         line = "\n" + "\n".join(lows[begin:end]) + "\n"
@@ -89,7 +89,7 @@ def _bundled(codes, counts, dimensions: int):
     """Bundles of the rows of ``counts``."""
     import numpy as np
 
-    twice, once, plain = worker_cache(f"letter_vectors_{dimensions}", lambda: _letter_vectors(dimensions))
+    twice, once, plain = worker_cache("language", f"vectors {dimensions}", lambda: _letter_vectors(dimensions))
     total = np.zeros((len(counts), dimensions), np.float64)
     for i in range(0, len(codes), TRIGRAMS):
         part = codes[i : i + TRIGRAMS]

@@ -63,7 +63,7 @@ def piece_counts(words: DataFrame, vocabulary: str) -> dict[int, int]:
         import pyarrow as pa
         from sentencepiece import SentencePieceProcessor
 
-        model = worker_cache(f"pieces {vocabulary}", lambda: SentencePieceProcessor(model_file=vocabulary))
+        model = worker_cache("pieces", vocabulary, lambda: SentencePieceProcessor(model_file=vocabulary))
         total = np.zeros(model.get_piece_size(), np.int64)
         for batch in batches:
             lists = model.encode(batch.column(0).to_pylist(), num_threads=1)
@@ -157,7 +157,7 @@ def score_words(words: DataFrame, scores: dict) -> DataFrame:
     def each(batches):
         import pyarrow as pa
 
-        lattice = worker_cache("lattice", lambda: Lattice(scores), version)
+        lattice = worker_cache(version, "lattice", lambda: Lattice(scores))
         for batch in batches:
             found = [lattice.word(w) for w in batch.column(0).to_pylist()]
             yield pa.record_batch([*batch.columns, pa.array(found, pa.float64())], names=["word", "n", "lattice"])
@@ -210,7 +210,7 @@ def score_texts(
                 w.encode("utf-8", "surrogatepass"): (n > 0, log10((n + SMOOTHING) / floor), x) for w, n, x in zip(*held)
             }
 
-        get = worker_cache("frequent", table, version).get
+        get = worker_cache(version, "frequent", table).get
         end = (ends > 0, log10((ends + SMOOTHING) / floor), end_lattice)
         number = TaskContext.get().partitionId() << 40
         fields = ["row", "doc_id", "learn", "word", "n", "known", "base", "score"]

@@ -9,8 +9,9 @@ compared exactly, in double precision.
 A query probes its own list, and every list whose border with its own is nearer than ``margin``. A
 vector within reach of the query (a distance of ``sqrt(2 - 2 * threshold)``) has to lie beyond that border
 to be in the other list; a margin of that whole reach would find every link. Of a step in any direction only a small part
-points straight across a border, so the default is a quarter of the reach; recall against brute force is
-part of the tests and stands in the README.
+points straight across a border: in d dimensions about its length over the root of d. The default is twice that, a
+quarter of the reach in 64 dimensions and the whole of it in 4. Recall against brute force is part of the tests and stands
+in the README.
 """
 
 from __future__ import annotations
@@ -135,7 +136,7 @@ def _classes(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     return vectors.select(F.col(vec_id).alias("vec_id"), node.alias("node"), F.col(embedding).alias("v"))
 
 
-def _links(classes: DataFrame, dimension: int, threshold: float, margin: float) -> DataFrame:
+def _links(classes: DataFrame, threshold: float, margin: float) -> DataFrame:
     """(u, v, links): per class u the number of rows of other classes that link with it, in parts with
     v NULL; and links (u, v) that connect what is linked.
     """
@@ -263,14 +264,15 @@ def near_vectors(
     A list with many members or queries is cut into blocks, and pairs of blocks are compared by different tasks;
     what leaves a task is a number per vector and a spanning forest of the links, not the pairs.
     """
-    margin = (2 - 2 * threshold) ** 0.5 / 4 if margin is None else margin
     rows = _classes(vectors, vec_id, embedding)
     classes = rows.filter(F.col("node").isNotNull()).groupBy("node").agg(
         F.count(F.lit(1)).alias("many"), F.min("vec_id").alias("least"), F.any_value("v").alias("v")
     )
     classes = stash(classes, "classes")
     sizes = sorted(r["d"] for r in classes.select(F.size("v").alias("d")).distinct().collect())
-    parts = [_links(classes.filter(F.size("v") == d), d, threshold, margin) for d in sizes]
+    reach = (2 - 2 * threshold) ** 0.5
+    margins = [reach * min(1.0, 2 / d**0.5) if margin is None else margin for d in sizes]
+    parts = [_links(classes.filter(F.size("v") == d), threshold, m) for d, m in zip(sizes, margins)]
     found = None
     for part in parts:
         found = part if found is None else found.unionByName(part)

@@ -105,7 +105,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def round_trip(docs: DataFrame) -> DataFrame:
     """Ids and decoded text of every document, as counts and digests."""
     vocabulary = _vocabulary("byte_bpe_50k.json")
-    back = bpe.decode(bpe.encode(docs, vocabulary, ["doc_id"]), vocabulary, ["doc_id"])
+    back = bpe.encode(docs, vocabulary, ["doc_id"], decoded=True)
     line = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return back.select(
         "doc_id",

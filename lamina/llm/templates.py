@@ -22,7 +22,7 @@ FILTER_BITS = 1 << 22
 
 # Words handled at a time, and canonical words that a worker remembers.
 WORDS = 1 << 18
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 # Units and their usual abbreviations.
 UNITS = (
@@ -152,7 +152,7 @@ def _windows(texts: list[str], size: int):
     """Blocks of texts: text numbers, positions, hashes, slot bits of the windows within a text, and their words."""
     import numpy as np
 
-    canonical = worker_cache("canonicaliser", Canonicaliser)
+    canonical = worker_cache("templates", "canonical", Canonicaliser)
     for begin, end in runs_of([len(t) // 4 for t in texts], WORDS):
         places, begins, hashes, slots = canonical.block(texts[begin:end])
         n = len(hashes) - size + 1

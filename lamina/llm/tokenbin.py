@@ -66,7 +66,7 @@ def write_tokens(
 
         part = TaskContext.get().partitionId()
         stored = "H" if kind == "<u2" else "I"
-        memory = worker_cache(f"ids {vocabulary} {stored}", lambda: Memory(Encoder(vocabulary), stored))
+        memory = worker_cache("tokens", f"{vocabulary} {stored}", lambda: Memory(Encoder(vocabulary), stored))
         end = array(stored, [end_id]).tobytes()
         width = np.dtype(kind).itemsize
         names, counts = [], []

@@ -8,7 +8,7 @@ where a run of letters ends. Pieces recur, so each worker remembers the ids of a
 from __future__ import annotations
 
 # Pieces that a worker remembers per vocabulary, and the longest of them.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 LONGEST = 64
 
 # All letters among the first 256 code points. None has a lower case or a composition outside these that text
