@@ -6,11 +6,10 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from lamina.operators.joins import missing_from
 from lamina.operators.keys import latest_per_key
-from lamina.schemas import LEDGER, STAGES
+from lamina.schemas import GATE, LEDGER, STAGES
 from lamina.sources.tables import load_if_present, rows_of
 
 DONE = "SUCCESS"
@@ -48,8 +47,21 @@ def pending(expected: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def pending_stages(spark: SparkSession, ledger: str, run_id: str, stages: Sequence[str] = STAGES) -> list[str]:
-    """Stages of one run still to do, in order."""
-    expected = rows_of(spark, StructType(LEDGER.fields[:2]), *[(run_id, s) for s in stages])
-    entries = read_ledger(spark, ledger).filter(F.col("run_id") == run_id)
-    left = {r["stage"] for r in pending(expected, entries).select("stage").collect()}
-    return [s for s in stages if s in left]
+    """Stages of one run still to do, in order.
+
+    A stage is done if its newest row is a success that is not older than that of the stage before it. Once one stage
+    is to do, so are all that follow, as they read what it writes; the arrival gate writes nothing, so it only counts for
+    itself. One row per stage reaches the driver.
+    """
+    entries = read_ledger(spark, ledger).filter((F.col("run_id") == run_id) & F.col("stage").isin(*stages))
+    latest = {r["stage"]: r for r in latest_status(entries).collect()}
+    left, stale, before = [], False, None
+    for stage in stages:
+        row = latest.get(stage)
+        due = row is None or row["status"] != DONE
+        if stage != GATE:
+            due = stale = stale or due or (before is not None and row["at"] < before)
+            before = row["at"] if row else None
+        if due:
+            left.append(stage)
+    return left

@@ -34,6 +34,10 @@ from lamina.sources.delimited import read_landing
 from lamina.sources.files import bytes_of, list_files, resolve_archives
 from lamina.sources.tables import load_if_present
 
+# Column of the text of rows of the wrong width, and where such a row came from.
+_TEXT = "_rejected"
+LINEAGE_KEPT = ("_file", "_archive", "_entry")
+
 COLUMNS = {"empresas": COMPANY_COLUMNS, "socios": PARTNER_COLUMNS}
 
 
@@ -94,18 +98,29 @@ def bronze(
     entry_suffix: str = ".csv",
     multi_line: bool = False,
 ) -> int:
-    """Raw copy of the archives' entries, and the same rows as all-string Parquet."""
+    """Raw copy of the archives' entries, and the same rows as all-string Parquet.
+
+    The width of a table is that of its schema, whatever a file's first line is like. Rows of another width
+    are filled with NULL or cut, as the scan does, and also stand whole in ``<entity>_rejected``, with the file,
+    archive and entry they came from.
+    """
     roots = [run_path(root, "raw", run_id), run_path(root, "bronze", run_id, "raw_zips")]
     archives, _ = resolve_archives(spark, roots, ENTITY_WORDS, explicit)
     landing = run_path(root, "bronze", run_id)
     land_archives(archives, landing, entry_suffix, ordered=multi_line, expect=tuple(ENTITY_WORDS))
-    return sum(
-        write_run(
-            read_landing(spark, f"{landing}/csv", entity, multi_line=multi_line),
-            run_path(root, "bronze", run_id, entity),
-        )
-        for entity in ENTITY_WORDS
-    )
+    written = 0
+    for entity in ENTITY_WORDS:
+        schema = raw_schema(len(COLUMNS[entity]))
+        rows = read_landing(spark, f"{landing}/csv", entity, schema, multi_line=multi_line, corrupt=_TEXT)
+        written += write_run(rows.drop(_TEXT), run_path(root, "bronze", run_id, entity))
+        wrong = rows.filter(F.col(_TEXT).isNotNull()).select("_c0", F.col(_TEXT).alias("text"), *LINEAGE_KEPT)
+        write_run(wrong, run_path(root, "bronze", run_id, f"{entity}_rejected"))
+    return written
+
+
+def rejected(spark: SparkSession, root: str, run_id: str, entity: str) -> DataFrame:
+    """Rows of another width than the entity's schema: first field, whole text, file, archive and entry."""
+    return spark.read.parquet(run_path(root, "bronze", run_id, f"{entity}_rejected"))
 
 
 def raw_table(spark: SparkSession, root: str, run_id: str, entity: str, multi_line: bool = False) -> DataFrame:
@@ -167,6 +182,7 @@ def run(
     target: str | None = None,
     manifest: DataFrame | None = None,
     order_by: str | Sequence[str] | None = None,
+    as_of: datetime | None = None,
     stages: Sequence[str] = STAGES,
     again: bool = False,
     **bronze_options,
@@ -174,14 +190,14 @@ def run(
     """Run the stages the ledger does not show as done, in order; returns their names.
 
     A stage that fails is recorded as such, and stays pending. ``again`` runs the given stages
-    whether or not they are done. ``publish`` replaces the snapshot upsert, for example by
+    whether or not they are done; the next run then redoes the stages after them. ``publish`` replaces the snapshot upsert, for example by
     ``publish_jdbc``. ``manifest`` holds a ``url`` column of everything that must have arrived.
     """
     ledger = f"{root.rstrip('/')}/ledger"
 
     def load_or_publish() -> int | None:
         if publish is None:
-            return load(spark, root, run_id, target or f"{root.rstrip('/')}/published", order_by)
+            return load(spark, root, run_id, target or f"{root.rstrip('/')}/published", order_by, as_of)
         with wide_shuffle(spark, result_bytes(spark, root, run_id)):
             return publish(result(spark, root, run_id))
 
@@ -192,7 +208,11 @@ def run(
         "gold": lambda: gold(spark, root, run_id),
         "load": load_or_publish,
     }
-    todo = list(stages) if again else pending_stages(spark, ledger, run_id, stages)
+    if again:
+        todo = list(stages)
+    else:
+        due = pending_stages(spark, ledger, run_id)
+        todo = [stage for stage in stages if stage in due]
     for stage in todo:
         try:
             rows = steps[stage]()

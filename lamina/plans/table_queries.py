@@ -36,6 +36,7 @@ from lamina.operators import (
     enrich,
     keyed_upsert,
     latest_per_key,
+    lookup_join,
     missing_from,
     positional_rename,
     require_unique_key,
@@ -274,18 +275,18 @@ def coerce_to_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _UPSERT_SQL = """
 WITH target AS (SELECT c_custkey AS id, c_name AS name, c_acctbal AS amount FROM customer),
-source AS (SELECT p_partkey AS id, p_name AS name, p_retailprice AS amount FROM part WHERE p_size > 25)
+source AS (SELECT p_partkey + 100 AS id, p_name AS name, p_retailprice AS amount FROM part)
 SELECT * FROM target WHERE id NOT IN (SELECT id FROM source)
 UNION ALL SELECT * FROM source
 """
 
 
 def _upsert_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Customers as the target and large parts as the source: keys in common, old ones and new ones."""
+    """Customers as the target and parts, their keys moved on, as the source: old keys, common ones and new ones."""
     columns = ["id", "name", "amount"]
     target = _customers(spark, sf_dir).select("c_custkey", "c_name", "c_acctbal").toDF(*columns)
-    large = table(spark, sf_dir, "part").filter(F.col("p_size") > 25)
-    return target, large.select("p_partkey", "p_name", "p_retailprice").toDF(*columns)
+    parts = table(spark, sf_dir, "part")
+    return target, parts.select(F.col("p_partkey") + 100, "p_name", "p_retailprice").toDF(*columns)
 
 
 @query(_UPSERT_SQL, name="keyed_upsert")
@@ -426,13 +427,13 @@ def first_missing_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT p_partkey, p_name FROM part WHERE p_partkey NOT IN
-  (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 40)
+SELECT p_partkey + 100 AS p_partkey, p_name FROM part WHERE p_partkey + 100 NOT IN (SELECT l_partkey FROM lineitem)
 """)
 def landing_no_clobber(spark: SparkSession, sf_dir: str) -> DataFrame:
-    incoming = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    landed = table(spark, sf_dir, "lineitem").filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 40))
-    return append_new(incoming, landed.select(F.col("l_partkey").alias("p_partkey")), "p_partkey")
+    """Parts, their keys moved on, that no line has landed yet."""
+    incoming = table(spark, sf_dir, "part").select((F.col("p_partkey") + 100).alias("p_partkey"), "p_name")
+    landed = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"))
+    return append_new(incoming, landed, "p_partkey")
 
 
 @query("""
@@ -608,17 +609,24 @@ def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT lpad(CAST(c.c_custkey AS VARCHAR), 8, '0') AS cnpj, c.c_name AS razao_social,
+WITH companies AS (
+  SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS cnpj, c_name, c_nationkey, c_acctbal, c_mktsegment
+  FROM customer
+  UNION ALL SELECT NULL, 'S' || s_suppkey, s_name, s_nationkey, s_acctbal, 'BUILDING' FROM supplier)
+SELECT c.cnpj, c.c_name AS razao_social,
        c.c_nationkey AS natureza_juridica, c.c_acctbal AS capital_social,
        CASE WHEN c.c_mktsegment = 'BUILDING' THEN '03' ELSE '05' END AS cod_porte,
        coalesce(o.n, 0) AS qtde_socios, coalesce(o.f, false) AS flag_socio_estrangeiro,
        c.c_mktsegment = 'BUILDING' AND coalesce(o.n, 0) > 1 AS doc_alvo
-FROM customer c
+FROM companies c
 LEFT JOIN (SELECT o_custkey, count(*) AS n, bool_or(o_orderpriority = '1-URGENT') AS f
-           FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey
+           FROM orders GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey
 """)
 def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A whole run: archives, raw, typed and enriched layers, published table; then a rerun with nothing to do."""
+    """A whole run: archives, raw, typed and enriched layers, published table; then a rerun with nothing to do.
+
+    Companies are customers, and suppliers as companies without partners.
+    """
     root = scratch_dir(spark, "run")
     key = F.lpad(F.col("c_custkey").cast("string"), 8, "0")
     size = F.when(F.col("c_mktsegment") == "BUILDING", "03").otherwise("05")
@@ -626,10 +634,20 @@ def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     companies = _customers(spark, sf_dir).select(
         key, "c_name", F.col("c_nationkey").cast("string"), F.lit("49"), capital, size, F.lit("")
     )
+    balance = F.replace(F.col("s_acctbal").cast("string"), F.lit("."), F.lit(","))
+    suppliers = table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")),
+        "s_name",
+        F.col("s_nationkey").cast("string"),
+        F.lit("49"),
+        balance,
+        F.lit("03"),
+        F.lit(""),
+    )
+    companies = companies.union(suppliers)
     kind = F.when(F.col("o_orderpriority") == URGENT, "3").otherwise("2")
     blank = [F.lit("").alias(f"blank{i}") for i in range(8)]
-    finished = _orders_by_customer(spark, sf_dir).filter(F.col("o_orderstatus") == "F")
-    partners = finished.select(key, kind, F.col("o_orderkey").cast("string"), *blank)
+    partners = _orders_by_customer(spark, sf_dir).select(key, kind, F.col("o_orderkey").cast("string"), *blank)
     raw = run_path(root, "raw", "run-1")
     _write_archives(_joined(companies), raw, "Empresas")
     _write_archives(_joined(partners), raw, "Socios")
@@ -739,3 +757,52 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         upsert_stream(events, f"{path}/table", "user_id", ["ts", "event_id"], f"{path}/checkpoint")
     return _ts_as_text(read_snapshot(spark, f"{path}/table"))
+
+
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS cnpj, CASE WHEN o_orderstatus = 'F' THEN NULL ELSE '05' END AS cod_porte,
+       o_orderstatus <> 'O' AS wrong_width
+FROM orders
+""")
+def medallion_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over lines that are shorter or longer than the schema: no row is lost, and each such line is kept whole."""
+    root = scratch_dir(spark, "ragged")
+    orders = table(spark, sf_dir, "orders")
+    key, status = F.col("o_orderkey").cast("string"), F.col("o_orderstatus")
+    short = F.concat_ws(";", key, status)
+    exact = F.concat_ws(";", short, F.lit("1;49;1,00;05;x"))
+    line = F.when(status == "F", short).when(status == "O", exact).otherwise(F.concat(exact, F.lit(";more;fields")))
+    raw = run_path(root, "raw", "run-1")
+    _write_archives(orders.select(line.alias("value")), raw, "Empresas")
+    _write_archives(orders.select(F.concat_ws(";", key, F.lit("2;A;;;;;;;;")).alias("value")), raw, "Socios")
+    registry.run(spark, root, "run-1")
+    wrong = registry.rejected(spark, root, "run-1", "empresas").select(F.split("text", ";")[0].alias("cnpj"))
+    published = read_snapshot(spark, f"{root}/published").select("cnpj", "cod_porte")
+    marked = lookup_join(published, wrong.withColumn("wrong_width", F.lit(True)), "cnpj")
+    return marked.withColumn("wrong_width", F.coalesce("wrong_width", F.lit(False)))
+
+
+@query(_LATEST_EVENT)
+def stream_upsert_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches that arrive newest first: what comes late changes nothing."""
+    path = scratch_dir(spark, "stream-late")
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type")
+    schema = events.schema
+    for part in reversed(range(3)):
+        events.filter(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{path}/in")
+        upsert_stream(stream, f"{path}/table", "user_id", ["ts", "event_id"], f"{path}/checkpoint")
+    return _ts_as_text(read_snapshot(spark, f"{path}/table"))
+
+
+@query(_UPSERT_SQL)
+def snapshot_reader_survives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader opened before four more upserts still reads its own snapshot."""
+    root = scratch_dir(spark, "snapshot-reader")
+    target, source = _upsert_sides(spark, sf_dir)
+    for rows in (target, source):
+        upsert_snapshot(spark, root, rows, "id")
+    reader = read_snapshot(spark, root)
+    for _ in range(4):
+        upsert_snapshot(spark, root, source.withColumn("amount", F.lit(0.0)), "id")
+    return reader

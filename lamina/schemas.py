@@ -49,6 +49,9 @@ TARGET_SIZE = "03"
 # Fixed value: stages of a run, in order.
 STAGES = ("ingest", "bronze", "silver", "gold", "load")
 
+# The stage that only checks what has arrived.
+GATE = "ingest"
+
 
 def raw_schema(width: int) -> StructType:
     """``width`` string columns named as a header-less scan names them."""

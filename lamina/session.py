@@ -8,8 +8,9 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "lamina", master: str | None = None, **conf: str) -> SparkSession:
@@ -34,25 +35,19 @@ def build_session(app: str = "lamina", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
-# Input bytes per shuffle partition, and how many partitions a shuffle may have: beyond that the number
-# of blocks, which is map tasks times partitions, costs more than larger partitions do.
+# Input bytes per shuffle partition, and how many partitions a shuffle may have unless the session setting
+# ``lamina.shuffle.mostPartitions`` says otherwise: beyond that the number of blocks, which is map tasks times
+# partitions, costs more than larger partitions do.
 SHUFFLE_BYTES = 128 << 20
 MOST_PARTITIONS = 20_000
 
 
-# The folder of a local session that names none, by application.
-_own: dict[str, str] = {}
-
-
-def _own_dir(spark: SparkSession) -> str:
-    """One folder per local application, removed when the driver ends."""
-    if spark.sparkContext.master.partition("[")[0] != "local":
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    name = spark.sparkContext.applicationId
-    if name not in _own:
-        _own[name] = tempfile.mkdtemp(prefix="lamina-")
-        atexit.register(shutil.rmtree, _own[name], ignore_errors=True)
-    return _own[name]
+@cache
+def _own_dir() -> str:
+    """One folder per driver process, removed when it ends."""
+    folder = tempfile.mkdtemp(prefix="lamina-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
@@ -60,7 +55,11 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
     Only a local session, whose executor is the driver, may leave it unset.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or _own_dir(spark)
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        shared = _own_dir()
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
@@ -78,6 +77,12 @@ def session_setting(spark: SparkSession, name: str, value: str) -> Iterator[None
             spark.conf.set(name, before)
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """Catalyst's estimate of the table's size, 0 where it has none."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 60 else 0
+
+
 @contextmanager
 def wide_shuffle(spark: SparkSession, input_bytes: int) -> Iterator[None]:
     """Enough shuffle partitions for an input of this size, never fewer than the session asks for.
@@ -86,6 +91,7 @@ def wide_shuffle(spark: SparkSession, input_bytes: int) -> Iterator[None]:
     large enough from the start.
     """
     asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(MOST_PARTITIONS, -(-input_bytes // SHUFFLE_BYTES))
+    most = int(spark.conf.get("lamina.shuffle.mostPartitions", str(MOST_PARTITIONS)))
+    wanted = min(most, -(-input_bytes // SHUFFLE_BYTES))
     with session_setting(spark, "spark.sql.shuffle.partitions", str(max(asked, wanted))):
         yield

@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
     BooleanType,
     DataType,
@@ -159,11 +159,14 @@ def publish_jdbc(
     ``write`` replace the JDBC connection and staging write.
     """
     staging = staging_name(table, run_id)
+    # Keys are checked as they will be stored: different texts may be one number, or none.
     if order_by is not None:
-        df = latest_per_key(require_set_key(df, key), key, order_by)
+        order = [order_by] if isinstance(order_by, str) else list(order_by)
+        others = [c for c in order if c not in schema.fieldNames()]
+        typed = df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields], *others)
+        rows = latest_per_key(require_set_key(typed, key), key, order).select(*schema.fieldNames())
     else:
-        df = require_unique_key(df, key)
-    rows = coerce_schema(df, schema)
+        rows = require_unique_key(coerce_schema(df, schema), key)
     open_connection = connect or (lambda: jdbc_connection(df.sparkSession, url, properties))
 
     def write_jdbc(staged: DataFrame, name: str) -> None:
@@ -176,5 +179,10 @@ def publish_jdbc(
             open_connection,
             [create_table_sql(table, schema, key), upsert_sql(table, staging, schema.fieldNames(), key)],
         )
-    finally:
-        run_in_transaction(open_connection, [drop_table_sql(staging)])
+    except BaseException as error:
+        try:
+            run_in_transaction(open_connection, [drop_table_sql(staging)])
+        except Exception as second:
+            error.add_note(f"the staging table {staging} could not be dropped: {second}")
+        raise
+    run_in_transaction(open_connection, [drop_table_sql(staging)])

@@ -1,23 +1,24 @@
 """A keyed Parquet table kept as numbered snapshots.
 
-Every upsert writes a whole new snapshot beside the current one and then appends one row to the
-commit log. Readers take the newest committed snapshot, so a job that dies half way leaves the table
-as it was. Snapshots take turns in a fixed number of folders, which bounds the storage: a reader that
-has started on one is undisturbed until the folder's next turn. One writer at a time is assumed.
+Every upsert writes a whole new snapshot into a folder of its own and then appends one row to the
+commit log that names the version and the folder. Readers take the newest committed snapshot, so a job that dies half way
+leaves the table as it was, and a reader that has started is never disturbed. Old snapshots stay
+until ``expire`` is called. One writer at a time is assumed; a version that two writers committed is refused.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
-from lamina.operators.guards import require_set_key, require_unique_key
+from lamina.operators.guards import ExpectationError, require_set_key, require_unique_key
 from lamina.operators.keys import latest_per_key
 from lamina.operators.upsert import keyed_upsert
-from lamina.session import wide_shuffle
+from lamina.session import planned_bytes, wide_shuffle
 from lamina.sinks.runs import write_run
 from lamina.sources.files import bytes_of
 from lamina.sources.tables import load_if_present, rows_of
@@ -28,15 +29,17 @@ _LOG = StructType(
         StructField("batch", StringType()),
         StructField("rows", LongType()),
         StructField("at", TimestampType()),
+        StructField("folder", StringType()),
     ]
 )
 
-# Folders that snapshots take turns in.
-SLOTS = 3
 
-
-def _snapshot_path(root: str, version: int) -> str:
-    return f"{root}/snapshot-{version % SLOTS}"
+def _commit_of(log: DataFrame, root: str, version: int) -> str:
+    """Path of a committed snapshot."""
+    found = log.filter(F.col("version") == version).select("folder").distinct().take(2)
+    if len(found) != 1:
+        raise ExpectationError(f"version {version} of {root} was committed {len(found)} times")
+    return f"{root}/{found[0]['folder']}"
 
 
 def _log(spark: SparkSession, root: str) -> DataFrame:
@@ -46,7 +49,11 @@ def _log(spark: SparkSession, root: str) -> DataFrame:
 
 def current_version(spark: SparkSession, root: str) -> int:
     """Number of the newest committed snapshot, 0 if there is none."""
-    return _log(spark, root).agg(F.coalesce(F.max("version"), F.lit(0)).alias("v")).first()["v"]
+    return _newest(_log(spark, root))
+
+
+def _newest(log: DataFrame) -> int:
+    return log.agg(F.coalesce(F.max("version"), F.lit(0)).alias("v")).first()["v"]
 
 
 def committed_rows(spark: SparkSession, root: str, version: int) -> int:
@@ -55,8 +62,30 @@ def committed_rows(spark: SparkSession, root: str, version: int) -> int:
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
-    version = current_version(spark, root)
-    return spark.read.parquet(_snapshot_path(root, version)) if version else None
+    log = _log(spark, root)
+    version = _newest(log)
+    return spark.read.parquet(_commit_of(log, root, version)) if version else None
+
+
+def expire(spark: SparkSession, root: str, keep: int = 3) -> list[str]:
+    """Delete all but the ``keep`` newest committed snapshots, and what failed upserts left; returns the folders.
+
+    Not to be called while an upsert or a reader of an older snapshot is at work.
+    """
+    if keep < 1:
+        raise ValueError("the newest snapshot has to stay")
+    log = _log(spark, root)
+    newest = [r["version"] for r in log.select("version").distinct().orderBy(F.desc("version")).take(keep)]
+    kept = {_commit_of(log, root, version).rsplit("/", 1)[-1] for version in newest}
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = []
+    for status in files.listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith("snapshot-") and name not in kept:
+            files.delete(status.getPath(), True)
+            gone.append(name)
+    return sorted(gone)
 
 
 def upsert_snapshot(
@@ -77,16 +106,19 @@ def upsert_snapshot(
         done = log.filter(F.col("batch") == batch).agg(F.max("version").alias("v")).first()["v"]
         if done is not None:
             return done
-    version = current_version(spark, root)
-    current = _snapshot_path(root, version)
-    with wide_shuffle(spark, bytes_of(spark, current) if version else 0):
+    version = _newest(log)
+    current = _commit_of(log, root, version) if version else None
+    folder = f"snapshot-{version + 1}-{uuid.uuid4().hex}"
+    with wide_shuffle(spark, max(bytes_of(spark, current) if current else 0, planned_bytes(source))):
         if version:
             merged = keyed_upsert(spark.read.parquet(current), source, key, order_by)
         elif order_by is not None:
             merged = latest_per_key(require_set_key(source, key), key, order_by)
         else:
             merged = require_unique_key(source, key)
-        rows = write_run(merged, _snapshot_path(root, version + 1))
-    commit = rows_of(spark, _LOG, (version + 1, batch, rows, datetime.now(timezone.utc)))
+        rows = write_run(merged, f"{root}/{folder}")
+    if current_version(spark, root) != version:
+        raise ExpectationError(f"another writer has committed to {root}; nothing was committed here")
+    commit = rows_of(spark, _LOG, (version + 1, batch, rows, datetime.now(timezone.utc), folder))
     commit.coalesce(1).write.mode("append").parquet(f"{root}/commits")
     return version + 1

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from lamina.functions.values import DEFAULT_SEPARATOR, separator_of
-from lamina.operators.normalize import LINEAGE
+from lamina.session import session_setting
 from lamina.sources.archives import DELIMITER_NAMES, SAMPLE_BYTES, UNCLASSIFIED, file_opener
 from lamina.sources.files import list_files
 from lamina.sources.tables import load_if_present
@@ -100,8 +100,8 @@ def _stack(tables: Sequence[DataFrame]) -> DataFrame:
     stacked = tables[0]
     for table in tables[1:]:
         stacked = stacked.unionByName(table, allowMissingColumns=True)
-    data = sorted((c for c in stacked.columns if c not in LINEAGE), key=lambda c: int(c[2:]))
-    return stacked.select(*data, *[c for c in LINEAGE if c in stacked.columns])
+    data = sorted((c for c in stacked.columns if c[:2] == "_c" and c[2:].isdigit()), key=lambda c: int(c[2:]))
+    return stacked.select(*data, *[c for c in stacked.columns if c not in data])
 
 
 def read_detected(spark: SparkSession, root: str, suffix: str = ".csv", **options) -> DataFrame:
@@ -130,19 +130,23 @@ def read_landing(
     schema: StructType | None = None,
     encoding: str = ENCODING,
     multi_line: bool = False,
+    corrupt: str | None = None,
 ) -> DataFrame:
     """One entity of a landing written by ``land_entries``; archive and entry come back as columns.
 
-    Only the folders of the entity are read, each with its own separator.
+    Only the folders of the entity are read, each with its own separator. Archive and entry are texts, whatever
+    their names look like. ``corrupt`` is that of ``read_delimited``.
     """
     tables = []
     for sep, name in DELIMITER_NAMES.items():
         folder = f"{path}/_entity={entity}/_delimiter={name}"
         if load_if_present(spark, folder, "text") is None:
             continue
-        rows = read_delimited(spark, folder, sep, schema, encoding, multi_line)
-        # Folder names that look like numbers would otherwise come back as such.
-        tables.append(rows.withColumns({c: F.col(c).cast("string") for c in ("_archive", "_entry")}))
+        with session_setting(spark, "spark.sql.sources.partitionColumnTypeInference.enabled", "false"):
+            rows = read_delimited(spark, folder, sep, schema, encoding, multi_line, corrupt)
+        if "_batch" in rows.columns:
+            rows = rows.withColumn("_batch", F.col("_batch").cast("int"))
+        tables.append(rows)
     if not tables:
         raise FileNotFoundError(f"nothing of {entity} landed in {path}")
     return _stack(tables)

@@ -68,10 +68,9 @@ def upsert_stream(
     checkpoint: str,
     name: str = "stream",
 ) -> None:
-    """Upsert what is new into a snapshot table; the latest row of a key within a batch is taken.
+    """Upsert what is new into a snapshot table; the latest row of a key is kept, whichever batch brings it.
 
-    A later batch replaces what an earlier one stored. A replayed batch finds its own commit and
-    changes nothing; ``name`` tells the streams that feed one table apart. Every batch writes a whole
+    A row that arrives late changes nothing. A replayed batch finds its own commit and changes nothing; ``name`` tells the streams that feed one table apart. Every batch writes a whole
     snapshot, so this is for one batch per run.
     """
 

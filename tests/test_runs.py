@@ -5,6 +5,7 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from lamina.__main__ import arguments, execute
 from lamina.operators.guards import ExpectationError
@@ -26,7 +27,9 @@ from lamina.sinks import (
     upsert_sql,
     write_run,
 )
+from lamina.sinks import snapshots
 from lamina.sinks.jdbc import _JdbcConnection
+from lamina.sinks.snapshots import expire
 from lamina.sources import list_files, read_landing
 from lamina.streaming import land_archives_stream, stream_to_table, upsert_stream
 
@@ -228,18 +231,65 @@ def test_snapshots(spark, tmp_path, rows):
     assert rows(read_snapshot(spark, root)) == [(1, 1), (2, 20), (3, 30)]
 
 
-def test_snapshots_take_turns_in_three_folders(spark, tmp_path, rows):
+def test_a_reader_survives_later_upserts(spark, tmp_path, rows):
     root = tmp_path / "t"
     for v in range(1, 6):
         assert upsert_snapshot(spark, str(root), spark.createDataFrame([(v % 2, v)], "k int, v int"), "k") == v
+        if v == 1:
+            reader = read_snapshot(spark, str(root))
+    assert rows(reader) == [(1, 1)]
     assert rows(read_snapshot(spark, str(root))) == [(0, 4), (1, 5)]
-    assert sorted(p.name for p in root.iterdir()) == ["commits", "snapshot-0", "snapshot-1", "snapshot-2"]
+    assert len(expire(spark, str(root), keep=2)) == 3
+    assert sorted(p.name.split("-")[:2] for p in root.iterdir()) == [["commits"], ["snapshot", "4"], ["snapshot", "5"]]
+    assert rows(read_snapshot(spark, str(root))) == [(0, 4), (1, 5)]
+
+
+def test_two_writers_are_noticed(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    first = spark.createDataFrame([(1, 1)], "k int, v int")
+    upsert_snapshot(spark, root, first, "k")
+    write = snapshots.write_run
+
+    def overtaken(df, path):
+        monkeypatch.setattr(snapshots, "write_run", write)
+        upsert_snapshot(spark, root, first, "k")
+        return write(df, path)
+
+    monkeypatch.setattr(snapshots, "write_run", overtaken)
+    with pytest.raises(ExpectationError, match="another writer"):
+        upsert_snapshot(spark, root, first, "k")
+    assert current_version(spark, root) == 2
+
+
+def test_what_follows_a_stage_run_again_is_redone(spark, root, tmp_path, rows):
+    registry.run(spark, root, "r-1")
+    assert registry.run(spark, root, "r-1") == []
+    put_archive(tmp_path / "raw" / "r-1" / "Empresas1.zip", "d/K.CSV", [COMPANY_LINES[2].replace('"C"', '"D"')])
+    assert registry.run(spark, root, "r-1", stages=["bronze"], again=True) == ["bronze"]
+    assert registry.run(spark, root, "r-1") == ["silver", "gold", "load"]
+    names = {r["razao_social"] for r in read_snapshot(spark, f"{root}/published").collect()}
+    assert "D" in names and "C" not in names
+
+
+def test_a_short_first_line_costs_nothing(spark, tmp_path):
+    raw = tmp_path / "raw" / "r"
+    lines = ["00000001;SHORT", *[f"0000000{i};NAME;2062;49;1,00;03;X" for i in range(2, 6)], "00000006;LONG;1;2;3,00;03;X;more;fields"]
+    put_archive(raw / "Empresas.zip", "1e3.csv", lines)
+    put_archive(raw / "Socios.zip", "S.csv", PARTNER_LINES)
+    registry.run(spark, str(tmp_path), "r")
+    table = {r["cnpj"]: r["cod_porte"] for r in read_snapshot(spark, f"{tmp_path}/published").collect()}
+    assert table == {"00000001": None, **{f"0000000{i}": "03" for i in range(2, 7)}}
+    wrong = registry.rejected(spark, str(tmp_path), "r", "empresas").collect()
+    assert sorted(r["text"] for r in wrong) == [lines[0], lines[-1]]
+    assert {r["_entry"] for r in wrong} == {"1e3.csv"}
+    counts = {r["stage"]: r["rows"] for r in ledger.read_ledger(spark, f"{tmp_path}/ledger").collect()}
+    assert counts["bronze"] == 10
 
 
 def test_an_uncommitted_snapshot_is_not_read(spark, tmp_path, rows):
     root = str(tmp_path / "t")
     upsert_snapshot(spark, root, spark.createDataFrame([(1, 1)], "k int, v int"), "k")
-    spark.createDataFrame([(9, 9)], "k int, v int").write.parquet(f"{root}/snapshot-2")
+    spark.createDataFrame([(9, 9)], "k int, v int").write.parquet(f"{root}/snapshot-2-unfinished")
     assert rows(read_snapshot(spark, root)) == [(1, 1)]
     upsert_snapshot(spark, root, spark.createDataFrame([(2, 2)], "k int, v int"), "k")
     assert rows(read_snapshot(spark, root)) == [(1, 1), (2, 2)]
@@ -338,6 +388,28 @@ def test_publishing_checks_keys_before_staging(spark):
     assert log[0] == ("t_stg_r_1", 3)
 
 
+def test_keys_are_checked_as_they_are_stored(spark):
+    rows = spark.createDataFrame([("1", "a"), ("01", "b")], "k string, v string")
+    schema = StructType([StructField("k", IntegerType()), StructField("v", StringType())])
+    with pytest.raises(ExpectationError):
+        publish_jdbc(rows, "url", "t", schema, "k", "r", {}, connect=lambda: None, write=lambda df, name: None)
+    with pytest.raises(ExpectationError):
+        publish_jdbc(rows.withColumn("k", F.lit("x")).limit(1), "url", "t", schema, "k", "r", {}, connect=lambda: None, write=lambda df, name: None)
+
+
+def test_the_first_error_is_kept_when_the_drop_fails(spark):
+    def refuse():
+        raise OSError("no connection")
+
+    def fail(df, name):
+        raise RuntimeError("staging failed")
+
+    rows = spark.createDataFrame([(1, "a")], "k int, v string")
+    with pytest.raises(RuntimeError, match="staging failed") as caught:
+        publish_jdbc(rows, "url", "t", rows.schema, "k", "r", {}, connect=refuse, write=fail)
+    assert "could not be dropped" in caught.value.__notes__[0]
+
+
 def test_jdbc_connection_is_one_transaction():
     calls = []
 
@@ -408,7 +480,8 @@ def test_stream_upsert(spark, tmp_path, rows):
 
     assert arrive((1, 1, "a"), (1, 2, "b"), (2, 1, "c")) == [(1, 2, "b"), (2, 1, "c")]
     assert arrive((2, 2, "d"), (3, 1, "e")) == [(1, 2, "b"), (2, 2, "d"), (3, 1, "e")]
-    assert current_version(spark, root) == 2
+    assert arrive((1, 1, "late"), (4, 0, "f")) == [(1, 2, "b"), (2, 2, "d"), (3, 1, "e"), (4, 0, "f")]
+    assert current_version(spark, root) == 3
 
 
 def test_shuffles_grow_with_their_input(spark):
