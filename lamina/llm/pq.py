@@ -26,7 +26,7 @@ from lamina.operators.joins import lookup_join
 
 THRESHOLD = 0.95
 
-# The sample that the quantisers are fitted on, the most lists there can be, and the codes.
+# The size of the sample that the quantisers are fitted on, the most lists there can be, and the codes.
 SAMPLE = 16_384
 MOST_LISTS = 4_096
 SUBSPACES = 8
@@ -143,7 +143,10 @@ def _links(classes: DataFrame, threshold: float, margin: float) -> DataFrame:
     import numpy as np
 
     count = classes.count()
-    sample = classes.orderBy("node").limit(SAMPLE).select("v").toPandas()["v"]
+    # Digests are spread evenly, so those below a bound are a sample of about SAMPLE vectors, the same in every run.
+    bound = min(1.0, SAMPLE / max(1, count)) * (1 << 32)
+    sampled = F.conv(F.substring("node", 1, 8), 16, 10).cast("long") < F.lit(int(bound))
+    sample = classes.filter(sampled).orderBy("node").select("v").toPandas()["v"]
     rows = np.stack([np.asarray(v) for v in sample])
     rows /= np.abs(rows).max(axis=1, keepdims=True)
     model = fit(rows / np.linalg.norm(rows, axis=1, keepdims=True), min(MOST_LISTS, max(1, int(np.ceil(count**0.5)))))
