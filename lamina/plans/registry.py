@@ -30,6 +30,7 @@ from lamina.session import wide_shuffle
 from lamina.sinks.landing import land_archives
 from lamina.sinks.runs import write_run
 from lamina.sinks.snapshots import committed_rows, upsert_snapshot
+from lamina.sources.archives import SAMPLE_BYTES
 from lamina.sources.delimited import read_landing
 from lamina.sources.files import bytes_of, list_files, resolve_archives
 from lamina.sources.tables import load_if_present
@@ -97,6 +98,7 @@ def bronze(
     explicit: Mapping[str, Sequence[str]] | None = None,
     entry_suffix: str = ".csv",
     multi_line: bool = False,
+    sample_bytes: int = SAMPLE_BYTES,
 ) -> int:
     """Raw copy of the archives' entries, and the same rows as all-string Parquet.
 
@@ -107,7 +109,7 @@ def bronze(
     roots = [run_path(root, "raw", run_id), run_path(root, "bronze", run_id, "raw_zips")]
     archives, _ = resolve_archives(spark, roots, ENTITY_WORDS, explicit)
     landing = run_path(root, "bronze", run_id)
-    land_archives(archives, landing, entry_suffix, ordered=multi_line, expect=tuple(ENTITY_WORDS))
+    land_archives(archives, landing, entry_suffix, ordered=multi_line, expect=tuple(ENTITY_WORDS), sample_bytes=sample_bytes)
     written = 0
     for entity in ENTITY_WORDS:
         schema = raw_schema(len(COLUMNS[entity]))

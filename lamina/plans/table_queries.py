@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
@@ -430,10 +431,16 @@ def first_missing_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT p_partkey + 100 AS p_partkey, p_name FROM part WHERE p_partkey + 100 NOT IN (SELECT l_partkey FROM lineitem)
 """)
 def landing_no_clobber(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts, their keys moved on, that no line has landed yet."""
+    """Parts, their keys moved on, whose key no line has landed yet; offered twice over, and again, each lands once."""
     incoming = table(spark, sf_dir, "part").select((F.col("p_partkey") + 100).alias("p_partkey"), "p_name")
-    landed = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"))
-    return append_new(incoming, landed, "p_partkey")
+    landed = table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("p_partkey"), F.lit(None).cast("string").alias("p_name")
+    )
+    path = scratch_dir(spark, "no-clobber")
+    append_new(landed, path, "p_partkey")
+    for _ in range(2):
+        append_new(incoming.unionByName(incoming), path, "p_partkey")
+    return spark.read.parquet(path).filter(F.col("p_name").isNotNull())
 
 
 @query("""
@@ -519,8 +526,8 @@ def delimited_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT sep, count(*) AS n_rows FROM (
-  SELECT CASE o_orderstatus WHEN 'O' THEN '|' WHEN 'F' THEN ';' ELSE ',' END AS sep FROM orders) GROUP BY sep
+SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id, o_orderstatus AS status,
+       o_orderpriority AS priority FROM orders
 """)
 def delimited_mixed_separators(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files with three separators below one folder; each is read with its own."""
@@ -529,10 +536,7 @@ def delimited_mixed_separators(spark: SparkSession, sf_dir: str) -> DataFrame:
     for sep, status in (("|", "O"), (";", "F")):
         _write_delimited(orders.filter(F.col("o_orderstatus") == status), f"{path}/{status}", sep)
     _write_delimited(orders.filter(~F.col("o_orderstatus").isin("O", "F")), f"{path}/rest", ",")
-    rows = positional_rename(read_detected(spark, path), ["order_id", "customer_id", "status", "priority"])
-    status = F.col("status")
-    sep = F.when(status == "O", "|").when(status == "F", ";").when(F.col("priority").isNotNull(), ",")
-    return rows.groupBy(sep.alias("sep")).agg(row_count().alias("n_rows"))
+    return positional_rename(read_detected(spark, path), ["order_id", "customer_id", "status", "priority"])
 
 
 @query("""
@@ -603,8 +607,9 @@ def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "lines")
     fields = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber")
     _write_archives(_joined(fields), root, "Socios")
-    entries = list_entries(list_files(spark, root, ".zip"))
-    lines = entry_lines(expand_entries(entries, chunk_bytes=1 << 16))
+    listing = scratch_dir(spark, "listing")
+    write_run(list_entries(list_files(spark, root, ".zip")), listing)
+    lines = entry_lines(expand_entries(spark.read.parquet(listing), chunk_bytes=1 << 16))
     return lines.groupBy("value").agg(row_count().alias("n_lines"))
 
 
@@ -617,7 +622,8 @@ SELECT c.cnpj, c.c_name AS razao_social,
        c.c_nationkey AS natureza_juridica, c.c_acctbal AS capital_social,
        CASE WHEN c.c_mktsegment = 'BUILDING' THEN '03' ELSE '05' END AS cod_porte,
        coalesce(o.n, 0) AS qtde_socios, coalesce(o.f, false) AS flag_socio_estrangeiro,
-       c.c_mktsegment = 'BUILDING' AND coalesce(o.n, 0) > 1 AS doc_alvo
+       c.c_mktsegment = 'BUILDING' AND coalesce(o.n, 0) > 1 AS doc_alvo,
+       '2024-02-01 12:00:00' AS updated_at
 FROM companies c
 LEFT JOIN (SELECT o_custkey, count(*) AS n, bool_or(o_orderpriority = '1-URGENT') AS f
            FROM orders GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey
@@ -651,10 +657,10 @@ def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = run_path(root, "raw", "run-1")
     _write_archives(_joined(companies), raw, "Empresas")
     _write_archives(_joined(partners), raw, "Socios")
-    registry.run(spark, root, "run-1")
+    registry.run(spark, root, "run-1", as_of=datetime(2024, 2, 1, 12))
     if registry.run(spark, root, "run-1"):
         raise ExpectationError("a finished run must leave nothing to do")
-    return read_snapshot(spark, f"{root}/published").drop("updated_at")
+    return read_snapshot(spark, f"{root}/published").withColumn("updated_at", F.col("updated_at").cast("string"))
 
 
 @query("""
@@ -741,11 +747,11 @@ def stream_land(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_TYPED_ORDERS_SQL)
 def stream_land_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archives landed as they arrive; a second pass finds nothing new."""
+    """Archives landed as they arrive; a second pass finds nothing new, nor does one with a new checkpoint."""
     root = scratch_dir(spark, "stream-archives")
     _write_archives(_joined(_orders_as_text(spark, sf_dir)), f"{root}/raw", "Empresas")
-    for _ in range(2):
-        land_archives_stream(spark, f"{root}/raw", f"{root}/landing", f"{root}/checkpoint", ENTITY_WORDS)
+    for checkpoint in ("checkpoint", "checkpoint", "new-checkpoint"):
+        land_archives_stream(spark, f"{root}/raw", f"{root}/landing", f"{root}/{checkpoint}", ENTITY_WORDS)
     return _typed_orders(read_landing(spark, f"{root}/landing/csv", "empresas"))
 
 
@@ -806,3 +812,94 @@ def snapshot_reader_survives(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(4):
         upsert_snapshot(spark, root, source.withColumn("amount", F.lit(0.0)), "id")
     return reader
+
+
+def _partner_lines(orders: DataFrame) -> DataFrame:
+    return orders.select(F.concat_ws(";", F.col("o_orderkey").cast("string"), F.lit("2;A;;;;;;;;")).alias("value"))
+
+
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS cnpj, o_clerk AS razao_social FROM (
+  SELECT o_orderkey, 'corrected ' || o_orderpriority AS o_clerk FROM orders)
+""")
+def rerun_refreshes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A finished run whose archives are corrected: once bronze has run again, the next run redoes what follows it."""
+    root = scratch_dir(spark, "rerun")
+    orders = table(spark, sf_dir, "orders")
+    key, raw = F.col("o_orderkey").cast("string"), run_path(root, "raw", "run-1")
+    _write_archives(_partner_lines(orders), raw, "Socios")
+    for attempt, prefix in enumerate(("", "corrected ")):
+        name = F.concat(F.lit(prefix), "o_orderpriority")
+        _write_archives(orders.select(F.concat_ws(";", key, name, F.lit("1;49;1,00;05;x")).alias("value")), raw, "Empresas")
+        if attempt:
+            registry.run(spark, root, "run-1", stages=["bronze"], again=True)
+        registry.run(spark, root, "run-1")
+    return read_snapshot(spark, f"{root}/published").select("cnpj", "razao_social")
+
+
+def _write_twin_archives(lines: DataFrame, folder: str) -> None:
+    """As ``_write_archives``, with the lines alternating between two entries of one name."""
+
+    def pack(batches):
+        import io
+        import uuid
+        import warnings
+        import zipfile
+
+        import pyarrow as pa
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        warnings.simplefilter("ignore")
+        part = TaskContext.get().partitionId()
+        place = folder if "://" in folder else f"file://{folder.removeprefix('file:')}"
+        filesystem, inner = fs.FileSystem.from_uri(place)
+        filesystem.create_dir(inner, recursive=True)
+        unfinished = f"{inner}/E{part}-{uuid.uuid4().hex}.part"
+        with filesystem.open_output_stream(unfinished) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for batch in batches:
+                values = batch.column(0).to_pylist()
+                for half in (values[::2], values[1::2]):
+                    with z.open("K.CSV", "w", force_zip64=True) as entry:
+                        io.TextIOWrapper(entry, "iso-8859-1", newline="\n").writelines(f"{v}\n" for v in half)
+        filesystem.move(unfinished, f"{inner}/E{part}.zip")
+        yield pa.record_batch([pa.array([part])], names=["part"])
+
+    lines.mapInArrow(pack, "part long").write.format("noop").mode("overwrite").save()
+
+
+@query("""
+SELECT CASE WHEN o_orderstatus = 'O' THEN 'open' ELSE 'other' END AS folder, 'K.CSV' AS entry, o_orderkey AS order_id,
+       o_orderpriority AS priority, o_totalprice AS total FROM orders
+""")
+def archive_same_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries of one name, inside an archive and in archives of one name in two folders: all rows, with their lineage."""
+    root = scratch_dir(spark, "same-names")
+    orders, is_open = table(spark, sf_dir, "orders"), F.col("o_orderstatus") == "O"
+    for folder, chosen in (("open", is_open), ("other", ~is_open)):
+        rows = orders.filter(chosen).select("o_orderkey", "o_orderpriority", "o_totalprice")
+        texts = rows.withColumn("o_totalprice", F.replace(F.col("o_totalprice").cast("string"), F.lit("."), F.lit(",")))
+        _write_twin_archives(_joined(texts.withColumn("o_orderkey", F.col("o_orderkey").cast("string"))), f"{root}/zips/{folder}")
+    land_archives(list_files(spark, f"{root}/zips", ".zip"), root)
+    landed = read_landing(spark, f"{root}/csv", schema=raw_schema(3))
+    return landed.select(
+        F.substring_index("_archive", "/", 1).alias("folder"),
+        F.col("_entry").alias("entry"),
+        F.col("_c0").cast("long").alias("order_id"),
+        F.col("_c1").alias("priority"),
+        decimal_comma("_c2").alias("total"),
+    )
+
+
+@query(_TYPED_ORDERS_SQL)
+def landing_keeps_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives that come again with other contents: what landed first under a name stays, and new names are added."""
+    root = scratch_dir(spark, "keeps-first")
+    orders = _orders_as_text(spark, sf_dir)
+    even = F.col("o_orderkey").cast("long") % 2 == 0
+    for attempt, (name, rows) in enumerate(
+        (("A", orders.filter(even)), ("A", orders.withColumn("o_orderpriority", F.lit("new"))), ("B", orders.filter(~even)))
+    ):
+        _write_archives(_joined(rows), f"{root}/zips-{attempt}", name)
+        land_archives(list_files(spark, f"{root}/zips-{attempt}", ".zip"), root, keep_landed=True)
+    return _typed_orders(read_landing(spark, f"{root}/csv"))

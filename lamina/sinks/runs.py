@@ -6,7 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
+from lamina.operators.guards import require_set_key
 from lamina.operators.joins import missing_from
+from lamina.operators.keys import latest_per_key
+from lamina.sources.tables import load_if_present
 
 
 def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -32,6 +35,14 @@ def overwrite_partitions(df: DataFrame, path: str, by: str | Sequence[str] = "ru
     return seen.get["rows"]
 
 
-def append_new(incoming: DataFrame, landed: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Incoming rows whose name has not landed yet; what has landed is never replaced."""
-    return missing_from(incoming, landed, on)
+def append_new(incoming: DataFrame, path: str, on: str | Sequence[str]) -> int:
+    """Append the incoming rows whose name is not in the table at ``path`` yet; returns how many.
+
+    What has landed is never replaced. One row per name is taken, the greatest by its other columns; a row
+    without a name is an error.
+    """
+    landed = load_if_present(incoming.sparkSession, path)
+    first = latest_per_key(require_set_key(incoming, on).withColumn("_one", F.lit(1)), on, "_one").drop("_one")
+    observed, seen = _observed(first if landed is None else missing_from(first, landed, on))
+    observed.write.mode("append").parquet(path)
+    return seen.get["rows"]

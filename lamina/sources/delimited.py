@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from lamina.functions.values import DEFAULT_SEPARATOR, separator_of
-from lamina.session import session_setting
+from lamina.operators.joins import lookup_join
+from lamina.schemas import raw_schema
+from lamina.session import scratch_dir, session_setting
 from lamina.sources.archives import DELIMITER_NAMES, SAMPLE_BYTES, UNCLASSIFIED, file_opener
 from lamina.sources.files import list_files
 from lamina.sources.tables import load_if_present
@@ -104,23 +106,60 @@ def _stack(tables: Sequence[DataFrame]) -> DataFrame:
     return stacked.select(*data, *[c for c in stacked.columns if c not in data])
 
 
-def read_detected(spark: SparkSession, root: str, suffix: str = ".csv", **options) -> DataFrame:
-    """Scan of the files below ``root``, each with its own separator: one scan per separator.
+def _fields(line: str, sep: str | Column) -> Column:
+    """Number of fields of a line; a separator inside quotes does not count."""
+    unquoted = F.regexp_replace(line, '"(?:[^"]|"")*"', "")
+    return F.length(unquoted) - F.length(F.replace(unquoted, sep)) + 1
 
-    With one separator throughout, the folder itself is scanned. Only a mixed folder needs a path
-    list per separator, and then the driver sees the file names, as in any scan of a path list.
+
+def read_detected(
+    spark: SparkSession,
+    root: str,
+    suffix: str = ".csv",
+    schema: StructType | None = None,
+    encoding: str = ENCODING,
+    multi_line: bool = False,
+    corrupt: str | None = None,
+    sample_bytes: int = SAMPLE_BYTES,
+) -> DataFrame:
+    """Scan of the files below ``root``, each with its own separator, as strings with the file in ``_file``.
+
+    The folder is scanned once as text; each line meets its file's separator and is parsed with it, so no list of files
+    goes through the driver. Without a schema the width is that of the widest row, found by a scan of its own;
+    with one the other options are those of ``read_delimited``. Encodings in which a line break is the byte 10 are read.
+    Line breaks inside quotes need one separator throughout.
     """
-    files = detect_separators(list_files(spark, root, suffix))
-    found = sorted(r["sep"] for r in files.select("sep").distinct().collect())
+    listed = list_files(spark, root, suffix)
+    seps = listed.select("path", "uri").join(detect_separators(listed, encoding, sample_bytes), "path")
+    place = scratch_dir(spark, "separators")
+    # Stored, so that its size is known when the join with the lines is planned.
+    seps.select(F.col("uri").alias("_file"), F.col("sep").alias("_sep")).write.parquet(place)
+    seps = spark.read.schema("_file string, _sep string").parquet(place)
+    found = sorted(r["_sep"] for r in seps.select("_sep").distinct().collect())
     if not found:
         raise FileNotFoundError(f"no {suffix} file in {root}")
-    if len(found) == 1:
-        folder = spark.read.option("recursiveFileLookup", "true")
-        return _scan(folder, [root], found[0], **options)
-    paths: dict[str, list[str]] = {sep: [] for sep in found}
-    for row in files.toLocalIterator():
-        paths[row["sep"]].append(row["path"])
-    return _stack([read_delimited(spark, paths[sep], sep, **options) for sep in found])
+    if corrupt and schema is None:
+        raise ValueError("rows of the wrong width can only be told with a schema")
+    folder = spark.read.option("recursiveFileLookup", "true")
+    if multi_line:
+        if len(found) > 1:
+            raise ValueError(f"line breaks inside quotes need one separator, here are {found}")
+        return _scan(folder, [root], found[0], schema, encoding, multi_line, corrupt)
+    text = folder.text(root).select(
+        F.decode(F.col("value").cast("binary"), encoding).alias("_line"), F.col("_metadata.file_path").alias("_file")
+    )
+    lines = lookup_join(text, seps, "_file", "inner").filter(F.col("_line").rlike("[^\\x00-\\x20]"))
+    if schema is None:
+        schema = raw_schema(lines.agg(F.max(_fields("_line", F.col("_sep")))).first()[0] or 0)
+    wanted = schema if not corrupt else StructType([*schema.fields, StructField(corrupt, StringType())])
+    options = {k: v for k, v in _options("", encoding, False).items() if k in ("quote", "escape")}
+    if corrupt:
+        options["columnNameOfCorruptRecord"] = corrupt
+    parsed = F.coalesce(
+        *[F.when(F.col("_sep") == s, F.from_csv("_line", wanted.toDDL(), {**options, "sep": s})) for s in found]
+    )
+    rows = lines.select(parsed.alias("_row"), "_file")
+    return rows.select(*[F.col("_row").getField(c).alias(c) for c in wanted.fieldNames()], "_file")
 
 
 def read_landing(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from lamina.functions.names import base_name, classify_name
@@ -13,6 +13,8 @@ from lamina.sources.tables import load_if_present, rows_of
 _LISTING = StructType(
     [
         StructField("path", StringType()),
+        StructField("archive", StringType()),
+        StructField("uri", StringType()),
         StructField("name", StringType()),
         StructField("length", LongType()),
         StructField("modified", TimestampType()),
@@ -20,10 +22,18 @@ _LISTING = StructType(
 )
 
 
+def path_below(c: str | Column, root: str) -> Column:
+    """The part of a path below ``root``, whether or not either names the file system; else the base name."""
+    bare = lambda path: F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/+", "/")
+    path, start = bare(F.col(c) if isinstance(c, str) else c), F.concat(F.rtrim(bare(F.lit(root)), F.lit("/")), F.lit("/"))
+    return F.when(F.startswith(path, start), F.substring(path, F.length(start) + 1, F.length(path))).otherwise(base_name(path))
+
+
 def list_files(spark: SparkSession, root: str | Sequence[str], suffix: str = "") -> DataFrame:
     """Files below ``root`` whose name ends in ``suffix``, ignoring case.
 
-    Names and sizes only: file contents are pruned from the scan. A missing root lists nothing;
+    ``archive`` is the path below the root, the base name for explicitly named files; ``uri`` is the path as scans
+    report it. Names and sizes only: file contents are pruned from the scan. A missing root lists nothing;
     explicitly named files must exist.
     """
     options = {"recursiveFileLookup": "true"}
@@ -33,8 +43,10 @@ def list_files(spark: SparkSession, root: str | Sequence[str], suffix: str = "")
             return rows_of(spark, _LISTING)
     else:
         files = spark.read.format("binaryFile").options(**options).load(sorted(set(root)))
+    below = path_below("path", root) if isinstance(root, str) else base_name("path")
+    uri = F.col("_metadata.file_path").alias("uri")
     listed = files.select(
-        "path", base_name("path").alias("name"), "length", F.col("modificationTime").alias("modified")
+        "path", below.alias("archive"), uri, base_name("path").alias("name"), "length", F.col("modificationTime").alias("modified")
     )
     return listed.filter(F.lower("name").endswith(suffix.lower())) if suffix else listed
 

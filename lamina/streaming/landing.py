@@ -14,6 +14,7 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 from lamina.functions.names import base_name, classify_name
 from lamina.sinks.landing import land_archives
 from lamina.sinks.snapshots import upsert_snapshot
+from lamina.sources.files import path_below
 
 _FILE = StructType(
     [
@@ -44,18 +45,20 @@ def land_archives_stream(
     archive_suffix: str = ".zip",
     entry_suffix: str = ".csv",
 ) -> None:
-    """Add the entries of new archives to ``landing/csv``.
+    """Add the entries of new archives to ``landing/csv``; the one that landed first under a name below ``raw`` stays.
 
-    A replayed batch replaces what it wrote before. Only paths travel through the stream; executors read
+    Names and not batches decide, so neither a replayed batch nor a new checkpoint lands an archive twice. Only paths travel through the stream; executors read
     the archives when they inflate them.
     """
     files = spark.readStream.format("binaryFile").schema(_FILE).option("recursiveFileLookup", "true").load(raw)
-    arrived = files.select("path", classify_name(base_name("path"), rules).alias("entity")).filter(
+    arrived = files.select(
+        "path", path_below("path", raw).alias("archive"), classify_name(base_name("path"), rules).alias("entity")
+    ).filter(
         F.lower("path").endswith(archive_suffix.lower()) & F.col("entity").isNotNull()
     )
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        land_archives(batch, landing, entry_suffix, batch=batch_id)
+        land_archives(batch, landing, entry_suffix, keep_landed=True)
 
     _finish(arrived.writeStream.foreachBatch(land), checkpoint)
 

@@ -453,6 +453,7 @@ def test_stream_lands_each_archive_once(spark, tmp_path, rows):
     assert (landed("empresas"), landed("socios")) == (3, 4)
     put_archive(raw / "unknown.zip", "S.csv", PARTNER_LINES)
     land_archives_stream(spark, str(raw), out, check, ENTITY_WORDS)
+    land_archives_stream(spark, str(raw), out, f"{check}-2", ENTITY_WORDS)
     assert (landed("empresas"), landed("socios")) == (3, 4)
 
 

@@ -4,9 +4,11 @@ import zipfile
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from lamina.schemas import ENTITY_WORDS, raw_schema
 from lamina.sinks import land_archives, land_entries
+from lamina.sources.archives import packed
 from lamina.sources import (
     classify_archives,
     detect_separators,
@@ -187,6 +189,50 @@ def test_equal_archive_names_in_two_folders(spark, tmp_path):
     assert sorted(r[0] for r in got.select("_c1").collect()) == ["a\na"] * 200 + ["b\nb"] * 200
 
 
+def test_repeated_entry_names_are_all_read(spark, tmp_path, rows):
+    (tmp_path / "raw" / "sub").mkdir(parents=True)
+    for name in ("E.zip", "sub/E.zip"):
+        with pytest.warns(UserWarning), zipfile.ZipFile(tmp_path / "raw" / name, "w") as z:
+            z.writestr("k.csv", f"{name};1\n")
+            z.writestr("k.csv", f"{name};2\n")
+    archives = list_files(spark, str(tmp_path / "raw"), ".zip")
+    expected = [(n, n, c) for n in ("E.zip", "sub/E.zip") for c in "12"]
+    for ordered in (False, True):
+        land_archives(archives, str(tmp_path / "out"), ordered=ordered)
+        assert rows(read_landing(spark, str(tmp_path / "out" / "csv")), "_archive", "_c0", "_c1") == expected
+
+
+def test_entries_are_packed_by_size(spark):
+    """No two large entries share a task, and tasks grow with bytes, not with entries."""
+    sizes = "CASE WHEN id % 100 = 0 THEN 1000 + id ELSE 1 END"
+    entries = spark.range(2000).selectExpr("concat('p', id % 7) AS path", "CAST(id AS INT) AS nth", f"{sizes} AS size")
+    dealt, tasks = packed(entries, 1000)
+    loads = dealt.groupBy("_task").agg(F.sum("size").alias("size"), F.count("nth").alias("n")).collect()
+    assert dealt.count() == 2000 and all(0 <= r["_task"] < tasks for r in loads)
+    assert all(r["n"] == 1 or r["size"] < 2000 for r in loads)
+    assert sum(r["size"] >= 1000 for r in loads) == 20 and tasks <= 20 + 64
+    assert packed(entries.limit(0), 1000)[1] == 1
+
+
+def test_what_landed_first_stays(spark, tmp_path, rows):
+    out = str(tmp_path / "out")
+    for turn, name, lines in ((0, "E", "a;1\n"), (1, "E", "b;1\n"), (1, "F", "c|2\n"), (2, "F", "d;3\n")):
+        write_zip(tmp_path / f"raw{turn}" / f"{name}.zip", **{"k.csv": lines})
+    landed = [land_archives(list_files(spark, str(tmp_path / f"raw{i}"), ".zip"), out, keep_landed=True) for i in range(3)]
+    assert landed == [1, 1, 0]
+    assert rows(read_landing(spark, f"{out}/csv"), "_c0", "_archive") == [("a", "E.zip"), ("c", "F.zip")]
+
+
+def test_no_row_is_cut_by_the_width_of_another(spark, tmp_path, rows):
+    (tmp_path / "ç 1+1%.csv").write_bytes('1;"a;""b"\n\n2;ç;d;e\n'.encode("iso-8859-1"))
+    assert rows(read_detected(spark, str(tmp_path)).drop("_file")) == [("1", 'a;"b', None, None), ("2", "ç", "d", "e")]
+    (tmp_path / "b.csv").write_text("3|w\n")
+    got = read_detected(spark, str(tmp_path), schema=raw_schema(2), corrupt="_bad")
+    assert rows(got.drop("_file")) == [("1", 'a;"b', None), ("2", "ç", "2;ç;d;e"), ("3", "w", None)]
+    with pytest.raises(ValueError, match="one separator"):
+        read_detected(spark, str(tmp_path), multi_line=True)
+
+
 def test_archives_without_entries_land_nothing(spark, tmp_path):
     write_zip(tmp_path / "raw" / "Empresas.zip", **{"K.EMPRECSV": "1;2\n"})
     archives = list_files(spark, str(tmp_path / "raw"), ".zip")
