@@ -27,9 +27,10 @@ SEED = 20
 LETTERS = 128
 OTHERS = 101
 
-# Characters and trigrams handled at a time.
+# Characters, trigrams and trigram counts handled at a time.
 CHARACTERS = 1 << 20
 TRIGRAMS = 4096
+CELLS = 1 << 24
 
 UNKNOWN = "und"
 
@@ -62,8 +63,12 @@ def _letter_vectors(dimensions: int):
     return [np.roll(plain, shift, axis=1) for shift in (2, 1, 0)]
 
 
-def _counted(texts: list[str]) -> Iterator[tuple]:
-    """Blocks of texts: first text, trigram codes, the number of each text's letters, counts (texts x codes)."""
+def _counted(texts: list[str], cells: int = CELLS) -> Iterator[tuple]:
+    """Blocks of texts: first text, trigram codes, the number of each text's letters, counts (texts x codes).
+
+    A block whose counts would have more than ``cells`` numbers is halved, down to single texts. So many short texts, or a
+    script of many letters, need no more memory than others.
+    """
     import numpy as np
 
     table = worker_cache("language", "letters", _letter_table)
@@ -73,16 +78,26 @@ def _counted(texts: list[str]) -> Iterator[tuple]:
         letters = table[np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)].astype(np.int64)
         middle = np.flatnonzero(letters)
         code = (letters[middle - 1] * LETTERS + letters[middle]) * LETTERS + letters[middle + 1]
-        seen = np.zeros(LETTERS**3, bool)
-        seen[code] = True
-        codes = np.flatnonzero(seen)
-        place = np.zeros(LETTERS**3, np.int32)
-        place[codes] = np.arange(len(codes))
         sizes = np.array([len(t) + 1 for t in lows[begin:end]])
         text = np.searchsorted(np.cumsum(sizes), middle - 1, side="right")
-        cells = np.bincount(text * len(codes) + place[code], minlength=len(sizes) * len(codes))
-        counts = cells.reshape(len(sizes), len(codes)).astype(np.float32)
-        yield begin, codes, np.bincount(text, minlength=len(sizes)), counts
+        open_ = [(0, len(sizes))]
+        while open_:
+            first, stop = open_.pop()
+            many = stop - first
+            i, j = np.searchsorted(text, (first, stop))
+            seen = np.zeros(LETTERS**3, bool)
+            seen[code[i:j]] = True
+            codes = np.flatnonzero(seen)
+            if many > 1 and many * len(codes) > cells:
+                half = (first + stop) // 2
+                open_ += [(half, stop), (first, half)]
+                continue
+            place = np.zeros(LETTERS**3, np.int32)
+            place[codes] = np.arange(len(codes))
+            own = text[i:j] - first
+            counts = np.bincount(own * len(codes) + place[code[i:j]], minlength=many * len(codes))
+            counts = counts.reshape(many, len(codes)).astype(np.float32)
+            yield begin + first, codes, np.bincount(own, minlength=many), counts
 
 
 def _bundled(codes, counts, dimensions: int):

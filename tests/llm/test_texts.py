@@ -45,6 +45,20 @@ def test_language_bundles(spark, monkeypatch):
     assert (found[4]["lang_pred"], found[4]["score"]) == ("und", 0)
 
 
+@pytest.mark.parametrize("cells", [1, 20, 1 << 24])
+def test_blocks_of_any_size_count_the_same(cells):
+    """Halved blocks cover every text once, in their order, with the bundles of the whole."""
+    texts = ["", "the cat", "12", "日本語のテキスト", "le chat", "x", "", "the cat"]
+    blocks = list(langid._counted(texts, cells))
+    assert cells > 20 or len(blocks) > 1
+    assert [b for b, *_ in blocks] == np.cumsum([0, *[len(c) for *_, c in blocks[:-1]]]).tolist()
+    assert sum(len(c) for *_, c in blocks) == len(texts)
+    bundles = np.concatenate([langid._bundled(codes, counts, 64) for _, codes, _, counts in blocks])
+    assert np.allclose(bundles, [slow_bundle(t, 64) for t in texts])
+    letters = np.concatenate([n for _, _, n, _ in blocks])
+    assert letters.tolist() == [sum(c.isalpha() for c in t) for t in texts]
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = queries.op1_language_id(spark, "/root/testdata/sf0.01").filter("held_out")
