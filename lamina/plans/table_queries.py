@@ -40,6 +40,7 @@ from lamina.operators import (
     lookup_join,
     missing_from,
     positional_rename,
+    require_rows,
     require_unique_key,
     split_rows,
 )
@@ -59,6 +60,7 @@ from lamina.sources import (
     read_first_available,
     read_landing,
     read_manifest,
+    resolve_archives,
 )
 from lamina.sources.tables import rows_of
 from lamina.streaming import land_archives_stream, stream_to_table, upsert_stream
@@ -903,3 +905,54 @@ def landing_keeps_first(spark: SparkSession, sf_dir: str) -> DataFrame:
         _write_archives(_joined(rows), f"{root}/zips-{attempt}", name)
         land_archives(list_files(spark, f"{root}/zips-{attempt}", ".zip"), root, keep_landed=True)
     return _typed_orders(read_landing(spark, f"{root}/csv"))
+
+
+@query("""
+SELECT 'explicit' AS origin, 'empresas' AS entity, o_orderkey AS order_id FROM orders
+UNION ALL SELECT 'raw_zips', 'socios', o_orderkey FROM orders
+""")
+def archive_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives that are named, whatever they are called, and those of the spare folder where nothing has arrived."""
+    root = scratch_dir(spark, "sources")
+    keys = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("value"))
+    _write_archives(keys, f"{root}/named", "x")
+    _write_archives(keys, f"{root}/raw_zips", "Socios")
+    roots = [f"{root}/raw", f"{root}/raw_zips"]
+    found = None
+    for explicit, entity in (({"empresas": [f"{root}/named"]}, "empresas"), (None, "socios")):
+        archives, origin = resolve_archives(spark, roots, ENTITY_WORDS, explicit)
+        land_archives(archives, f"{root}/{entity}")
+        landed = read_landing(spark, f"{root}/{entity}/csv", entity, raw_schema(1))
+        rows = landed.select(
+            F.lit(origin.removeprefix(f"{root}/")).alias("origin"), F.lit(entity).alias("entity"), F.col("_c0").cast("long").alias("order_id")
+        )
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+@query("""
+SELECT 'rows' AS guard, 'orders' AS name, true AS met, count(*) AS n_rows FROM orders
+UNION ALL SELECT 'rows', 'lines of negative quantity', false, count(*) FROM lineitem WHERE l_quantity < 0
+UNION ALL SELECT 'width', 'part', true, count(*) FROM part
+UNION ALL SELECT 'width', 'nation', false, count(*) FROM nation
+""")
+def guard_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the guards say of tables that have rows and width enough, and of tables that have not."""
+    lines = table(spark, sf_dir, "lineitem").filter("l_quantity < 0")
+    cases = [
+        ("rows", "orders", table(spark, sf_dir, "orders"), lambda df: require_rows(df, "orders are empty")),
+        ("rows", "lines of negative quantity", lines, lambda df: require_rows(df, "no such line")),
+        ("width", "part", table(spark, sf_dir, "part"), lambda df: positional_rename(df, ["key", "name"])),
+        ("width", "nation", table(spark, sf_dir, "nation"), lambda df: positional_rename(df, [f"f{i}" for i in range(40)])),
+    ]
+    found = None
+    for guard, name, df, check in cases:
+        try:
+            df, met = check(df), True
+        except (ExpectationError, ValueError):
+            met = False
+        row = df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(guard).alias("guard"), F.lit(name).alias("name"), F.lit(met).alias("met"), "n_rows"
+        )
+        found = row if found is None else found.unionByName(row)
+    return found
