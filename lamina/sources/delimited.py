@@ -74,27 +74,27 @@ def read_delimited(
 
 
 def file_heads(files: DataFrame, size: int = SAMPLE_BYTES, opener: Callable | None = None) -> DataFrame:
-    """First bytes of the files in ``path``; nothing beyond them is read."""
+    """First bytes of the files in ``path``, with their ``uri`` if there is one; nothing beyond them is read."""
     open_path = opener or file_opener(read_ahead=size)
+    names = [c for c in ("path", "uri") if c in files.columns]
 
     def read_heads(batches):
         import pyarrow as pa
 
         for batch in batches:
-            paths = batch.column(0).to_pylist()
             heads = []
-            for path in paths:
+            for path in batch.column(0).to_pylist():
                 with open_path(path) as handle:
                     heads.append(handle.read(size))
-            yield pa.record_batch([pa.array(paths, pa.string()), pa.array(heads, pa.binary())], names=["path", "head"])
+            yield pa.record_batch([*batch.columns, pa.array(heads, pa.binary())], names=[*names, "head"])
 
-    schema = StructType([StructField("path", StringType()), StructField("head", BinaryType())])
-    return files.select("path").mapInArrow(read_heads, schema)
+    schema = StructType([*[StructField(c, StringType()) for c in names], StructField("head", BinaryType())])
+    return files.select(*names).mapInArrow(read_heads, schema)
 
 
 def detect_separators(files: DataFrame, encoding: str = ENCODING, size: int = SAMPLE_BYTES) -> DataFrame:
     """Separator of each file in ``path``, from its first bytes."""
-    return file_heads(files, size).select("path", separator_of(F.decode("head", encoding)).alias("sep"))
+    return file_heads(files, size).withColumn("sep", separator_of(F.decode("head", encoding))).drop("head")
 
 
 def _stack(tables: Sequence[DataFrame]) -> DataFrame:
@@ -124,33 +124,34 @@ def read_detected(
 ) -> DataFrame:
     """Scan of the files below ``root``, each with its own separator, as strings with the file in ``_file``.
 
-    The folder is scanned once as text; each line meets its file's separator and is parsed with it, so no list of files
-    goes through the driver. Without a schema the width is that of the widest row, found by a scan of its own;
-    with one the other options are those of ``read_delimited``. Encodings in which a line break is the byte 10 are read.
-    Line breaks inside quotes need one separator throughout.
+    Without a schema the width is that of the widest row, found by a scan of its own, but with ``multi_line`` that of
+    the first record, so give a schema there. The other options are those of ``read_delimited``. Of files with several separators the folder is scanned once as text; each line meets its
+    file's separator and is parsed with it, so no list of files goes through the driver. Encodings in
+    which a line break is the byte 10 are read, and line breaks inside quotes need one separator throughout.
     """
-    listed = list_files(spark, root, suffix)
-    seps = listed.select("path", "uri").join(detect_separators(listed, encoding, sample_bytes), "path")
+    if corrupt and schema is None:
+        raise ValueError("rows of the wrong width can only be told with a schema")
     place = scratch_dir(spark, "separators")
     # Stored, so that its size is known when the join with the lines is planned.
-    seps.select(F.col("uri").alias("_file"), F.col("sep").alias("_sep")).write.parquet(place)
+    detected = detect_separators(list_files(spark, root, suffix), encoding, sample_bytes)
+    detected.select(F.col("uri").alias("_file"), F.col("sep").alias("_sep")).write.parquet(place)
     seps = spark.read.schema("_file string, _sep string").parquet(place)
     found = sorted(r["_sep"] for r in seps.select("_sep").distinct().collect())
     if not found:
         raise FileNotFoundError(f"no {suffix} file in {root}")
-    if corrupt and schema is None:
-        raise ValueError("rows of the wrong width can only be told with a schema")
-    folder = spark.read.option("recursiveFileLookup", "true")
-    if multi_line:
-        if len(found) > 1:
-            raise ValueError(f"line breaks inside quotes need one separator, here are {found}")
-        return _scan(folder, [root], found[0], schema, encoding, multi_line, corrupt)
-    text = folder.text(root).select(
+    if multi_line and len(found) > 1:
+        raise ValueError(f"line breaks inside quotes need one separator, here are {found}")
+    glob = "*" + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix)
+    folder = {"recursiveFileLookup": "true", "pathGlobFilter": glob}
+    text = spark.read.options(**folder).text(root).select(
         F.decode(F.col("value").cast("binary"), encoding).alias("_line"), F.col("_metadata.file_path").alias("_file")
     )
-    lines = lookup_join(text, seps, "_file", "inner").filter(F.col("_line").rlike("[^\\x00-\\x20]"))
-    if schema is None:
+    mixed = len(found) > 1
+    lines = lookup_join(text, seps, "_file", "inner") if mixed else text.withColumn("_sep", F.lit(found[0]))
+    if schema is None and not multi_line:
         schema = raw_schema(lines.agg(F.max(_fields("_line", F.col("_sep")))).first()[0] or 0)
+    if not mixed:
+        return _scan(spark.read.options(**folder), [root], found[0], schema, encoding, multi_line, corrupt)
     wanted = schema if not corrupt else StructType([*schema.fields, StructField(corrupt, StringType())])
     options = {k: v for k, v in _options("", encoding, False).items() if k in ("quote", "escape")}
     if corrupt:
@@ -158,7 +159,8 @@ def read_detected(
     parsed = F.coalesce(
         *[F.when(F.col("_sep") == s, F.from_csv("_line", wanted.toDDL(), {**options, "sep": s})) for s in found]
     )
-    rows = lines.select(parsed.alias("_row"), "_file")
+    # A CSV scan passes over blank lines, too.
+    rows = lines.filter(F.col("_line").rlike("[^\\x00-\\x20]")).select(parsed.alias("_row"), "_file")
     return rows.select(*[F.col("_row").getField(c).alias(c) for c in wanted.fieldNames()], "_file")
 
 

@@ -226,6 +226,8 @@ def test_what_landed_first_stays(spark, tmp_path, rows):
 def test_no_row_is_cut_by_the_width_of_another(spark, tmp_path, rows):
     (tmp_path / "ç 1+1%.csv").write_bytes('1;"a;""b"\n\n2;ç;d;e\n'.encode("iso-8859-1"))
     assert rows(read_detected(spark, str(tmp_path)).drop("_file")) == [("1", 'a;"b', None, None), ("2", "ç", "d", "e")]
+    (tmp_path / "note.txt").write_text("9,9,9,9,9,9,9\n")
+    assert read_detected(spark, str(tmp_path), schema=raw_schema(2), multi_line=True).count() == 2
     (tmp_path / "b.csv").write_text("3|w\n")
     got = read_detected(spark, str(tmp_path), schema=raw_schema(2), corrupt="_bad")
     assert rows(got.drop("_file")) == [("1", 'a;"b', None), ("2", "ç", "2;ç;d;e"), ("3", "w", None)]
