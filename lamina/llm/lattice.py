@@ -96,6 +96,7 @@ class Lattice:
     def __init__(self, scores: dict[str | int, float]):
         self.octets = [scores[b] for b in range(256)]
         self.root: dict = {}
+        self.longest = max((len(p) for p in scores if isinstance(p, str)), default=1)
         for piece, score in scores.items():
             if isinstance(piece, str):
                 node = self.root
@@ -108,11 +109,13 @@ class Lattice:
         from math import exp, log
 
         line = BLANK + word
-        arrivals: list[list[float]] = [[] for _ in range(len(line) + 1)]
+        # Only the positions that a piece from here can reach are open, however long the word is.
+        arrivals: list[list[float] | None] = [[] for _ in range(self.longest + 1)]
         arrivals[0].append(0.0)
         for i, letter in enumerate(line):
             into = arrivals[i]
             arrivals[i] = None
+            arrivals.append([])
             if len(into) == 1:
                 here = into[0]
             else:
@@ -127,7 +130,7 @@ class Lattice:
                 if j == len(line):
                     break
                 node, j = node.get(line[j]), j + 1
-        last = arrivals[-1]
+        last = arrivals[len(line)]
         most = max(last)
         return (most + log(sum([exp(x - most) for x in last]))) / log(10)
 
