@@ -9,7 +9,7 @@ values of the document and different ones for different ones.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from lamina.llm.common import ROW_KEY, row_key, runs_of, small_batches, stash, worker_cache
 from lamina.operators.joins import lookup_join
@@ -232,42 +232,67 @@ def contaminated(
 
     ``reparameterised`` tells that a slot has another value than in the item. An item with fewer than
     ``size`` words has no window and is held by nothing; NULL texts hold nothing. Equal items are each reported;
-    items with one id are one item. Repeated rows are found together, by their keys.
+    items with one id are one item, those without an id one item per text. Repeated rows are found together, by their
+    keys.
 
     Every worker filters the windows of its documents by a bit filter of the benchmark's hashes, of a
     fixed size; only windows that may match are joined. With a benchmark so large that the filter
-    is full, all windows are joined and the result is the same.
+    is full, all windows are joined and the result is the same. Documents meet items by the items' rarest windows only
+    (``_rarest``), so a phrase that many items share does not join every document that has it with all of them.
     """
     items = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("_lamina_text"))
-    asked = _emit(items, ["item_id"], "_lamina_text", size).withColumnRenamed("pos", "nth")
+    unnamed = F.when(F.col("item_id").isNull(), F.col("_lamina_text"))
+    items = items.withColumn("item", F.to_json(F.struct("item_id", unnamed.alias("text"))))
+    asked = _emit(items, ["item", "item_id"], "_lamina_text", size).withColumnRenamed("pos", "nth")
     asked = stash(asked.withColumnRenamed("slots", "asked"), "benchmark-windows")
-    totals = asked.groupBy("item_id").agg(F.count_distinct("h").alias("n_windows"))
-    found = _emit(docs, keys, text, size, _filter_of(asked))
+    rarest = stash(_rarest(asked.select("item", "h").distinct(), similarity), "rarest-windows")
+    found = stash(_emit(docs, keys, text, size, _filter_of(asked)), "document-windows")
+    met = stash(found.select(*keys, "h").join(rarest, "h").select(*keys, "item", "n_windows").distinct(), "candidates")
     none = F.array().cast("array<string>")
-    joined = found.join(asked, "h").withColumns(
+    same = [found[k].eqNullSafe(met[k]) for k in keys]
+    joined = met.join(asked, "item").join(found, [*same, found["h"] == asked["h"]])
+    joined = joined.select(*[met[k] for k in keys], "item", "item_id", "n_windows", asked["h"], "pos", "nth", "asked", "slots")
+    joined = joined.withColumns(
         {"shift": F.col("pos") - F.col("nth"), "a": F.coalesce("asked", none), "b": F.coalesce("slots", none)}
     )
     # Copies of a passage in many documents make equal rows of small size; nothing larger than the slots of a
     # document's own windows is ever gathered.
-    along = [*keys, "item_id", "shift"]
+    along = [*keys, "item", "item_id", "n_windows"]
     pairs = F.array_distinct(F.filter(F.arrays_zip("a", "b"), lambda p: p["a"].isNotNull()))
-    lines = joined.groupBy(*along).agg(
+    lines = joined.groupBy(*along, "shift").agg(
         F.collect_set("h").alias("hs"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")
     )
     values = lambda name: F.size(F.array_distinct(F.col("pairs").getField(name)))
     consistent = (values("a") == F.size("pairs")) & (values("b") == F.size("pairs"))
     changed = F.exists("pairs", lambda p: p["a"] != p["b"])
     good = lines.filter(consistent).withColumn("changed", changed)
-    held = good.groupBy(*keys, "item_id").agg(
+    held = good.groupBy(*along).agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("hs")))).alias("matched"), F.bool_or("changed").alias("reparameterised")
     )
-    judged = lookup_join(held, totals, "item_id", "inner")
     share = F.col("matched") / F.col("n_windows")
-    return judged.filter(F.col("matched") >= F.ceil(F.col("n_windows") * similarity - 1e-9)).select(
+    return held.filter(F.col("matched") >= _needed(similarity)).select(
         *keys, "item_id", "n_windows", "matched", share.alias("similarity"), "reparameterised"
     )
 
 
+def _needed(similarity: float):
+    """How many of an item's ``n_windows`` a document has to hold."""
+    return F.ceil(F.col("n_windows") * similarity - 1e-9)
+
+
+def _rarest(windows: DataFrame, similarity: float) -> DataFrame:
+    """(item, h, n_windows): of each item the windows that fewest items have, one more than a document may lack.
+
+    A document that holds the item lacks at most ``n_windows - needed`` of its windows, so it has one of these.
+    """
+    spread = windows.groupBy("h").agg(F.count(F.lit(1)).alias("items"))
+    own = Window.partitionBy("item")
+    ranked = lookup_join(windows, spread, "h", "inner").withColumns(
+        {"n_windows": F.count(F.lit(1)).over(own), "place": F.row_number().over(own.orderBy("items", "h"))}
+    )
+    return ranked.filter(F.col("place") <= F.col("n_windows") - _needed(similarity) + 1).select("item", "h", "n_windows")
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with all their columns."""
     named = docs.withColumns(row_key(doc_id, text))

@@ -215,6 +215,38 @@ def test_one_alignment_must_be_consistent(spark):
     assert set(found) == {(0, 0)}
 
 
+@pytest.mark.parametrize("similarity", [0.3, 0.8, 1.0])
+def test_items_that_share_most_windows(spark, similarity):
+    """Against every document compared with every item: many items begin alike, and parts of them are in documents."""
+    opening = "please read the whole question with care and then choose the one best answer from the list below"
+    tails = ["which metal melts first", "what colour does the clear sky have at noon", "who wrote it", "", "who wrote it"]
+    items = [f"{opening} {t}" for t in tails]
+    words = items[1].split()
+    docs = [opening, *items, " ".join(words[2:]), " ".join(words[:-3]), " ".join(words[9:]), f"{items[0]} {items[1]}"]
+    found = pairs_of(spark, docs, items, similarity=similarity)
+
+    def shingles(text):
+        own = text.split()
+        return {tuple(own[i : i + 5]) for i in range(len(own) - 4)}
+
+    expected = {
+        (d, i): len(shingles(doc) & shingles(item))
+        for d, doc in enumerate(docs)
+        for i, item in enumerate(items)
+        if len(shingles(doc) & shingles(item)) >= similarity * len(shingles(item))
+    }
+    assert {pair: r["matched"] for pair, r in found.items()} == expected
+
+
+def test_items_and_documents_without_an_id(spark):
+    other = "a second item without an id that must be seen as one of its own"
+    items = spark.createDataFrame([(None, QUESTION), (None, other), (7, other)], "item_id long, text string")
+    docs = spark.createDataFrame([(None, other), (1, QUESTION), (None, "clean words that are no item at all")], "doc_id long, text string")
+    found = templates.contaminated(docs, items, ["doc_id"]).select("doc_id", "item_id", "similarity").collect()
+    assert sorted(map(tuple, found), key=repr) == [(1, None, 1.0), (None, 7, 1.0), (None, None, 1.0)]
+    assert [r["text"][:5] for r in templates.drop_contaminated(docs, items).collect()] == ["clean"]
+
+
 def test_planted_benchmark_passages(spark):
     """What contains an item word for word is found, and what shares less than half of its windows is not."""
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
@@ -279,6 +311,17 @@ def test_forward_recursion():
     assert math.isfinite(graph.word("ab" * 20_000))
 
 
+def test_long_words_need_little_memory():
+    import tracemalloc
+
+    graph = lattice.Lattice({b: -5.0 for b in range(256)} | {"abc": -1.0})
+    tracemalloc.start()
+    graph.word("abc" * 100_000)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 20 * 300_000
+
+
 @pytest.mark.parametrize("frequent", [1, 50, 10**6])
 def test_scores(spark, documents, odd, frequent):
     from sentencepiece import SentencePieceProcessor
