@@ -70,7 +70,8 @@ RULES = BASE_RULES + (
     Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
     Rule("forge_token", r"gh[opsur]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
+    # Begins where a run of its letters begins, so a long run is read once and not from each of its places.
+    Rule("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
 )
 
 KINDS = tuple(rule.kind for rule in RULES)

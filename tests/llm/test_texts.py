@@ -162,6 +162,13 @@ def test_rules_without_trigrams_scan_all():
     assert [kind for kind, query in queries_.items() if query == secrets.ALL] == ["hex"]
 
 
+def test_long_runs_are_read_once():
+    token = "eyJ" + "a" * 12 + ".eyJ" + "b" * 12 + "." + "c" * 12
+    texts = ["eyJ" * 300_000, f"x={token} end", "-----BEGIN " + "A " * 300_000, "token" * 100_000, "xox" * 300_000]
+    web = secrets.KINDS.index("web_token")
+    assert secrets.scanner()(texts) == [[], [(2, web, 2 + len(token))], [], [], []]
+
+
 def test_secrets_of_documents(spark, odd, nothing):
     folder = "/root/testdata/sf0.01"
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
