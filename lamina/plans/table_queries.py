@@ -49,7 +49,7 @@ from lamina.plans import ledger, registry
 from lamina.plans.layout import run_path
 from lamina.schemas import ENTITY_WORDS, raw_schema
 from lamina.session import scratch_dir
-from lamina.sinks import append_new, land_archives, overwrite_partitions, read_snapshot, upsert_snapshot, write_run
+from lamina.sinks import append_new, compact_log, land_archives, overwrite_partitions, read_snapshot, upsert_snapshot, write_run
 from lamina.sources import (
     entry_lines,
     expand_entries,
@@ -495,6 +495,19 @@ def ledger_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.pending(entries.select("run_id", "stage").distinct(), entries)
 
 
+@query("""
+SELECT DISTINCT user_id, event_id, event_type, CAST(ts AS VARCHAR) AS ts FROM events
+""")
+def log_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log of all events in many files, appended twice, after compaction: each row once."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "ts")
+    path = scratch_dir(spark, "log")
+    for _ in range(2):
+        events.repartition(8, "event_id").write.mode("append").parquet(path)
+    compact_log(spark, path)
+    return _ts_as_text(spark.read.parquet(path))
+
+
 # --- sources and sinks: the supplied tables written out and read back -----------------------------
 
 

@@ -60,7 +60,32 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if spark.sparkContext.master.partition("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = _own_dir()
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for scope in _scopes:
+        scope.append(path)
+    return path
+
+
+# Folders given out in the open ``scratch_scope`` blocks, outermost first.
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch folders that were given out in the block when it ends.
+
+    DataFrames made in the block read those folders, so their results have to be stored or collected in it. Without
+    a block folders stay until whoever owns the shared folder removes them.
+    """
+    given: list[str] = []
+    _scopes.append(given)
+    try:
+        yield
+    finally:
+        _scopes[:] = [scope for scope in _scopes if scope is not given]
+        for name in given:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextmanager

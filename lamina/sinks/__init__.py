@@ -7,12 +7,13 @@ from lamina.sinks.jdbc import (
     upsert_sql,
 )
 from lamina.sinks.landing import land_archives, land_entries
-from lamina.sinks.runs import append_new, overwrite_partitions, write_run
+from lamina.sinks.runs import append_new, compact_log, overwrite_partitions, write_run
 from lamina.sinks.snapshots import committed_rows, current_version, read_snapshot, upsert_snapshot
 
 __all__ = [
     "committed_rows",
     "append_new",
+    "compact_log",
     "create_table_sql",
     "current_version",
     "jdbc_connection",

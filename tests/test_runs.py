@@ -12,8 +12,9 @@ from lamina.operators.guards import ExpectationError
 from lamina.plans import ledger, registry
 from lamina.plans.layout import run_path
 from lamina.schemas import ENRICHED, ENTITY_WORDS
-from lamina.session import scratch_dir, wide_shuffle
+from lamina.session import scratch_dir, scratch_scope, wide_shuffle
 from lamina.sinks import (
+    compact_log,
     create_table_sql,
     current_version,
     jdbc_connection,
@@ -216,6 +217,47 @@ def test_ledger(spark, tmp_path):
     assert ledger.pending_stages(spark, path, "r") == ["gold", "load"]
     ledger.record_stage(spark, path, "r", "silver", status="FAILED")
     assert ledger.pending_stages(spark, path, "r") == ["silver", "gold", "load"]
+    assert compact_log(spark, path) > 1
+    assert compact_log(spark, path) == 0
+    assert ledger.read_ledger(spark, path).count() == 5
+    assert ledger.pending_stages(spark, path, "r") == ["silver", "gold", "load"]
+
+
+def test_compaction_loses_nothing(spark, tmp_path, rows):
+    path = str(tmp_path / "log")
+    assert compact_log(spark, path) == 0
+    for part in ([(1, "a"), (None, None)], [(1, "a"), (2, "b")], []):
+        spark.createDataFrame(part, "n int, s string").coalesce(1).write.mode("append").parquet(path)
+    assert compact_log(spark, path, file_bytes=1) == 0
+    assert compact_log(spark, path) == 3
+    assert rows(spark.read.parquet(path)) == [(1, "a"), (2, "b"), (None, None)]
+
+
+def test_compacted_commits(spark, tmp_path, rows):
+    root = str(tmp_path / "t")
+    for n in range(3):
+        upsert_snapshot(spark, root, spark.createDataFrame([(n, "x")], "k int, v string"), "k")
+    assert compact_log(spark, f"{root}/commits") == 3
+    assert upsert_snapshot(spark, root, spark.createDataFrame([(0, "y")], "k int, v string"), "k") == 4
+    assert rows(read_snapshot(spark, root)) == [(0, "y"), (1, "x"), (2, "x")]
+
+
+def test_scratch_scope(spark):
+    import os
+
+    outside = scratch_dir(spark, "outside")
+    spark.range(3).write.parquet(outside)
+    with pytest.raises(ZeroDivisionError), scratch_scope(spark):
+        first = scratch_dir(spark, "inside")
+        spark.range(3).write.parquet(first)
+        with scratch_scope(spark):
+            second = scratch_dir(spark, "inside")
+            spark.range(3).write.parquet(second)
+        assert not os.path.exists(second.removeprefix("file://"))
+        assert spark.read.parquet(first).count() == 3
+        1 / 0
+    assert not os.path.exists(first.removeprefix("file://"))
+    assert spark.read.parquet(outside).count() == 3
 
 
 def test_snapshots(spark, tmp_path, rows):
