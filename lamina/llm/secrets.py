@@ -36,6 +36,7 @@ class Rule:
 
     Matches are the leftmost ones that do not overlap; one that is too short is dropped, but still covers its
     characters. ``any_case`` ignores the case of ASCII letters; ``base`` marks the rules that are counted.
+    ``linear`` is an expression whose group ``span`` finds the same matches in time linear in the text.
     """
 
     kind: str
@@ -44,6 +45,7 @@ class Rule:
     group: int = 0
     any_case: bool = False
     base: bool = False
+    linear: str = ""
 
     def compiled(self):
         import re
@@ -70,8 +72,14 @@ RULES = BASE_RULES + (
     Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
     Rule("forge_token", r"gh[opsur]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    # Begins where a run of its letters begins, so a long run is read once and not from each of its places.
-    Rule("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
+    # A dot ends each run of letters, so only the first eyJ of a run can begin a match, and each run is read from its
+    # beginning once.
+    Rule(
+        "web_token",
+        r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}",
+        linear=r"(?<![A-Za-z0-9_-])(?:[A-Za-df-z0-9_-]++|e(?!yJ))*+"
+        r"(?P<span>eyJ[A-Za-z0-9_-]{10,}+\.eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+)",
+    ),
 )
 
 KINDS = tuple(rule.kind for rule in RULES)
@@ -250,6 +258,8 @@ def scanner(rules: Sequence[Rule] = RULES):
         forms.append(
             re.compile(f"{run[1]}{{{rule.least},}}", re.ASCII | (re.IGNORECASE if rule.any_case else 0))
             if run and rule.least
+            else re.compile(rule.linear, re.ASCII)
+            if rule.linear
             else rule.compiled()
         )
 
@@ -260,9 +270,10 @@ def scanner(rules: Sequence[Rule] = RULES):
             index = TrigramIndex(octets[begin:end], slots, len(number))
             for place, (rule, form) in enumerate(zip(rules, forms)):
                 for n in index.matches(queries[place], number).tolist():
+                    span = "span" if rule.linear else 0
                     for m in form.finditer(texts[begin + n]):
                         if len(m[rule.group]) >= rule.least:
-                            found[begin + n].append((m.start(), place, m.end()))
+                            found[begin + n].append((m.start(span), place, m.end(span)))
         return [sorted(spans) for spans in found]
 
     return scan

@@ -169,6 +169,22 @@ def test_long_runs_are_read_once():
     assert secrets.scanner()(texts) == [[], [(2, web, 2 + len(token))], [], [], []]
 
 
+TOKEN = "eyJ" + "a" * 12 + ".eyJ" + "b" * 12 + "." + "c" * 12
+
+
+@run_settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["eyJ", "e", "ey", ".eyJ", ".", "a" * 10, "b" * 9, "-", "_", "%20", " ", "\\n", TOKEN]), max_size=14).map("".join))
+def test_web_tokens_are_those_of_the_plain_pattern(text):
+    assert SCAN([text]) == [slow_spans(text)]
+
+
+@pytest.mark.parametrize("before", ["Bearer%20", "\\n", "session_", "eyJ", "x-", ""])
+def test_web_tokens_after_any_letter(before):
+    web = secrets.KINDS.index("web_token")
+    begin = 0 if before == "eyJ" else len(before)
+    assert SCAN([f"{before}{TOKEN} end"]) == [[(begin, web, len(before + TOKEN))]]
+
+
 def test_secrets_of_documents(spark, odd, nothing):
     folder = "/root/testdata/sf0.01"
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
