@@ -67,9 +67,23 @@ BASE_RULES = (
     Rule("hex", r"[0-9a-f]+", least=24, base=True),
 )
 
+# A private key runs from its BEGIN line to the next END line. Where another BEGIN or the end of the text comes first, it
+# is the header fields and base64 lines that follow; lines may be joined by blanks, quoted, or have escaped breaks. On a
+# joined line a short last part is taken unless it looks like a word.
+_LABEL = r"(?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----"
+_GAP = r"(?:[\s>#*|\"',;]|\\+[nrt])"
+_BASE64 = r"(?:[A-Za-z0-9+/=]|\\+/)"
+_NO_WORD = rf"(?![A-Z]?[a-z]*+(?!{_BASE64}))"
+_KEY_LINE = rf"{_GAP}*+(?:{_BASE64}{{24,}}+|{_NO_WORD}{_BASE64}++(?=[ \t\"',;]*+(?:[\r\n]|\\+[nr]|\Z)))"
+_PRIVATE_KEY = (
+    rf"-----BEGIN {_LABEL}"
+    rf"(?:(?:[^-]++|-(?!----(?:BEGIN|END) {_LABEL}))*+-----END {_LABEL}"
+    rf"|(?:{_GAP}*+[A-Z][A-Za-z0-9-]*+:\x20[^\n\\]*+)*+(?:(?:{_KEY_LINE})++(?:{_GAP}++{_NO_WORD}{_BASE64}++)?)?)"
+)
+
 # Published forms of other credentials.
 RULES = BASE_RULES + (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("private_key", _PRIVATE_KEY),
     Rule("forge_token", r"gh[opsur]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     # A dot ends each run of letters, so only the first eyJ of a run can begin a match, and each run is read from its

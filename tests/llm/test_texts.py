@@ -185,6 +185,33 @@ def test_web_tokens_after_any_letter(before):
     assert SCAN([f"{before}{TOKEN} end"]) == [[(begin, web, len(before + TOKEN))]]
 
 
+BODY = ["MIIEowIBAAKCAQEA" + "q7+/Zx" * 8, "b64/Line" * 8, "Qx9=="]
+BEGIN, END = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+
+
+@pytest.mark.parametrize(
+    ("text", "left"),
+    [
+        ("\n".join(["a", BEGIN, *BODY, END, "rest of it"]), "a\n[secret]\nrest of it"),
+        ("\n".join(["a", BEGIN, *BODY, "", "The rest of it"]), "a\n[secret]\n\nThe rest of it"),
+        (" ".join(["a", BEGIN, *BODY, "The rest of it"]), "a [secret] The rest of it"),
+        ('{"k": "' + "\\n".join([BEGIN, *BODY, END]) + '\\n"}', '{"k": "[secret]\\n"}'),
+        ('{"k": "' + "\\n".join([BEGIN, *BODY]) + '", "n": 1}', '{"k": "[secret]", "n": 1}'),
+        ("\n".join([BEGIN, "Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0A", "", *BODY, BEGIN, *BODY, END, "x"]), "[secret]\n[secret]\nx"),
+        ("\n".join(["-----BEGIN PGP PRIVATE KEY BLOCK-----", "Version: 1", "", *BODY, "=abcd", "-----END PGP PRIVATE KEY BLOCK-----", "x"]), "[secret]\nx"),
+        (f"the line {BEGIN} is a header", "the line [secret] is a header"),
+    ],
+)
+def test_private_keys_go_with_their_body(spark, text, left):
+    found = secrets.redact_secrets(spark.createDataFrame([(text,)], "text string")).collect()[0]["text"]
+    assert found == left and not any(line in found for line in BODY)
+
+
+def test_many_private_keys_are_read_once():
+    for text in (f"{BEGIN} a-b " * 20_000, "-----BEGIN A " * 60_000, f"{BEGIN}\n" + "-" * 600_000, f"{BEGIN}\n" + "ab\n" * 300_000, f"{BEGIN} " + ("x" * 23 + " ") * 30_000, f"{BEGIN}\n" + "\\" * 600_000):
+        assert len(SCAN([text])[0]) == (20_000 if "a-b" in text else text.count(BEGIN))
+
+
 def test_secrets_of_documents(spark, odd, nothing):
     folder = "/root/testdata/sf0.01"
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
