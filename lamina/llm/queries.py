@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lamina.llm import bpe, langid, lattice, pq, secrets, sharding, simhash, templates, tokenbin, warc
-from lamina.llm.common import id_bucket
+from lamina.llm.common import ROW_KEY, id_bucket, row_key
 from lamina.session import scratch_dir
 
 SHARDS = 40
@@ -82,9 +82,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that hold benchmark items, one row per document and item."""
+    """Documents that hold benchmark items, one row per document and item; texts that share an id are documents of their own."""
     docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
-    return templates.contaminated(docs, benchmark, ["doc_id"])
+    named = docs.withColumns(row_key("doc_id", "text"))
+    return templates.contaminated(named, benchmark, ["doc_id", *ROW_KEY]).drop(*ROW_KEY)
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

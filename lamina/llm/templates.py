@@ -232,8 +232,8 @@ def contaminated(
 
     ``reparameterised`` tells that a slot has another value than in the item. An item with fewer than
     ``size`` words has no window and is held by nothing; NULL texts hold nothing. Equal items are each reported;
-    items with one id are one item, those without an id one item per text. Repeated rows are found together, by their
-    keys.
+    an item is an id and a text, so texts that share an id are items of their own. Rows of ``docs`` with equal keys are
+    found together, so the keys should tell texts apart (``row_key``).
 
     Every worker filters the windows of its documents by a bit filter of the benchmark's hashes, of a
     fixed size; only windows that may match are joined. With a benchmark so large that the filter
@@ -241,8 +241,7 @@ def contaminated(
     (``_rarest``), so a phrase that many items share does not join every document that has it with all of them.
     """
     items = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("_lamina_text"))
-    unnamed = F.when(F.col("item_id").isNull(), F.col("_lamina_text"))
-    items = items.withColumn("item", F.to_json(F.struct("item_id", unnamed.alias("text"))))
+    items = items.withColumn("item", F.to_json(F.struct("item_id", F.xxhash64("_lamina_text").alias("text"))))
     asked = _emit(items, ["item", "item_id"], "_lamina_text", size).withColumnRenamed("pos", "nth")
     asked = stash(asked.withColumnRenamed("slots", "asked"), "benchmark-windows")
     rarest = stash(_rarest(asked.select("item", "h").distinct(), similarity), "rarest-windows")

@@ -297,6 +297,21 @@ def test_items_and_documents_without_an_id(spark):
     assert [r["text"][:5] for r in templates.drop_contaminated(docs, items).collect()] == ["clean"]
 
 
+def test_texts_that_share_an_id(spark, tmp_path):
+    """Concatenated benchmarks number from 0 each, and documents repeat an id or have none."""
+    other = "a second item with the same id that must be seen as one of its own by every document"
+    items = spark.createDataFrame([(0, QUESTION), (0, other), (1, other)], "item_id long, text string")
+    changed = QUESTION.replace("Anna", "Eva")
+    docs = [(None, QUESTION), (None, changed), (5, other), (5, QUESTION.replace("12", "7")), (5, "clean words that are no item at all")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = queries.op7_decontamination(spark, str(tmp_path)).select("doc_id", "item_id", "similarity", "reparameterised").collect()
+    expected = [(None, 0, 1.0, False), (None, 0, 1.0, True), (5, 0, 1.0, False), (5, 1, 1.0, False), (5, 0, 1.0, True)]
+    assert sorted(map(tuple, found), key=repr) == sorted(expected, key=repr)
+    assert templates.drop_contaminated(docs, items).count() == 1
+
+
 def test_planted_benchmark_passages(spark):
     """What contains an item word for word is found, and what shares less than half of its windows is not."""
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
