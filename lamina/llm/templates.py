@@ -2,9 +2,9 @@
 
 Texts are brought into a canonical form in which numbers, names and units are typed placeholders, so
 that a question with other parameters has the same template. Windows of five canonical words are joined by
-their hash. A document holds a benchmark item if at least 0.8 of the item's windows occur in it, on
-alignments whose slots are consistent: along one alignment, equal values of the item stand for equal
-values of the document and different ones for different ones.
+their hash. A document holds a benchmark item if at least 0.8 of the item's windows occur in it. Along one
+alignment a value of the item stands for one value of the document, the one it has most often; windows with
+another value do not count there, unless all their slots are those of the item.
 """
 
 from __future__ import annotations
@@ -251,21 +251,12 @@ def contaminated(
     same = [found[k].eqNullSafe(met[k]) for k in keys]
     joined = met.join(asked, "item").join(found, [*same, found["h"] == asked["h"]])
     joined = joined.select(*[met[k] for k in keys], "item", "item_id", "n_windows", asked["h"], "pos", "nth", "asked", "slots")
-    joined = joined.withColumns(
-        {"shift": F.col("pos") - F.col("nth"), "a": F.coalesce("asked", none), "b": F.coalesce("slots", none)}
-    )
+    window = F.struct("nth", "h", F.coalesce("asked", none).alias("a"), F.coalesce("slots", none).alias("b"))
     # Copies of a passage in many documents make equal rows of small size; nothing larger than the slots of a
     # document's own windows is ever gathered.
     along = [*keys, "item", "item_id", "n_windows"]
-    pairs = F.array_distinct(F.filter(F.arrays_zip("a", "b"), lambda p: p["a"].isNotNull()))
-    lines = joined.groupBy(*along, "shift").agg(
-        F.collect_set("h").alias("hs"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")
-    )
-    values = lambda name: F.size(F.array_distinct(F.col("pairs").getField(name)))
-    consistent = (values("a") == F.size("pairs")) & (values("b") == F.size("pairs"))
-    changed = F.exists("pairs", lambda p: p["a"] != p["b"])
-    good = lines.filter(consistent).withColumn("changed", changed)
-    held = good.groupBy(*along).agg(
+    lines = joined.groupBy(*along, (F.col("pos") - F.col("nth")).alias("shift")).agg(F.collect_set(window).alias("windows"))
+    held = _consistent(lines, along).groupBy(*along).agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("hs")))).alias("matched"), F.bool_or("changed").alias("reparameterised")
     )
     share = F.col("matched") / F.col("n_windows")
@@ -274,6 +265,43 @@ def contaminated(
     )
 
 
+def _kept(windows: list[dict]) -> tuple[list[int], bool]:
+    """Hashes of the windows of an alignment that count, and whether one of them has another slot value than the item."""
+    from collections import Counter, defaultdict
+
+    slots = {(w["nth"] + i, a, b) for w in windows for i, (a, b) in enumerate(zip(w["a"], w["b"])) if a is not None}
+    votes: defaultdict[str, Counter] = defaultdict(Counter)
+    for _, a, b in slots:
+        votes[a][b] += 1
+    # Of values that occur equally often, the item's own goes first.
+    stands = {a: min(found, key=lambda b: (-found[b], a != b, b)) for a, found in votes.items()}
+    hs, changed = set(), False
+    for w in windows:
+        if w["a"] == w["b"]:
+            hs.add(w["h"])
+        elif all(a is None or stands[a] == b for a, b in zip(w["a"], w["b"])):
+            hs.add(w["h"])
+            changed = True
+    return sorted(hs), changed
+
+
+def _consistent(lines: DataFrame, along: list[str]) -> DataFrame:
+    """(along, ``hs``, ``changed``) of each alignment, by ``_kept``."""
+    small_batches(lines.sparkSession)
+
+    def each(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = [_kept(windows) for windows in batch.column(batch.num_columns - 1).to_pylist()]
+            columns = [*batch.columns[:-1], pa.array([hs for hs, _ in found], pa.list_(pa.int64())), pa.array([c for _, c in found], pa.bool_())]
+            yield pa.record_batch(columns, names=[*along, "hs", "changed"])
+
+    chosen = lines.select(*along, "windows")
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in chosen.schema.fields[:-1])
+    return chosen.mapInArrow(each, f"{kinds}hs array<long>, changed boolean")
+
+
 def _needed(similarity: float):
     """How many of an item's ``n_windows`` a document has to hold."""
     return F.ceil(F.col("n_windows") * similarity - 1e-9)

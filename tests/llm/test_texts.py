@@ -297,6 +297,22 @@ def test_items_and_documents_without_an_id(spark):
     assert [r["text"][:5] for r in templates.drop_contaminated(docs, items).collect()] == ["clean"]
 
 
+def test_a_contradiction_costs_its_own_windows(spark):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40)]
+    words[5], words[25] = "Tom", "Tom"
+    near = [*words]
+    near[25] = "Tim"
+    both = [*near]
+    both[5] = "Tim"
+    docs = [" ".join(near), " ".join(both), QUESTION.replace("3 dollars", "12 dollars"), QUESTION.replace("12 pears", "13 pears")]
+    found = pairs_of(spark, docs, [" ".join(words), QUESTION])
+    assert {pair: (r["matched"], r["n_windows"], r["reparameterised"]) for pair, r in found.items()} == {
+        (0, 0): (31, 36, False), (1, 0): (36, 36, True), (2, 1): (22, 22, True)
+    }
+    sums = ["what is the sum of 3 + 4 if both of the numbers are whole", "what is the sum of 5 + 5 if both of the numbers are whole"]
+    assert set(pairs_of(spark, sums[1:], sums[:1])) == {(0, 0)}
+
+
 def test_texts_that_share_an_id(spark, tmp_path):
     """Concatenated benchmarks number from 0 each, and documents repeat an id or have none."""
     other = "a second item with the same id that must be seen as one of its own by every document"
