@@ -1,8 +1,9 @@
 """Benchmark decontamination by templates.
 
 Texts are brought into a canonical form in which numbers, names and units are typed placeholders, so
-that a question with other parameters has the same template. Windows of five canonical words are joined by
-their hash. A document holds a benchmark item if at least 0.8 of the item's windows occur in it. Along one
+that a question with other parameters has the same template. Windows of five words are joined by their hash in two
+forms: canonical, and plain, that is lower-cased without punctuation around words, so that neither case nor line breaks
+nor end marks matter to a copy. A document holds a benchmark item if at least 0.8 of the item's windows occur in it in either form. Along one
 alignment a value of the item stands for one value of the document, the one it has most often; windows with
 another value do not count there, unless all their slots are those of the item.
 """
@@ -42,8 +43,7 @@ class Canonicaliser:
 
     A word is what stands between blanks, without punctuation around it, lower-cased. A number is
     a placeholder; a unit is one after a number, in the same word or the next; a name is a capitalised word
-    within a sentence. A line or a sentence begins anew, so its first word is no name. Where a passage begins
-    within a sentence of a document, its first word may be taken as a name, which costs one window.
+    within a sentence. A line or a sentence begins anew, so its first word is no name.
 
     What a word is by itself is found once and remembered by number, for a bounded number of words that were met in
     two blocks or more. The other words of a block have numbers after these until the next block.
@@ -117,7 +117,7 @@ class Canonicaliser:
         return place
 
     def block(self, texts: list[str]):
-        """The words of texts as numbers, first word of each text, hashes and slots; the numbers hold until the next block."""
+        """Words of texts as numbers, first word of each text, plain and canonical hashes, slots; the numbers hold until the next block."""
         import numpy as np
 
         self._settle()
@@ -145,35 +145,47 @@ class Canonicaliser:
         start[lines], after[lines] = True, False
         slots = (kind == self.NUMBER) | (kind == self.QUANTITY)
         slots |= (kind == self.UNIT) & after[:-1] | (kind == self.NAME) & ~start[:-1]
-        return places, begins, np.where(slots, self.marks[kind], plain), slots
+        return places, begins, plain, np.where(slots, self.marks[kind], plain), slots
+
+
+def _codes(hashes, size: int):
+    """Hashes of all windows of ``size`` words."""
+    import numpy as np
+
+    n = len(hashes) - size + 1
+    code = np.zeros(n, np.uint64)
+    for i in range(size):
+        code = (code ^ hashes[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
+        code ^= code >> np.uint64(29)
+    return code
 
 
 def _windows(texts: list[str], size: int):
-    """Blocks of texts: text numbers, positions, hashes, slot bits of the windows within a text, and their words."""
+    """Blocks of texts: text numbers, positions, plain and canonical hashes, slot bits of the windows within a text, and their words."""
     import numpy as np
 
     canonical = worker_cache("templates", "canonical", Canonicaliser)
     for begin, end in runs_of([len(t) // 4 for t in texts], WORDS):
-        places, begins, hashes, slots = canonical.block(texts[begin:end])
+        places, begins, plain, hashes, slots = canonical.block(texts[begin:end])
         n = len(hashes) - size + 1
         if n < 1:
             continue
         sizes = np.diff(np.append(begins, len(hashes)))
         owner = np.repeat(np.arange(len(sizes)), sizes)
-        code, bits = np.zeros(n, np.uint64), np.zeros(n, np.int64)
+        bits = np.zeros(n, np.int64)
         for i in range(size):
-            code = (code ^ hashes[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
-            code ^= code >> np.uint64(29)
             bits |= slots[i : i + n].astype(np.int64) << i
-        whole = (owner[:n] == owner[size - 1 :]) & (bits != (1 << size) - 1)
+        whole = owner[:n] == owner[size - 1 :]
         first = np.array(begins)[owner[:n]]
-        yield begin, owner[:n], np.arange(n) - first, code, bits, whole, (canonical.low, places)
+        yield begin, owner[:n], np.arange(n) - first, _codes(plain, size), _codes(hashes, size), bits, whole, (canonical.low, places)
 
 
 def _emit(docs: DataFrame, keys: list[str], text: str, size: int, hits: bytes | None = None) -> DataFrame:
-    """Template windows of each row: the keys, ``pos``, ``h`` and the values of its slots.
+    """Windows of each row: the keys, ``pos``, ``h``, ``w`` and the values of its slots.
 
-    With ``hits`` only windows whose hash is in the filter. Windows of placeholders only say nothing and are left out.
+    Each window has a row with its plain hash, which is also its ``w``, and if it has slots one with its canonical hash.
+    With ``hits`` only rows whose hash is in the filter, and slots in canonical rows only. Without, these are windows of items;
+    those of placeholders only are left out. Their canonical form says nothing and is left out in any case.
     """
     small_batches(docs.sparkSession)
 
@@ -184,25 +196,28 @@ def _emit(docs: DataFrame, keys: list[str], text: str, size: int, hits: bytes |
         wanted = None if hits is None else np.unpackbits(np.frombuffer(hits, np.uint8), bitorder="little")
         for batch in batches:
             texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
-            for begin, owner, pos, code, bits, whole, (low, places) in _windows(texts, size):
-                if wanted is not None:
-                    whole = whole & (wanted[code % np.uint64(FILTER_BITS)] == 1)
-                at = np.flatnonzero(whole)
-                if not len(at):
-                    continue
-                own, place = owner[at], pos[at]
-                values = [
-                    [low[places[w + i]] if b >> i & 1 else None for i in range(size)] if b else None
-                    for w, b in zip(at.tolist(), bits[at].tolist())
-                ]
-                rows = pa.array(begin + own)
-                columns = [c.take(rows) for c in batch.columns[:-1]]
-                columns += [pa.array(place), pa.array(code[at].view(np.int64)), pa.array(values, pa.list_(pa.string()))]
-                yield pa.record_batch(columns, names=[*keys, "pos", "h", "slots"])
+            for begin, owner, pos, plain, code, bits, whole, (low, places) in _windows(texts, size):
+                said = whole & (bits != (1 << size) - 1)
+                for h, holds in ((plain, said if wanted is None else whole), (code, said & (bits != 0))):
+                    if wanted is not None:
+                        holds = holds & (wanted[h % np.uint64(FILTER_BITS)] == 1)
+                    at = np.flatnonzero(holds)
+                    if not len(at):
+                        continue
+                    shown = bits[at] if wanted is None or h is code else np.zeros(len(at), np.int64)
+                    values = [
+                        [low[places[w + i]] if b >> i & 1 else None for i in range(size)] if b else None
+                        for w, b in zip(at.tolist(), shown.tolist())
+                    ]
+                    rows = pa.array(begin + owner[at])
+                    columns = [c.take(rows) for c in batch.columns[:-1]]
+                    columns += [pa.array(pos[at]), pa.array(h[at].view(np.int64)), pa.array(plain[at].view(np.int64))]
+                    columns.append(pa.array(values, pa.list_(pa.string())))
+                    yield pa.record_batch(columns, names=[*keys, "pos", "h", "w", "slots"])
 
     chosen = docs.select(*keys, F.col(text).alias("_lamina_text"))
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in chosen.schema.fields[:-1])
-    return chosen.mapInArrow(each, f"{kinds}pos long, h long, slots array<string>")
+    return chosen.mapInArrow(each, f"{kinds}pos long, h long, w long, slots array<string>")
 
 
 def _filter_of(windows: DataFrame) -> bytes:
@@ -244,20 +259,21 @@ def contaminated(
     items = items.withColumn("item", F.to_json(F.struct("item_id", F.xxhash64("_lamina_text").alias("text"))))
     asked = _emit(items, ["item", "item_id"], "_lamina_text", size).withColumnRenamed("pos", "nth")
     asked = stash(asked.withColumnRenamed("slots", "asked"), "benchmark-windows")
-    rarest = stash(_rarest(asked.select("item", "h").distinct(), similarity), "rarest-windows")
-    found = stash(_emit(docs, keys, text, size, _filter_of(asked)), "document-windows")
+    rarest = stash(_rarest(asked.select("item", "w", "h").distinct(), similarity), "rarest-windows")
+    found = stash(_emit(docs, keys, text, size, _filter_of(asked)).drop("w"), "document-windows")
     met = stash(found.select(*keys, "h").join(rarest, "h").select(*keys, "item", "n_windows").distinct(), "candidates")
     none = F.array().cast("array<string>")
     same = [found[k].eqNullSafe(met[k]) for k in keys]
     joined = met.join(asked, "item").join(found, [*same, found["h"] == asked["h"]])
-    joined = joined.select(*[met[k] for k in keys], "item", "item_id", "n_windows", asked["h"], "pos", "nth", "asked", "slots")
-    window = F.struct("nth", "h", F.coalesce("asked", none).alias("a"), F.coalesce("slots", none).alias("b"))
+    joined = joined.select(*[met[k] for k in keys], "item", "item_id", "n_windows", "pos", "nth", "w", "asked", "slots")
+    # Where the plain forms are equal, so are the slots.
+    window = F.struct("nth", "w", F.coalesce("asked", none).alias("a"), F.coalesce("slots", "asked", none).alias("b"))
     # Copies of a passage in many documents make equal rows of small size; nothing larger than the slots of a
     # document's own windows is ever gathered.
     along = [*keys, "item", "item_id", "n_windows"]
     lines = joined.groupBy(*along, (F.col("pos") - F.col("nth")).alias("shift")).agg(F.collect_set(window).alias("windows"))
     held = _consistent(lines, along).groupBy(*along).agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("hs")))).alias("matched"), F.bool_or("changed").alias("reparameterised")
+        F.size(F.array_distinct(F.flatten(F.collect_list("ws")))).alias("matched"), F.bool_or("changed").alias("reparameterised")
     )
     share = F.col("matched") / F.col("n_windows")
     return held.filter(F.col("matched") >= _needed(similarity)).select(
@@ -266,7 +282,7 @@ def contaminated(
 
 
 def _kept(windows: list[dict]) -> tuple[list[int], bool]:
-    """Hashes of the windows of an alignment that count, and whether one of them has another slot value than the item."""
+    """Windows of an alignment that count, and whether one of them has another slot value than the item."""
     from collections import Counter, defaultdict
 
     slots = {(w["nth"] + i, a, b) for w in windows for i, (a, b) in enumerate(zip(w["a"], w["b"])) if a is not None}
@@ -275,18 +291,18 @@ def _kept(windows: list[dict]) -> tuple[list[int], bool]:
         votes[a][b] += 1
     # Of values that occur equally often, the item's own goes first.
     stands = {a: min(found, key=lambda b: (-found[b], a != b, b)) for a, found in votes.items()}
-    hs, changed = set(), False
+    ws, changed = set(), False
     for w in windows:
         if w["a"] == w["b"]:
-            hs.add(w["h"])
+            ws.add(w["w"])
         elif all(a is None or stands[a] == b for a, b in zip(w["a"], w["b"])):
-            hs.add(w["h"])
+            ws.add(w["w"])
             changed = True
-    return sorted(hs), changed
+    return sorted(ws), changed
 
 
 def _consistent(lines: DataFrame, along: list[str]) -> DataFrame:
-    """(along, ``hs``, ``changed``) of each alignment, by ``_kept``."""
+    """(along, ``ws``, ``changed``) of each alignment, by ``_kept``."""
     small_batches(lines.sparkSession)
 
     def each(batches):
@@ -294,12 +310,12 @@ def _consistent(lines: DataFrame, along: list[str]) -> DataFrame:
 
         for batch in batches:
             found = [_kept(windows) for windows in batch.column(batch.num_columns - 1).to_pylist()]
-            columns = [*batch.columns[:-1], pa.array([hs for hs, _ in found], pa.list_(pa.int64())), pa.array([c for _, c in found], pa.bool_())]
-            yield pa.record_batch(columns, names=[*along, "hs", "changed"])
+            columns = [*batch.columns[:-1], pa.array([ws for ws, _ in found], pa.list_(pa.int64())), pa.array([c for _, c in found], pa.bool_())]
+            yield pa.record_batch(columns, names=[*along, "ws", "changed"])
 
     chosen = lines.select(*along, "windows")
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in chosen.schema.fields[:-1])
-    return chosen.mapInArrow(each, f"{kinds}hs array<long>, changed boolean")
+    return chosen.mapInArrow(each, f"{kinds}ws array<long>, changed boolean")
 
 
 def _needed(similarity: float):
@@ -308,16 +324,18 @@ def _needed(similarity: float):
 
 
 def _rarest(windows: DataFrame, similarity: float) -> DataFrame:
-    """(item, h, n_windows): of each item the windows that fewest items have, one more than a document may lack.
+    """(item, h, n_windows): both forms of those windows of each item that fewest items have, one more than a document may lack.
 
-    A document that holds the item lacks at most ``n_windows - needed`` of its windows, so it has one of these.
+    A document that holds the item lacks at most ``n_windows - needed`` of its windows, so it has one of these in a form.
     """
-    spread = windows.groupBy("h").agg(F.count(F.lit(1)).alias("items"))
+    spread = windows.select("item", "h").distinct().groupBy("h").agg(F.count(F.lit(1)).alias("items"))
     own = Window.partitionBy("item")
-    ranked = lookup_join(windows, spread, "h", "inner").withColumns(
-        {"n_windows": F.count(F.lit(1)).over(own), "place": F.row_number().over(own.orderBy("items", "h"))}
+    forms = lookup_join(windows, spread, "h", "inner").groupBy("item", "w").agg(F.max("items").alias("items"), F.collect_set("h").alias("hs"))
+    ranked = forms.withColumns(
+        {"n_windows": F.count(F.lit(1)).over(own), "place": F.row_number().over(own.orderBy("items", "w"))}
     )
-    return ranked.filter(F.col("place") <= F.col("n_windows") - _needed(similarity) + 1).select("item", "h", "n_windows")
+    chosen = ranked.filter(F.col("place") <= F.col("n_windows") - _needed(similarity) + 1)
+    return chosen.select("item", F.explode("hs").alias("h"), "n_windows").distinct()
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -313,6 +313,17 @@ def test_a_contradiction_costs_its_own_windows(spark):
     assert set(pairs_of(spark, sums[1:], sums[:1])) == {(0, 0)}
 
 
+def test_copies_with_other_case_lines_and_marks(spark):
+    words = QUESTION.split()
+    wrapped = "\n".join(" ".join(words[i : i + 5]) for i in range(0, len(words), 5))
+    marks = QUESTION.replace("called ", "called: ").replace("pears.", "pears").replace("sells", "sells.")
+    other = QUESTION.replace("Anna", "Eva").replace("12", "5")
+    docs = [QUESTION.lower(), QUESTION.upper(), wrapped, marks, wrapped.lower(), other, " ".join(words[: len(words) // 2]).lower()]
+    found = pairs_of(spark, docs, [QUESTION])
+    assert {pair: (r["similarity"], r["reparameterised"]) for pair, r in found.items()} == {(d, 0): (1.0, d == 5) for d in range(6)}
+    assert set(pairs_of(spark, [QUESTION], [QUESTION.lower(), wrapped, QUESTION.upper()])) == {(0, 0), (0, 1), (0, 2)}
+
+
 def test_texts_that_share_an_id(spark, tmp_path):
     """Concatenated benchmarks number from 0 each, and documents repeat an id or have none."""
     other = "a second item with the same id that must be seen as one of its own by every document"
