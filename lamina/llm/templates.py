@@ -160,34 +160,40 @@ def _codes(hashes, size: int):
     return code
 
 
-def _windows(texts: list[str], size: int):
-    """Blocks of texts: text numbers, positions, plain and canonical hashes, slot bits of the windows within a text, and their words."""
+def _windows(texts: list[str], lengths: list[int]):
+    """Blocks of texts and each length: text numbers, sizes of the texts, positions, plain and canonical hashes, slot bits, whether a
+    window is within a text, and the words."""
     import numpy as np
 
     canonical = worker_cache("templates", "canonical", Canonicaliser)
     for begin, end in runs_of([len(t) // 4 for t in texts], WORDS):
         places, begins, plain, hashes, slots = canonical.block(texts[begin:end])
-        n = len(hashes) - size + 1
-        if n < 1:
-            continue
         sizes = np.diff(np.append(begins, len(hashes)))
         owner = np.repeat(np.arange(len(sizes)), sizes)
-        bits = np.zeros(n, np.int64)
-        for i in range(size):
-            bits |= slots[i : i + n].astype(np.int64) << i
-        whole = owner[:n] == owner[size - 1 :]
-        first = np.array(begins)[owner[:n]]
-        yield begin, owner[:n], np.arange(n) - first, _codes(plain, size), _codes(hashes, size), bits, whole, (canonical.low, places)
-
-
-def _emit(docs: DataFrame, keys: list[str], text: str, size: int, hits: bytes | None = None) -> DataFrame:
-    """Windows of each row: the keys, ``pos``, ``h``, ``w`` and the values of its slots.
+        for length in lengths:
+            n = len(hashes) - length + 1
+            if n < 1:
+                continue
+            bits = np.zeros(n, np.int64)
+            for i in range(length):
+                bits |= slots[i : i + n].astype(np.int64) << i
+            own = owner[:n]
+            whole = own == owner[length - 1 :]
+            pos = np.arange(n) - np.array(begins)[own]
+            yield begin, length, own, sizes, pos, _codes(plain, length), _codes(hashes, length), bits, whole, (canonical.low, places)
+
+
+def _emit(docs: DataFrame, keys: list[str], text: str, size: int, hits: bytes | None = None, short: list[int] | None = None) -> DataFrame:
+    """Windows of each row: the keys, ``pos``, ``h``, ``w``, ``said``, ``length`` and the values of its slots.
 
     Each window has a row with its plain hash, which is also its ``w``, and if it has slots one with its canonical hash.
-    With ``hits`` only rows whose hash is in the filter, and slots in canonical rows only. Without, these are windows of items;
-    those of placeholders only are left out. Their canonical form says nothing and is left out in any case.
+    ``said`` is false for windows of placeholders only, whose canonical form says nothing and is left out. Without
+    ``hits`` these are windows of items, and an item of fewer than ``size`` words is one plain window.
+    With ``hits`` only rows whose hash is in the filter, slots in canonical rows only, and of windows of the ``short`` lengths
+    the first in a text.
     """
     small_batches(docs.sparkSession)
+    lengths = [*(range(1, size) if hits is None else short or []), size]
 
     def each(batches):
         import numpy as np
@@ -196,15 +202,21 @@ def _emit(docs: DataFrame, keys: list[str], text: str, size: int, hits: bytes |
         wanted = None if hits is None else np.unpackbits(np.frombuffer(hits, np.uint8), bitorder="little")
         for batch in batches:
             texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
-            for begin, owner, pos, plain, code, bits, whole, (low, places) in _windows(texts, size):
-                said = whole & (bits != (1 << size) - 1)
-                for h, holds in ((plain, said if wanted is None else whole), (code, said & (bits != 0))):
+            for begin, length, owner, sizes, pos, plain, code, bits, whole, (low, places) in _windows(texts, lengths):
+                said = bits != (1 << length) - 1
+                forms = [(plain, whole), (code, whole & said & (bits != 0))]
+                if length < size:
+                    said = np.ones(len(bits), bool)
+                    forms = [(plain, whole & (sizes[owner] == length) if wanted is None else whole)]
+                for h, holds in forms:
                     if wanted is not None:
                         holds = holds & (wanted[h % np.uint64(FILTER_BITS)] == 1)
                     at = np.flatnonzero(holds)
+                    if length < size and len(at):
+                        at = at[np.sort(np.unique(np.rec.fromarrays([owner[at], h[at]]), return_index=True)[1])]
                     if not len(at):
                         continue
-                    shown = bits[at] if wanted is None or h is code else np.zeros(len(at), np.int64)
+                    shown = bits[at] if length == size and (wanted is None or h is code) else np.zeros(len(at), np.int64)
                     values = [
                         [low[places[w + i]] if b >> i & 1 else None for i in range(size)] if b else None
                         for w, b in zip(at.tolist(), shown.tolist())
@@ -212,12 +224,12 @@ def _emit(docs: DataFrame, keys: list[str], text: str, size: int, hits: bytes |
                     rows = pa.array(begin + owner[at])
                     columns = [c.take(rows) for c in batch.columns[:-1]]
                     columns += [pa.array(pos[at]), pa.array(h[at].view(np.int64)), pa.array(plain[at].view(np.int64))]
-                    columns.append(pa.array(values, pa.list_(pa.string())))
-                    yield pa.record_batch(columns, names=[*keys, "pos", "h", "w", "slots"])
+                    columns += [pa.array(said[at]), pa.array(np.full(len(at), length, np.int32)), pa.array(values, pa.list_(pa.string()))]
+                    yield pa.record_batch(columns, names=[*keys, "pos", "h", "w", "said", "length", "slots"])
 
     chosen = docs.select(*keys, F.col(text).alias("_lamina_text"))
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in chosen.schema.fields[:-1])
-    return chosen.mapInArrow(each, f"{kinds}pos long, h long, w long, slots array<string>")
+    return chosen.mapInArrow(each, f"{kinds}pos long, h long, w long, said boolean, length int, slots array<string>")
 
 
 def _filter_of(windows: DataFrame) -> bytes:
@@ -246,7 +258,10 @@ def contaminated(
     """(keys, ``item_id``, ``n_windows``, ``matched``, ``similarity``, ``reparameterised``) of each row and item it holds.
 
     ``reparameterised`` tells that a slot has another value than in the item. An item with fewer than
-    ``size`` words has no window and is held by nothing; NULL texts hold nothing. Equal items are each reported;
+    ``size`` words is one window of its own length, held where these words occur; so an item of one word is held by every
+    text with this word. Windows of placeholders only match where they are literally equal. An item is held by its share of
+    windows without these, which are not expected of a question with other parameters, or by its share of all its windows;
+    ``n_windows`` and ``matched`` are those of the first where it suffices. NULL texts hold nothing. Equal items are each reported;
     an item is an id and a text, so texts that share an id are items of their own. Rows of ``docs`` with equal keys are
     found together, so the keys should tell texts apart (``row_key``).
 
@@ -257,32 +272,42 @@ def contaminated(
     """
     items = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("_lamina_text"))
     items = items.withColumn("item", F.to_json(F.struct("item_id", F.xxhash64("_lamina_text").alias("text"))))
-    asked = _emit(items, ["item", "item_id"], "_lamina_text", size).withColumnRenamed("pos", "nth")
-    asked = stash(asked.withColumnRenamed("slots", "asked"), "benchmark-windows")
-    rarest = stash(_rarest(asked.select("item", "w", "h").distinct(), similarity), "rarest-windows")
-    found = stash(_emit(docs, keys, text, size, _filter_of(asked)).drop("w"), "document-windows")
-    met = stash(found.select(*keys, "h").join(rarest, "h").select(*keys, "item", "n_windows").distinct(), "candidates")
+    asked = _emit(items, ["item", "item_id"], "_lamina_text", size).withColumnsRenamed({"pos": "nth", "slots": "asked"})
+    asked = asked.withColumn("said", F.bool_or("said").over(Window.partitionBy("item", "w")))
+    asked = stash(asked, "benchmark-windows")
+    short = sorted(r["length"] for r in asked.select("length").distinct().collect() if r["length"] < size)
+    rarest = stash(_rarest(asked.select("item", "w", "said", "h").distinct(), similarity), "rarest-windows")
+    found = _emit(docs, keys, text, size, _filter_of(asked), short).select(*keys, "pos", "h", "slots")
+    found = stash(found, "document-windows")
+    met = stash(found.select(*keys, "h").join(rarest, "h").select(*keys, "item", "n_said", "n_all").distinct(), "candidates")
     none = F.array().cast("array<string>")
     same = [found[k].eqNullSafe(met[k]) for k in keys]
     joined = met.join(asked, "item").join(found, [*same, found["h"] == asked["h"]])
-    joined = joined.select(*[met[k] for k in keys], "item", "item_id", "n_windows", "pos", "nth", "w", "asked", "slots")
+    joined = joined.select(*[met[k] for k in keys], "item", "item_id", "n_said", "n_all", "pos", "nth", "w", "said", "asked", "slots")
     # Where the plain forms are equal, so are the slots.
-    window = F.struct("nth", "w", F.coalesce("asked", none).alias("a"), F.coalesce("slots", "asked", none).alias("b"))
+    window = F.struct("nth", "w", "said", F.coalesce("asked", none).alias("a"), F.coalesce("slots", "asked", none).alias("b"))
     # Copies of a passage in many documents make equal rows of small size; nothing larger than the slots of a
     # document's own windows is ever gathered.
-    along = [*keys, "item", "item_id", "n_windows"]
+    along = [*keys, "item", "item_id", "n_said", "n_all"]
     lines = joined.groupBy(*along, (F.col("pos") - F.col("nth")).alias("shift")).agg(F.collect_set(window).alias("windows"))
+    total = lambda name: F.size(F.array_distinct(F.flatten(F.collect_list(name))))
     held = _consistent(lines, along).groupBy(*along).agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("ws")))).alias("matched"), F.bool_or("changed").alias("reparameterised")
+        total("said").alias("m_said"), total("ws").alias("m_all"), F.bool_or("changed").alias("reparameterised")
     )
-    share = F.col("matched") / F.col("n_windows")
-    return held.filter(F.col("matched") >= _needed(similarity)).select(
-        *keys, "item_id", "n_windows", "matched", share.alias("similarity"), "reparameterised"
+    by_said = (F.col("n_said") > 0) & (F.col("m_said") >= _needed("n_said", similarity))
+    by_all = F.col("m_all") >= _needed("n_all", similarity)
+    counted = held.filter(by_said | by_all).withColumns(
+        {
+            "n_windows": F.when(by_said, F.col("n_said")).otherwise(F.col("n_all")),
+            "matched": F.when(by_said, F.col("m_said")).otherwise(F.col("m_all")),
+        }
     )
+    share = F.col("matched") / F.col("n_windows")
+    return counted.select(*keys, "item_id", "n_windows", "matched", share.alias("similarity"), "reparameterised")
 
 
-def _kept(windows: list[dict]) -> tuple[list[int], bool]:
-    """Windows of an alignment that count, and whether one of them has another slot value than the item."""
+def _kept(windows: list[dict]) -> tuple[list[int], list[int], bool]:
+    """Windows of an alignment that count, those that are not of placeholders only, and whether a slot has another value than in the item."""
     from collections import Counter, defaultdict
 
     slots = {(w["nth"] + i, a, b) for w in windows for i, (a, b) in enumerate(zip(w["a"], w["b"])) if a is not None}
@@ -291,51 +316,55 @@ def _kept(windows: list[dict]) -> tuple[list[int], bool]:
         votes[a][b] += 1
     # Of values that occur equally often, the item's own goes first.
     stands = {a: min(found, key=lambda b: (-found[b], a != b, b)) for a, found in votes.items()}
-    ws, changed = set(), False
-    for w in windows:
-        if w["a"] == w["b"]:
-            ws.add(w["w"])
-        elif all(a is None or stands[a] == b for a, b in zip(w["a"], w["b"])):
-            ws.add(w["w"])
-            changed = True
-    return sorted(ws), changed
+    counted = [w for w in windows if w["a"] == w["b"] or all(a is None or stands[a] == b for a, b in zip(w["a"], w["b"]))]
+    ws, said = {w["w"] for w in counted}, {w["w"] for w in counted if w["said"]}
+    return sorted(ws), sorted(said), any(w["a"] != w["b"] for w in counted)
 
 
 def _consistent(lines: DataFrame, along: list[str]) -> DataFrame:
-    """(along, ``ws``, ``changed``) of each alignment, by ``_kept``."""
+    """(along, ``ws``, ``said``, ``changed``) of each alignment, by ``_kept``."""
     small_batches(lines.sparkSession)
 
     def each(batches):
         import pyarrow as pa
 
         for batch in batches:
-            found = [_kept(windows) for windows in batch.column(batch.num_columns - 1).to_pylist()]
-            columns = [*batch.columns[:-1], pa.array([ws for ws, _ in found], pa.list_(pa.int64())), pa.array([c for _, c in found], pa.bool_())]
-            yield pa.record_batch(columns, names=[*along, "ws", "changed"])
+            found = [_kept(windows.as_py()) for windows in batch.column(batch.num_columns - 1)]
+            ws, said = (pa.array([f[i] for f in found], pa.list_(pa.int64())) for i in (0, 1))
+            columns = [*batch.columns[:-1], ws, said, pa.array([f[2] for f in found], pa.bool_())]
+            yield pa.record_batch(columns, names=[*along, "ws", "said", "changed"])
 
     chosen = lines.select(*along, "windows")
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in chosen.schema.fields[:-1])
-    return chosen.mapInArrow(each, f"{kinds}ws array<long>, changed boolean")
+    return chosen.mapInArrow(each, f"{kinds}ws array<long>, said array<long>, changed boolean")
 
 
-def _needed(similarity: float):
-    """How many of an item's ``n_windows`` a document has to hold."""
-    return F.ceil(F.col("n_windows") * similarity - 1e-9)
+def _needed(windows: str, similarity: float):
+    """How many of an item's ``windows`` a document has to hold."""
+    return F.ceil(F.col(windows) * similarity - 1e-9)
 
 
 def _rarest(windows: DataFrame, similarity: float) -> DataFrame:
-    """(item, h, n_windows): both forms of those windows of each item that fewest items have, one more than a document may lack.
+    """(item, h, n_said, n_all): both forms of those windows of each item that fewest items have, one more than a document may lack.
 
-    A document that holds the item lacks at most ``n_windows - needed`` of its windows, so it has one of these in a form.
+    A document that holds the item lacks at most ``n - needed`` of its windows, so it has one of these in a form. This
+    holds for all windows and for those that are not of placeholders only; each has its rarest here.
     """
     spread = windows.select("item", "h").distinct().groupBy("h").agg(F.count(F.lit(1)).alias("items"))
-    own = Window.partitionBy("item")
-    forms = lookup_join(windows, spread, "h", "inner").groupBy("item", "w").agg(F.max("items").alias("items"), F.collect_set("h").alias("hs"))
+    forms = lookup_join(windows, spread, "h", "inner").groupBy("item", "w", "said")
+    forms = forms.agg(F.max("items").alias("items"), F.collect_set("h").alias("hs"))
+    own, alike = Window.partitionBy("item"), Window.partitionBy("item", "said")
     ranked = forms.withColumns(
-        {"n_windows": F.count(F.lit(1)).over(own), "place": F.row_number().over(own.orderBy("items", "w"))}
+        {
+            "n_all": F.count(F.lit(1)).over(own),
+            "n_said": F.count_if("said").over(own),
+            "place": F.row_number().over(own.orderBy("items", "w")),
+            "place_said": F.row_number().over(alike.orderBy("items", "w")),
+        }
     )
-    chosen = ranked.filter(F.col("place") <= F.col("n_windows") - _needed(similarity) + 1)
-    return chosen.select("item", F.explode("hs").alias("h"), "n_windows").distinct()
+    least = lambda place, n: F.col(place) <= F.col(n) - _needed(n, similarity) + 1
+    chosen = ranked.filter(least("place", "n_all") | F.col("said") & least("place_said", "n_said"))
+    return chosen.select("item", F.explode("hs").alias("h"), "n_said", "n_all").distinct()
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -324,6 +324,24 @@ def test_copies_with_other_case_lines_and_marks(spark):
     assert set(pairs_of(spark, [QUESTION], [QUESTION.lower(), wrapped, QUESTION.upper()])) == {(0, 0), (0, 1), (0, 2)}
 
 
+def test_short_and_numeric_items(spark):
+    items = ["Capital of France?", "2 4 8 16 32 64", "Anna Berta Clara Dora Emil Fritz", "Paris", "continue the row 1 2 3 4 5 6 7 8 9 with care and give the next number"]
+    docs = [
+        "what is the capital of France, and why. The capital of France",
+        "the capital of all of France",
+        "powers: 2, 4, 8, 16, 32, 64 and so on",
+        "powers: 2, 4, 8, 16, 33, 64 and so on",
+        "they ask Anna, Berta, Clara, Dora, Emil, Fritz",
+        "they ask Georg, Hans, Ida, Jan, Karl, Lena",
+        "paris",
+        items[4].replace("1 2 3 4 5 6 7 8 9", "10 20 30 40 50 60 70 80 90"),
+        "of France capital",
+    ]
+    found = pairs_of(spark, docs, [*items, "", " "])
+    assert set(found) == {(0, 0), (2, 1), (4, 2), (6, 3), (7, 4)}
+    assert found[0, 0]["similarity"] == found[2, 1]["similarity"] == 1 and found[7, 4]["reparameterised"]
+
+
 def test_texts_that_share_an_id(spark, tmp_path):
     """Concatenated benchmarks number from 0 each, and documents repeat an id or have none."""
     other = "a second item with the same id that must be seen as one of its own by every document"
