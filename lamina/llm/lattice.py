@@ -22,6 +22,9 @@ from lamina.llm.common import small_batches, stash, stash_seen, worker_cache
 FREQUENT = 150_000
 GATHERED = 200_000
 
+# Bytes of a word that is handed to workers; where texts have no blanks a word may be a whole text.
+WORD_BYTES = 64
+
 SMOOTHING = 0.1
 BLANK = "▁"
 
@@ -90,6 +93,11 @@ def least_frequent(words: DataFrame, most: int) -> int:
     return max(1, least)
 
 
+def handed_out(scored: DataFrame, words: DataFrame, most: int) -> DataFrame:
+    """The frequent words that workers hold, at most ``most`` and of ``WORD_BYTES`` at most; the others are joined."""
+    return scored.filter((F.col("n") >= least_frequent(words, most)) & (F.octet_length("word") <= WORD_BYTES))
+
+
 class Lattice:
     """Log10 probability of words: ``scores`` gives the pieces' natural logarithms by their text, bytes as numbers."""
 
@@ -198,7 +206,7 @@ def score_texts(
     scores, end_lattice = piece_scores(vocabulary, piece_counts(words, vocabulary), ends)
     scored = stash(score_words(words, scores), "scored-words")
     base = lambda n: F.log10((n + SMOOTHING) / F.lit(floor))
-    top = scored.filter(F.col("n") >= least_frequent(words, frequent)).toPandas()
+    top = handed_out(scored, words, frequent).toPandas()
     held = (top["word"].tolist(), top["n"].tolist(), top["lattice"].tolist())
     version = uuid.uuid4().hex
 

@@ -467,6 +467,12 @@ def test_scores(spark, documents, odd, frequent):
         assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-9)
 
 
+def test_long_words_are_not_handed_out(spark):
+    rows = [("short", 5), ("x" * 64, 5), ("x" * 65, 5), ("é" * 33, 5), ("", 1)]
+    scored = spark.createDataFrame(rows, "word string, n long")
+    assert {r["word"] for r in lattice.handed_out(scored, scored, 100).collect()} == {"short", "x" * 64, ""}
+
+
 def test_nothing_to_score(spark, nothing, odd):
     vocabulary = queries._vocabulary("piece_bpe_32k.model")
     assert lattice.score_texts(nothing, F.lit(True), vocabulary).count() == 0
