@@ -6,17 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lamina.llm import bpe, langid, lattice, pq, secrets, sharding, simhash, templates, tokenbin, warc
+from lamina.llm import bpe, langid, lattice, pq, secrets, sharding, simhash, spelling, templates, tokenbin, toxicity, trie, warc
 from lamina.llm.common import ROW_KEY, id_bucket, row_key
 from lamina.session import scratch_dir
 
 SHARDS = 40
 END_ID = 2
 
-# Of documents, a fifth is held out from the language profiles and a tenth from the language model.
+# Of documents, a fifth is held out from the language profiles and the toxicity models, and a tenth from the language model.
 LANGUAGE_FOLDS = 5
+TOXICITY_FOLDS = 5
 MODEL_FOLDS = 10
 
+# Turns of a conversation that its base replaces are counted modulo this number.
+HEAD_FOLDS = 4
+
 
 def _vocabulary(name: str) -> str:
     import public_tokenizers
@@ -128,6 +132,24 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.score_texts(docs, learn, _vocabulary("piece_bpe_32k.model"))
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all rebuilt conversations."""
+    return trie.prefix_trie(_table(spark, sf_dir, "conversations"), id_bucket("conv_id", HEAD_FOLDS))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.filter(id_bucket("doc_id", TOXICITY_FOLDS) != 0))
+    found = toxicity.score_toxicity(docs, model, ["doc_id"])
+    return found.select("doc_id", (id_bucket("doc_id", TOXICITY_FOLDS) == 0).alias("held_out"), "score", "predicted")
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents that are one edit apart, and the frequent form of each rare one."""
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -145,6 +167,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_bpe": op9_bpe,
     "op10_lm_score": op10_lm_score,
+    "op11_trie": op11_trie,
+    "op12_toxicity": op12_toxicity,
+    "op13_spelling": op13_spelling,
     "pipeline": pipeline,
 }
 

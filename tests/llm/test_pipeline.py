@@ -55,7 +55,7 @@ def test_stages_return_documents(spark, odd, nothing):
 
 def test_names():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "decontaminate", "redact", "tokenize"]
-    assert sorted(queries.QUERIES) == sorted([*(f"op{n}" + q[len(f"op{n}") :] for n in range(1, 11) for q in queries.QUERIES if q.startswith(f"op{n}_")), "pipeline"])
+    assert sorted(queries.QUERIES) == sorted([*(f"op{n}" + q[len(f"op{n}") :] for n in range(1, 14) for q in queries.QUERIES if q.startswith(f"op{n}_")), "pipeline"])
     assert "und" and templates.WINDOW == 5 and templates.SIMILARITY == 0.8
 
 

@@ -1,0 +1,336 @@
+"""Conversation tries, toxicity and spelling variants against brute force and held-out labels."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from lamina.llm import queries, spelling, toxicity, trie
+from tests.llm.conftest import SF
+
+CONVERSATIONS = "conv_id long, turn long, role string, text string"
+
+
+# --- prefix trie ------------------------------------------------------------------------------------
+
+
+def rebuilt(rows):
+    """{conversation: its rebuilt turns}"""
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own[conv].append(((turn is not None, turn or 0), role or "", text or ""))
+    own = {c: [t[1:] for t in sorted(turns)] for c, turns in own.items()}
+    out = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        base = c - (c % 20 if c >= 0 else -(-c % 20))
+        out[c] = own.get(base, [])[:h] + turns[h:]
+    return out
+
+
+def slow_trie(rows):
+    whole = rebuilt(rows)
+    members = defaultdict(list)
+    for c, turns in whole.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    children = Counter(p[:-1] for p in members if p)
+    leaves, saved = Counter(), Counter()
+    for p, m in members.items():
+        words = len(re.findall(rb"[^\x20\x09-\x0D]+", p[-1][1].encode())) if p else 0
+        for d in range(len(p) + 1):
+            saved[p[:d]] += (len(m) - 1) * words
+            leaves[p[:d]] += not children[p]
+    return sorted(
+        (
+            (
+                min(m),
+                len(p),
+                min(members[p[:-1]]) if p else None,
+                len(m),
+                children[p],
+                leaves[p],
+                saved[p],
+                hashlib.sha256(",".join(str(c) for c in sorted(m) if len(whole[c]) == len(p)).encode()).hexdigest(),
+            )
+            for p, m in members.items()
+        ),
+        key=repr,
+    )
+
+
+def left_out():
+    return F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+
+
+def found_trie(spark, rows, **options):
+    df = spark.createDataFrame(rows, CONVERSATIONS).repartition(5)
+    return sorted(map(tuple, trie.prefix_trie(df, left_out(), **options).collect()), key=repr)
+
+
+def drawn_turns(seed, convs=60):
+    draw = random.Random(seed)
+    return [
+        (c, draw.choice([None, *range(6)]), draw.choice(["user", "bot", None]), draw.choice(["a b", "a", "", None, "long " * 50]))
+        for c in draw.sample(range(-45, 120), convs)
+        for _ in range(draw.randrange(1, 7))
+    ]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_trie(spark, seed):
+    rows = drawn_turns(seed)
+    assert found_trie(spark, rows) == slow_trie(rows)
+
+
+def test_trie_of_odd_rows(spark):
+    rows = [
+        (None, 1, "user", "no conversation"),
+        (5, None, None, None),
+        (5, None, None, None),
+        (7, 3, "user", "x" * 70_000 + " y"),
+        (7, 3, "user", "x" * 70_000 + " z"),
+        (7, 3, "a", "later text, earlier role"),
+        (41, 0, "user", "the base of 41 is absent"),
+        (-3, 1, "user", "a"),
+        (0, 1, "user", "a"),
+        (0, 1, "user", "a"),
+    ]
+    assert found_trie(spark, rows) == slow_trie(rows)
+    assert found_trie(spark, []) == []
+    df = spark.createDataFrame(rows, CONVERSATIONS)
+    clash = df.withColumns({c: F.lit("x") for c in ("depth", "words", "t1", "f1", "p1", "part", "i", "h", "base", "head", "size", "owner", "run")})
+    assert sorted(map(tuple, trie.prefix_trie(clash, left_out()).collect()), key=repr) == slow_trie(rows)
+
+
+def test_trie_of_one_long_conversation(spark, settings):
+    """Most rows in one conversation, cut over several tasks and runs, and most others alike."""
+    rows = [(20, t, "user", f"turn {t % 50}") for t in range(1500)] + [(c, t, "bot", "same") for c in range(300, 500) for t in range(2)]
+    settings(spark__sql__adaptive__enabled="false")
+    before = trie.RUN
+    trie.RUN = 64
+    try:
+        parts = trie._stored_turns(spark.createDataFrame(rows, CONVERSATIONS), 0, trie.PRIME)
+        assert parts.filter("conv_id = 20").select("part").distinct().count() > 3
+        assert found_trie(spark, rows) == slow_trie(rows)
+    finally:
+        trie.RUN = before
+
+
+def test_trie_with_colliding_fingerprints(spark):
+    rows = drawn_turns(9, 30)
+    assert found_trie(spark, rows, primes=(7, 101, trie.PRIME)) == slow_trie(rows)
+
+
+def test_trie_of_the_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert sorted(map(tuple, queries.op11_trie(spark, SF).collect()), key=repr) == slow_trie(rows)
+
+
+# --- toxicity ---------------------------------------------------------------------------------------
+
+
+def test_toxicity_of_held_out_rows(spark):
+    """The table that has two thousand toxic labels: held-out documents of all languages are told apart."""
+    path = "/root/testdata/check_s"
+    scored = queries.op12_toxicity(spark, path).filter("held_out")
+    rows = scored.join(spark.read.parquet(f"{path}/labels.parquet").filter("toxic is not null"), "doc_id").collect()
+    rows.sort(key=lambda r: r["score"])
+    toxic = sum(r["toxic"] for r in rows)
+    # The share of pairs of a toxic and a clean document in which the toxic one has the higher score.
+    ranks = sum(i + 1 for i, r in enumerate(rows) if r["toxic"])
+    assert (ranks - toxic * (toxic + 1) / 2) / (toxic * (len(rows) - toxic)) >= 0.98
+    assert sum(r["predicted"] == r["toxic"] for r in rows) / len(rows) >= 0.96
+
+
+def slow_chance(words, order, discount, shared, letters, expression):
+    """Probability of an expression's last letter by the definition: counts taken from the words each time."""
+    lines = [(f" {w} ", n) for w, n in words.items()]
+
+    def number(e):
+        if len(e) == order or e[0] == " ":
+            return sum(n * sum(line.startswith(e, i) for i in range(len(line))) for line, n in lines)
+        return len({line[i - 1] for line, _ in lines for i in range(1, len(line)) if line.startswith(e, i)})
+
+    alphabet = {c for line, _ in lines for c in line[1:]}
+    chance = (shared.get(expression[-1], 0) + 0.5) / letters
+    for k in range(2, len(expression) + 1):
+        history = expression[-k:-1]
+        counts = {c: number(history + c) for c in alphabet}
+        total = sum(counts.values())
+        if not total:
+            break
+        left = sum(min(n, discount) for n in counts.values()) / total
+        chance = max(counts.get(expression[-1], 0) - discount, 0) / total + left * chance
+    return chance
+
+
+def test_models_follow_the_definition():
+    from math import isclose, log
+
+    sides = [Counter({"mild": 3, "milk": 2, "a": 5, "film": 1}), Counter({"vile": 4, "mild": 1, "evil": 2})]
+    counts = defaultdict(lambda: [0, 0])
+    for side, words in enumerate(sides):
+        for w, n in words.items():
+            for e in toxicity._expressions(w, 4):
+                counts[e][side] += n
+    pair = toxicity.Pair({e: tuple(n) for e, n in counts.items()}, 4)
+    for e in [*counts, "zz", " vz", "ilm ", "vil "]:
+        if e[-1] == " " and len(e) == 1:
+            continue
+        chances = [slow_chance(w, 4, toxicity.DISCOUNT, pair.shared, pair.letters, e) for w in sides]
+        assert isclose(pair.difference(e), log(chances[1] / chances[0]), rel_tol=1e-9, abs_tol=1e-12), e
+    for words in sides:
+        for history in ("", " ", "v", "mi", " mi", "vil"):
+            known = [c for c in set(pair.shared)]
+            if history:
+                chances = [slow_chance(words, 4, toxicity.DISCOUNT, pair.shared, pair.letters, history + c) for c in known]
+                rest = 0.5 / pair.letters
+                assert 1 - rest - 1e-9 <= sum(chances) <= 1 + 1e-9
+
+
+def test_words_of_long_texts():
+    text = "Ab1c déF_g  " * 200_000
+    assert list(toxicity._words(text)) == ["ab", "c", "déf", "g"] * 200_000
+    assert "".join(toxicity._words("x" * 3_000_000)) == "x" * 3_000_000
+
+
+def test_toxicity_of_odd_rows(spark, odd, nothing):
+    labels = spark.createDataFrame(
+        [(4, 0), (5, 1), (5, 1), (9, 0), (9, 1), (7, None), (None, 1), (10, 0), (8, 0), (77, 1), (2, 7)], "doc_id long, toxic int"
+    )
+    model = toxicity.train(odd, labels)
+    rows = toxicity.score_toxicity(odd, model, ["doc_id"]).collect()
+    assert len(rows) == odd.count() and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
+    blank = {r["score"] for r in rows if r["doc_id"] in (1, 2, 3, 4)}
+    assert len(blank) == 1
+    again = toxicity.score_toxicity(odd, toxicity.train(odd.repartition(3), labels.repartition(2)), ["doc_id"])
+    assert sorted(again.collect(), key=repr) == sorted(rows, key=repr)
+    assert toxicity.score_toxicity(nothing, model, ["doc_id"]).collect() == []
+    for one_class, score in ((labels.filter("toxic = 1"), 1.0), (labels.filter("toxic = 0"), 0.0), (labels.filter("false"), 0.0)):
+        empty = toxicity.train(odd, one_class)
+        assert {round(r["score"], 9) for r in toxicity.score_toxicity(odd, empty, ["doc_id"]).collect()} == {score}
+    assert toxicity.train(nothing, labels).counts == {}
+
+
+# --- spelling variants ------------------------------------------------------------------------------
+
+
+def slow_words(rows, shortest=7):
+    total = Counter()
+    for doc, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if c.isascii() else c for c in run)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if h % 31 == 0:
+                k = h % len(run)
+                run = run[:k] + run[k + 1 :]
+            if len(run) >= shortest:
+                total[run] += 1
+    return {w: n for w, n in total.items() if n >= 2}
+
+
+def one_edit(a, b):
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    a, b = sorted((a, b), key=len)
+    i = next((i for i, c in enumerate(a) if c != b[i]), len(a))
+    return a[i:] == b[i + 1 :] if len(a) < len(b) else a[i + 1 :] == b[i + 1 :]
+
+
+def slow_variants(words):
+    near = {w: [x for x in words if one_edit(w, x)] for w in words}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda x: (-words[x], x), default=None)
+        if best and words[best] >= 10 * words[w]:
+            form[w] = best
+
+    def root(w):
+        return root(form[w]) if w in form else w
+
+    return sorted(
+        ((w, form.get(w), root(w), n, len(near[w]), words[form[w]] if w in form else None) for w, n in words.items()), key=repr
+    )
+
+
+def drawn_texts(seed, many):
+    draw = random.Random(seed)
+    stems = ["".join(draw.choice("abcé") for _ in range(draw.randrange(6, 13))) for _ in range(60)]
+
+    def spelled():
+        w = list(draw.choice(stems))
+        for _ in range(draw.choice((0, 0, 0, 1, 1, 2))):
+            i = draw.randrange(len(w))
+            w[i : i + draw.randrange(2)] = draw.choice(("", "a", "ÿ", "C", "bb"))
+        return "".join(w)
+
+    return [(i, draw.choice((" ", "\n", "-", "7", "中")).join(spelled() for _ in range(120))) for i in range(many)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_spelling(spark, seed):
+    rows = drawn_texts(seed, 40)
+    found = spelling.spelling_variants(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(map(tuple, found.collect()), key=repr) == slow_variants(slow_words(rows))
+
+
+@pytest.mark.parametrize("tile, packed", [(3, 2), (16, 1), (5, 1000)])
+def test_spelling_in_small_tiles(spark, monkeypatch, tile, packed):
+    """Blocks that are cut into tiles, one word often in several, lose no pair and count none twice."""
+    rows = drawn_texts(11, 30)
+    for name, value in (("TILE", tile), ("PACKED", packed), ("STRIP", 4), ("VERIFIED", 64)):
+        monkeypatch.setattr(spelling, name, value)
+    words = slow_words(rows)
+    tiles = spelling._near_words(spark.createDataFrame(list(words.items()), "word string, n long"))
+    found = {r["word"]: r["n"] for r in tiles.groupBy("word").agg(F.sum("n_near").alias("n")).collect()}
+    assert found == {w: n for w, *_, n, _ in slow_variants(words) if n}
+
+
+def test_forms_chain_to_a_root(spark):
+    texts = ["abcdefgh " * 500, "abcdefgx " * 40, "abcdefyx " * 3, "abcdefgz " * 3, "abcdefyw " * 2]
+    found = spelling.spelling_variants(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    rows = {r["word"]: r for r in found.collect()}
+    assert [rows[w]["root"] for w in ("abcdefgx", "abcdefyx", "abcdefgh")] == ["abcdefgh"] * 3
+    assert rows["abcdefyx"]["form"] == "abcdefgx" and rows["abcdefgz"]["form"] == "abcdefgh" and rows["abcdefyw"]["form"] is None
+
+
+def test_spelling_of_odd_rows(spark, odd, nothing):
+    rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
+    found = spelling.spelling_variants(odd).collect()
+    words = slow_words(rows)
+    assert {(r["word"], r["n"]) for r in found} == set(words.items())
+    assert sorted(map(tuple, found), key=repr) == slow_variants(words)
+    assert spelling.spelling_variants(nothing).collect() == []
+
+
+def test_pieces_end_with_runs(monkeypatch):
+    monkeypatch.setattr(spelling, "PIECE", 10)
+    for line in (b"abcdefghijklmnopq rs tuvwxyz", b"", b"a" * 50, b"ab " * 20):
+        pieces = list(spelling._pieces(line))
+        assert b"".join(pieces) == line
+        assert [w for p in pieces for w in re.findall(rb"[a-z]+", p)] == re.findall(rb"[a-z]+", line)
+
+
+def test_spelling_of_the_table(spark):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    words = slow_words(rows)
+    found = {r["word"]: r for r in queries.op13_spelling(spark, SF).collect()}
+    assert {w: r["n"] for w, r in found.items()} == words
+    near = Counter()
+    by_pattern = defaultdict(set)
+    for w in words:
+        for i in range(len(w)):
+            by_pattern[w[:i] + "\0" + w[i + 1 :]].add(w)
+    pairs = {(a, b) for group in by_pattern.values() for a in group for b in group if a != b}
+    for w in words:
+        for i in range(len(w)):
+            if w[:i] + w[i + 1 :] in words:
+                pairs |= {(w, w[:i] + w[i + 1 :]), (w[:i] + w[i + 1 :], w)}
+    near.update(a for a, _ in pairs)
+    assert {w: r["n_near"] for w, r in found.items() if r["n_near"]} == dict(near)
