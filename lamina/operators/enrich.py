@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lamina.operators.joins import lookup_join
+from lamina.operators.keys import as_list
 
 
 def child_rollup(child: DataFrame, key: str | Sequence[str], **aggregates: Column) -> DataFrame:
@@ -15,7 +16,7 @@ def child_rollup(child: DataFrame, key: str | Sequence[str], **aggregates: Colum
 
     A hot key shuffles one partial row per map task, so no task sees its whole group.
     """
-    keys = [key] if isinstance(key, str) else list(key)
+    keys = as_list(key)
     return child.groupBy(*keys).agg(*[a.alias(name) for name, a in aggregates.items()])
 
 

@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lamina.operators.keys import as_list
+
 
 class ExpectationError(RuntimeError):
     """A table does not meet what the next step needs."""
@@ -29,13 +31,9 @@ def _unset(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def _as_list(key: str | Sequence[str]) -> list[str]:
-    return [key] if isinstance(key, str) else list(key)
-
-
 def require_set_key(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Raise if a key is NULL; the test is pushed to the scan."""
-    keys = _as_list(key)
+    keys = as_list(key)
     if df.filter(_unset(keys)).select(*keys).take(1):
         raise ExpectationError(f"NULL in key {keys}")
     return df
@@ -46,7 +44,7 @@ def require_unique_key(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
 
     Reads the key columns only, counts per key before the shuffle and fetches one offender.
     """
-    keys = _as_list(key)
+    keys = as_list(key)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     offender = counts.filter((F.col("_rows") > 1) | _unset(keys)).take(1)
     if offender:

@@ -16,6 +16,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from lamina.operators.keys import as_list
+
 _SPREAD = "_lamina_key_hash"
 
 # Types whose equal values have equal hashes, beside integers and strings without a collation.
@@ -30,10 +32,6 @@ _EXACT = (
 )
 
 
-def _keys(on: str | Sequence[str]) -> list[str]:
-    return [on] if isinstance(on, str) else list(on)
-
-
 def _hashed(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column | None:
     """A hash of the keys that is equal wherever the keys are, or None if no type assures that."""
     columns = []
@@ -59,7 +57,7 @@ def lookup_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
 
     Keys of two types, or of a type whose equal values may be stored differently, are joined plainly.
     """
-    keys = _keys(on)
+    keys = as_list(on)
     spread = _hashed(left, right, keys)
     if spread is None:
         return left.join(right, keys, how)
@@ -75,5 +73,5 @@ def missing_from(expected: DataFrame, present: DataFrame, on: str | Sequence[str
 
     The present keys are reduced to one row each before the shuffle, however often they occur.
     """
-    keys = _keys(on)
+    keys = as_list(on)
     return lookup_join(expected, present.select(*keys).distinct(), keys, "left_anti")

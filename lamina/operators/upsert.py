@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from lamina.operators.guards import require_columns, require_set_key, require_unique_key
-from lamina.operators.keys import latest_per_key
+from lamina.operators.keys import as_list, latest_per_key
 
 
 def keyed_upsert(
@@ -26,7 +26,7 @@ def keyed_upsert(
     neither side can be skewed. Without an order, and where the source is small, AQE broadcasts its
     keys and the target is not shuffled.
     """
-    keys = [key] if isinstance(key, str) else list(key)
+    keys = as_list(key)
     require_columns(source, target.columns)
     if order_by is not None:
         if not checked:
@@ -42,7 +42,7 @@ def _latest_of_both(
     target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: str | Sequence[str]
 ) -> DataFrame:
     """Of each key the later of the target's and the source's row; one join, each side read once."""
-    order = [order_by] if isinstance(order_by, str) else list(order_by)
+    order = as_list(order_by)
     rest = [c for c in target.columns if c not in keys and c not in order]
     packed = F.struct(*order, *rest)
     both = target.select(*keys, packed.alias("_old")).join(

@@ -27,9 +27,9 @@ from lamina.schemas import (
     raw_schema,
 )
 from lamina.session import wide_shuffle
+from lamina.sinks.buckets import upsert_buckets
 from lamina.sinks.landing import land_archives
 from lamina.sinks.runs import write_run
-from lamina.sinks.snapshots import committed_rows, upsert_snapshot
 from lamina.sources.archives import SAMPLE_BYTES
 from lamina.sources.delimited import read_landing
 from lamina.sources.files import bytes_of, list_files, resolve_archives
@@ -166,14 +166,13 @@ def load(
     order_by: str | Sequence[str] | None = None,
     as_of: datetime | None = None,
 ) -> int:
-    """Upsert the run's result into the snapshot table at ``target``; returns the table's row count.
+    """Upsert the run's result into the bucketed table at ``target``; returns how many rows it brings.
 
     Rows are stamped with ``as_of``, or the current time. Loading a run again is harmless.
     """
     stamp = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     rows = result(spark, root, run_id).withColumn("updated_at", stamp)
-    with wide_shuffle(spark, result_bytes(spark, root, run_id)):
-        return committed_rows(spark, target, upsert_snapshot(spark, target, rows, KEY, order_by))
+    return upsert_buckets(spark, target, rows, KEY, order_by)
 
 
 def run(
@@ -192,7 +191,7 @@ def run(
     """Run the stages the ledger does not show as done, in order; returns their names.
 
     A stage that fails is recorded as such, and stays pending. ``again`` runs the given stages
-    whether or not they are done; the next run then redoes the stages after them. ``publish`` replaces the snapshot upsert, for example by
+    whether or not they are done; the next run then redoes the stages after them. ``publish`` replaces the bucketed upsert, for example by
     ``publish_jdbc``. ``manifest`` holds a ``url`` column of everything that must have arrived.
     """
     ledger = f"{root.rstrip('/')}/ledger"

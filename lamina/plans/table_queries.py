@@ -49,7 +49,7 @@ from lamina.plans import ledger, registry
 from lamina.plans.layout import run_path
 from lamina.schemas import ENTITY_WORDS, raw_schema
 from lamina.session import scratch_dir
-from lamina.sinks import append_new, compact_log, land_archives, overwrite_partitions, read_snapshot, upsert_snapshot, write_run
+from lamina.sinks import append_new, land_archives, overwrite_partitions, read_buckets, upsert_buckets, write_run
 from lamina.sources import (
     entry_lines,
     expand_entries,
@@ -62,6 +62,7 @@ from lamina.sources import (
     read_manifest,
     resolve_archives,
 )
+from lamina.sources.records import RANGE_BYTES
 from lamina.sources.tables import rows_of
 from lamina.streaming import land_archives_stream, stream_to_table, upsert_stream
 
@@ -300,12 +301,27 @@ def keyed_upsert_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_UPSERT_SQL)
 def snapshot_upsert_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored snapshots: first load, upsert, and the same upsert again, which changes nothing."""
-    root = scratch_dir(spark, "snapshot")
+    """A stored table: first load, upsert, and the same upsert again and again, which changes nothing."""
+    root = scratch_dir(spark, "bucketed")
     target, source = _upsert_sides(spark, sf_dir)
-    for batch, rows in (("first", target), ("second", source), ("third", source), ("second", source)):
-        upsert_snapshot(spark, root, rows, "id", batch=batch)
-    return read_snapshot(spark, root)
+    for rows in (target, source, source, source):
+        upsert_buckets(spark, root, rows, "id", buckets=8)
+    return read_buckets(spark, root)
+
+
+@query("""
+SELECT c_custkey AS id, c_name AS name, c_acctbal AS amount FROM customer
+WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)
+UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier
+""")
+def upsert_touched_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few suppliers upserted into the stored customers: the other buckets are neither read nor written."""
+    root = scratch_dir(spark, "touched")
+    target, _ = _upsert_sides(spark, sf_dir)
+    upsert_buckets(spark, root, target, "id", buckets=64)
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal").toDF(*target.columns)
+    upsert_buckets(spark, root, suppliers, "id")
+    return read_buckets(spark, root)
 
 
 _LATEST_EVENT = """
@@ -499,13 +515,14 @@ def ledger_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT DISTINCT user_id, event_id, event_type, CAST(ts AS VARCHAR) AS ts FROM events
 """)
 def log_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A log of all events in many files, appended twice, after compaction: each row once."""
+    """A log of all events in many files, appended twice: each row once in the table that is made of it."""
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "ts")
     path = scratch_dir(spark, "log")
     for _ in range(2):
         events.repartition(8, "event_id").write.mode("append").parquet(path)
-    compact_log(spark, path)
-    return _ts_as_text(spark.read.parquet(path))
+    whole = scratch_dir(spark, "log-rows")
+    write_run(spark.read.parquet(path).distinct(), whole)
+    return _ts_as_text(spark.read.parquet(whole))
 
 
 # --- sources and sinks: the supplied tables written out and read back -----------------------------
@@ -540,6 +557,21 @@ def delimited_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typed_orders(read_detected(spark, path))
 
 
+@query("""
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(text, '') AS text, lang, nullif(source, '') AS source FROM documents
+""")
+def delimited_multiline_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line breaks in quoted fields: each file is read in four ranges or more, all records and fields are found."""
+    path = scratch_dir(spark, "multi-line")
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string"), "text", "lang", "source")
+    kept = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    texts.write.options(sep=";", escape='"', encoding="UTF-8", **kept).csv(path)
+    largest = list_files(spark, path, ".csv").agg(F.max("length")).first()[0] or 4
+    size = max(1, min(RANGE_BYTES, largest // 4))
+    rows = read_delimited(spark, path, ";", encoding="UTF-8", multi_line=True, range_bytes=size)
+    return positional_rename(rows, ["doc_id", "text", "lang", "source"])
+
+
 @query("""
 SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id, o_orderstatus AS status,
        o_orderpriority AS priority FROM orders
@@ -675,7 +707,7 @@ def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry.run(spark, root, "run-1", as_of=datetime(2024, 2, 1, 12))
     if registry.run(spark, root, "run-1"):
         raise ExpectationError("a finished run must leave nothing to do")
-    return read_snapshot(spark, f"{root}/published").withColumn("updated_at", F.col("updated_at").cast("string"))
+    return read_buckets(spark, f"{root}/published").withColumn("updated_at", F.col("updated_at").cast("string"))
 
 
 @query("""
@@ -777,7 +809,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _event_stream(spark, sf_dir).select("user_id", "event_id", "ts", "event_type")
     for _ in range(2):
         upsert_stream(events, f"{path}/table", "user_id", ["ts", "event_id"], f"{path}/checkpoint")
-    return _ts_as_text(read_snapshot(spark, f"{path}/table"))
+    return _ts_as_text(read_buckets(spark, f"{path}/table"))
 
 
 @query("""
@@ -798,7 +830,7 @@ def medallion_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
     _write_archives(orders.select(F.concat_ws(";", key, F.lit("2;A;;;;;;;;")).alias("value")), raw, "Socios")
     registry.run(spark, root, "run-1")
     wrong = registry.rejected(spark, root, "run-1", "empresas").select(F.split("text", ";")[0].alias("cnpj"))
-    published = read_snapshot(spark, f"{root}/published").select("cnpj", "cod_porte")
+    published = read_buckets(spark, f"{root}/published").select("cnpj", "cod_porte")
     marked = lookup_join(published, wrong.withColumn("wrong_width", F.lit(True)), "cnpj")
     return marked.withColumn("wrong_width", F.coalesce("wrong_width", F.lit(False)))
 
@@ -813,19 +845,17 @@ def stream_upsert_late(spark: SparkSession, sf_dir: str) -> DataFrame:
         events.filter(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{path}/in")
         stream = spark.readStream.schema(schema).parquet(f"{path}/in")
         upsert_stream(stream, f"{path}/table", "user_id", ["ts", "event_id"], f"{path}/checkpoint")
-    return _ts_as_text(read_snapshot(spark, f"{path}/table"))
+    return _ts_as_text(read_buckets(spark, f"{path}/table"))
 
 
 @query(_UPSERT_SQL)
 def snapshot_reader_survives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A reader opened before four more upserts still reads its own snapshot."""
-    root = scratch_dir(spark, "snapshot-reader")
+    """Merged rows published by run: what a run has published stays as it is when later runs upsert."""
+    root = scratch_dir(spark, "published")
     target, source = _upsert_sides(spark, sf_dir)
-    for rows in (target, source):
-        upsert_snapshot(spark, root, rows, "id")
-    reader = read_snapshot(spark, root)
-    for _ in range(4):
-        upsert_snapshot(spark, root, source.withColumn("amount", F.lit(0.0)), "id")
+    write_run(keyed_upsert(target, source, "id"), run_path(root, "published", "run-1"))
+    reader = spark.read.parquet(run_path(root, "published", "run-1"))
+    write_run(keyed_upsert(reader, source.withColumn("amount", F.lit(0.0)), "id"), run_path(root, "published", "run-2"))
     return reader
 
 
@@ -849,7 +879,7 @@ def rerun_refreshes(spark: SparkSession, sf_dir: str) -> DataFrame:
         if attempt:
             registry.run(spark, root, "run-1", stages=["bronze"], again=True)
         registry.run(spark, root, "run-1")
-    return read_snapshot(spark, f"{root}/published").select("cnpj", "razao_social")
+    return read_buckets(spark, f"{root}/published").select("cnpj", "razao_social")
 
 
 def _write_twin_archives(lines: DataFrame, folder: str) -> None:

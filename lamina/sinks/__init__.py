@@ -1,3 +1,4 @@
+from lamina.sinks.buckets import read_buckets, upsert_buckets
 from lamina.sinks.jdbc import (
     create_table_sql,
     jdbc_connection,
@@ -7,24 +8,20 @@ from lamina.sinks.jdbc import (
     upsert_sql,
 )
 from lamina.sinks.landing import land_archives, land_entries
-from lamina.sinks.runs import append_new, compact_log, overwrite_partitions, write_run
-from lamina.sinks.snapshots import committed_rows, current_version, read_snapshot, upsert_snapshot
+from lamina.sinks.runs import append_new, overwrite_partitions, write_run
 
 __all__ = [
-    "committed_rows",
     "append_new",
-    "compact_log",
     "create_table_sql",
-    "current_version",
     "jdbc_connection",
     "land_archives",
     "land_entries",
     "overwrite_partitions",
     "publish_jdbc",
-    "read_snapshot",
+    "read_buckets",
     "run_in_transaction",
     "staging_name",
-    "upsert_snapshot",
+    "upsert_buckets",
     "upsert_sql",
     "write_run",
 ]

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from lamina.operators.guards import require_set_key
 from lamina.operators.joins import missing_from
-from lamina.operators.keys import latest_per_key
+from lamina.operators.keys import as_list, latest_per_key
 from lamina.sources.tables import load_if_present
 
 
@@ -29,34 +29,12 @@ def write_run(df: DataFrame, path: str) -> int:
 
 def overwrite_partitions(df: DataFrame, path: str, by: str | Sequence[str] = "run_id") -> int:
     """Replace the partitions that occur in ``df`` and leave all others; returns the row count."""
-    columns = [by] if isinstance(by, str) else list(by)
+    columns = as_list(by)
     observed, seen = _observed(df)
     observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
     return seen.get["rows"]
 
 
-def compact_log(spark: SparkSession, path: str, file_bytes: int = 128 << 20) -> int:
-    """Replace the files of an appended Parquet log by few of about ``file_bytes``; returns how many files went.
-
-    Repeated rows become one. The new files are complete before the old ones go, so a job that dies leaves rows
-    twice at worst, which readers of such logs do not mind, and the next call mends it; rows appended meanwhile stay.
-    The driver lists one name per file. Not to be called while a reader is at work.
-    """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return 0
-    old = [f for f in files.listStatus(folder) if f.isFile() and f.getPath().getName().endswith(".parquet")]
-    few = max(1, -(-sum(f.getLen() for f in old) // file_bytes))
-    if len(old) <= few:
-        return 0
-    rows = spark.read.parquet(*[f.getPath().toString() for f in old]).distinct()
-    rows.coalesce(few).write.mode("append").parquet(path)
-    for f in old:
-        files.delete(f.getPath(), False)
-    return len(old)
-
-
 def append_new(incoming: DataFrame, path: str, on: str | Sequence[str]) -> int:
     """Append the incoming rows whose name is not in the table at ``path`` yet; returns how many.
 

@@ -13,12 +13,13 @@ from lamina.schemas import raw_schema
 from lamina.session import scratch_dir, session_setting
 from lamina.sources.archives import DELIMITER_NAMES, SAMPLE_BYTES, UNCLASSIFIED, file_opener
 from lamina.sources.files import list_files
+from lamina.sources.records import RANGE_BYTES, read_records
 from lamina.sources.tables import load_if_present
 
 ENCODING = "ISO-8859-1"
 
 
-def _options(sep: str, encoding: str, multi_line: bool) -> dict[str, str]:
+def _options(sep: str, encoding: str) -> dict[str, str]:
     return {
         "sep": sep,
         "header": "false",
@@ -26,7 +27,6 @@ def _options(sep: str, encoding: str, multi_line: bool) -> dict[str, str]:
         "encoding": encoding,
         "quote": '"',
         "escape": '"',
-        "multiLine": str(multi_line).lower(),
     }
 
 
@@ -36,10 +36,9 @@ def _scan(
     sep: str,
     schema: StructType | None = None,
     encoding: str = ENCODING,
-    multi_line: bool = False,
     corrupt: str | None = None,
 ) -> DataFrame:
-    reader = reader.options(**_options(sep, encoding, multi_line))
+    reader = reader.options(**_options(sep, encoding))
     if corrupt:
         if schema is None:
             raise ValueError("rows of the wrong width can only be told with a schema")
@@ -53,6 +52,33 @@ def _scan(
     return reader.csv(list(dict.fromkeys(paths))).select("*", F.input_file_name().alias("_file"))
 
 
+def _parse(lines: DataFrame, seps: Sequence[str], schema: StructType, corrupt: str | None) -> DataFrame:
+    """The fields of ``_line``, each parsed with its ``_sep``, before the other columns."""
+    wanted = schema if not corrupt else StructType([*schema.fields, StructField(corrupt, StringType())])
+    options = {k: v for k, v in _options("", "").items() if k in ("quote", "escape")}
+    if corrupt:
+        options["columnNameOfCorruptRecord"] = corrupt
+    parsed = F.coalesce(
+        *[F.when(F.col("_sep") == s, F.from_csv("_line", wanted.toDDL(), {**options, "sep": s})) for s in seps]
+    )
+    rows = lines.withColumn("_row", parsed)
+    rest = [c for c in lines.columns if c not in ("_line", "_sep", "_fields")]
+    return rows.select(*[F.col("_row").getField(c).alias(c) for c in wanted.fieldNames()], *rest)
+
+
+def _records(
+    files: DataFrame, seps: Sequence[str], schema: StructType | None, encoding: str, corrupt: str | None, range_bytes: int
+) -> DataFrame:
+    """Rows of files with ``path, length, sep``, whose quoted fields may hold line breaks; the other columns follow."""
+    rest = [c for c in files.columns if c not in ("path", "length", "sep")]
+    records = read_records(files.withColumn("_sep", F.col("sep")), [*rest, "_sep"], range_bytes)
+    # A scan of records passes over empty ones, one of lines over blank ones, too.
+    lines = records.filter(F.octet_length("_line") > 0).withColumn("_line", F.decode("_line", encoding))
+    if schema is None:
+        schema = raw_schema(records.agg(F.max("_fields")).first()[0] or 0)
+    return _parse(lines, seps, schema, corrupt)
+
+
 def read_delimited(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -61,16 +87,25 @@ def read_delimited(
     encoding: str = ENCODING,
     multi_line: bool = False,
     corrupt: str | None = None,
+    range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """Rows as strings, plus the source file in ``_file``.
 
-    Without a schema the width is that of the first row and columns are ``_c0``, ``_c1``, ... Short
+    Without a schema the width is that of the first row, with ``multi_line`` that of the widest, and columns are ``_c0``, ``_c1``, ... Short
     rows are filled with NULL and long ones cut. ``corrupt`` names a column that receives the text
     of rows of the wrong width instead; it needs a schema. A path given twice is read once.
-    ``multi_line`` allows line breaks inside quotes, at the price of one task per file.
+    ``multi_line`` allows line breaks inside quotes; such files are read in ranges of ``range_bytes``, twice.
     """
     named = [paths] if isinstance(paths, str) else paths
-    return _scan(spark.read, named, sep, schema, encoding, multi_line, corrupt)
+    if not multi_line:
+        return _scan(spark.read, named, sep, schema, encoding, corrupt)
+    if corrupt and schema is None:
+        raise ValueError("rows of the wrong width can only be told with a schema")
+    # Names and sizes only; columns of the folders' names come along.
+    files = spark.read.format("binaryFile").load(list(dict.fromkeys(named)))
+    folders = [c for c in files.columns if c not in ("path", "modificationTime", "length", "content")]
+    listed = files.select("path", "length", F.lit(sep).alias("sep"), *folders, F.col("_metadata.file_path").alias("_file"))
+    return _records(listed, [sep], schema, encoding, corrupt, range_bytes)
 
 
 def file_heads(files: DataFrame, size: int = SAMPLE_BYTES, opener: Callable | None = None) -> DataFrame:
@@ -121,26 +156,29 @@ def read_detected(
     multi_line: bool = False,
     corrupt: str | None = None,
     sample_bytes: int = SAMPLE_BYTES,
+    range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """Scan of the files below ``root``, each with its own separator, as strings with the file in ``_file``.
 
-    Without a schema the width is that of the widest row, found by a scan of its own, but with ``multi_line`` that of
-    the first record, so give a schema there. The other options are those of ``read_delimited``. Of files with several separators the folder is scanned once as text; each line meets its
+    Without a schema the width is that of the widest row, found by a scan of its own. The other options are those of
+    ``read_delimited``. Of files with several separators the folder is scanned once as text; each line meets its
     file's separator and is parsed with it, so no list of files goes through the driver. Encodings in
-    which a line break is the byte 10 are read, and line breaks inside quotes need one separator throughout.
+    which a line break is the byte 10 are read.
     """
     if corrupt and schema is None:
         raise ValueError("rows of the wrong width can only be told with a schema")
     place = scratch_dir(spark, "separators")
     # Stored, so that its size is known when the join with the lines is planned.
-    detected = detect_separators(list_files(spark, root, suffix), encoding, sample_bytes)
+    files = list_files(spark, root, suffix)
+    detected = detect_separators(files, encoding, sample_bytes)
     detected.select(F.col("uri").alias("_file"), F.col("sep").alias("_sep")).write.parquet(place)
     seps = spark.read.schema("_file string, _sep string").parquet(place)
     found = sorted(r["_sep"] for r in seps.select("_sep").distinct().collect())
     if not found:
         raise FileNotFoundError(f"no {suffix} file in {root}")
-    if multi_line and len(found) > 1:
-        raise ValueError(f"line breaks inside quotes need one separator, here are {found}")
+    if multi_line:
+        listed = files.select("path", "length", F.col("uri").alias("_file")).join(seps.withColumnRenamed("_sep", "sep"), "_file")
+        return _records(listed, found, schema, encoding, corrupt, range_bytes)
     glob = "*" + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix)
     folder = {"recursiveFileLookup": "true", "pathGlobFilter": glob}
     text = spark.read.options(**folder).text(root).select(
@@ -148,20 +186,12 @@ def read_detected(
     )
     mixed = len(found) > 1
     lines = lookup_join(text, seps, "_file", "inner") if mixed else text.withColumn("_sep", F.lit(found[0]))
-    if schema is None and not multi_line:
+    if schema is None:
         schema = raw_schema(lines.agg(F.max(_fields("_line", F.col("_sep")))).first()[0] or 0)
     if not mixed:
-        return _scan(spark.read.options(**folder), [root], found[0], schema, encoding, multi_line, corrupt)
-    wanted = schema if not corrupt else StructType([*schema.fields, StructField(corrupt, StringType())])
-    options = {k: v for k, v in _options("", encoding, False).items() if k in ("quote", "escape")}
-    if corrupt:
-        options["columnNameOfCorruptRecord"] = corrupt
-    parsed = F.coalesce(
-        *[F.when(F.col("_sep") == s, F.from_csv("_line", wanted.toDDL(), {**options, "sep": s})) for s in found]
-    )
-    # A CSV scan passes over blank lines, too.
-    rows = lines.filter(F.col("_line").rlike("[^\\x00-\\x20]")).select(parsed.alias("_row"), "_file")
-    return rows.select(*[F.col("_row").getField(c).alias(c) for c in wanted.fieldNames()], "_file")
+        return _scan(spark.read.options(**folder), [root], found[0], schema, encoding, corrupt)
+    lines = lines.filter(F.col("_line").rlike("[^\\x00-\\x20]"))
+    return _parse(lines, found, schema, corrupt).select(*schema.fieldNames(), *([corrupt] if corrupt else []), "_file")
 
 
 def read_landing(

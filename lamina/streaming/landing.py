@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampType
 
 from lamina.functions.names import base_name, classify_name
+from lamina.sinks.buckets import upsert_buckets
 from lamina.sinks.landing import land_archives
-from lamina.sinks.snapshots import upsert_snapshot
 from lamina.sources.files import path_below
 
 _FILE = StructType(
@@ -69,15 +69,14 @@ def upsert_stream(
     key: str | Sequence[str],
     order_by: str | Sequence[str],
     checkpoint: str,
-    name: str = "stream",
 ) -> None:
-    """Upsert what is new into a snapshot table; the latest row of a key is kept, whichever batch brings it.
+    """Upsert what is new into a bucketed table; the latest row of a key is kept, whichever batch brings it.
 
-    A row that arrives late changes nothing. A replayed batch finds its own commit and changes nothing; ``name`` tells the streams that feed one table apart. Every batch writes a whole
-    snapshot, so this is for one batch per run.
+    A row that arrives late changes nothing, nor does a replayed batch. A batch reads and writes the buckets of its own keys
+    only.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        upsert_snapshot(batch.sparkSession, root, batch, key, order_by, batch=f"{name}-{batch_id}")
+        upsert_buckets(batch.sparkSession, root, batch, key, order_by)
 
     _finish(stream.writeStream.foreachBatch(merge), checkpoint)

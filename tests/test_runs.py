@@ -1,5 +1,6 @@
 """Sinks, ledger, whole runs and streams."""
 
+import re
 import zipfile
 from datetime import datetime
 
@@ -14,23 +15,20 @@ from lamina.plans.layout import run_path
 from lamina.schemas import ENRICHED, ENTITY_WORDS
 from lamina.session import scratch_dir, scratch_scope, wide_shuffle
 from lamina.sinks import (
-    compact_log,
     create_table_sql,
-    current_version,
     jdbc_connection,
     land_archives,
     overwrite_partitions,
     publish_jdbc,
-    read_snapshot,
+    read_buckets,
     run_in_transaction,
     staging_name,
-    upsert_snapshot,
+    upsert_buckets,
     upsert_sql,
     write_run,
 )
-from lamina.sinks import snapshots
 from lamina.sinks.jdbc import _JdbcConnection
-from lamina.sinks.snapshots import expire
+from lamina.sinks.buckets import merged_buckets
 from lamina.sources import list_files, read_landing
 from lamina.streaming import land_archives_stream, stream_to_table, upsert_stream
 
@@ -70,7 +68,7 @@ def root(tmp_path):
 def test_archives_to_published_table(spark, root, rows):
     assert registry.run(spark, root, "r-1") == ["ingest", "bronze", "silver", "gold", "load"]
     assert spark.read.parquet(run_path(root, "gold", "r-1", "resultado_final")).schema == ENRICHED
-    published = read_snapshot(spark, f"{root}/published")
+    published = read_buckets(spark, f"{root}/published")
     assert rows(published.drop("updated_at")) == EXPECTED
     assert published.filter("updated_at is null").isEmpty()
     counts = {r["stage"]: r["rows"] for r in ledger.read_ledger(spark, f"{root}/ledger").collect()}
@@ -85,8 +83,7 @@ def test_stages_as_jobs(spark, root, rows):
     assert job("bronze") == ["bronze"]
     assert job("run") == ["ingest", "silver", "gold", "load"]
     assert job("run") == [] and job("gold") == ["gold"] and job("load") == ["load"]
-    assert current_version(spark, f"{root}/published") == 2
-    assert rows(read_snapshot(spark, f"{root}/published").drop("updated_at")) == EXPECTED
+    assert rows(read_buckets(spark, f"{root}/published").drop("updated_at")) == EXPECTED
 
 
 def test_explicit_archives_and_manifest_as_job(spark, tmp_path, root):
@@ -117,7 +114,7 @@ def test_names_with_line_breaks_stay_whole(spark, tmp_path):
     put_archive(tmp_path / "raw" / "r" / "Socios.zip", "S.CSV", PARTNER_LINES)
     root = str(tmp_path)
     registry.run(spark, root, "r", multi_line=True)
-    names = {r["razao_social"] for r in read_snapshot(spark, f"{root}/published").collect()}
+    names = {r["razao_social"] for r in read_buckets(spark, f"{root}/published").collect()}
     assert names == {"ONE\nTWO", "B"}
 
 
@@ -141,7 +138,7 @@ def test_a_second_run_updates_the_published_table(spark, root, tmp_path, rows):
     put_archive(raw / "Empresas.zip", "K.CSV", ['"00000003";"C2";"1";"1";"7,5";"03";""', '"00000004";"D";"1";"1";"1";"01";""'])
     put_archive(raw / "Socios.zip", "S.CSV", ["00000003;3;X;y;1;;;;;;", "00000003;2;X;y;1;;;;;;"])
     registry.run(spark, root, "r-2")
-    got = rows(read_snapshot(spark, f"{root}/published").drop("updated_at"))
+    got = rows(read_buckets(spark, f"{root}/published").drop("updated_at"))
     assert got == EXPECTED[:2] + [
         ("00000003", "C2", 1, 7.5, "03", 2, True, True),
         ("00000004", "D", 1, 1.0, "01", 0, False, False),
@@ -174,16 +171,16 @@ def test_duplicate_companies_survive_gold_and_stop_the_load(spark, tmp_path):
     with pytest.raises(ExpectationError, match="occurs 2 times"):
         registry.run(spark, root, "r")
     assert ledger.pending_stages(spark, f"{root}/ledger", "r") == ["load"]
-    assert current_version(spark, f"{root}/published") == 0
+    assert read_buckets(spark, f"{root}/published") is None
     registry.load(spark, root, "r", f"{root}/published", order_by="razao_social")
-    assert read_snapshot(spark, f"{root}/published").count() == 3
+    assert read_buckets(spark, f"{root}/published").count() == 3
 
 
 def test_rows_can_be_stamped_with_a_given_time(spark, root):
     for stage in (registry.bronze, registry.silver, registry.gold):
         stage(spark, root, "r-1")
     registry.load(spark, root, "r-1", f"{root}/t", as_of=datetime(2024, 1, 2, 3, 4, 5))
-    stamps = read_snapshot(spark, f"{root}/t").select("updated_at").distinct().collect()
+    stamps = read_buckets(spark, f"{root}/t").select("updated_at").distinct().collect()
     assert [r[0] for r in stamps] == [datetime(2024, 1, 2, 3, 4, 5)]
 
 
@@ -217,31 +214,10 @@ def test_ledger(spark, tmp_path):
     assert ledger.pending_stages(spark, path, "r") == ["gold", "load"]
     ledger.record_stage(spark, path, "r", "silver", status="FAILED")
     assert ledger.pending_stages(spark, path, "r") == ["silver", "gold", "load"]
-    assert compact_log(spark, path) > 1
-    assert compact_log(spark, path) == 0
     assert ledger.read_ledger(spark, path).count() == 5
     assert ledger.pending_stages(spark, path, "r") == ["silver", "gold", "load"]
 
 
-def test_compaction_loses_nothing(spark, tmp_path, rows):
-    path = str(tmp_path / "log")
-    assert compact_log(spark, path) == 0
-    for part in ([(1, "a"), (None, None)], [(1, "a"), (2, "b")], []):
-        spark.createDataFrame(part, "n int, s string").coalesce(1).write.mode("append").parquet(path)
-    assert compact_log(spark, path, file_bytes=1) == 0
-    assert compact_log(spark, path) == 3
-    assert rows(spark.read.parquet(path)) == [(1, "a"), (2, "b"), (None, None)]
-
-
-def test_compacted_commits(spark, tmp_path, rows):
-    root = str(tmp_path / "t")
-    for n in range(3):
-        upsert_snapshot(spark, root, spark.createDataFrame([(n, "x")], "k int, v string"), "k")
-    assert compact_log(spark, f"{root}/commits") == 3
-    assert upsert_snapshot(spark, root, spark.createDataFrame([(0, "y")], "k int, v string"), "k") == 4
-    assert rows(read_snapshot(spark, root)) == [(0, "y"), (1, "x"), (2, "x")]
-
-
 def test_scratch_scope(spark):
     import os
 
@@ -260,47 +236,63 @@ def test_scratch_scope(spark):
     assert spark.read.parquet(outside).count() == 3
 
 
-def test_snapshots(spark, tmp_path, rows):
+def test_bucketed_upserts(spark, tmp_path, rows):
     root = str(tmp_path / "t")
     first = spark.createDataFrame([(1, 1), (2, 2)], "k int, v int")
-    second = spark.createDataFrame([(2, 20), (3, 30)], "k int, v int")
-    assert read_snapshot(spark, root) is None
-    assert upsert_snapshot(spark, root, first, "k", batch="a") == 1
-    assert upsert_snapshot(spark, root, second, "k", batch="b") == 2
-    assert upsert_snapshot(spark, root, first, "k", batch="a") == 1
-    assert rows(read_snapshot(spark, root)) == [(1, 1), (2, 20), (3, 30)]
-    assert upsert_snapshot(spark, root, second, "k") == 3
-    assert rows(read_snapshot(spark, root)) == [(1, 1), (2, 20), (3, 30)]
+    second = spark.createDataFrame([(30, "3"), (20, "2")], "v int, k string")
+    assert read_buckets(spark, root) is None
+    assert upsert_buckets(spark, root, first.limit(0), "k") == 0 and read_buckets(spark, root) is None
+    assert upsert_buckets(spark, root, first, "k") == 2
+    for _ in range(2):
+        assert upsert_buckets(spark, root, second, "k") == 2
+        assert rows(read_buckets(spark, root)) == [(1, 1), (2, 20), (3, 30)]
+    assert upsert_buckets(spark, root, second.limit(0), "k") == 0
+    for bad in ([(1, 1), (1, 2)], [(None, 1)]):
+        with pytest.raises(ExpectationError):
+            upsert_buckets(spark, root, spark.createDataFrame(bad, "k int, v int"), "k")
+    with pytest.raises(ExpectationError):
+        upsert_buckets(spark, root, first.select("k"), "k")
+    assert upsert_buckets(spark, root, spark.createDataFrame([(1, 0), (1, 5), (2, 7)], "k int, v int"), "k", order_by="v") == 2
+    assert rows(read_buckets(spark, root)) == [(1, 5), (2, 20), (3, 30)]
+    assert read_buckets(spark, root).schema == first.schema
 
 
-def test_a_reader_survives_later_upserts(spark, tmp_path, rows):
+def test_an_upsert_leaves_other_buckets_alone(spark, tmp_path):
+    """Neither read, by the files of the plan, nor written, by the files on disk."""
     root = tmp_path / "t"
-    for v in range(1, 6):
-        assert upsert_snapshot(spark, str(root), spark.createDataFrame([(v % 2, v)], "k int, v int"), "k") == v
-        if v == 1:
-            reader = read_snapshot(spark, str(root))
-    assert rows(reader) == [(1, 1)]
-    assert rows(read_snapshot(spark, str(root))) == [(0, 4), (1, 5)]
-    assert len(expire(spark, str(root), keep=2)) == 3
-    assert sorted(p.name.split("-")[:2] for p in root.iterdir()) == [["commits"], ["snapshot", "4"], ["snapshot", "5"]]
-    assert rows(read_snapshot(spark, str(root))) == [(0, 4), (1, 5)]
-
-
-def test_two_writers_are_noticed(spark, tmp_path, monkeypatch):
+    table = spark.range(2000).selectExpr("id AS k", "CAST(0 AS INT) AS v")
+    upsert_buckets(spark, str(root), table, "k", buckets=50)
+    before = {p: (p.stat().st_mtime_ns, p.stat().st_ino) for p in root.rglob("*.parquet")}
+    assert len(before) == 50
+    change = spark.createDataFrame([(3, 1), (700, 1), (5000, 1)], "k long, v int")
+    staged = change.withColumns({"_buckets": F.lit(50), "_bucket": F.pmod(F.xxhash64("k"), F.lit(50)).cast("int")})
+    touched = {f"_bucket={r['_bucket']}" for r in staged.collect()}
+    stored = spark.read.parquet(str(root))
+    merged = merged_buckets(stored, staged, "k")
+    pruned = re.findall(r"PartitionFilters: \[_bucket#\d+ IN \(([0-9,]+)\)\]", merged._jdf.queryExecution().executedPlan().toString())
+    assert [{f"_bucket={b}" for b in found.split(",")} for found in pruned] == [touched] and merged.filter("v = 1").count() == 3
+    assert upsert_buckets(spark, str(root), change, "k") == 3
+    after = {p: (p.stat().st_mtime_ns, p.stat().st_ino) for p in root.rglob("*.parquet")}
+    kept = {p for p in before if after.get(p) == before[p]}
+    assert {p.parent.name for p in before if p not in kept} == touched and len(after) == 50
+    table = read_buckets(spark, str(root))
+    assert table.count() == 2001 and table.agg(F.sum("v")).first()[0] == 3
+
+
+def test_a_failed_upsert_is_done_again(spark, tmp_path, rows, monkeypatch):
     root = str(tmp_path / "t")
-    first = spark.createDataFrame([(1, 1)], "k int, v int")
-    upsert_snapshot(spark, root, first, "k")
-    write = snapshots.write_run
+    upsert_buckets(spark, root, spark.createDataFrame([(1, 1), (2, 1)], "k int, v int"), "k")
+    source = spark.createDataFrame([(2, 2), (3, 2)], "k int, v int")
 
-    def overtaken(df, path):
-        monkeypatch.setattr(snapshots, "write_run", write)
-        upsert_snapshot(spark, root, first, "k")
-        return write(df, path)
+    def broken(*_):
+        raise OSError("lost")
 
-    monkeypatch.setattr(snapshots, "write_run", overtaken)
-    with pytest.raises(ExpectationError, match="another writer"):
-        upsert_snapshot(spark, root, first, "k")
-    assert current_version(spark, root) == 2
+    with monkeypatch.context() as patched, pytest.raises(OSError):
+        patched.setattr("lamina.sinks.buckets.overwrite_partitions", broken)
+        upsert_buckets(spark, root, source, "k")
+    assert rows(read_buckets(spark, root)) == [(1, 1), (2, 1)]
+    upsert_buckets(spark, root, source, "k")
+    assert rows(read_buckets(spark, root)) == [(1, 1), (2, 2), (3, 2)]
 
 
 def test_what_follows_a_stage_run_again_is_redone(spark, root, tmp_path, rows):
@@ -309,7 +301,7 @@ def test_what_follows_a_stage_run_again_is_redone(spark, root, tmp_path, rows):
     put_archive(tmp_path / "raw" / "r-1" / "Empresas1.zip", "d/K.CSV", [COMPANY_LINES[2].replace('"C"', '"D"')])
     assert registry.run(spark, root, "r-1", stages=["bronze"], again=True) == ["bronze"]
     assert registry.run(spark, root, "r-1") == ["silver", "gold", "load"]
-    names = {r["razao_social"] for r in read_snapshot(spark, f"{root}/published").collect()}
+    names = {r["razao_social"] for r in read_buckets(spark, f"{root}/published").collect()}
     assert "D" in names and "C" not in names
 
 
@@ -319,7 +311,7 @@ def test_a_short_first_line_costs_nothing(spark, tmp_path):
     put_archive(raw / "Empresas.zip", "1e3.csv", lines)
     put_archive(raw / "Socios.zip", "S.csv", PARTNER_LINES)
     registry.run(spark, str(tmp_path), "r")
-    table = {r["cnpj"]: r["cod_porte"] for r in read_snapshot(spark, f"{tmp_path}/published").collect()}
+    table = {r["cnpj"]: r["cod_porte"] for r in read_buckets(spark, f"{tmp_path}/published").collect()}
     assert table == {"00000001": None, **{f"0000000{i}": "03" for i in range(2, 7)}}
     wrong = registry.rejected(spark, str(tmp_path), "r", "empresas").collect()
     assert sorted(r["text"] for r in wrong) == [lines[0], lines[-1]]
@@ -328,15 +320,6 @@ def test_a_short_first_line_costs_nothing(spark, tmp_path):
     assert counts["bronze"] == 10
 
 
-def test_an_uncommitted_snapshot_is_not_read(spark, tmp_path, rows):
-    root = str(tmp_path / "t")
-    upsert_snapshot(spark, root, spark.createDataFrame([(1, 1)], "k int, v int"), "k")
-    spark.createDataFrame([(9, 9)], "k int, v int").write.parquet(f"{root}/snapshot-2-unfinished")
-    assert rows(read_snapshot(spark, root)) == [(1, 1)]
-    upsert_snapshot(spark, root, spark.createDataFrame([(2, 2)], "k int, v int"), "k")
-    assert rows(read_snapshot(spark, root)) == [(1, 1), (2, 2)]
-
-
 # --- relational publishing: statements and their order; no database is started ---------------------
 
 
@@ -519,12 +502,11 @@ def test_stream_upsert(spark, tmp_path, rows):
         spark.createDataFrame(list(values), schema).coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(schema).parquet(source)
         upsert_stream(stream, root, "k", "t", check)
-        return rows(read_snapshot(spark, root))
+        return rows(read_buckets(spark, root))
 
     assert arrive((1, 1, "a"), (1, 2, "b"), (2, 1, "c")) == [(1, 2, "b"), (2, 1, "c")]
     assert arrive((2, 2, "d"), (3, 1, "e")) == [(1, 2, "b"), (2, 2, "d"), (3, 1, "e")]
     assert arrive((1, 1, "late"), (4, 0, "f")) == [(1, 2, "b"), (2, 2, "d"), (3, 1, "e"), (4, 0, "f")]
-    assert current_version(spark, root) == 3
 
 
 def test_shuffles_grow_with_their_input(spark):

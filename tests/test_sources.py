@@ -1,5 +1,6 @@
 """Archives, delimited text and fallbacks on files with awkward contents."""
 
+import random
 import zipfile
 
 import pytest
@@ -59,6 +60,52 @@ def test_multi_line_records(spark, edge):
     assert len(got) == 4 and got[3]["_c1"] == "multi\nline"
 
 
+def state_after(state, text):
+    """The state of delimited text behind ``text``, byte by byte."""
+    for c in text:
+        if state in "NSU":
+            state = "S" if c == ";" else "N" if c == "\n" else "Q" if c == '"' and state != "U" else "U"
+        elif state == "Q":
+            state = "E" if c == '"' else "Q"
+        else:
+            state = "Q" if c == '"' else "S" if c == ";" else "N" if c == "\n" else "U"
+    return state
+
+
+def test_states_of_ranges():
+    from lamina.sources.records import STATES, scanner_maker
+
+    draw = random.Random(3)
+    ending, first = scanner_maker()(";")[:2]
+    for _ in range(20_000):
+        text = "".join(draw.choice('"";\nab') for _ in range(draw.randrange(14)))
+        assert ending(text.encode()) == "".join(state_after(s, text) for s in STATES), text
+        for s in STATES:
+            begins = [i for i in range(len(text) + 1) if state_after(s, text[:i]) == "N"]
+            assert (first(text.encode(), s) or 0) % (len(text) or 1) == (begins or [0])[0] % (len(text) or 1), (s, text)
+
+
+@pytest.mark.parametrize("range_bytes", [7, 64, 1000, 1 << 20])
+def test_records_do_not_depend_on_ranges(spark, tmp_path, rows, settings, range_bytes):
+    """Line breaks in quotes, doubled and stray quotes, blank lines, records longer than a range and a last one without an end."""
+    settings(lamina__shuffle__mostPartitions="4")
+    draw = random.Random(5)
+    fields = ["a", "", '""', '"x\n;y"', '"q""\n""q"', 'in"side', '"closed"more', " ", '"é\n\n"', '"' + "long\n" * 300 + '"']
+    for name, sep in (("a.csv", ";"), ("b.csv", "|")):
+        lines = [sep.join(draw.choice(fields).replace(";", sep) for _ in range(draw.randrange(1, 5))) for _ in range(60)]
+        (tmp_path / name).write_bytes("\n".join([f"1{sep}2{sep}3{sep}4{sep}5", *lines]).encode("iso-8859-1"))
+    (tmp_path / "empty.csv").write_bytes(b"")
+    (tmp_path / "open.csv").write_bytes(b'1;"never closed\n2;3\n')
+    got = read_detected(spark, str(tmp_path), multi_line=True, range_bytes=range_bytes)
+    assert got.columns == ["_c0", "_c1", "_c2", "_c3", "_c4", "_file"]
+    whole = [
+        spark.read.options(sep=sep, quote='"', escape='"', multiLine="true", encoding="ISO-8859-1").schema(raw_schema(5)).csv(str(tmp_path / name))
+        for name, sep in (("a.csv", ";"), ("b.csv", "|"))
+    ]
+    assert rows(got.filter(~F.col("_file").contains("open.csv")).drop("_file")) == rows(whole[0].unionByName(whole[1]))
+    assert got.filter(F.col("_file").contains("open.csv")).count() == 1
+
+
 def test_rows_of_the_wrong_width_are_flagged(spark, edge):
     df = read_delimited(spark, edge, schema=raw_schema(7), multi_line=True, corrupt="_bad")
     flagged = {r["_c0"]: r["_bad"] is not None for r in df.collect()}
@@ -231,8 +278,11 @@ def test_no_row_is_cut_by_the_width_of_another(spark, tmp_path, rows):
     (tmp_path / "b.csv").write_text("3|w\n")
     got = read_detected(spark, str(tmp_path), schema=raw_schema(2), corrupt="_bad")
     assert rows(got.drop("_file")) == [("1", 'a;"b', None), ("2", "ç", "2;ç;d;e"), ("3", "w", None)]
-    with pytest.raises(ValueError, match="one separator"):
-        read_detected(spark, str(tmp_path), multi_line=True)
+    assert rows(read_detected(spark, str(tmp_path), multi_line=True).drop("_file")) == [
+        ("1", 'a;"b', None, None),
+        ("2", "ç", "d", "e"),
+        ("3", "w", None, None),
+    ]
 
 
 def test_archives_without_entries_land_nothing(spark, tmp_path):
