@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lamina.operators.joins import lookup_join
 from lamina.operators.keys import as_list
+from lamina.operators.orphans import drop_orphans
 
 
 def child_rollup(child: DataFrame, key: str | Sequence[str], **aggregates: Column) -> DataFrame:
@@ -38,6 +39,13 @@ def enrich(
     key: str | Sequence[str],
     aggregates: Mapping[str, Column],
     defaults: Mapping[str, Any],
+    many_orphans: bool = False,
 ) -> DataFrame:
-    """``child_rollup`` and ``left_enrich`` in one step."""
+    """``child_rollup`` and ``left_enrich`` in one step.
+
+    ``many_orphans`` is for children most of whom have no parent here: they are left out before their shuffle, at the
+    price of a scan of the parents' keys.
+    """
+    if many_orphans:
+        child = drop_orphans(child, parent, key)
     return left_enrich(parent, child_rollup(child, key, **aggregates), key, defaults)

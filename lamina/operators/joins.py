@@ -32,8 +32,8 @@ _EXACT = (
 )
 
 
-def _hashed(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column | None:
-    """A hash of the keys that is equal wherever the keys are, or None if no type assures that."""
+def key_columns(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list[Column] | None:
+    """The keys as columns whose hashes are equal wherever the keys are, or None if no type assures that."""
     columns = []
     for k in keys:
         a, b = left.schema[k].dataType, right.schema[k].dataType
@@ -43,7 +43,7 @@ def _hashed(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column |
             columns.append(F.col(k))
         else:
             return None
-    return F.hash(*columns)
+    return columns
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
@@ -58,9 +58,10 @@ def lookup_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
     Keys of two types, or of a type whose equal values may be stored differently, are joined plainly.
     """
     keys = as_list(on)
-    spread = _hashed(left, right, keys)
-    if spread is None:
+    columns = key_columns(left, right, keys)
+    if columns is None:
         return left.join(right, keys, how)
+    spread = F.hash(*columns)
     return (
         left.withColumn(_SPREAD, spread)
         .join(right.withColumn(_SPREAD, spread), [*keys, _SPREAD], how)

@@ -45,11 +45,21 @@ from lamina.operators import (
     split_rows,
 )
 from lamina.operators.guards import ExpectationError
+from lamina.operators.incremental import matches
 from lamina.plans import ledger, registry
 from lamina.plans.layout import run_path
 from lamina.schemas import ENTITY_WORDS, raw_schema
-from lamina.session import scratch_dir
-from lamina.sinks import append_new, land_archives, overwrite_partitions, read_buckets, upsert_buckets, write_run
+from lamina.session import scratch_dir, session_setting
+from lamina.sinks import (
+    append_new,
+    change_rollup,
+    land_archives,
+    overwrite_partitions,
+    read_buckets,
+    read_rollup,
+    upsert_buckets,
+    write_run,
+)
 from lamina.sources import (
     entry_lines,
     expand_entries,
@@ -64,7 +74,8 @@ from lamina.sources import (
 )
 from lamina.sources.records import RANGE_BYTES
 from lamina.sources.tables import rows_of
-from lamina.streaming import land_archives_stream, stream_to_table, upsert_stream
+from lamina.streaming import land_archives_stream, run_gate, stream_to_table, upsert_stream
+from lamina.streaming.gate import STATE_STORE
 
 URGENT = "1-URGENT"
 
@@ -173,6 +184,26 @@ def enrich_hot_and_null_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.withColumn("user_id", F.coalesce("user_id", F.lit(-1).cast("long")))
 
 
+@query("""
+SELECT c.c_custkey, coalesce(o.n_lines, 0) AS n_lines, coalesce(o.any_returned, false) AS any_returned
+FROM (SELECT c_custkey FROM customer WHERE c_custkey % 8 = 0) c
+LEFT JOIN (SELECT l_orderkey, count(*) AS n_lines, bool_or(l_returnflag = 'R') AS any_returned
+           FROM lineitem GROUP BY l_orderkey) o ON c.c_custkey = o.l_orderkey
+""")
+def enrich_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Most lines are of no parent here: they are left out by a filter of the parents' keys before they are counted."""
+    parents = _customers(spark, sf_dir).select("c_custkey").filter(F.col("c_custkey") % 8 == 0)
+    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "c_custkey")
+    return enrich(
+        parents,
+        lines,
+        "c_custkey",
+        aggregates={"n_lines": row_count(), "any_returned": any_match(F.col("l_returnflag") == "R")},
+        defaults={"n_lines": 0, "any_returned": False},
+        many_orphans=True,
+    )
+
+
 @query("SELECT o_custkey AS c_custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey")
 def child_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return child_rollup(_orders_by_customer(spark, sf_dir), "c_custkey", n_orders=row_count())
@@ -363,6 +394,32 @@ def checked_unique_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return require_unique_key(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey")
 
 
+@query("""
+SELECT user_id, count(*) AS n_rows, sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) > 0 AS any_purchase,
+       CAST(sum(CAST(round(coalesce(value, 0) * 100) AS BIGINT)) AS BIGINT) AS cents
+FROM events WHERE event_id % 5 <> 0 GROUP BY user_id
+""")
+def rollup_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in three batches, the last of which takes some back, and one of them again: the summaries follow."""
+    root = scratch_dir(spark, "rollup")
+    events = table(spark, sf_dir, "events").withColumn("sign", F.lit(1))
+    late = F.col("event_id") % 3 == 2
+    batches = [events.filter(~late), events.filter(late), events.filter(F.col("event_id") % 5 == 0).withColumn("sign", F.lit(-1))]
+    for number in (0, 1, 1, 2, 2):
+        change_rollup(
+            spark,
+            root,
+            batches[number],
+            "user_id",
+            number,
+            F.col("sign"),
+            n_purchases=matches(F.col("event_type") == "purchase"),
+            cents=F.round(F.col("value") * 100).cast("long"),
+        )
+    any_purchase = (F.col("n_purchases") > 0).alias("any_purchase")
+    return read_rollup(spark, root).select("user_id", "n_rows", any_purchase, "cents")
+
+
 # --- names ----------------------------------------------------------------------------------------
 
 
@@ -859,6 +916,40 @@ def snapshot_reader_survives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reader
 
 
+# Runs of the gate: documents three by three, every other run due before the last third of the arrivals.
+_GATE_SQL = """
+WITH expected AS (
+  SELECT DISTINCT CAST(doc_id // 3 AS VARCHAR) AS run_id, CAST(doc_id AS VARCHAR) AS name, CASE WHEN doc_id // 3 % 2 = 0 THEN 2 ELSE 9 END AS due
+  FROM documents),
+arrived AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS name, doc_id % 3 + 1 AS at FROM labels),
+counted AS (
+  SELECT run_id, count(*) AS n_expected, count(*) - count(a.name) AS n_missing
+  FROM expected e LEFT JOIN arrived a ON e.name = a.name AND a.at <= e.due GROUP BY run_id)
+SELECT run_id, CASE WHEN n_missing = 0 THEN 'complete' ELSE 'expired' END AS status, n_expected, n_missing FROM counted
+"""
+
+
+@query(_GATE_SQL)
+def stream_run_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs that wait for their documents, whose labels arrive in three batches: which are complete, and which run out of time."""
+    path = scratch_dir(spark, "gate")
+    hour = lambda n: F.timestamp_seconds(n * 3600)
+    run = F.floor(F.col("doc_id") / 3).cast("long")
+    expected = table(spark, sf_dir, "documents").select(
+        run.alias("run_id"), F.col("doc_id").alias("name"), hour(F.when(run % 2 == 0, F.lit(2)).otherwise(F.lit(9))).alias("due")
+    )
+    at = F.col("doc_id") % 3
+    labels = table(spark, sf_dir, "labels").select(run.alias("run_id"), F.col("doc_id").alias("name"), hour(at + 1).alias("at"), at.alias("_part"))
+    # The last batch brings nothing that is awaited, only the time.
+    end = spark.range(1).select(F.lit(-1).cast("long").alias("run_id"), F.lit(-1).cast("long").alias("name"), hour(F.lit(24)).alias("at"))
+    for rows in (*[labels.filter(F.col("_part") == p).drop("_part") for p in range(3)], end):
+        rows.write.mode("append").parquet(f"{path}/in")
+        arrivals = spark.readStream.schema(end.schema).parquet(f"{path}/in").withWatermark("at", "0 seconds")
+        with session_setting(spark, "spark.sql.streaming.stateStore.providerClass", STATE_STORE):
+            stream_to_table(run_gate(arrivals, expected), f"{path}/decided", f"{path}/checkpoint")
+    return spark.read.parquet(f"{path}/decided")
+
+
 def _partner_lines(orders: DataFrame) -> DataFrame:
     return orders.select(F.concat_ws(";", F.col("o_orderkey").cast("string"), F.lit("2;A;;;;;;;;")).alias("value"))
 

@@ -1,4 +1,4 @@
-from lamina.sinks.buckets import read_buckets, upsert_buckets
+from lamina.sinks.buckets import change_rollup, read_buckets, read_rollup, upsert_buckets
 from lamina.sinks.jdbc import (
     create_table_sql,
     jdbc_connection,
@@ -12,6 +12,7 @@ from lamina.sinks.runs import append_new, overwrite_partitions, write_run
 
 __all__ = [
     "append_new",
+    "change_rollup",
     "create_table_sql",
     "jdbc_connection",
     "land_archives",
@@ -19,6 +20,7 @@ __all__ = [
     "overwrite_partitions",
     "publish_jdbc",
     "read_buckets",
+    "read_rollup",
     "run_in_transaction",
     "staging_name",
     "upsert_buckets",

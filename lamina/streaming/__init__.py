@@ -1,3 +1,4 @@
+from lamina.streaming.gate import run_gate
 from lamina.streaming.landing import land_archives_stream, stream_to_table, upsert_stream
 
-__all__ = ["land_archives_stream", "stream_to_table", "upsert_stream"]
+__all__ = ["land_archives_stream", "run_gate", "stream_to_table", "upsert_stream"]
