@@ -4,6 +4,7 @@ from lamina.functions.names import (
     first_missing,
     landing_target,
     normalise_prefix,
+    staging_table,
     uri_parts,
     url_basename,
 )
@@ -20,6 +21,7 @@ __all__ = [
     "normalise_prefix",
     "row_count",
     "separator_of",
+    "staging_table",
     "target_rule",
     "uri_parts",
     "url_basename",

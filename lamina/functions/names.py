@@ -10,6 +10,12 @@ from pyspark.sql import Column, functions as F
 # Fixed value: name given to a download whose URL has no last segment.
 UNNAMED_FILE = "file.bin"
 
+# Fixed value: what stands between a table's name and the run's in the name of a staging table.
+STAGING = "_stg_"
+
+# A table's name, perhaps after that of its schema.
+IDENTIFIER = r"[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?"
+
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -61,6 +67,12 @@ def classify_name(c: str | Column, rules: Mapping[str, Sequence[str]]) -> Column
     return picked
 
 
+def staging_table(table: str | Column, run_id: str | Column) -> Column:
+    """Name of the staging table of a run: a dash in the run id becomes an underscore; NULL if that is no plain identifier."""
+    plain = lambda c: F.when(c.rlike(f"^(?:{IDENTIFIER})\\z"), c)
+    return plain(F.concat(plain(_col(table)), F.lit(STAGING), F.translate(_col(run_id), "-", "_")))
+
+
 def first_missing(fields: Mapping[str, Column] | Sequence[str]) -> Column:
     """Name of the first required field that is NULL or empty text; NULL when all are present."""
     columns = fields if isinstance(fields, Mapping) else {f: F.col(f) for f in fields}

@@ -5,21 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lamina.functions.names import url_basename
 from lamina.functions.values import any_match, code_int, decimal_comma, row_count, target_rule
 from lamina.operators.enrich import enrich
 from lamina.operators.guards import ExpectationError
 from lamina.operators.joins import missing_from
+from lamina.operators.losses import WatchedCasts
 from lamina.operators.normalize import coerce_schema, positional_rename
 from lamina.plans.layout import run_path
-from lamina.plans.ledger import FAILED, pending_stages, record_stage
+from lamina.plans.ledger import DONE, FAILED, is_stale, newest_rows, record_stage
 from lamina.schemas import (
+    CAST_LOSSES,
     COMPANY_COLUMNS,
     ENRICHED,
     ENTITY_WORDS,
     FOREIGN_PARTNER,
+    GATE,
     KEY,
     PARTNER_COLUMNS,
     STAGES,
@@ -29,11 +32,11 @@ from lamina.schemas import (
 from lamina.session import wide_shuffle
 from lamina.sinks.buckets import upsert_buckets
 from lamina.sinks.landing import land_archives
-from lamina.sinks.runs import write_run
+from lamina.sinks.runs import RowCount, write_run
 from lamina.sources.archives import SAMPLE_BYTES
 from lamina.sources.delimited import read_landing
 from lamina.sources.files import bytes_of, list_files, resolve_archives
-from lamina.sources.tables import load_if_present
+from lamina.sources.tables import load_if_present, rows_of
 
 # Column of the text of rows of the wrong width, and where such a row came from.
 _TEXT = "_rejected"
@@ -42,23 +45,20 @@ LINEAGE_KEPT = ("_file", "_archive", "_entry")
 COLUMNS = {"empresas": COMPANY_COLUMNS, "socios": PARTNER_COLUMNS}
 
 
-def typed_companies(raw: DataFrame) -> DataFrame:
-    named = positional_rename(raw, COMPANY_COLUMNS)
-    return named.withColumns(
-        {
-            "capital_social": decimal_comma("capital_social"),
-            "natureza_juridica": code_int("natureza_juridica"),
-            "qualificacao_responsavel": code_int("qualificacao_responsavel"),
-        }
-    )
+def casts_of(entity: str) -> dict[str, Column]:
+    """The casts of an entity's columns, by name."""
+    if entity == "socios":
+        return {c: code_int(c) for c in ("tipo_socio", "codigo_qualificacao_socio")}
+    codes = {c: code_int(c) for c in ("natureza_juridica", "qualificacao_responsavel")}
+    return {"capital_social": decimal_comma("capital_social"), **codes}
 
 
-def typed_partners(raw: DataFrame) -> DataFrame:
-    named = positional_rename(raw, PARTNER_COLUMNS)
-    return named.withColumns({c: code_int(c) for c in ("tipo_socio", "codigo_qualificacao_socio")})
+def typed_companies(raw: DataFrame) -> DataFrame:
+    return positional_rename(raw, COMPANY_COLUMNS).withColumns(casts_of("empresas"))
 
 
-TYPED = {"empresas": typed_companies, "socios": typed_partners}
+def typed_partners(raw: DataFrame) -> DataFrame:
+    return positional_rename(raw, PARTNER_COLUMNS).withColumns(casts_of("socios"))
 
 
 def enriched_companies(companies: DataFrame, partners: DataFrame) -> DataFrame:
@@ -110,14 +110,18 @@ def bronze(
     archives, _ = resolve_archives(spark, roots, ENTITY_WORDS, explicit)
     landing = run_path(root, "bronze", run_id)
     land_archives(archives, landing, entry_suffix, ordered=multi_line, expect=tuple(ENTITY_WORDS), sample_bytes=sample_bytes)
-    written = 0
+    written = []
     for entity in ENTITY_WORDS:
         schema = raw_schema(len(COLUMNS[entity]))
+        table = run_path(root, "bronze", run_id, entity)
         rows = read_landing(spark, f"{landing}/csv", entity, schema, multi_line=multi_line, corrupt=_TEXT)
-        written += write_run(rows.drop(_TEXT), run_path(root, "bronze", run_id, entity))
-        wrong = rows.filter(F.col(_TEXT).isNotNull()).select("_c0", F.col(_TEXT).alias("text"), *LINEAGE_KEPT)
+        # Landed files have other names each time.
+        written.append(write_run(rows, table, fingerprint=True, but=("_file",)))
+        # The text is parsed once; the few rows of another width are found by its statistics in the stored table.
+        stored = spark.read.parquet(table)
+        wrong = stored.filter(F.col(_TEXT).isNotNull()).select("_c0", F.col(_TEXT).alias("text"), *LINEAGE_KEPT)
         write_run(wrong, run_path(root, "bronze", run_id, f"{entity}_rejected"))
-    return written
+    return RowCount.total(*written)
 
 
 def rejected(spark: SparkSession, root: str, run_id: str, entity: str) -> DataFrame:
@@ -129,24 +133,48 @@ def raw_table(spark: SparkSession, root: str, run_id: str, entity: str, multi_li
     """The raw Parquet table of an entity, or its landed text where there is none."""
     stored = load_if_present(spark, run_path(root, "bronze", run_id, entity), "parquet")
     if stored is not None:
-        return stored
+        return stored.drop(_TEXT)
     schema = raw_schema(len(COLUMNS[entity]))
     return read_landing(spark, run_path(root, "bronze", run_id, "csv"), entity, schema, multi_line=multi_line)
 
 
-def silver(spark: SparkSession, root: str, run_id: str, multi_line: bool = False) -> int:
-    """Typed tables of both entities; ``multi_line`` matters only where the landed text is read."""
-    return sum(
-        write_run(typed(raw_table(spark, root, run_id, entity, multi_line)), run_path(root, "silver", run_id, entity))
-        for entity, typed in TYPED.items()
-    )
+def silver(
+    spark: SparkSession,
+    root: str,
+    run_id: str,
+    multi_line: bool = False,
+    most_lost: float | Mapping[str, float] | None = None,
+) -> int:
+    """Typed tables of both entities; ``multi_line`` matters only where the landed text is read.
+
+    What casts have turned into NULL is counted by the same writes and stands in ``silver/<run>/cast_losses``. A column that loses
+    a larger share than ``most_lost`` (of all columns, or by name) stops the run once that is written.
+    """
+    written, losses = [], {}
+    for entity in COLUMNS:
+        named = positional_rename(raw_table(spark, root, run_id, entity, multi_line), COLUMNS[entity])
+        watched = WatchedCasts(named, casts_of(entity))
+        written.append(write_run(watched.rows, run_path(root, "silver", run_id, entity), fingerprint=True))
+        losses[entity] = watched.losses()
+    counts = [(e, c, found.set[c], found.lost[c]) for e, found in losses.items() for c in found.set]
+    write_run(rows_of(spark, CAST_LOSSES, *counts).coalesce(1), run_path(root, "silver", run_id, "cast_losses"))
+    for found in losses.values():
+        if most_lost is not None:
+            named = most_lost if not isinstance(most_lost, Mapping) else {c: m for c, m in most_lost.items() if c in found.set}
+            found.require(named)
+    return RowCount.total(*written)
+
+
+def cast_losses(spark: SparkSession, root: str, run_id: str) -> DataFrame:
+    """(entity, column, n_set, n_lost) of a run's casts."""
+    return spark.read.parquet(run_path(root, "silver", run_id, "cast_losses"))
 
 
 def gold(spark: SparkSession, root: str, run_id: str) -> int:
     inputs = [run_path(root, "silver", run_id, entity) for entity in ("empresas", "socios")]
     companies, partners = (spark.read.parquet(path) for path in inputs)
     with wide_shuffle(spark, bytes_of(spark, *inputs)):
-        return write_run(enriched_companies(companies, partners), run_path(root, "gold", run_id, "resultado_final"))
+        return write_run(enriched_companies(companies, partners), run_path(root, "gold", run_id, "resultado_final"), fingerprint=True)
 
 
 def result(spark: SparkSession, root: str, run_id: str) -> DataFrame:
@@ -186,11 +214,13 @@ def run(
     as_of: datetime | None = None,
     stages: Sequence[str] = STAGES,
     again: bool = False,
+    most_lost: float | Mapping[str, float] | None = None,
     **bronze_options,
 ) -> list[str]:
     """Run the stages the ledger does not show as done, in order; returns their names.
 
-    A stage that fails is recorded as such, and stays pending. ``again`` runs the given stages
+    Each stage is looked at when its turn comes: if the stage before it has written what it had written before, by the fingerprint in the
+    ledger, there is nothing to do. A stage that fails is recorded as such, and stays pending. ``again`` runs the given stages
     whether or not they are done; the next run then redoes the stages after them. ``publish`` replaces the bucketed upsert, for example by
     ``publish_jdbc``. ``manifest`` holds a ``url`` column of everything that must have arrived.
     """
@@ -205,20 +235,26 @@ def run(
     steps: dict[str, Callable[[], int | None]] = {
         "ingest": lambda: ingest(spark, root, run_id, manifest),
         "bronze": lambda: bronze(spark, root, run_id, **bronze_options),
-        "silver": lambda: silver(spark, root, run_id, bronze_options.get("multi_line", False)),
+        "silver": lambda: silver(spark, root, run_id, bronze_options.get("multi_line", False), most_lost),
         "gold": lambda: gold(spark, root, run_id),
         "load": load_or_publish,
     }
-    if again:
-        todo = list(stages)
-    else:
-        due = pending_stages(spark, ledger, run_id)
-        todo = [stage for stage in stages if stage in due]
-    for stage in todo:
+    latest = newest_rows(spark, ledger, run_id)
+    done = []
+    for stage in stages:
+        place = STAGES.index(stage)
+        before = latest.get(STAGES[place - 1]) if place and STAGES[place - 1] != GATE else None
+        # A stage whose predecessor is to do cannot know its input yet.
+        if not again and not is_stale(latest.get(stage), before) and not (before and before["status"] != DONE):
+            continue
+        read = before["output"] if before else None
         try:
             rows = steps[stage]()
         except Exception:
             record_stage(spark, ledger, run_id, stage, status=FAILED)
             raise
-        record_stage(spark, ledger, run_id, stage, rows)
-    return todo
+        written = getattr(rows, "fingerprint", None)
+        record_stage(spark, ledger, run_id, stage, rows, read=read, written=written)
+        done.append(stage)
+        latest = newest_rows(spark, ledger, run_id)
+    return done

@@ -26,6 +26,7 @@ from lamina.functions import (
     landing_target,
     row_count,
     separator_of,
+    staging_table,
     target_rule,
     uri_parts,
     url_basename,
@@ -46,6 +47,7 @@ from lamina.operators import (
 )
 from lamina.operators.guards import ExpectationError
 from lamina.operators.incremental import matches
+from lamina.operators.losses import WatchedCasts
 from lamina.plans import ledger, registry
 from lamina.plans.layout import run_path
 from lamina.schemas import ENTITY_WORDS, raw_schema
@@ -499,6 +501,39 @@ def first_missing_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", missing.alias("missing"))
 
 
+@query(r"""
+SELECT c_custkey, CASE WHEN regexp_matches(part, '^[A-Za-z_][A-Za-z0-9_]*$') THEN part || '_stg_' || replace(run, '-', '_') END AS staging
+FROM (SELECT c_custkey, lower(c_mktsegment) || CASE WHEN c_custkey % 7 = 0 THEN ' x' ELSE '' END AS part,
+             '2024-' || CAST(c_custkey AS VARCHAR) AS run FROM customer)
+""")
+def staging_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging tables of runs; a table whose name is no plain identifier has none."""
+    part = F.concat(F.lower("c_mktsegment"), F.when(F.col("c_custkey") % 7 == 0, " x").otherwise(""))
+    run = F.concat(F.lit("2024-"), F.col("c_custkey").cast("string"))
+    return _customers(spark, sf_dir).select("c_custkey", staging_table(part, run).alias("staging"))
+
+
+@query(r"""
+SELECT 'total' AS column_name, count(*) AS n_set, CAST(0 AS BIGINT) AS n_lost FROM orders
+UNION ALL SELECT 'priority', count(*), count(*) FROM orders
+UNION ALL SELECT 'status', count(*) FILTER (o_orderstatus <> 'P'),
+                 count(*) FILTER (o_orderstatus = 'F') FROM orders
+""", name="cast_losses")
+def losses_of_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What casts turn into NULL, counted by the write that casts: amounts nothing, priorities all, and a mixed column in part."""
+    status = F.col("o_orderstatus")
+    raw = table(spark, sf_dir, "orders").select(
+        F.replace(F.col("o_totalprice").cast("string"), F.lit("."), F.lit(",")).alias("total"),
+        F.col("o_orderpriority").alias("priority"),
+        F.when(status == "O", "12").when(status == "F", "12.7").otherwise("  ").alias("status"),
+    )
+    watched = WatchedCasts(raw, {"total": decimal_comma("total"), "priority": code_int("priority"), "status": code_int("status")})
+    write_run(watched.rows, scratch_dir(spark, "watched"))
+    losses = watched.losses()
+    schema = StructType([StructField("column_name", StringType()), StructField("n_set", LongType()), StructField("n_lost", LongType())])
+    return rows_of(spark, schema, *[(c, losses.set[c], losses.lost[c]) for c in losses.set])
+
+
 # --- ledger, manifests, no-clobber ----------------------------------------------------------------
 
 
@@ -831,6 +866,20 @@ def source_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typed_orders(raw)
 
 
+@query(r"""
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, replace(replace(replace(text, E'\n', ' '), ';', ','), '"', '') AS text, lang FROM documents
+""")
+def sep_by_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts full of commas in lines of three ``;`` fields: the first bytes speak for the comma, all lines for the semicolon."""
+    path = scratch_dir(spark, "agreement")
+    text = F.translate("text", '\n;"', " ,")
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string"), text, "lang")
+    kept = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    rows.write.options(sep=";", escape='"', encoding="UTF-8", **kept).csv(path)
+    found = read_detected(spark, path, schema=raw_schema(3), encoding="UTF-8", agreement=1.0)
+    return positional_rename(found, ["doc_id", "text", "lang"])
+
+
 # --- streams --------------------------------------------------------------------------------------
 
 
@@ -973,6 +1022,27 @@ def rerun_refreshes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_buckets(spark, f"{root}/published").select("cnpj", "razao_social")
 
 
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS cnpj, o_orderpriority AS razao_social, '2024-02-01 12:00:00' AS updated_at FROM orders
+""")
+def rerun_unchanged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same archives land again in other files: bronze finds the same rows, so nothing after it is redone."""
+    root = scratch_dir(spark, "unchanged")
+    orders = table(spark, sf_dir, "orders")
+    raw = run_path(root, "raw", "run-1")
+    lines = orders.select(F.concat_ws(";", F.col("o_orderkey").cast("string"), "o_orderpriority", F.lit("1;49;1,00;05;x")).alias("value"))
+    for hour, again in ((12, False), (13, True)):
+        _write_archives(lines, raw, "Empresas")
+        _write_archives(_partner_lines(orders), raw, "Socios")
+        if again:
+            registry.run(spark, root, "run-1", stages=["bronze"], again=True)
+        redone = registry.run(spark, root, "run-1", as_of=datetime(2024, 2, 1, hour))
+    if redone:
+        raise ExpectationError(f"nothing has changed, but {redone} were redone")
+    published = read_buckets(spark, f"{root}/published")
+    return published.select("cnpj", "razao_social", F.col("updated_at").cast("string").alias("updated_at"))
+
+
 def _write_twin_archives(lines: DataFrame, folder: str) -> None:
     """As ``_write_archives``, with the lines alternating between two entries of one name."""
 

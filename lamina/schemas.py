@@ -58,6 +58,7 @@ def raw_schema(width: int) -> StructType:
     return StructType([StructField(f"_c{i}", StringType()) for i in range(width)])
 
 
+# Columns of the published table, in order, and their types.
 ENRICHED = StructType(
     [
         StructField("cnpj", StringType()),
@@ -71,6 +72,15 @@ ENRICHED = StructType(
     ]
 )
 
+CAST_LOSSES = StructType(
+    [
+        StructField("entity", StringType()),
+        StructField("column", StringType()),
+        StructField("n_set", LongType()),
+        StructField("n_lost", LongType()),
+    ]
+)
+
 LEDGER = StructType(
     [
         StructField("run_id", StringType()),
@@ -78,5 +88,7 @@ LEDGER = StructType(
         StructField("status", StringType()),
         StructField("rows", LongType()),
         StructField("at", TimestampType()),
+        StructField("input", StringType()),
+        StructField("output", StringType()),
     ]
 )

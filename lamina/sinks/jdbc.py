@@ -22,6 +22,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from lamina.functions.names import IDENTIFIER, STAGING
 from lamina.operators.guards import require_set_key, require_unique_key
 from lamina.operators.keys import latest_per_key
 from lamina.operators.normalize import coerce_schema
@@ -36,7 +37,7 @@ _SQL_TYPES = {
     TimestampType: "TIMESTAMPTZ",
 }
 
-_IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?")
+_IDENTIFIER = re.compile(IDENTIFIER)
 
 
 def _identifier(name: str) -> str:
@@ -55,7 +56,7 @@ def _sql_type(kind: DataType) -> str:
 
 def staging_name(table: str, run_id: str) -> str:
     """Staging table of a run; a dash in the run id becomes an underscore."""
-    return _identifier(f"{_identifier(table)}_stg_{run_id.replace('-', '_')}")
+    return _identifier(f"{_identifier(table)}{STAGING}{run_id.replace('-', '_')}")
 
 
 def create_table_sql(table: str, schema: StructType, key: str, stamp: str = "updated_at") -> str:

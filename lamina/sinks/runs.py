@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from lamina.operators.guards import require_set_key
 from lamina.operators.joins import missing_from
@@ -12,19 +12,48 @@ from lamina.operators.keys import as_list, latest_per_key
 from lamina.sources.tables import load_if_present
 
 
-def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+class RowCount(int):
+    """A number of rows, with a fingerprint of their contents where one was taken."""
+
+    fingerprint: str | None = None
+
+    @classmethod
+    def of(cls, rows: int, fingerprint: str | None = None) -> RowCount:
+        count = cls(rows)
+        count.fingerprint = fingerprint
+        return count
+
+    @classmethod
+    def total(cls, *counts: RowCount) -> RowCount:
+        """The sum of several tables' counts, with all their fingerprints if each has one."""
+        prints = [c.fingerprint for c in counts]
+        return cls.of(sum(counts), " ".join(prints) if all(prints) else None)
+
+
+def _observed(df: DataFrame, *more: Column) -> tuple[DataFrame, Observation]:
     seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *more), seen
+
 
+def content_aggregates(df: DataFrame, but: Sequence[str] = ()) -> list[Column]:
+    """Aggregates that tell two tables' contents apart whatever the order of their rows, columns in ``but`` left out.
 
-def write_run(df: DataFrame, path: str) -> int:
+    The sum tells repeated rows, which cancel each other in the exclusive or.
+    """
+    row = F.xxhash64(*[c for c in df.columns if c not in but])
+    return [F.sum(row.cast("decimal(38,0)")).alias("sum"), F.bit_xor(row).alias("xor")]
+
+
+def write_run(df: DataFrame, path: str, fingerprint: bool = False, but: Sequence[str] = ()) -> RowCount:
     """Write one run's table, replacing an earlier attempt of the same run; returns its row count.
 
-    The count is taken while writing, so the input is computed once.
+    The count is taken while writing, so the input is computed once, and so is the ``fingerprint`` of all columns
+    but those in ``but``.
     """
-    observed, seen = _observed(df)
+    observed, seen = _observed(df, *(content_aggregates(df, but) if fingerprint else ()))
     observed.write.mode("overwrite").parquet(path)
-    return seen.get["rows"]
+    found = seen.get
+    return RowCount.of(found["rows"], f"{found['rows']}:{found['sum']}:{found['xor']}" if fingerprint else None)
 
 
 def overwrite_partitions(df: DataFrame, path: str, by: str | Sequence[str] = "run_id") -> int:

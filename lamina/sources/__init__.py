@@ -1,5 +1,12 @@
 from lamina.sources.archives import entry_lines, expand_entries, list_entries
-from lamina.sources.delimited import detect_separators, file_heads, read_delimited, read_detected, read_landing
+from lamina.sources.delimited import (
+    detect_separators,
+    file_heads,
+    read_delimited,
+    read_detected,
+    read_landing,
+    separators_by_agreement,
+)
 from lamina.sources.files import bytes_of, classify_archives, list_files, read_manifest, resolve_archives
 from lamina.sources.tables import is_readable, read_first_available
 
@@ -19,4 +26,5 @@ __all__ = [
     "read_landing",
     "read_manifest",
     "resolve_archives",
+    "separators_by_agreement",
 ]

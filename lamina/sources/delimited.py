@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
-from lamina.functions.values import DEFAULT_SEPARATOR, separator_of
+from lamina.functions.values import DEFAULT_SEPARATOR, SEPARATORS, separator_of
 from lamina.operators.joins import lookup_join
 from lamina.schemas import raw_schema
 from lamina.session import scratch_dir, session_setting
@@ -132,6 +132,28 @@ def detect_separators(files: DataFrame, encoding: str = ENCODING, size: int = SA
     return file_heads(files, size).withColumn("sep", separator_of(F.decode("head", encoding))).drop("head")
 
 
+def separators_by_agreement(
+    lines: DataFrame, candidates: Sequence[str] = SEPARATORS, fraction: float = 1.0
+) -> DataFrame:
+    """(_file, sep): the candidate that most lines of a file agree on, of lines in ``_line``.
+
+    A candidate's agreement is the share of lines that have the most common number of its fields, if that is two or more; of equal shares the one with more
+    fields wins, then the earlier candidate. A candidate that stands in no line agrees on nothing, and a file without any has the
+    default. Separators inside quotes do not count. ``fraction`` is the share of lines that is looked at, drawn over the whole
+    file. Per file and candidate one number per field count is shuffled.
+    """
+    seen = lines if fraction >= 1 else lines.sample(fraction, seed=7)
+    counts = F.array(*[F.struct(F.lit(-i).alias("rank"), _fields("_line", F.lit(s)).alias("n")) for i, s in enumerate(candidates)])
+    single = seen.filter(F.col("_line").rlike("[^\\x00-\\x20]")).select("_file", F.explode(counts).alias("c")).select("_file", "c.*")
+    many = single.groupBy("_file", "rank", "n").agg(F.count(F.lit(1)).alias("lines"))
+    # The most common number of fields of each candidate, then the best candidate.
+    common = many.groupBy("_file", "rank").agg(F.max(F.struct("lines", "n")).alias("top"))
+    agreed = common.select("_file", F.when(F.col("top.n") > 1, F.struct("top.lines", "top.n", "rank")).alias("agreed"))
+    best = agreed.groupBy("_file").agg(F.max("agreed").alias("best"))
+    named = F.create_map(*[F.lit(x) for i, s in enumerate(candidates) for x in (-i, s)])
+    return best.select("_file", F.coalesce(named[F.col("best.rank")], F.lit(DEFAULT_SEPARATOR)).alias("sep"))
+
+
 def _stack(tables: Sequence[DataFrame]) -> DataFrame:
     """Union of scans of different widths: data columns by position, then lineage columns."""
     stacked = tables[0]
@@ -157,21 +179,37 @@ def read_detected(
     corrupt: str | None = None,
     sample_bytes: int = SAMPLE_BYTES,
     range_bytes: int = RANGE_BYTES,
+    agreement: float | None = None,
 ) -> DataFrame:
     """Scan of the files below ``root``, each with its own separator, as strings with the file in ``_file``.
 
     Without a schema the width is that of the widest row, found by a scan of its own. The other options are those of
     ``read_delimited``. Of files with several separators the folder is scanned once as text; each line meets its
     file's separator and is parsed with it, so no list of files goes through the driver. Encodings in
-    which a line break is the byte 10 are read.
+    which a line break is the byte 10 are read. With ``agreement`` separators are not those of the first bytes but those that
+    a share of all lines, up to 1, agrees on.
     """
     if corrupt and schema is None:
         raise ValueError("rows of the wrong width can only be told with a schema")
     place = scratch_dir(spark, "separators")
-    # Stored, so that its size is known when the join with the lines is planned.
     files = list_files(spark, root, suffix)
-    detected = detect_separators(files, encoding, sample_bytes)
-    detected.select(F.col("uri").alias("_file"), F.col("sep").alias("_sep")).write.parquet(place)
+    glob = "*" + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix)
+    folder = {"recursiveFileLookup": "true", "pathGlobFilter": glob}
+
+    def text() -> DataFrame:
+        decoded = F.decode(F.col("value").cast("binary"), encoding).alias("_line")
+        return spark.read.options(**folder).text(root).select(decoded, F.col("_metadata.file_path").alias("_file"))
+
+    # Stored, so that its size is known when the join with the lines is planned.
+    if agreement is None:
+        detected = detect_separators(files, encoding, sample_bytes).select(F.col("uri").alias("_file"), F.col("sep").alias("_sep"))
+    else:
+        agreed = separators_by_agreement(text(), fraction=agreement)
+        # Files of which no line was drawn have the default.
+        detected = files.select(F.col("uri").alias("_file")).join(agreed, "_file", "left").select(
+            "_file", F.coalesce("sep", F.lit(DEFAULT_SEPARATOR)).alias("_sep")
+        )
+    detected.write.parquet(place)
     seps = spark.read.schema("_file string, _sep string").parquet(place)
     found = sorted(r["_sep"] for r in seps.select("_sep").distinct().collect())
     if not found:
@@ -179,13 +217,8 @@ def read_detected(
     if multi_line:
         listed = files.select("path", "length", F.col("uri").alias("_file")).join(seps.withColumnRenamed("_sep", "sep"), "_file")
         return _records(listed, found, schema, encoding, corrupt, range_bytes)
-    glob = "*" + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix)
-    folder = {"recursiveFileLookup": "true", "pathGlobFilter": glob}
-    text = spark.read.options(**folder).text(root).select(
-        F.decode(F.col("value").cast("binary"), encoding).alias("_line"), F.col("_metadata.file_path").alias("_file")
-    )
     mixed = len(found) > 1
-    lines = lookup_join(text, seps, "_file", "inner") if mixed else text.withColumn("_sep", F.lit(found[0]))
+    lines = lookup_join(text(), seps, "_file", "inner") if mixed else text().withColumn("_sep", F.lit(found[0]))
     if schema is None:
         schema = raw_schema(lines.agg(F.max(_fields("_line", F.col("_sep")))).first()[0] or 0)
     if not mixed:
