@@ -45,7 +45,8 @@ def run_gate(arrivals: DataFrame, expected: DataFrame) -> DataFrame:
             due = int(initialState["due"])
             expected = self.run.get()[1] if self.run.exists() else 0
             if not expected:
-                self.handle.registerTimer(due)
+                # The watermark has to pass the time, not only to reach it.
+                self.handle.registerTimer(due + 1)
             self.awaited.updateValue((initialState["name"],), (1,))
             self.run.update((due, expected + 1, expected + 1))
 
@@ -60,7 +61,7 @@ def run_gate(arrivals: DataFrame, expected: DataFrame) -> DataFrame:
                     missing -= 1
             if not missing:
                 self.run.clear()
-                self.handle.deleteTimer(due)
+                self.handle.deleteTimer(due + 1)
                 yield Row(run_id=key[0], status=complete, n_expected=many, n_missing=0)
             elif missing < before:
                 self.run.update((due, many, missing))
@@ -75,9 +76,10 @@ def run_gate(arrivals: DataFrame, expected: DataFrame) -> DataFrame:
         def close(self):
             pass
 
+    # As a number the time drives the watermark, but no row is taken for late before the run has seen it.
     millis = F.unix_millis(F.col("at").cast("timestamp"))
     known = arrivals.filter(F.col("run_id").isNotNull() & F.col("name").isNotNull() & F.col("at").isNotNull())
-    rows = known.select(F.col("run_id").cast("string").alias("run_id"), F.col("name").cast("string").alias("name"), millis.alias("at"), F.col("at").alias("_event"))
+    rows = known.select(F.col("run_id").cast("string").alias("run_id"), F.col("name").cast("string").alias("name"), millis.alias("at"))
     once = expected.select(
         F.col("run_id").cast("string").alias("run_id"), F.col("name").cast("string").alias("name"), F.unix_millis(F.col("due").cast("timestamp")).alias("due")
     ).dropna()
