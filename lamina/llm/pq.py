@@ -8,10 +8,10 @@ compared exactly, in double precision.
 
 A query probes its own list, and every list whose border with its own is nearer than ``margin``. A
 vector within reach of the query (a distance of ``sqrt(2 - 2 * threshold)``) has to lie beyond that border
-to be in the other list; a margin of that whole reach would find every link. Of a step in any direction only a small part
-points straight across a border: in d dimensions about its length over the root of d. The default is twice that, a
-quarter of the reach in 64 dimensions and the whole of it in 4. Recall against brute force is part of the tests and stands
-in the README.
+to be in the other list; a margin of that whole reach would find every link. How much of a step points straight across a border depends on
+how many directions the vectors really have. So the margin is fitted: steps of the whole reach are taken from vectors of
+the sample towards their neighbours, and the margin is what all but a few thousandths of these steps would need. Recall
+against brute force, by rank of the vectors, is part of the tests and stands in the README.
 """
 
 from __future__ import annotations
@@ -33,10 +33,18 @@ SUBSPACES = 8
 CODES = 256
 ROUNDS = 8
 
-# Vectors of one list that are compared at a time, on either side, and pairs compared exactly at a time.
-BLOCK = 512
+# Vectors of one list that are compared at a time, on either side, if they have no more than DIMENSIONS, else fewer; rows of
+# a product, and pairs compared exactly, at a time.
+BLOCK = 4096
+DIMENSIONS = 1024
+STRIP = 256
 PAIRS = 1 << 16
 
+# Vectors of the sample that steps are taken from, steps from each, lists whose border they may cross, and the share of steps that may need a wider margin.
+STEPPED = 512
+STEPS = 8
+MISSED = 0.004
+
 
 @dataclass(frozen=True)
 class Quantiser:
@@ -81,8 +89,55 @@ def fit(sample, lists: int, subspaces: int = SUBSPACES, codes: int = CODES) -> Q
     return Quantiser(centres, tables, cuts)
 
 
+def _borders(rows, own, other, centres):
+    """How far the rows are from the border between the lists ``own`` and ``other``."""
+    import numpy as np
+
+    a, b = centres[own], centres[other]
+    between = np.sqrt(np.maximum(((a - b) ** 2).sum(axis=1), 1e-18))
+    return (((rows - b) ** 2).sum(axis=1) - ((rows - a) ** 2).sum(axis=1)) / (2 * between)
+
+
+def fitted_margin(sample, centres, reach: float) -> float:
+    """The margin that all but a share of ``MISSED`` of the steps of length ``reach`` need, of steps from vectors of the sample.
+
+    Steps lead towards the nearest vectors of the sample that are apart and towards others at random, so they have the directions
+    that the vectors have. A link is found if either end probes the other's list.
+    """
+    import numpy as np
+
+    if len(sample) < 3:
+        return reach
+    draw = np.random.default_rng(7)
+    start = sample[np.sort(draw.permutation(len(sample))[:STEPPED])]
+    distance = 2 - 2 * start @ sample.T
+    distance[distance < 1e-9] = np.inf
+    many = min(STEPS, len(sample) - 1)
+    near = np.argpartition(distance, many - 1, axis=1)[:, :many]
+    others = np.concatenate([near, draw.integers(0, len(sample), near.shape)], axis=1)
+    begin = np.repeat(start, others.shape[1], axis=0)
+    step = sample[others.ravel()] - begin
+    size = np.linalg.norm(step, axis=1)
+    begin, step = begin[size > 1e-6], step[size > 1e-6] / size[size > 1e-6, None]
+    if not len(begin):
+        return reach
+    end = begin + reach * step
+    end /= np.linalg.norm(end, axis=1, keepdims=True)
+    a, b = _nearest(begin, centres), _nearest(end, centres)
+    needed = np.minimum(_borders(begin, a, b, centres), _borders(end, b, a, centres))
+    return float(min(reach, np.quantile(np.where(a == b, 0, needed), 1 - MISSED)))
+
+
 def _encode(rows, model: Quantiser, margin: float):
-    """Own list, codes, the length that the code is off by, and the probed lists of unit vectors."""
+    """Own list, codes, the length that the code is off by, and the probed lists of unit vectors, for any number of rows."""
+    import numpy as np
+
+    parts = [_encode_strip(rows[i : i + STRIP], model, margin) for i in range(0, len(rows), STRIP)]
+    own, codes, off, probed = zip(*parts)
+    return np.concatenate(own), np.concatenate(codes), np.concatenate(off), [p for part in probed for p in part]
+
+
+def _encode_strip(rows, model: Quantiser, margin: float):
     import numpy as np
 
     own = _nearest(rows, model.centres)
@@ -136,7 +191,7 @@ def _classes(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     return vectors.select(F.col(vec_id).alias("vec_id"), node.alias("node"), F.col(embedding).alias("v"))
 
 
-def _links(classes: DataFrame, threshold: float, margin: float) -> DataFrame:
+def _links(classes: DataFrame, threshold: float, margin: float | None) -> DataFrame:
     """(u, v, links): per class u the number of rows of other classes that link with it, in parts with
     v NULL; and links (u, v) that connect what is linked.
     """
@@ -149,7 +204,11 @@ def _links(classes: DataFrame, threshold: float, margin: float) -> DataFrame:
     sample = classes.filter(sampled).orderBy("node").select("v").toPandas()["v"]
     rows = np.stack([np.asarray(v) for v in sample])
     rows /= np.abs(rows).max(axis=1, keepdims=True)
-    model = fit(rows / np.linalg.norm(rows, axis=1, keepdims=True), min(MOST_LISTS, max(1, int(np.ceil(count**0.5)))))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    model = fit(rows, min(MOST_LISTS, max(1, int(np.ceil(count**0.5)))))
+    if margin is None:
+        margin = fitted_margin(rows, model.centres, (2 - 2 * threshold) ** 0.5)
+    block_rows = max(1, BLOCK * DIMENSIONS // max(DIMENSIONS, rows.shape[1]))
     small_batches(classes.sparkSession)
 
     def place(batches):
@@ -172,8 +231,8 @@ def _links(classes: DataFrame, threshold: float, margin: float) -> DataFrame:
     vector = classes.schema["v"].dataType.simpleString()
     kinds = f"node string, many long, v {vector}, own int, codes binary, off double, probes array<int>"
     placed = stash(classes.select("node", "many", "v").mapInArrow(place, kinds), "placed")
-    members = placed.groupBy(F.col("own").alias("list")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("m"))
-    asked = placed.select(F.explode("probes").alias("list")).groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("q"))
+    members = placed.groupBy(F.col("own").alias("list")).agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("m"))
+    asked = placed.select(F.explode("probes").alias("list")).groupBy("list").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("q"))
     # One row per list, of which there are MOST_LISTS at most.
     blocks = F.broadcast(asked.join(members, "list"))
     block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
@@ -212,13 +271,18 @@ def _links(classes: DataFrame, threshold: float, margin: float) -> DataFrame:
         codes = np.frombuffer(b"".join(listed["codes"].to_pylist()), np.uint8).reshape(len(x), -1)
         off = listed["off"].to_numpy()
         unit = q / qn[:, None]
-        near = np.repeat((unit @ model.centres[number])[:, None], len(x), axis=1)
-        for m, (a, b) in enumerate(zip(model.cuts, model.cuts[1:])):
-            near += (unit[:, a:b] @ model.codes[m].T)[:, codes[:, m]]
+        found = []
+        for i in range(0, len(q), STRIP):
+            part = unit[i : i + STRIP]
+            near = np.repeat((part @ model.centres[number])[:, None], len(x), axis=1)
+            for m, (a, b) in enumerate(zip(model.cuts, model.cuts[1:])):
+                near += (part[:, a:b] @ model.codes[m].T)[:, codes[:, m]]
+            one, other = np.nonzero(near >= threshold - off - 1e-9)
+            found.append((one + i, other))
+        qi, xi = (np.concatenate([f[side] for f in found]) for side in (0, 1))
         names = queries["node"].to_pylist() + listed["node"].to_pylist()
         places = {n: i for i, n in enumerate(dict.fromkeys(names))}
         at = np.array([places[n] for n in names])
-        qi, xi = np.nonzero(near >= threshold - off - 1e-9)
         apart = at[qi] != at[len(q) + xi]
         qi, xi = qi[apart], xi[apart]
         close = [
@@ -260,7 +324,7 @@ def near_vectors(
     ``n_links`` counts the other rows with a cosine of ``threshold`` or more that were found, ``component_id``
     is the least id that can be reached over links, the row's own included, and ``kept`` tells whether that is
     the row itself. Vectors that are NULL, zero, or hold a NULL or non-finite number link with nothing, and
-    only vectors of equal length are compared. Equal vectors are one class, linked with each other
+    only vectors of equal length are compared. Without a ``margin`` one is fitted to each length. Equal vectors are one class, linked with each other
     and compared once, however many there are. A NULL id is nobody's component id unless all ids
     of a component are NULL. An empty table gives no rows.
 
@@ -273,9 +337,7 @@ def near_vectors(
     )
     classes = stash(classes, "classes")
     sizes = sorted(r["d"] for r in classes.select(F.size("v").alias("d")).distinct().collect())
-    reach = (2 - 2 * threshold) ** 0.5
-    margins = [reach * min(1.0, 2 / d**0.5) if margin is None else margin for d in sizes]
-    parts = [_links(classes.filter(F.size("v") == d), threshold, m) for d, m in zip(sizes, margins)]
+    parts = [_links(classes.filter(F.size("v") == d), threshold, margin) for d in sizes]
     found = None
     for part in parts:
         found = part if found is None else found.unionByName(part)

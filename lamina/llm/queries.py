@@ -96,8 +96,9 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's record, from the archives it was written to."""
     path = scratch_dir(spark, "warc")
     warc.write_warc(warc.as_records(_table(spark, sf_dir, "pages")), path)
-    read = warc.read_warc(spark, path, where={"warc_type": ("response", "revisit")})
-    number = lambda c: F.element_at(F.split(c, ":"), -1).cast("long")
+    # The records that describe the archives are skipped, and payloads are checked where they are read, not handed on.
+    read = warc.read_warc(spark, path, where={"warc_type": ("response", "revisit")}, payload=False)
+    number = lambda c: F.element_at(F.split(c, ":"), -1).try_cast("long")
     return read.select(
         number("record_id").alias("page_id"),
         "payload_bytes",
@@ -173,4 +174,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
 }
 
-ORACLE: dict[str, str] = {}
+# Base32 has four letters for each five hexadecimal digits.
+_BASE32 = "list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (CAST('0x' || substr(h, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) % 32, 1)), 'string_agg', '')"
+
+ORACLE: dict[str, str] = {
+    "op8_warc": f"""
+WITH pages_read AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY h, n) AS first_id FROM pages_read)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM firsts
+""",
+    "op4_embedding_dedup": """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reached AS (SELECT vec_id AS u, vec_id AS v FROM embeddings UNION SELECT r.u, l.v FROM reached r JOIN links l ON r.v = l.u),
+least AS (SELECT u, min(v) AS component_id FROM reached GROUP BY u),
+counted AS (SELECT u, count(*) AS n_links FROM links GROUP BY u)
+SELECT e.vec_id, coalesce(c.n_links, 0) AS n_links, least.component_id, e.vec_id = least.component_id AS kept
+FROM embeddings e JOIN least ON least.u = e.vec_id LEFT JOIN counted c ON c.u = e.vec_id
+""",
+}

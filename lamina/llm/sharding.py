@@ -35,7 +35,8 @@ def shard_of(key: Sequence[str | Column], weights: Sequence[float]) -> Column:
     scores = []
     for shard, weight in enumerate(weights):
         draw = F.shiftrightunsigned(F.xxhash64(base, F.lit(shard)), 11)
-        unit = (draw.cast("double") + 0.5) / float(1 << 53)
+        # The greatest draw would be rounded to 1, which has no logarithm to divide by.
+        unit = F.least((draw.cast("double") + 0.5) / float(1 << 53), F.lit(1 - 2.0**-53))
         scores.append(F.struct((-F.lit(float(weight)) / F.ln(unit)).alias("score"), F.lit(shard).alias("shard")))
     return F.array_max(F.array(*scores))["shard"]
 

@@ -35,7 +35,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from lamina.llm.common import small_batches
+from lamina.llm.common import small_batches, stash
 from lamina.llm.files import listed, opened, written
 from lamina.operators.joins import lookup_join
 
@@ -263,6 +263,21 @@ def record(kind: str, name: str, uri: str | None, date: str, refers_to: str | No
     return b"".join([*lines, block, b"\r\n\r\n"])
 
 
+def info_record(name: str, date: str) -> bytes:
+    """The record that describes an archive, at its beginning."""
+    block = b"format: WARC File Format 1.1\r\n"
+    lines = [
+        VERSION + b"\r\n",
+        _line("WARC-Type", "warcinfo"),
+        _line("WARC-Record-ID", f"urn:uuid:{name}"),
+        _line("WARC-Date", date),
+        _line("Content-Type", "application/warc-fields"),
+        _line("Content-Length", str(len(block))),
+        b"\r\n",
+    ]
+    return b"".join([*lines, block, b"\r\n\r\n"])
+
+
 class WarcWriter(DataSourceArrowWriter):
     """Archives of about ``filebytes``, one or more per task, and a manifest of them."""
 
@@ -282,18 +297,24 @@ class WarcWriter(DataSourceArrowWriter):
         stem = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:12]}"
         names: list[str] = []
         out, size = None, 0
+
+        def packed(data: bytes) -> bytes:
+            if not self.compress:
+                return data
+            packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+            return packer.compress(data) + packer.flush()
+
         for batch in iterator:
             for kind, name, uri, date, refers, sha1, payload in zip(*[c.to_pylist() for c in batch.columns]):
                 data = record(kind, name, uri, date, refers, sha1, payload, len(payload or b""))
-                if self.compress:
-                    packer = zlib.compressobj(6, zlib.DEFLATED, 31)
-                    data = packer.compress(data) + packer.flush()
+                data = packed(data)
                 if out is None or size > self.file_bytes:
                     if out is not None:
                         out.__exit__(None, None, None)
                     names.append(f"{stem}-{len(names)}.warc" + (".gz" if self.compress else ""))
                     out, size = written(f"{self.path}/{names[-1]}"), 0
                     handle = out.__enter__()
+                    handle.write(packed(info_record(str(uuid.uuid4()), date)))
                 handle.write(data)
                 size += len(data)
         if out is not None:
@@ -377,15 +398,17 @@ def as_records(
     id are responses. Rows that repeat the least id are responses too. Payloads are equal if their
     SHA-1 and their sizes are.
 
-    Payloads are compared by digest: the least id of each is an aggregate of one small row per task and digest,
-    and the join back can be split where one payload is very common.
+    Payloads are compared by digest: the least id of each is an aggregate of one small row per task and digest. Only
+    digests that occur twice are kept, in a stored table of known size: where it is small, payloads are not shuffled to meet it, and else the
+    join can be split where one payload is very common.
     """
     payload = F.encode(F.coalesce(F.col(body), F.lit("")), "UTF-8")
     rows = pages.select(F.col(page_id).alias("id"), F.col(url).alias("target_uri"), payload.alias("payload"))
     rows = rows.withColumns({"sha1": F.sha1("payload"), "size": F.octet_length("payload")})
-    first = rows.groupBy("sha1", "size").agg(F.min("id").alias("first"))
+    many = rows.filter(F.col("size") >= least_bytes).groupBy("sha1", "size").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    first = stash(many.filter("n > 1").drop("n"), "repeated-payloads")
     joined = lookup_join(rows, first, ["sha1", "size"])
-    again = (F.col("size") >= least_bytes) & F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
+    again = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
     name = lambda c: F.concat(F.lit(prefix), F.coalesce(F.col(c).cast("string"), F.lit("")))
     return joined.select(
         F.when(again, "revisit").otherwise("response").alias("warc_type"),

@@ -174,6 +174,32 @@ def test_vectors(spark):
     assert vectors_of(pq.near_vectors(df, margin=(2 - 2 * 0.95) ** 0.5 + 1e-9)) == expected
 
 
+@pytest.mark.parametrize("dimensions, rank", [(64, 2), (64, 3), (64, 4), (64, 8), (64, 64), (768, 2), (768, 4), (768, 8)])
+def test_recall_by_rank(dimensions, rank):
+    """Vectors that have fewer directions than columns, as embeddings do: links lost by the fitted margin."""
+    draw = np.random.default_rng(rank)
+    many = 3000
+    rows = draw.normal(size=(many, rank)) @ draw.normal(size=(rank, dimensions))
+    if rank > 4:
+        # So many directions have few near vectors by chance: half are near copies of others.
+        half = rows[: many // 2]
+        size = np.linalg.norm(half, axis=1, keepdims=True) * draw.uniform(0, 0.33, (len(half), 1))
+        other = draw.normal(size=(len(half), rank)) @ draw.normal(size=(rank, dimensions))
+        rows[many // 2 :] = half + other / np.linalg.norm(other, axis=1, keepdims=True) * size
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    model = pq.fit(rows, int(np.ceil(many**0.5)))
+    margin = pq.fitted_margin(rows, model.centres, (2 - 2 * pq.THRESHOLD) ** 0.5)
+    own, _, _, probed = pq._encode(rows, model, margin)
+    probes = np.zeros((many, len(model.centres)), bool)
+    for i, p in enumerate(probed):
+        probes[i, p] = True
+    links = np.triu(rows @ rows.T >= pq.THRESHOLD, 1)
+    met = probes[:, own] | probes[:, own].T
+    recall = (links & met).sum() / links.sum()
+    print(f"dimensions {dimensions} rank {rank} links {links.sum()} recall {recall:.4f} margin {margin:.3f} probes {probes.sum(axis=1).mean():.1f}")
+    assert links.sum() > 500 and recall >= 0.97
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     near = [[1.0, 0.1 * k, 0.0, 0.02 * k] for k in range(8)]
@@ -194,6 +220,7 @@ def test_blocks_of_a_hot_list(spark, monkeypatch):
     centre = draw.normal(size=16)
     rows = [(i, (centre + 0.12 * draw.normal(size=16)).astype(np.float32).tolist()) for i in range(260)]
     monkeypatch.setattr(pq, "BLOCK", 32)
+    monkeypatch.setattr(pq, "STRIP", 10)
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     exact = [(r["vec_id"], r["embedding"]) for r in df.collect()]
     assert vectors_of(pq.near_vectors(df, margin=0.4)) == slow_vectors(exact)
