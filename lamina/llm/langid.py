@@ -193,10 +193,13 @@ def predict(
     return chosen.mapInArrow(classify, f"{kinds}`{names[0]}` string, `{names[1]}` double")
 
 
-def keep_identified(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
+def keep_identified(docs: DataFrame, profiles: Profiles, text: str = "text", lang: str | None = None) -> DataFrame:
     """The rows whose language was identified; NULL texts and texts without a letter go.
 
-    All columns are kept as they are; the text is classified on the way, so nothing is shuffled.
+    A NULL in the column ``lang``, if one is named, becomes the language that was found; all else is kept as it
+    is. The text is classified on the way, so nothing is shuffled.
     """
     names = ("_lamina_lang", "_lamina_score")
-    return predict(docs, profiles, docs.columns, text, names).filter(F.col(names[0]) != UNKNOWN).select(*docs.columns)
+    kept = predict(docs, profiles, docs.columns, text, names).filter(F.col(names[0]) != UNKNOWN)
+    filled = kept if lang is None else kept.withColumn(lang, F.coalesce(F.col(lang), F.col(names[0])))
+    return filled.select(*docs.columns)

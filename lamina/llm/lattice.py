@@ -22,6 +22,9 @@ from lamina.llm.common import small_batches, stash, stash_seen, worker_cache
 FREQUENT = 150_000
 GATHERED = 200_000
 
+# Bytes of texts whose words a counting task gathers at most, as a word may be a whole text.
+GATHERED_BYTES = 64 << 20
+
 # Bytes of a word that is handed to workers; where texts have no blanks a word may be a whole text.
 WORD_BYTES = 64
 
@@ -46,12 +49,14 @@ def count_words(docs: DataFrame, training: str, text: str = "_text") -> DataFram
 
         counts: Counter = Counter()
         others: set[bytes] = set()
+        held = 0
         for batch in batches:
             for learn, value in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
                 (counts if learn else others).update(value.lower().split() if value else ())
-            if len(counts) + len(others) > GATHERED:
+                held += len(value or b"")
+            if len(counts) + len(others) > GATHERED or held > GATHERED_BYTES:
                 yield from handed(counts, others)
-                counts, others = Counter(), set()
+                counts, others, held = Counter(), set(), 0
         yield from handed(counts, others)
 
     parts = docs.select(training, text).mapInArrow(count, "word string, n long")

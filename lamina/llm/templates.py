@@ -21,9 +21,14 @@ SIMILARITY = 0.8
 # Bits of the filter of benchmark window hashes that every worker holds; its size does not depend on the data.
 FILTER_BITS = 1 << 22
 
-# Words handled at a time, and canonical words that a worker remembers.
+# Words handled at a time, and canonical words that a worker remembers, with the letters of the longest of them.
 WORDS = 1 << 18
 REMEMBERED = 200_000
+LONGEST = 64
+
+# Letters of scripts that put no blanks between words (Thai, Lao, Burmese, Khmer, Japanese, Chinese), and their punctuation.
+UNBROKEN = "\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+MARKS = "\u3000-\u303f\uff01-\uff0f\uff1a-\uff20\uff61-\uff65"
 
 # Units and their usual abbreviations.
 UNITS = (
@@ -41,7 +46,8 @@ _NUMBER = r"[+-]?[$€£]?(?:\d[\d.,:/]*\d|\d)(?:st|nd|rd|th)?%?"
 class Canonicaliser:
     """Canonical words: per word a hash, and whether it is a slot.
 
-    A word is what stands between blanks, without punctuation around it, lower-cased. A number is
+    A word is what stands between blanks, without punctuation around it, lower-cased; in scripts that put no blanks between
+    words each letter is one, and their punctuation is a blank. A number is
     a placeholder; a unit is one after a number, in the same word or the next; a name is a capitalised word
     within a sentence. A line or a sentence begins anew, so its first word is no name.
 
@@ -58,6 +64,8 @@ class Canonicaliser:
         from xxhash import xxh64_intdigest
 
         self.number, self.units = re.compile(_NUMBER), frozenset(UNITS)
+        self.unbroken = re.compile(f"[{UNBROKEN}]").search
+        self.apart = re.compile(f"[{UNBROKEN}]|[{MARKS}]+").sub
         self.joined = re.compile(rf"({_NUMBER})([A-Za-z%$€£]+)")
         self.marks = np.array([0, *(xxh64_intdigest(b"\x00%d" % k) for k in (1, 2, 3, 4))], np.uint64)
         self.hash = xxh64_intdigest
@@ -79,7 +87,7 @@ class Canonicaliser:
             self.passing.clear()
         kept = len(self.places)
         for word, place in self.passing.items():
-            if word in self.once:
+            if len(word) <= LONGEST and word in self.once:
                 self.plain[kept], self.kind[kept], self.ends[kept] = self.plain[place], self.kind[place], self.ends[place]
                 self.low[kept] = self.low[place]
                 self.places[word] = kept
@@ -88,7 +96,7 @@ class Canonicaliser:
             del values[kept:]
         if len(self.once) > REMEMBERED:
             self.once.clear()
-        self.once.update(self.passing)
+        self.once.update(w for w in self.passing if len(w) <= LONGEST)
         self.passing.clear()
 
     def _learned(self, word: str) -> int:
@@ -125,6 +133,8 @@ class Canonicaliser:
         begins, lines = [], []
         for text in texts:
             begins.append(len(words))
+            if not text.isascii() and self.unbroken(text):
+                text = self.apart(lambda m: f" {m[0]} " if self.unbroken(m[0]) else " ", text)
             for line in text.split("\n"):
                 lines.append(len(words))
                 words += line.split()

@@ -324,6 +324,31 @@ def test_copies_with_other_case_lines_and_marks(spark):
     assert set(pairs_of(spark, [QUESTION], [QUESTION.lower(), wrapped, QUESTION.upper()])) == {(0, 0), (0, 1), (0, 2)}
 
 
+def test_scripts_without_blanks(spark):
+    """Items in Chinese, Japanese and Thai are found inside longer sentences, with other punctuation and line breaks."""
+    items = ["农夫有十二只羊，卖了三只以后还剩下多少只羊？", "東京から大阪まで新幹線でどのくらいかかりますか。", "ชาวนามีแกะสิบสองตัวขายไปสามตัวเหลือกี่ตัว"]
+    texts = [
+        f"前面的话。{items[0]}后面还有别的话",
+        "说：" + items[0].replace("，", "\n").replace("？", "!"),
+        f"質問です、{items[1]}と聞かれた",
+        f"เขาถามว่า{items[2]}แล้วก็เดินไป",
+        "农夫昨天去了城里，买了很多东西回来给家里的孩子们。",
+        "plain words that hold none of the items above",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    asked = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = templates.contaminated(docs, asked, ["doc_id"]).select("doc_id", "item_id").collect()
+    assert sorted(map(tuple, found)) == [(0, 0), (1, 0), (2, 1), (3, 2)]
+
+
+def test_remembered_words_are_short(monkeypatch):
+    monkeypatch.setattr(templates, "LONGEST", 8)
+    canonical = templates.Canonicaliser()
+    for _ in range(3):
+        canonical.block(["short " + "long" * 10 + " words"])
+    assert set(canonical.places) == {"short", "words"} and canonical.once <= {"short", "words"}
+
+
 def test_short_and_numeric_items(spark):
     items = ["Capital of France?", "2 4 8 16 32 64", "Anna Berta Clara Dora Emil Fritz", "Paris", "continue the row 1 2 3 4 5 6 7 8 9 with care and give the next number"]
     docs = [
