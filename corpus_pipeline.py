@@ -13,8 +13,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is identified; NULL texts and texts without a letter go."""
-    return langid.keep_identified(docs, queries.profiles_of(docs)).select(*COLUMNS)
+    """Documents whose language is identified, which a NULL ``lang`` becomes; NULL texts and texts without a letter go."""
+    return langid.keep_identified(docs, queries.profiles_of(docs), lang="lang").select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
