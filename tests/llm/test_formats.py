@@ -139,6 +139,10 @@ def test_archives(spark):
     assert sorted(map(tuple, found.collect()), key=repr) == expected_records(rows)
 
 
+# What an archive holds beside the record that describes it.
+PAGES = {"warc_type": ("response", "revisit")}
+
+
 @pytest.fixture(scope="module")
 def odd_pages(spark):
     body = "line\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\n" * 3
@@ -152,7 +156,12 @@ def test_odd_archives(spark, odd_pages, tmp_path, compress):
     rows, pages = odd_pages
     path = f"file://{tmp_path}/archive"
     warc.write_warc(warc.as_records(pages, least_bytes=5), path, compress=compress, fileBytes="1000")
-    found = warc.read_warc(spark, path, taskBytes="2000")
+    found = warc.read_warc(spark, path, where=PAGES, taskBytes="2000")
+    whole = warc.read_warc(spark, path)
+    described = whole.filter("warc_type = 'warcinfo'").collect()
+    files = [f for f in (tmp_path / "archive").iterdir() if ".warc" in f.name]
+    assert len(described) == len(files) > 1 and {bytes(r["payload"]) for r in described} == {b"format: WARC File Format 1.1\r\n"}
+    assert whole.count() == len(rows) + len(files)
     number = lambda x: None if not x or x.endswith(":") else int(x.rsplit(":", 1)[1])
     got = [(number(r["record_id"]), r["payload_bytes"], r["payload_digest"][5:], r["warc_type"], number(r["refers_to"])) for r in found.collect()]
     assert sorted(got, key=repr) == expected_records([(p, (h or "").encode()) for p, _, h in rows], 5)
@@ -168,6 +177,15 @@ def test_odd_archives(spark, odd_pages, tmp_path, compress):
     assert found.filter(F.col("refers_to").isNull()).count() == len(bodies)
 
 
+def test_only_repeated_payloads_are_joined(spark, tmp_path):
+    """Payloads stay where they are: what they meet is a small stored table, which the plan broadcasts by its size."""
+    pages = spark.range(2000).selectExpr("id AS page_id", "'u' AS url", "concat('<p>', id % 1990) AS html")
+    rows = warc.as_records(pages)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert dict(rows.groupBy("warc_type").count().collect()) == {"response": 1990, "revisit": 10}
+
+
 def test_unknown_predicates_are_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="payload"):
         warc.read_warc(spark, f"file://{tmp_path}", where={"payload": "x"})
@@ -201,4 +219,4 @@ def test_files_of_failed_attempts_are_not_read(spark, odd_pages, tmp_path):
     path = tmp_path / "archive"
     warc.write_warc(warc.as_records(pages), f"file://{path}")
     (path / "part-000000-dead-0.warc.gz").write_bytes(b"broken")
-    assert warc.read_warc(spark, f"file://{path}").count() == len(rows)
+    assert warc.read_warc(spark, f"file://{path}", where=PAGES).count() == len(rows)
