@@ -334,3 +334,46 @@ def test_spelling_of_the_table(spark):
                 pairs |= {(w, w[:i] + w[i + 1 :]), (w[:i] + w[i + 1 :], w)}
     near.update(a for a, _ in pairs)
     assert {w: r["n_near"] for w, r in found.items() if r["n_near"]} == dict(near)
+
+
+# --- a third of all rows alike ----------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def hot_tables(spark, tmp_path_factory):
+    """The small tables, a third of the documents with one text and a third of the turns in one conversation with one text."""
+    root = str(tmp_path_factory.mktemp("hot"))
+    for name in ("documents", "labels", "conversations", "benchmark", "pages", "embeddings"):
+        df = spark.read.parquet(f"{SF}/{name}.parquet")
+        if name == "documents":
+            shared = df.filter("doc_id = 1").first()["text"]
+            df = df.withColumn("text", F.when(F.col("doc_id") % 3 == 0, F.lit(shared)).otherwise(F.col("text")))
+        if name == "conversations":
+            hot = F.xxhash64("conv_id", "turn") % 3 == 0
+            df = df.withColumns({"text": F.when(hot, "one turn").otherwise(F.col("text")), "conv_id": F.when(hot, 20).otherwise(F.col("conv_id"))})
+        df.repartition(4).write.parquet(f"{root}/{name}.parquet")
+    return root
+
+
+def test_trie_of_hot_turns(spark, hot_tables):
+    turns = spark.read.parquet(f"{hot_tables}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    rows = [tuple(r) for r in turns.collect()]
+    assert sum(r[0] == 20 for r in rows) > len(rows) / 5
+    assert sorted(map(tuple, queries.op11_trie(spark, hot_tables).collect()), key=repr) == slow_trie(rows)
+
+
+def test_words_of_hot_texts(spark, hot_tables):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{hot_tables}/documents.parquet").collect()]
+    found = queries.op13_spelling(spark, hot_tables).collect()
+    assert {r["word"]: r["n"] for r in found} == slow_words(rows)
+    by_word = {r["word"]: r for r in found}
+    for r in found:
+        if r["form"]:
+            assert one_edit(r["word"], r["form"]) and by_word[r["form"]]["n"] == r["form_n"] >= 10 * r["n"]
+
+
+def test_equal_texts_have_one_score(spark, hot_tables):
+    docs = spark.read.parquet(f"{hot_tables}/documents.parquet").select("doc_id", "text")
+    scored = queries.op12_toxicity(spark, hot_tables).join(docs, "doc_id")
+    assert scored.count() == docs.count()
+    assert scored.groupBy("text").agg(F.count_distinct("score").alias("n")).filter("n > 1").isEmpty()
