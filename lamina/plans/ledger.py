@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
@@ -59,7 +59,7 @@ def newest_rows(spark: SparkSession, ledger: str, run_id: str, stages: Sequence[
     return {r["stage"]: r for r in latest_status(entries).collect()}
 
 
-def is_stale(row: Row | None, before: Row | None) -> bool:
+def is_stale(row: Mapping | Row | None, before: Mapping | Row | None) -> bool:
     """Whether a stage is to do, by its newest row and that of the stage whose output it reads.
 
     Where both fingerprints are known, its input must be what that stage has last written; else it must not be

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -253,8 +253,9 @@ def run(
         except Exception:
             record_stage(spark, ledger, run_id, stage, status=FAILED)
             raise
-        written = getattr(rows, "fingerprint", None)
-        record_stage(spark, ledger, run_id, stage, rows, read=read, written=written)
+        now, written = datetime.now(timezone.utc), getattr(rows, "fingerprint", None)
+        record_stage(spark, ledger, run_id, stage, rows, at=now, read=read, written=written)
+        # As a row of the ledger comes back: in the driver's own time zone, without naming it.
+        latest[stage] = {"status": DONE, "at": now.astimezone().replace(tzinfo=None), "input": read, "output": written}
         done.append(stage)
-        latest = newest_rows(spark, ledger, run_id)
     return done
