@@ -63,6 +63,7 @@ from lamina.sinks import (
     write_run,
 )
 from lamina.sources import (
+    bytes_of,
     entry_lines,
     expand_entries,
     list_entries,
@@ -76,7 +77,14 @@ from lamina.sources import (
 )
 from lamina.sources.records import RANGE_BYTES
 from lamina.sources.tables import rows_of
-from lamina.streaming import land_archives_stream, run_gate, stream_to_table, upsert_stream
+from lamina.streaming import (
+    drain_to_table,
+    entry_stream,
+    land_archives_stream,
+    run_gate,
+    stream_to_table,
+    upsert_stream,
+)
 from lamina.streaming.gate import STATE_STORE
 
 URGENT = "1-URGENT"
@@ -908,6 +916,24 @@ def stream_land_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typed_orders(read_landing(spark, f"{root}/landing/csv", "empresas"))
 
 
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority FROM orders")
+def stream_archive_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives that arrive in two lots, read by a streaming source in batches of bounded bytes: each line once.
+
+    The second lot's names come before the first's, and it is read by a restarted stream.
+    """
+    root = scratch_dir(spark, "arriving")
+    orders = table(spark, sf_dir, "orders")
+    late = F.pmod(F.xxhash64("o_orderkey"), F.lit(3)) == 0
+    for name, lot in (("Socios", ~late), ("Empresas", late)):
+        lines = _joined(orders.filter(lot).select(F.col("o_orderkey").cast("string"), "o_orderpriority"))
+        _write_archives(lines.repartition(8, "value"), f"{root}/raw", name)
+        blocks = entry_stream(spark, f"{root}/raw", f"{root}/plan", batch_bytes=bytes_of(spark, f"{root}/raw"))
+        drain_to_table(entry_lines(blocks), f"{root}/lines", f"{root}/checkpoint")
+    fields = F.split("value", ";")
+    return spark.read.parquet(f"{root}/lines").select(fields[0].alias("o_orderkey"), fields[1].alias("o_orderpriority"))
+
+
 @query(_LATEST_EVENT)
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files upserted as they arrive, the latest event of each user winning."""
