@@ -18,9 +18,8 @@ from tests.llm.conftest import SCHEMA, SF
 
 
 def slow_bundle(text, dimensions):
-    table = langid._letter_table()
-    vectors = np.random.default_rng(langid.SEED).integers(0, 2, (langid.LETTERS, dimensions)) * 2.0 - 1
-    letters = [0, *[int(table[ord(c)]) for c in text.lower()], 0]
+    letters = [0, *[ord(c) if c.isalpha() else 0 for c in text.lower()], 0]
+    vectors = {p: langid._letter_vectors(np.array([p]), dimensions)[0].astype(float) for p in set(letters)}
     total = np.zeros(dimensions)
     for a, b, c in zip(letters, letters[1:], letters[2:]):
         if b:
@@ -53,12 +52,44 @@ def test_blocks_of_any_size_count_the_same(cells):
     assert cells > 20 or len(blocks) > 1
     assert [b for b, *_ in blocks] == np.cumsum([0, *[len(c) for *_, c in blocks[:-1]]]).tolist()
     assert sum(len(c) for *_, c in blocks) == len(texts)
-    bundles = np.concatenate([langid._bundled(codes, counts, 64) for _, codes, _, counts in blocks])
+    bundles = np.concatenate([langid._bundled(alphabet, codes, counts, 64) for _, alphabet, codes, _, counts in blocks])
     assert np.allclose(bundles, [slow_bundle(t, 64) for t in texts])
-    letters = np.concatenate([n for _, _, n, _ in blocks])
+    letters = np.concatenate([n for *_, n, _ in blocks])
     assert letters.tolist() == [sum(c.isalpha() for c in t) for t in texts]
 
 
+@pytest.mark.parametrize("size", [1, 2, 5, 16, 1 << 20])
+def test_pieces_of_long_texts_add_up(monkeypatch, size):
+    """Whatever the length of the pieces, a text's blocks follow each other and add up to the whole text's."""
+    monkeypatch.setattr(langid, "CHARACTERS", size)
+    texts = ["le chat est là", "", "  x ", "İ of two letters", "日本語のテキスト 😀a", "1", "ab"]
+    bundles, letters, order = np.zeros((len(texts), 64)), np.zeros(len(texts), int), []
+    for begin, alphabet, codes, each, counts in langid._counted(texts):
+        bundles[begin : begin + len(counts)] += langid._bundled(alphabet, codes, counts, 64)
+        letters[begin : begin + len(counts)] += each
+        order.append(begin)
+    assert np.allclose(bundles, [slow_bundle(t, 64) for t in texts])
+    assert letters.tolist() == [sum(c.isalpha() for c in t.lower()) for t in texts]
+    assert order == sorted(order)
+
+
+def test_every_letter_has_a_vector_of_its_own():
+    letters = np.array([p for p in range(langid.POINTS) if chr(p).isalpha() and (p < 0x3000 or 0x4E00 <= p < 0x6000)])
+    vectors = langid._letter_vectors(letters, 256)
+    assert set(np.unique(vectors)) == {-1, 1} and len(np.unique(vectors, axis=0)) == len(letters) > 10_000
+    some = vectors[:: len(letters) // 500].astype(float)
+    cosines = some @ some.T / 256 - np.eye(len(some))
+    assert abs(cosines).max() < 0.45 and abs(vectors.mean()) < 0.01
+    assert langid._letter_vectors(letters[:3], 100).shape == (3, 100)
+
+
+def test_codes_are_numbered_alike_by_table_and_by_sorting():
+    codes = np.array([7, 3, 7, 0, 999, 3])
+    for most in (1000, langid.CELLS + 1):
+        distinct, place = langid._distinct(codes, most)
+        assert distinct.tolist() == [0, 3, 7, 999] and distinct[place].tolist() == codes.tolist()
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = queries.op1_language_id(spark, "/root/testdata/sf0.01").filter("held_out")
