@@ -228,13 +228,17 @@ class TrigramIndex:
         import numpy as np
 
         self.size = len(texts)
-        line = np.frombuffer(b"\x00\x00".join([*texts, b""]), np.uint8).astype(np.int32)
-        code = (line[:-2] << 16) | (line[1:-1] << 8) | line[2:]
-        slot = slots[code]
-        at = np.flatnonzero(slot)
+        whole = np.frombuffer(b"\x00\x00".join([*texts, b""]), np.uint8)
         ends = np.cumsum([len(t) + 2 for t in texts])
-        text = np.searchsorted(ends, at, side="right")
-        pairs = np.unique(slot[at].astype(np.int64) * self.size + text)
+        found = [np.zeros(0, np.int64)]
+        # A long text is coded slice by slice, each with the two bytes that follow it.
+        for begin in range(0, len(whole) - 2, BLOCK_BYTES):
+            line = whole[begin : begin + BLOCK_BYTES + 2].astype(np.int32)
+            slot = slots[(line[:-2] << 16) | (line[1:-1] << 8) | line[2:]]
+            at = np.flatnonzero(slot)
+            text = np.searchsorted(ends, begin + at, side="right")
+            found.append(np.unique(slot[at].astype(np.int64) * self.size + text))
+        pairs = np.unique(np.concatenate(found))
         borders = np.searchsorted(pairs, np.arange(1, asked + 2, dtype=np.int64) * self.size)
         self.postings = [pairs[a:b] % self.size for a, b in zip(borders, borders[1:])]
 

@@ -209,6 +209,15 @@ def test_web_tokens_are_those_of_the_plain_pattern(text):
     assert SCAN([text]) == [slow_spans(text)]
 
 
+@pytest.mark.parametrize("size", [1, 3, 7, 64])
+def test_slices_of_long_texts_lose_no_trigram(monkeypatch, size):
+    """A trigram that lies across two slices is found, so the spans are those of a text in one slice."""
+    texts = ["", "ab", "x" * 90 + " password = abcdef12 é AKIA" + "Q" * 20 + " token:" + "z" * 9, "é" * 40 + "api_key='0123456'", "0" * 30]
+    whole = secrets.scanner()(texts)
+    monkeypatch.setattr(secrets, "BLOCK_BYTES", size)
+    assert secrets.scanner()(texts) == whole and [len(s) for s in whole][:2] == [0, 0] and all(whole[2:])
+
+
 @pytest.mark.parametrize("before", ["Bearer%20", "\\n", "session_", "eyJ", "x-", ""])
 def test_web_tokens_after_any_letter(before):
     web = secrets.KINDS.index("web_token")
