@@ -6,19 +6,28 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from lamina.session import scratch_dir
+from lamina.session import scratch_dir, wide_shuffle
 
 # Bytes of one Arrow batch. Texts may be very long; a batch ends with the row that passes this size.
 BATCH_BYTES = 4 << 20
 
 
+def scanned_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that the plan reads, each scan counted; those of unknown size are not."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.length())]
+    return sum(size for size in sizes if size < 1 << 60)
+
+
 def stash(df: DataFrame, label: str) -> DataFrame:
     """The table written to the shared scratch folder and read again.
 
-    This cuts the lineage: what follows survives a lost executor without computing ``df`` again.
+    This cuts the lineage: what follows survives a lost executor without computing ``df`` again. The shuffles of this write
+    are as wide as the bytes it scans ask for, and at least as wide as the session's.
     """
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    with wide_shuffle(df.sparkSession, scanned_bytes(df)):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from lamina.llm import pq, simhash
+from lamina import session
+from lamina.llm import common, pq, simhash
 from lamina.llm.components import components
 from tests.llm.conftest import SF
 
@@ -224,3 +225,24 @@ def test_blocks_of_a_hot_list(spark, monkeypatch):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     exact = [(r["vec_id"], r["embedding"]) for r in df.collect()]
     assert vectors_of(pq.near_vectors(df, margin=0.4)) == slow_vectors(exact)
+
+
+def test_stored_tables_are_shuffled_by_what_they_scan(spark, tmp_path, settings, monkeypatch):
+    """The width follows the bytes of the scans, joined and repeated ones included; the session's is the least and is left as it was."""
+    settings(spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1")
+    spark.range(20_000).withColumn("k", F.col("id") % 5000).write.parquet(f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    size = common.scanned_bytes(table)
+    assert size > 0 and common.scanned_bytes(table.join(table.groupBy("k").count(), "k")) >= 2 * size
+    assert common.scanned_bytes(table.mapInArrow(lambda batches: batches, table.schema)) == size
+
+    def files(df):
+        stored = common.stash(df, "width")
+        assert stored.count() == df.count() and spark.conf.get("spark.sql.shuffle.partitions") == "8"
+        return len(stored.inputFiles())
+
+    counts = table.groupBy("k").count()
+    assert files(counts) == 8
+    monkeypatch.setattr(session, "SHUFFLE_BYTES", -(-size // 24))
+    assert files(counts) in (24, 25)
+    assert files(spark.createDataFrame([], "k long").groupBy("k").count()) <= 8
