@@ -29,7 +29,7 @@ from lamina.schemas import (
     TARGET_SIZE,
     raw_schema,
 )
-from lamina.session import wide_shuffle
+from lamina.session import measured_broadcasts, wide_shuffle
 from lamina.sinks.buckets import upsert_buckets
 from lamina.sinks.landing import land_archives
 from lamina.sinks.runs import RowCount, write_run
@@ -173,7 +173,7 @@ def cast_losses(spark: SparkSession, root: str, run_id: str) -> DataFrame:
 def gold(spark: SparkSession, root: str, run_id: str) -> int:
     inputs = [run_path(root, "silver", run_id, entity) for entity in ("empresas", "socios")]
     companies, partners = (spark.read.parquet(path) for path in inputs)
-    with wide_shuffle(spark, bytes_of(spark, *inputs)):
+    with wide_shuffle(spark, bytes_of(spark, *inputs)), measured_broadcasts(spark):
         return write_run(enriched_companies(companies, partners), run_path(root, "gold", run_id, "resultado_final"), fingerprint=True)
 
 

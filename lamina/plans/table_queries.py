@@ -51,7 +51,7 @@ from lamina.operators.losses import WatchedCasts
 from lamina.plans import ledger, registry
 from lamina.plans.layout import run_path
 from lamina.schemas import ENTITY_WORDS, raw_schema
-from lamina.session import scratch_dir, session_setting
+from lamina.session import measured_broadcasts, scratch_dir, session_setting
 from lamina.sinks import (
     append_new,
     change_rollup,
@@ -964,7 +964,10 @@ def medallion_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
     wrong = registry.rejected(spark, root, "run-1", "empresas").select(F.split("text", ";")[0].alias("cnpj"))
     published = read_buckets(spark, f"{root}/published").select("cnpj", "cod_porte")
     marked = lookup_join(published, wrong.withColumn("wrong_width", F.lit(True)), "cnpj")
-    return marked.withColumn("wrong_width", F.coalesce("wrong_width", F.lit(False)))
+    # Stored, as what is returned would be joined by the sizes of files: there may be as many wrong lines as others.
+    with measured_broadcasts(spark):
+        write_run(marked.withColumn("wrong_width", F.coalesce("wrong_width", F.lit(False))), f"{root}/marked")
+    return spark.read.parquet(f"{root}/marked")
 
 
 @query(_LATEST_EVENT)

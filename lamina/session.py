@@ -102,6 +102,18 @@ def session_setting(spark: SparkSession, name: str, value: str) -> Iterator[None
             spark.conf.set(name, before)
 
 
+@contextmanager
+def measured_broadcasts(spark: SparkSession) -> Iterator[None]:
+    """Joins are broadcast by the size that AQE has measured, not by that of files, for the duration of one write.
+
+    A few columns of a compressed file may become many times its size as rows, all of which the driver would hold.
+    """
+    static, adaptive = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    most = spark.conf.get(adaptive, None) or spark.conf.get(static)
+    with session_setting(spark, adaptive, most), session_setting(spark, static, "-1"):
+        yield
+
+
 def planned_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of the table's size, 0 where it has none."""
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

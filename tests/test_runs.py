@@ -10,7 +10,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from lamina.__main__ import arguments, execute
 from lamina.operators.guards import ExpectationError
-from lamina.plans import ledger, registry
+from lamina.plans import ledger, registry, table_queries
 from lamina.plans.layout import run_path
 from lamina.schemas import ENRICHED, ENTITY_WORDS
 from lamina.session import scratch_dir, scratch_scope, wide_shuffle
@@ -164,6 +164,46 @@ def test_an_entity_without_entries_stops_the_run(spark, tmp_path):
         registry.bronze(spark, str(tmp_path), "r")
 
 
+def executed_gold(monkeypatch):
+    """The plans of the gold tables that are written from now on, as they were executed."""
+    plans = []
+
+    def written(df, path, **options):
+        if "/gold/" in path:
+            df.collect()
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write_run(df, path, **options)
+
+    monkeypatch.setattr(registry, "write_run", written)
+    return plans
+
+
+@pytest.mark.parametrize("most, broadcast", [("1m", False), ("100m", True)])
+def test_gold_is_joined_by_measured_sizes(spark, tmp_path, settings, monkeypatch, most, broadcast):
+    """50,000 partners, whose file is smaller than 1 MB and whose rows are larger, are not gathered in the driver."""
+    settings(spark__sql__autoBroadcastJoinThreshold=most)
+    plans, root = executed_gold(monkeypatch), str(tmp_path)
+    keys = spark.range(50_000).select(F.format_string("%08d", "id").alias("cnpj"))
+    companies = keys.selectExpr("cnpj", "'N' AS razao_social", "1 AS natureza_juridica", "1D AS capital_social", "'03' AS cod_porte")
+    companies.write.parquet(run_path(root, "silver", "r", "empresas"))
+    keys.union(keys).selectExpr("cnpj", "2 AS tipo_socio").coalesce(1).write.parquet(run_path(root, "silver", "r", "socios"))
+    assert registry.gold(spark, root, "r") == 50_000
+    assert registry.result(spark, root, "r").filter("qtde_socios = 2 AND doc_alvo").count() == 50_000
+    assert [("BroadcastHashJoin" in p, "SortMergeJoin" in p.split("Initial Plan")[0]) for p in plans] == [(broadcast, not broadcast)]
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == most
+    assert spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None
+
+
+def test_wrong_lines_are_joined_before_they_are_returned(spark, tmp_path, rows):
+    """So that the join is planned by the settings of the query, not by those of whoever writes its rows."""
+    orders = spark.createDataFrame([(k, "FOP"[k % 3]) for k in range(30)], "o_orderkey long, o_orderstatus string")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    marked = table_queries.medallion_ragged(spark, str(tmp_path))
+    assert "Join" not in marked._jdf.queryExecution().executedPlan().toString()
+    expected = [(str(k), None if k % 3 == 0 else "05", k % 3 != 1) for k in range(30)]
+    assert rows(marked, "cnpj", "cod_porte", "wrong_width") == sorted(expected, key=repr)
+
+
 def test_duplicate_companies_survive_gold_and_stop_the_load(spark, tmp_path):
     put_archive(tmp_path / "raw" / "r" / "Empresas.zip", "K.CSV", COMPANY_LINES + COMPANY_LINES[:1])
     put_archive(tmp_path / "raw" / "r" / "Socios.zip", "S.CSV", PARTNER_LINES)
