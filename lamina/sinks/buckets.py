@@ -8,6 +8,7 @@ way does it again. One writer at a time is assumed, and readers open the table b
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import nullcontext
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -15,7 +16,7 @@ from lamina.operators.guards import require_columns, require_set_key, require_un
 from lamina.operators.incremental import BATCH, ROWS, merged_states, state_changes
 from lamina.operators.keys import as_list, latest_per_key
 from lamina.operators.upsert import keyed_upsert
-from lamina.session import planned_bytes, scratch_dir, wide_shuffle
+from lamina.session import measured_broadcasts, planned_bytes, scratch_dir, wide_shuffle
 from lamina.sinks.runs import overwrite_partitions, write_run
 from lamina.sources.tables import load_if_present
 
@@ -23,6 +24,9 @@ from lamina.sources.tables import load_if_present
 BUCKET_BYTES = 64 << 20
 FEWEST = 16
 
+# Rows of a source up to which its keys may be broadcast by the size of its files, so that the table is not shuffled.
+UNMEASURED_ROWS = 100_000
+
 # Partition columns: how many buckets the table has, and a row's own.
 _PLACE = ("_buckets", "_bucket")
 
@@ -74,7 +78,7 @@ def _apply(
     if not rows:
         return 0
     merged = merge(stored, spark.read.parquet(stage))
-    with wide_shuffle(spark, planned_bytes(merged)):
+    with wide_shuffle(spark, planned_bytes(merged)), nullcontext() if rows <= UNMEASURED_ROWS else measured_broadcasts(spark):
         # One task and file per bucket.
         overwrite_partitions(merged.repartition("_bucket"), root, _PLACE)
     return rows

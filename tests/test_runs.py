@@ -319,6 +319,26 @@ def test_an_upsert_leaves_other_buckets_alone(spark, tmp_path):
     assert table.count() == 2001 and table.agg(F.sum("v")).first()[0] == 3
 
 
+def test_large_upserts_are_joined_by_measured_sizes(spark, tmp_path, settings, monkeypatch):
+    """150,000 keys, whose files are smaller than 2 MB and whose rows are larger, are not gathered in the driver; a few are."""
+    settings(spark__sql__autoBroadcastJoinThreshold="2m")
+    plans, root = [], str(tmp_path / "t")
+
+    def overwritten(df, *args):
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return overwrite_partitions(df, *args)
+
+    table = spark.range(150_000).select(F.format_string("%08d", "id").alias("k"), F.lit(1).alias("v")).coalesce(1)
+    upsert_buckets(spark, root, table, "k")
+    monkeypatch.setattr("lamina.sinks.buckets.overwrite_partitions", overwritten)
+    for source, value in ((table.withColumn("v", F.lit(2)), 2), (table.limit(10).withColumn("v", F.lit(3)), 3)):
+        upsert_buckets(spark, root, source, "k")
+        assert read_buckets(spark, root).filter(F.col("v") == value).count() == source.count()
+    assert read_buckets(spark, root).count() == 150_000
+    assert ["BroadcastHashJoin" in p for p in plans] == [False, True]
+
+
 def test_a_failed_upsert_is_done_again(spark, tmp_path, rows, monkeypatch):
     root = str(tmp_path / "t")
     upsert_buckets(spark, root, spark.createDataFrame([(1, 1), (2, 1)], "k int, v int"), "k")
