@@ -365,6 +365,21 @@ def test_what_follows_a_stage_run_again_is_redone(spark, root, tmp_path, rows):
     assert "D" in names and "C" not in names
 
 
+def test_an_unchanged_run_is_joined_by_measured_sizes(spark, tmp_path, settings, monkeypatch):
+    """30,000 partners of as many companies, whose summary's files are below the threshold: whole, not gathered, and not redone."""
+    settings(spark__sql__autoBroadcastJoinThreshold="500k")
+    plans, root = executed_gold(monkeypatch), str(tmp_path)
+    for again in (False, True):
+        put_archive(tmp_path / "raw/r/Empresas.zip", "K.CSV", [f"{k:08d};N;1;49;1,00;03;x" for k in range(30_000)])
+        put_archive(tmp_path / "raw/r/Socios.zip", "S.CSV", [f"{k:08d};3;A;;;;;;;;" for k in range(30_000)])
+        if again:
+            assert registry.run(spark, root, "r", stages=["bronze"], again=True) == ["bronze"]
+        assert registry.run(spark, root, "r") == ([] if again else ["ingest", "bronze", "silver", "gold", "load"])
+    published = read_buckets(spark, f"{root}/published")
+    assert published.filter("qtde_socios = 1 AND flag_socio_estrangeiro").count() == published.count() == 30_000
+    assert ["BroadcastHashJoin" in p for p in plans] == [False]
+
+
 def test_a_short_first_line_costs_nothing(spark, tmp_path):
     raw = tmp_path / "raw" / "r"
     lines = ["00000001;SHORT", *[f"0000000{i};NAME;2062;49;1,00;03;X" for i in range(2, 6)], "00000006;LONG;1;2;3,00;03;X;more;fields"]
